@@ -31,7 +31,7 @@ def join_dimension(
 ) -> DataFrame:
     """Join a few-keyed dimension: broadcast when its row count is within the bound, salted otherwise."""
     keys = [on] if isinstance(on, str) else list(on)
-    if how not in ("inner", "left"):
+    if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("facts must be the preserved side")
     if fits(dim, broadcast_rows):
         return facts.join(F.broadcast(dim), keys, how)

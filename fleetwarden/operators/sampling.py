@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwarden.functions.keys import split_label, stable_number
+from fleetwarden.operators.joins import join_dimension
+from fleetwarden.session import staged
 
 
 def bernoulli(df: DataFrame, fraction: float, key: list[str]) -> DataFrame:
@@ -19,5 +21,5 @@ def with_split(df: DataFrame, key: list[str], shares: dict[str, float] | None =
 
 def example_readings(readings: DataFrame, label: str = "abnormal_sensor", unit: str = "turbine_id") -> DataFrame:
     """All readings of one example unit per label (the least unit key), by a join instead of a driver lookup."""
-    chosen = readings.groupBy(label).agg(F.min(unit).alias(unit))
-    return readings.join(chosen, [label, unit], "left_semi")
+    chosen = staged(readings.groupBy(label).agg(F.min(unit).alias(unit)))
+    return join_dimension(readings, chosen, [label, unit], "left_semi")

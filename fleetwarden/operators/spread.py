@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetwarden.functions.geo import lat_degrees, lon_degrees
 from fleetwarden.functions.keys import stable_number
+from fleetwarden.operators.joins import join_dimension
 from fleetwarden.operators.ranking import number_rows
 
 
@@ -31,9 +32,10 @@ def spread_on_circle(
     df: DataFrame, key: list[str], lat: str = "lat", lon: str = "long", radius_m: float = 200.0
 ) -> DataFrame:
     """Points that share a coordinate go evenly around a circle; a lone point stays."""
-    sizes = df.groupBy(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).agg(F.count(F.lit(1)).alias("_n"))
-    same = F.col(lat).eqNullSafe(F.col("_lat")) & F.col(lon).eqNullSafe(F.col("_lon"))
-    placed = _places(df, lat, lon, key, "_k").join(sizes, same)
+    # NaN stands for a missing coordinate in the join key, as NaN equals NaN.
+    spot = {"_lat": F.coalesce(F.col(lat), F.lit(float("nan"))), "_lon": F.coalesce(F.col(lon), F.lit(float("nan")))}
+    sizes = df.withColumns(spot).groupBy("_lat", "_lon").agg(F.count(F.lit(1)).alias("_n"))
+    placed = join_dimension(_places(df, lat, lon, key, "_k").withColumns(spot), sizes, ["_lat", "_lon"])
     angle = F.lit(2 * math.pi) * (F.col("_k") - 1) / F.col("_n")
     return _shift(placed, lat, lon, F.col("_n") > 1, F.lit(radius_m), angle).select(*df.columns)
 

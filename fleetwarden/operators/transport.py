@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fleetwarden.operators.joins import join_dimension
 from fleetwarden.operators.ranking import running_total
 from fleetwarden.session import staged
 
@@ -120,9 +121,9 @@ def _deal_out(lp: DataFrame, flows: DataFrame) -> DataFrame:
         F.col("flow_end") - F.col("flow"), F.col("asked_end") - F.col("demand")
     )
     unservable = flows.filter(F.col("lane").isNull()).select("type")
+    servable = join_dimension(asked, unservable, "type", "left_anti")
     dealt = (
-        asked.join(unservable, "type", "left_anti")
-        .join(placed, ["type", "stock_location_id", "lane"], "left")
+        join_dimension(servable, placed, ["type", "stock_location_id", "lane"], "left")
         .select(
             "type",
             "stock_location_id",

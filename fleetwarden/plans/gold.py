@@ -15,9 +15,13 @@ from fleetwarden.operators.ranking import dedup_hour, latest_per_unit, latest_sn
 def current_predictions(
     silver: DataFrame, meta: DataFrame, scorer: Column | Callable[[DataFrame], DataFrame], latest_only: bool = False
 ) -> DataFrame:
-    """Statistics with platform columns and a prediction; `scorer` is a column or a frame -> frame step."""
+    """Statistics with platform columns and a prediction; `scorer` is a column or a frame -> frame step.
+
+    Statistics are unique per unit and hour, so duplicates can only come from the platform columns.
+    """
     located = silver.join(meta, "turbine_id")
-    kept = latest_per_unit(located) if latest_only else dedup_hour(located)
+    places = [c for c in meta.columns if c != "turbine_id"]
+    kept = latest_per_unit(located) if latest_only else dedup_hour(located, tie_break=places)
     scored = kept.withColumn("prediction", scorer) if isinstance(scorer, Column) else scorer(kept)
     return expect(scored, not_null("turbine_id", "hourly_timestamp", "prediction"))
 

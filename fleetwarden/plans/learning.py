@@ -194,3 +194,16 @@ def register_scorer(spark: SparkSession, name: str, model: PipelineModel, labels
             yield pd.Series(names[(matrix @ weights.T + bias).argmax(axis=1)])
 
     spark.udf.register(name, scorer)
+
+
+def publish(spark: SparkSession, model: PipelineModel, labels: list[str], folder: str, alias: str, run: str) -> None:
+    """Store the fitted pipeline and point the alias at it; the alias table keeps one row per alias."""
+    path = f"{folder}/models/{run}"
+    model.write().overwrite().save(path)
+    row = spark.createDataFrame([(alias, run, path, labels)], "alias string, run string, path string, labels array<string>")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{folder}/aliases/{alias}")
+
+
+def published(spark: SparkSession, folder: str, alias: str) -> tuple[PipelineModel, list[str]]:
+    entry = spark.read.parquet(f"{folder}/aliases/{alias}").first()
+    return PipelineModel.load(entry["path"]), list(entry["labels"])

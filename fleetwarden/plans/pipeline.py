@@ -1,0 +1,115 @@
+"""The whole flow, table by table: landing files to work orders and route arcs.
+
+Each step reads stored tables and replaces its own, so a step can be run again on its own after a failure.
+"""
+
+from __future__ import annotations
+
+import os
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+
+from fleetwarden.operators.quality import Expectation
+from fleetwarden.operators.scoring import placeholder_prediction
+from fleetwarden.operators.transport import transport_plan
+from fleetwarden.plans import gold, routes, silver, supply, tickets
+from fleetwarden.schemas import MAINTENANCE, maintenance_actions
+from fleetwarden.session import pin
+from fleetwarden.sources.readers import landing_schema
+from fleetwarden.sources.writers import overwrite_folder
+from fleetwarden.streaming.ingest import append_to, file_stream, observed_totals
+
+Scorer = Column | Callable[[DataFrame], DataFrame]
+
+# Landing folder -> bronze table and its rules.
+BRONZE: dict[str, tuple[str, list[Expectation]]] = {
+    "incoming_data": ("sensor_bronze", [silver.CORRECT_ENERGY]),
+    "historical_sensor_data": ("historical_sensor_bronze", []),
+    "meta": ("ship_meta_bronze", []),
+    "parts": ("parts_bronze", []),
+}
+
+
+class Lake:
+    """Tables as Parquet folders below one path."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = pin(spark), path
+
+    def folder(self, table: str) -> str:
+        return os.path.join(self.path, table)
+
+    def read(self, table: str) -> DataFrame:
+        return self.spark.read.parquet(self.folder(table))
+
+    def replace(self, table: str, df: DataFrame) -> DataFrame:
+        overwrite_folder(df, self.folder(table))
+        return self.read(table)
+
+
+def ingest(lake: Lake, landing: str, files_per_trigger: int = 1000) -> dict[str, dict[str, int]]:
+    """Append what is new in each landing folder to its bronze table; returns the expectation counts."""
+    counts = {}
+    for folder, (table, rules) in BRONZE.items():
+        source = os.path.join(landing, folder)
+        stream = file_stream(lake.spark, source, landing_schema(lake.spark, source), files_per_trigger)
+        run = append_to(stream, lake.folder(table), lake.folder(f"_state/{table}"), rules)
+        run.awaitTermination()
+        counts[table] = observed_totals(run)
+    lake.replace("sensor_maintenance", maintenance_actions(lake.spark))
+    return counts
+
+
+def refresh_silver(lake: Lake) -> None:
+    lake.replace("sensor_silver", silver.sensor_silver(lake.read("sensor_bronze")))
+    history = lake.replace(
+        "historical_sensor_silver", silver.historical_sensor_silver(lake.read("historical_sensor_bronze"))
+    )
+    lake.replace("turbine_training_dataset", history)
+    lake.replace("ship_meta_silver", silver.platform_silver(lake.read("ship_meta_bronze")))
+    lake.replace("parts_silver", silver.parts_silver(lake.read("parts_bronze")))
+    actions = lake.spark.read.schema(MAINTENANCE).parquet(lake.folder("sensor_maintenance"))
+    lake.replace("maintenance_actions_silver", silver.maintenance_silver(actions))
+
+
+def refresh_gold(lake: Lake, scorer: Scorer | None = None, latest_only: bool = False) -> None:
+    scorer = scorer if scorer is not None else placeholder_prediction("turbine_id", "hourly_timestamp")
+    scored = lake.replace(
+        "current_status_predictions",
+        gold.current_predictions(lake.read("sensor_silver"), lake.read("ship_meta_silver"), scorer, latest_only),
+    )
+    lake.replace("ship_current_status_gold", gold.with_maintenance(scored, lake.read("maintenance_actions_silver")))
+
+
+def refresh_shipments(lake: Lake, cost: str = "rank") -> None:
+    parts, meta = lake.read("parts_silver"), lake.read("ship_meta_silver")
+    columns = ["designator", "designator_id", "home_location", "home_location_id", "lat", "long"]
+    platforms = lake.replace("platforms", meta.select(*columns).distinct())
+    lake.replace("shipping_cost", supply.shipping_cost(parts, platforms, cost))
+    lp = lake.replace("lp_table", supply.lp_table(parts, platforms, lake.read("ship_current_status_gold"), cost))
+    plan = lake.replace("transport_plan", transport_plan(lp, "home_location_id"))
+    lake.replace("shipment_recommendations", supply.with_names(plan, parts, platforms))
+    lake.replace("infeasible_products", supply.infeasible_products(lp))
+
+
+def refresh_tickets(lake: Lake) -> None:
+    orders = lake.replace("ai_part_orders", tickets.part_orders(lake.read("shipment_recommendations")))
+    lake.replace(
+        "ai_work_orders",
+        tickets.work_orders(lake.read("ship_current_status_gold"), lake.read("parts_silver"), orders),
+    )
+    arcs = routes.route_arcs(
+        lake.read("shipment_recommendations"), lake.read("parts_silver"), lake.read("platforms")
+    )
+    lake.replace("route_arcs", arcs)
+
+
+def run_all(spark: SparkSession, landing: str, path: str, scorer: Scorer | None = None) -> Lake:
+    lake = Lake(spark, path)
+    ingest(lake, landing)
+    refresh_silver(lake)
+    refresh_gold(lake, scorer)
+    refresh_shipments(lake)
+    refresh_tickets(lake)
+    return lake

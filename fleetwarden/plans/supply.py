@@ -116,13 +116,17 @@ def lp_wide(lp: DataFrame) -> DataFrame:
     return cost_wide(lp).join(supply_wide(lp), "type").join(demand_wide(lp), "type").fillna(0)
 
 
-def shipment_recommendations(lp: DataFrame, parts: DataFrame, platforms: DataFrame) -> DataFrame:
+def with_names(plan: DataFrame, parts: DataFrame, platforms: DataFrame) -> DataFrame:
     """The plan with site and designator names; products without a plan have no rows here."""
-    plan = transport_plan(lp, lane="home_location_id" if "home_location_id" in lp.columns else None)
     sites = parts.select("stock_location", "stock_location_id").distinct()
     names = platforms.select("designator", "designator_id").distinct()
     return join_dimension(join_dimension(plan, sites, "stock_location_id"), names, "designator_id")
 
 
+def shipment_recommendations(lp: DataFrame, parts: DataFrame, platforms: DataFrame) -> DataFrame:
+    lane = "home_location_id" if "home_location_id" in lp.columns else None
+    return with_names(transport_plan(lp, lane), parts, platforms)
+
+
 def infeasible_products(lp: DataFrame) -> DataFrame:
     return feasibility(lp).filter(~F.col("feasible")).drop("feasible")

@@ -15,7 +15,8 @@ def part_orders(shipments: DataFrame) -> DataFrame:
     positive = shipments.filter(F.col("qty_shipped") > 0)
     pair = ["stock_location_id", "designator_id"]
     numbered = number_distinct(positive, pair, "_n")
-    return positive.join(numbered.withColumn("order_number", part_order_number(F.col("_n"))).drop("_n"), pair)
+    orders = numbered.withColumn("order_number", part_order_number(F.col("_n"))).drop("_n")
+    return join_dimension(positive, orders, pair)
 
 
 def parts_by_fault(parts: DataFrame) -> DataFrame:

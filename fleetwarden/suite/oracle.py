@@ -20,7 +20,7 @@ def _case(percent: str) -> str:
 
 
 def _lit(v) -> str:
-    return f"'{v}'" if isinstance(v, str) else str(v)
+    return f"'{v}'" if isinstance(v, str) else f"{v}::DOUBLE" if isinstance(v, float) else str(v)
 
 
 _ORD = "(l_suppkey * 7 + l_linenumber - 1)"
@@ -364,12 +364,12 @@ ORACLE: dict[str, str] = {
       PIVOT named ON c USING max(supply) GROUP BY type""",
     "demand_pivot": f"""WITH {LP}, named AS (SELECT type, 'Demand_' || designator_id AS c, demand FROM lp)
       PIVOT named ON c USING max(demand) GROUP BY type""",
-    "lp_wide": f"""WITH {LP}, named AS (
-        SELECT l.type, l.stock_location_id, 'Cost_' || designator_id AS c, cost AS v FROM lp l
-        UNION ALL SELECT l.type, l.stock_location_id, 'Demand_' || designator_id, demand FROM lp l
-        UNION ALL SELECT DISTINCT l.type, l.stock_location_id, 'Supply_' || o.stock_location_id, o.supply
-          FROM lp l JOIN lp o ON o.type = l.type)
-      PIVOT named ON c USING max(v) GROUP BY type, stock_location_id""",
+    "lp_wide": f"""WITH {LP}, c AS (SELECT type, stock_location_id, 'Cost_' || designator_id AS k, cost FROM lp),
+      s AS (SELECT type, 'Supply_' || stock_location_id AS k, supply FROM lp),
+      d AS (SELECT type, 'Demand_' || designator_id AS k, demand FROM lp)
+      SELECT * FROM (PIVOT c ON k USING max(cost) GROUP BY type, stock_location_id)
+      JOIN (PIVOT s ON k USING max(supply) GROUP BY type) USING (type)
+      JOIN (PIVOT d ON k USING max(demand) GROUP BY type) USING (type)""",
     "transport_feasibility": f"WITH {FEASIBLE} SELECT * FROM feasible",
     "infeasible_products": f"WITH {FEASIBLE} SELECT type, total_supply, total_demand FROM feasible WHERE NOT feasible",
     "transport_audit": f"""WITH {FEASIBLE} SELECT type, total_demand AS shipped, 0::BIGINT AS sites_overdrawn,

@@ -264,10 +264,9 @@ def _dims(spark, sf):
     return parts, platforms
 
 
-def _lp(spark, sf, gold=None):
+def _lp(spark, sf):
     parts, platforms = _dims(spark, sf)
-    gold = gold if gold is not None else b.gold(spark, sf, platforms)
-    return supply.lp_table(parts, platforms, gold), parts, platforms
+    return supply.lp_table(parts, platforms, b.gold(spark, sf, platforms)), parts, platforms
 
 
 @query
@@ -365,11 +364,15 @@ def shipment_recommendations(spark, sf):
 # ---- tickets and routes ------------------------------------------------------------------------------------
 
 
+def _ticket_columns(gold):
+    return gold.select(
+        "turbine_id", "hourly_timestamp", "prediction", "designator", "designator_id", "maintenance_type"
+    )
+
+
 def _fixture(spark, sf):
     parts, platforms = _dims(spark, sf)
-    gold = staged(b.gold(spark, sf, platforms).select(
-        "turbine_id", "hourly_timestamp", "prediction", "designator", "designator_id", "maintenance_type"
-    ))
+    gold = staged(_ticket_columns(b.gold(spark, sf, platforms)))
     lp = staged(supply.lp_table(parts, platforms, gold))
     return staged(b.fixture_shipments(lp, parts, platforms)), gold, parts, platforms
 
@@ -392,15 +395,16 @@ def parts_required_per_hour(spark, sf):
 @query
 def work_orders(spark, sf):
     shipments, gold, parts, _ = _fixture(spark, sf)
-    return flat(tickets.work_orders(gold, parts, tickets.part_orders(shipments)))
+    return flat(tickets.work_orders(gold, parts, staged(tickets.part_orders(shipments))))
 
 
 @query
 def planned_work_orders(spark, sf):
     """Work orders on the solver's own shipments."""
-    lp, parts, platforms = _lp(spark, sf)
-    plan = staged(supply.shipment_recommendations(staged(lp), parts, platforms))
-    return flat(tickets.work_orders(b.gold(spark, sf, platforms), parts, tickets.part_orders(plan)))
+    parts, platforms = _dims(spark, sf)
+    gold = staged(_ticket_columns(b.gold(spark, sf, platforms)))
+    plan = staged(supply.shipment_recommendations(staged(supply.lp_table(parts, platforms, gold)), parts, platforms))
+    return flat(tickets.work_orders(gold, parts, staged(tickets.part_orders(plan))))
 
 
 @query
