@@ -1,0 +1,44 @@
+import pytest
+from pyspark.sql import functions as F
+
+from fleetwarden.plans import bindings as b
+from fleetwarden.plans import pipeline
+from fleetwarden.schemas import SENSORS
+
+
+@pytest.fixture(scope="module")
+def lake(spark, sf, tmp_path_factory):
+    landing = str(tmp_path_factory.mktemp("landing"))
+    b.readings(spark, sf).write.parquet(f"{landing}/incoming_data")
+    b.readings(spark, sf).write.parquet(f"{landing}/historical_sensor_data")
+    b.platform_meta(spark, sf).write.parquet(f"{landing}/meta")
+    b.parts(spark, sf).write.parquet(f"{landing}/parts")
+    path = str(tmp_path_factory.mktemp("lake"))
+    return landing, pipeline.run_all(spark, landing, path, b.scorer())
+
+
+def test_tables_equal_the_batch_plans(lake, spark, sf):
+    _, made = lake
+    silver = made.read("sensor_silver")
+    assert silver.count() == b.sensor_silver(spark, sf).count()
+    assert silver.exceptAll(b.sensor_silver(spark, sf).select(silver.columns)).count() == 0
+    gold = made.read("ship_current_status_gold")
+    assert set(SENSORS) & {r[0] for r in gold.select("prediction").distinct().collect()}
+    assert gold.filter(F.col("prediction").isNull()).isEmpty()
+
+
+def test_flow_reaches_the_tickets(lake):
+    _, made = lake
+    shipped = made.read("shipment_recommendations").filter("qty_shipped > 0")
+    orders = made.read("ai_part_orders")
+    assert orders.count() == shipped.count() > 0
+    work = made.read("ai_work_orders")
+    assert work.filter("prediction = 'ok'").isEmpty() and work.count() > 0
+    assert made.read("route_arcs").filter("target_lat IS NULL OR source_lat IS NULL").isEmpty()
+
+
+def test_a_second_run_without_new_files_changes_nothing(lake):
+    landing, made = lake
+    before = made.read("sensor_bronze").count()
+    assert pipeline.ingest(made, landing)["sensor_bronze"] == {}
+    assert made.read("sensor_bronze").count() == before
