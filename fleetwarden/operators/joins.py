@@ -6,12 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether df has at most `rows` rows; reads no more than it must to find out."""
-    return df.limit(rows + 1).count() <= rows
+def fits(df: DataFrame, rows: int, size: int = BROADCAST_BYTES) -> bool:
+    """Whether df has at most `rows` rows and about `size` bytes, counted on no more than rows + 1 of them."""
+    width = F.length(F.to_json(F.struct(*df.columns))) + 8 * len(df.columns)
+    n, held = (
+        df.select(width.alias("w")).limit(rows + 1).agg(F.count("w"), F.coalesce(F.sum("w"), F.lit(0))).first()
+    )
+    return n <= rows and held <= size
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
@@ -29,7 +34,7 @@ def join_dimension(
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join a few-keyed dimension: broadcast when its row count is within the bound, salted otherwise."""
+    """Join a few-keyed dimension: broadcast when its rows and bytes are within the bounds, salted otherwise."""
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("facts must be the preserved side")

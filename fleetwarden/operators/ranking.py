@@ -18,16 +18,9 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def dedup_hour(
-    df: DataFrame, unit: str = "turbine_id", hour: str = "hourly_timestamp", tie_break: list[str] | None = None
-) -> DataFrame:
-    """One row per unit and hour: all hours stay.
-
-    Among duplicates the least row by `tie_break` wins (all other columns unless named). Naming the few columns
-    in which duplicates can differ lets Catalyst prune the rest when a consumer does not need them.
-    """
-    others = tie_break if tie_break is not None else [c for c in df.columns if c not in (unit, hour)]
-    return keep_first(df, [unit, hour], [F.col(hour).desc(), *[F.col(c) for c in others]])
+def dedup_hour(df: DataFrame, unit: str = "turbine_id", hour: str = "hourly_timestamp") -> DataFrame:
+    """One row per unit and hour, the least by its other columns: all hours stay."""
+    return keep_first(df, [unit, hour], [F.col(c) for c in df.columns if c not in (unit, hour)])
 
 
 def latest_per_unit(df: DataFrame, unit: str = "turbine_id", hour: str = "hourly_timestamp") -> DataFrame:

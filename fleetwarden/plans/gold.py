@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetwarden.operators.joins import join_dimension
 from fleetwarden.operators.quality import expect, not_null
-from fleetwarden.operators.ranking import dedup_hour, latest_per_unit, latest_snapshot
+from fleetwarden.operators.ranking import keep_first, latest_per_unit, latest_snapshot
 
 
 def current_predictions(
@@ -17,11 +17,13 @@ def current_predictions(
 ) -> DataFrame:
     """Statistics with platform columns and a prediction; `scorer` is a column or a frame -> frame step.
 
-    Statistics are unique per unit and hour, so duplicates can only come from the platform columns.
+    One row per unit and hour (or per unit): grouping already made the statistics unique, so only platform rows
+    can repeat a unit. Those are reduced before the join, which leaves the large side without a window and free
+    to be split by AQE when one unit owns much of it.
     """
-    located = silver.join(meta, "turbine_id")
-    places = [c for c in meta.columns if c != "turbine_id"]
-    kept = latest_per_unit(located) if latest_only else dedup_hour(located, tie_break=places)
+    places = [F.col(c) for c in meta.columns if c != "turbine_id"]
+    rows = latest_per_unit(silver) if latest_only else silver
+    kept = rows.join(keep_first(meta, ["turbine_id"], places), "turbine_id")
     scored = kept.withColumn("prediction", scorer) if isinstance(scorer, Column) else scorer(kept)
     return expect(scored, not_null("turbine_id", "hourly_timestamp", "prediction"))
 

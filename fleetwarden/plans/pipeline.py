@@ -54,7 +54,8 @@ def ingest(lake: Lake, landing: str, files_per_trigger: int = 1000) -> dict[str,
     for folder, (table, rules) in BRONZE.items():
         source = os.path.join(landing, folder)
         stream = file_stream(lake.spark, source, landing_schema(lake.spark, source), files_per_trigger)
-        run = append_to(stream, lake.folder(table), lake.folder(f"_state/{table}"), rules)
+        day_of = "timestamp" if "timestamp" in stream.columns else None
+        run = append_to(stream, lake.folder(table), lake.folder(f"_state/{table}"), rules, day_of=day_of)
         run.awaitTermination()
         counts[table] = observed_totals(run)
     lake.replace("sensor_maintenance", maintenance_actions(lake.spark))

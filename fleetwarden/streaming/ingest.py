@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,11 +21,22 @@ def file_stream(
 
 
 def append_to(
-    stream: DataFrame, path: str, checkpoint: str, rules: list[Expectation] = (), name: str | None = None
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    rules: list[Expectation] = (),
+    name: str | None = None,
+    day_of: str | None = None,
 ) -> StreamingQuery:
-    """Run what has arrived through the rules into a Parquet sink; observed counts appear in the progress."""
+    """Run what has arrived through the rules into a Parquet sink; observed counts appear in the progress.
+
+    `day_of` names a column of unix seconds: the table is then partitioned by its day, so time filters prune.
+    """
     kept = expect(stream, list(rules), name or "expectations") if rules else stream
+    if day_of:
+        kept = kept.withColumn("day", F.to_date(F.timestamp_seconds(day_of)))
     writer = kept.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    writer = writer.partitionBy("day") if day_of else writer
     return writer.trigger(availableNow=True).start(path)
 
 

@@ -75,6 +75,7 @@ def test_work_orders_need_a_part_order_and_more_than_999_fit(spark):
 def test_gold_keeps_healthy_rows_and_drops_missing_predictions(spark):
     silver = spark.createDataFrame([("u", 1), ("v", 1), ("n", 1)], "turbine_id string, hourly_timestamp int")
     meta = spark.createDataFrame([("u", "d"), ("v", "d"), ("n", "d")], "turbine_id string, designator string")
+    meta = meta.union(meta)  # a repeated platform row must not repeat a unit's hours
     scorer = F.when(F.col("turbine_id") == "u", "sensor_F").when(F.col("turbine_id") == "v", "ok")
     got = gold.status_gold(silver, meta, maintenance_actions(spark), scorer)
     assert rows(got.select("turbine_id", "prediction", "maintenance_type", "operable")) == [
