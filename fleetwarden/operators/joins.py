@@ -20,8 +20,12 @@ def fits(df: DataFrame, rows: int, size: int = BROADCAST_BYTES) -> bool:
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """Equi join with every key cut into `salts` parts: dim rows are repeated, facts rows spread by their content."""
-    spread = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
+    """Equi join with every key cut into `salts` parts: dim rows are repeated, facts rows are spread.
+
+    A row's part follows from its content and its partition, so equal rows spread too and a retried task repeats it.
+    """
+    part = F.pmod(F.xxhash64(*facts.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+    spread = facts.withColumn("_salt", part)
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")
 

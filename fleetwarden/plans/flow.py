@@ -9,25 +9,26 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from fleetwarden.operators.quality import Expectation
 from fleetwarden.operators.scoring import placeholder_prediction
 from fleetwarden.operators.transport import transport_plan
 from fleetwarden.plans import gold, routes, silver, supply, tickets
-from fleetwarden.schemas import MAINTENANCE, maintenance_actions
+from fleetwarden.schemas import MAINTENANCE, PARTS, READINGS, maintenance_actions
 from fleetwarden.session import pin
-from fleetwarden.sources.readers import landing_schema
+from fleetwarden.sources.readers import landing_schema, rescue
 from fleetwarden.sources.writers import overwrite_folder
 from fleetwarden.streaming.ingest import append_to, file_stream, observed_totals
 
 Scorer = Column | Callable[[DataFrame], DataFrame]
 
-# Landing folder -> bronze table and its rules.
-BRONZE: dict[str, tuple[str, list[Expectation]]] = {
-    "incoming_data": ("sensor_bronze", [silver.CORRECT_ENERGY]),
-    "historical_sensor_data": ("historical_sensor_bronze", []),
-    "meta": ("ship_meta_bronze", []),
-    "parts": ("parts_bronze", []),
+# Landing folder -> bronze table, its schema (None: as the files say) and its rules.
+BRONZE: dict[str, tuple[str, T.StructType | None, list[Expectation]]] = {
+    "incoming_data": ("sensor_bronze", READINGS, silver.CURRENT_RULES),
+    "historical_sensor_data": ("historical_sensor_bronze", READINGS, silver.HISTORY_RULES),
+    "meta": ("ship_meta_bronze", None, []),
+    "parts": ("parts_bronze", PARTS, []),
 }
 
 
@@ -49,11 +50,15 @@ class Lake:
 
 
 def ingest(lake: Lake, landing: str, files_per_trigger: int = 1000) -> dict[str, dict[str, int]]:
-    """Append what is new in each landing folder to its bronze table; returns the expectation counts."""
+    """Append what is new in each landing folder to its bronze table; returns the expectation counts.
+
+    Fields that do not fit the declared schema go to _rescued_data and are counted, not lost.
+    """
     counts = {}
-    for folder, (table, rules) in BRONZE.items():
+    for folder, (table, schema, rules) in BRONZE.items():
         source = os.path.join(landing, folder)
-        stream = file_stream(lake.spark, source, landing_schema(lake.spark, source), files_per_trigger)
+        found = landing_schema(lake.spark, source)
+        stream = rescue(file_stream(lake.spark, source, found, files_per_trigger), schema or found)
         day_of = "timestamp" if "timestamp" in stream.columns else None
         run = append_to(stream, lake.folder(table), lake.folder(f"_state/{table}"), rules, day_of=day_of)
         run.awaitTermination()

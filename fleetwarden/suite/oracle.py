@@ -397,6 +397,12 @@ ORACLE: dict[str, str] = {
       WHERE qty_shipped > 0""",
     "spread_duplicates": f"WITH {PLATFORMS} {_circle(200.0, 'designator, home_location')}",
     "jitter_duplicates": _jitter(),
+    "maintenance_by_label": f"""WITH {READINGS}, {MAINTENANCE}
+      SELECT abnormal_sensor AS fault, maintenance_type, count(*) AS n
+      FROM readings LEFT JOIN maintenance ON abnormal_sensor = fault GROUP BY ALL""",
+    "sliced_numbering": """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders""",
+    "sliced_numbering_by_status": """SELECT o_orderkey,
+      row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS n FROM orders""",
     "time_grid": f"""WITH {READINGS} SELECT turbine_id, unnest(range(first, last + 1, 3600)) AS timestamp
       FROM (SELECT turbine_id, min(timestamp) AS first, max(timestamp) AS last FROM readings GROUP BY turbine_id)""",
     "running_energy": """SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey,

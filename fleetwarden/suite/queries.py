@@ -256,6 +256,14 @@ def example_turbine_readings(spark, sf):
     return rounded(sampling.example_readings(b.readings(spark, sf)))
 
 
+@query
+def maintenance_by_label(spark, sf):
+    """Readings of every label beside their maintenance action, through the salted path ('ok' is the hot key)."""
+    labels = b.readings(spark, sf).select(F.col("abnormal_sensor").alias("fault"), "timestamp")
+    joined = joins.salted_join(labels, b.maintenance_actions(spark), ["fault"], "left")
+    return joined.groupBy("fault", "maintenance_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- supply ------------------------------------------------------------------------------------------------
 
 
@@ -426,6 +434,24 @@ def jitter_duplicates(spark, sf):
 # ---- series, sampling, names -------------------------------------------------------------------------------
 
 
+@query
+def sliced_numbering(spark, sf):
+    """Orders numbered by date through the sliced path, whatever their count."""
+    orders = b.table(spark, sf, "orders").select("o_orderdate", "o_orderkey")
+    numbered = ranking.number_rows(orders, ["o_orderdate", "o_orderkey"], "n", one_task_rows=0)
+    return numbered.select("o_orderkey", "n")
+
+
+@query
+def sliced_numbering_by_status(spark, sf):
+    """Orders numbered by date within each of three hot statuses, through the sliced path."""
+    orders = b.table(spark, sf, "orders").select("o_orderstatus", "o_orderdate", "o_orderkey")
+    numbered = ranking.number_rows(
+        orders, ["o_orderdate", "o_orderkey"], "n", group=["o_orderstatus"], one_task_rows=0
+    )
+    return numbered.select("o_orderkey", "n")
+
+
 @query
 def time_grid(spark, sf):
     """An hourly grid per unit from its first to its last reading."""

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetwarden.plans import bindings as b
-from fleetwarden.plans import pipeline
+from fleetwarden.plans import flow
 from fleetwarden.schemas import SENSORS
 from fleetwarden.suite.queries import rounded
 
@@ -15,7 +15,7 @@ def lake(spark, sf, tmp_path_factory):
     b.platform_meta(spark, sf).write.parquet(f"{landing}/meta")
     b.parts(spark, sf).write.parquet(f"{landing}/parts")
     path = str(tmp_path_factory.mktemp("lake"))
-    return landing, pipeline.run_all(spark, landing, path, b.scorer())
+    return landing, flow.run_all(spark, landing, path, b.scorer())
 
 
 def test_tables_equal_the_batch_plans(lake, spark, sf):
@@ -29,6 +29,21 @@ def test_tables_equal_the_batch_plans(lake, spark, sf):
     assert gold.filter(F.col("prediction").isNull()).isEmpty()
 
 
+def test_unexpected_fields_are_rescued_and_counted(spark, sf, tmp_path):
+    landing = str(tmp_path / "landing")
+    odd = b.readings(spark, sf).withColumn("note", F.when(F.col("energy") > 60000, "high"))
+    odd.withColumn("sensor_B", F.col("sensor_B").cast("string")).write.parquet(f"{landing}/incoming_data")
+    for folder in ("historical_sensor_data", "meta", "parts"):
+        spark.createDataFrame([("x", 1)], "turbine_id string, extra int").write.parquet(f"{landing}/{folder}")
+    made = flow.Lake(spark, str(tmp_path / "lake"))
+    counts = flow.ingest(made, landing)["sensor_bronze"]
+    high = odd.filter("energy > 60000").count()
+    assert counts["correct_schema"] == high > 0 and counts["correct_energy"] == odd.filter("energy <= 0").count()
+    kept = made.read("sensor_bronze")
+    assert kept.filter("_rescued_data IS NOT NULL").count() == high
+    assert kept.filter("sensor_B IS NULL").isEmpty()
+
+
 def test_flow_reaches_the_tickets(lake):
     _, made = lake
     shipped = made.read("shipment_recommendations").filter("qty_shipped > 0")
@@ -42,5 +57,5 @@ def test_flow_reaches_the_tickets(lake):
 def test_a_second_run_without_new_files_changes_nothing(lake):
     landing, made = lake
     before = made.read("sensor_bronze").count()
-    assert pipeline.ingest(made, landing)["sensor_bronze"] == {}
+    assert flow.ingest(made, landing)["sensor_bronze"] == {}
     assert made.read("sensor_bronze").count() == before

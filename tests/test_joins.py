@@ -35,6 +35,15 @@ def test_salted_join_equals_plain_join_on_a_hot_key(spark, how):
     assert rows(bounded) == rows(facts.join(dim, "k", how)) == rows(joins.join_dimension(facts, dim, "k", how))
 
 
+def test_equal_rows_of_a_hot_key_spread_over_the_salts(spark):
+    facts = spark.range(0, 4000, 1, 16).select(F.lit("ok").alias("k"))
+    dim = spark.createDataFrame([("ok", 1)], "k string, v int")
+    joined = joins.salted_join(facts, dim, ["k"], salts=8)
+    assert joined.count() == 4000
+    parts = F.pmod(F.xxhash64("k", F.spark_partition_id()), F.lit(8))
+    assert facts.select(parts.alias("s")).distinct().count() > 3
+
+
 def test_join_dimension_rejects_joins_that_do_not_preserve_facts(spark):
     df = spark.range(3).withColumnRenamed("id", "k")
     with pytest.raises(ValueError):
