@@ -409,7 +409,7 @@ ORACLE: dict[str, str] = {
       round(sum(abs(l_extendedprice - 20000)) OVER (PARTITION BY l_suppkey
         ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey ROWS UNBOUNDED PRECEDING), 2) AS running
       FROM lineitem""",
-    "calendar_features_hourly": _calendar(),
+    "datetime_features": _calendar(),
     "split_labels": f"""SELECT CASE WHEN {_SPLIT} % 10000 < 6000 THEN 'train' WHEN {_SPLIT} % 10000 < 8000 THEN 'val'
       ELSE 'test' END AS split, count(*) AS n FROM lineitem GROUP BY 1""",
     "bernoulli_sample": f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem

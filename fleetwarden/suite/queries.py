@@ -475,7 +475,7 @@ def running_energy(spark, sf):
 
 
 @query
-def calendar_features_hourly(spark, sf):
+def datetime_features(spark, sf):
     hours = b.sensor_silver(spark, sf).select("turbine_id", "hourly_timestamp")
     return rounded(calendar_features(hours, "hourly_timestamp"))
 
