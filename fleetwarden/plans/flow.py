@@ -9,16 +9,19 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetwarden.operators.quality import Expectation
+from fleetwarden.operators.quality import Expectation, expect, not_null
 from fleetwarden.operators.scoring import placeholder_prediction
+from fleetwarden.operators.stats import statistic_columns
 from fleetwarden.operators.transport import transport_plan
 from fleetwarden.plans import gold, routes, silver, supply, tickets
 from fleetwarden.schemas import MAINTENANCE, PARTS, READINGS, maintenance_actions
 from fleetwarden.session import pin
 from fleetwarden.sources.readers import landing_schema, rescue
 from fleetwarden.sources.writers import overwrite_folder
+from fleetwarden.streaming.hourly import current_hours, hourly_state, upsert_to
 from fleetwarden.streaming.ingest import append_to, file_stream, observed_totals
 
 Scorer = Column | Callable[[DataFrame], DataFrame]
@@ -79,6 +82,20 @@ def refresh_silver(lake: Lake) -> None:
     lake.replace("maintenance_actions_silver", silver.maintenance_silver(actions))
 
 
+def upsert_silver(lake: Lake, delay: str = "1 day", files_per_trigger: int = 1000) -> None:
+    """sensor_silver from the new bronze files alone: only the hours they touch are computed again.
+
+    The full refresh stays the source of truth for readings that arrive later than the delay.
+    """
+    bronze = lake.folder("sensor_bronze")
+    stream = file_stream(lake.spark, bronze, landing_schema(lake.spark, bronze), files_per_trigger)
+    timed = stream.withColumn("event_time", F.timestamp_seconds("timestamp"))
+    state = hourly_state(timed, ["turbine_id"], "event_time", statistic_columns(), delay)
+    upsert_to(state, lake.folder("sensor_hours"), lake.folder("_state/sensor_hours")).awaitTermination()
+    current = current_hours(lake.read("sensor_hours"), ["turbine_id"])
+    lake.replace("sensor_silver", expect(current, not_null("turbine_id", "hourly_timestamp")))
+
+
 def refresh_gold(lake: Lake, scorer: Scorer | None = None, latest_only: bool = False) -> None:
     scorer = scorer if scorer is not None else placeholder_prediction("turbine_id", "hourly_timestamp")
     scored = lake.replace(

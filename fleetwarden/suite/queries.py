@@ -623,8 +623,6 @@ def class_weights(spark, sf):
 def scaled_features(spark, sf):
     """The numeric block as the models see it: mean-filled and standardised over all rows."""
     rows = staged(learning.prepared(b.sensor_silver(spark, sf)))
-
-
     model = Pipeline(stages=learning.feature_stages(calendar=False)[:3]).fit(rows)
     block = model.transform(rows).withColumn("v", vector_to_array("numeric"))
     named = [F.get("v", i).alias(c) for i, c in enumerate(learning.NUMERIC)]

@@ -59,3 +59,19 @@ def test_a_second_run_without_new_files_changes_nothing(lake):
     before = made.read("sensor_bronze").count()
     assert flow.ingest(made, landing)["sensor_bronze"] == {}
     assert made.read("sensor_bronze").count() == before
+
+
+def test_upserted_hours_equal_the_full_refresh(lake, spark, sf):
+    """A first pass over all files, then one late reading: only its hour changes."""
+    _, made = lake
+    full = rounded(b.sensor_silver(spark, sf))
+    flow.upsert_silver(made)
+    first = rounded(made.read("sensor_silver"))
+    assert first.count() == full.count() and first.exceptAll(full.select(first.columns)).isEmpty()
+    late = made.read("sensor_bronze").limit(1).withColumn("energy", F.lit(1e9)).drop("day", "_rescued_data")
+    late.write.mode("append").parquet(f"{lake[0]}/incoming_data")
+    flow.ingest(made, lake[0])
+    flow.upsert_silver(made)
+    again = rounded(made.read("sensor_silver"))
+    assert again.count() == full.count()
+    assert again.exceptAll(full.select(again.columns)).count() == 1
