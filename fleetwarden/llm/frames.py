@@ -41,3 +41,30 @@ def with_outputs(df: DataFrame, row: str, **outputs: Column) -> DataFrame:
     """The row's own columns, then the outputs; an input column with an output's name gives way."""
     own = [F.col(row)[c].alias(c) for c in df.schema[row].dataType.names if c not in outputs]
     return df.select(*own, *[v.alias(k) for k, v in outputs.items()])
+
+
+def row_key(*columns: str | Column) -> list[Column]:
+    """128 bits of some columns, never null: k1 and k2."""
+    return [F.xxhash64(F.lit(seed), *columns).alias(f"k{seed}") for seed in (1, 2)]
+
+
+def repeated(rows: DataFrame, decided: DataFrame) -> DataFrame:
+    """Rows (_row) as often as decided says, from rows (_row, k1, k2) and decided (k1, k2, n, copies).
+
+    n is how many rows share the key; of several, any one stands for all. Rows of their own, the usual case, pass
+    through one join; only the others are grouped.
+    """
+    decided = decided.where("copies > 0")
+    single = rows.join(decided.where("n = 1"), ["k1", "k2"]).select("_row", "copies")
+    several = (
+        rows.join(decided.where("n > 1"), ["k1", "k2"])
+        .groupBy("k1", "k2")
+        .agg(F.first("_row").alias("_row"), F.first("copies").alias("copies"))
+        .select("_row", "copies")
+    )
+    return single.unionByName(several).select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
+
+
+def unpacked_row(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns that row_struct packed."""
+    return df.select(*[F.col("_row")[c].alias(c) for c in columns])

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetwarden.llm.frames import WORD, body, digest
+from fleetwarden.llm.frames import WORD, body, digest, repeated, row_key, row_struct, unpacked_row
 from fleetwarden.session import staged
 
 # Fixed values of the mix.
@@ -197,30 +197,13 @@ def mixed_documents(
 ) -> DataFrame:
     """docs with each row repeated as often as the mix takes it, in docs' own columns.
 
-    Rows that agree in id, source and text but not in other columns share their copies: the first of them by the
-    order of the other columns' digest takes the odd ones.
+    Rows that agree in id, source and text are repeats of one document; one of them stands for all their copies.
     """
-    taken = (
-        mix(docs, id_col, text_col, source_col, **options)
-        .groupBy("id", "source", "body")
-        .agg(F.sum("copies").alias("copies"))
-    )
-    key = [F.col(id_col).alias("k_id"), F.col(source_col).alias("k_source"), digest(body(text_col)).alias("k_body")]
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), *key)
-    alike = Window.partitionBy("k_id", "k_source", "k_body")
-    rows = rows.withColumn("n", F.count(F.lit(1)).over(alike)).withColumn(
-        "i", F.row_number().over(alike.orderBy(F.xxhash64("_row")))
-    )
-    joined = rows.join(
-        taken,
-        F.col("k_id").eqNullSafe(F.col("id"))
-        & F.col("k_source").eqNullSafe(F.col("source"))
-        & (F.col("k_body") == F.col("body")),
-    )
-    copies = F.floor(F.col("copies") / F.col("n")) + F.when(F.col("i") <= F.pmod("copies", "n"), 1).otherwise(0)
-    return (
-        joined.select("_row", copies.cast("int").alias("copies"))
-        .where(F.col("copies") > 0)
-        .select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy"))
-        .select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    taken = mix(docs, id_col, text_col, source_col, **options)
+    decided = staged(
+        taken.select(*row_key("id", "source", "body"), "copies")
+        .groupBy("k1", "k2")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("copies"))
     )
+    key = row_key(F.col(id_col), F.col(source_col), digest(body(text_col)))
+    return unpacked_row(repeated(docs.select(row_struct(docs), *key), decided), docs.columns)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwarden.llm.components import components
-from fleetwarden.llm.frames import body, digest, row_struct
+from fleetwarden.llm.frames import body, digest, repeated, row_key, row_struct, unpacked_row
 from fleetwarden.session import staged
 
 WORDS = 5
@@ -270,7 +270,7 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """Rows (id, digest, class_id), one for each row of docs; class_id is the smallest id of its group.
+    """Rows (id, digest, digest_b, class_id), one for each row of docs; class_id is the smallest id of its group.
 
     Documents are in one group if a chain of pairs joins them whose multisets of five-word shingles have a Jaccard
     similarity of 0.8 or more; words are runs of letters, marks and digits in lower case, and a text of fewer words
@@ -303,18 +303,21 @@ def near_duplicates(
     )
     keys = rows_.select("id", "a", "b")
     return keys.join(classes, ["a", "b"], "left").select(
-        "id", F.col("a").alias("digest"), F.when(F.col("grouped"), F.col("class_id")).otherwise(F.col("id")).alias("class_id")
+        "id", F.col("a").alias("digest"), F.col("b").alias("digest_b"), F.when(F.col("grouped"), F.col("class_id")).otherwise(F.col("id")).alias("class_id")
     )
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs in their own columns, one document of each group: the one whose id is the group's class_id.
 
-    Of rows that agree in id and text, and of a group without ids, one stays.
+    Of rows that agree in id and text one stays.
     """
     classes = near_duplicates(docs, id_col, text_col, **options)
-    keep = classes.where(F.col("id").eqNullSafe(F.col("class_id"))).select(F.col("id").alias("k_id"), F.col("digest").alias("k_a")).distinct()
-    rows = docs.select(row_struct(docs), F.col(id_col).alias("id"), digest(body(text_col), 1).alias("a"))
-    once = rows.groupBy("id", "a").agg(F.first("_row").alias("_row"))
-    kept = once.join(keep, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("a") == F.col("k_a")), "left_semi")
-    return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    stays = F.col("id").eqNullSafe(F.col("class_id")).cast("int")
+    decided = staged(
+        classes.select(*row_key("id", "digest", "digest_b"), stays.alias("stays"))
+        .groupBy("k1", "k2")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("stays").alias("copies"))
+    )
+    key = row_key(F.col(id_col), digest(body(text_col), 1), digest(body(text_col), 2))
+    return unpacked_row(repeated(docs.select(row_struct(docs), *key), decided), docs.columns)

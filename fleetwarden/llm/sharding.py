@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetwarden.llm.frames import body, digest
-from fleetwarden.session import staged
+from fleetwarden.llm.frames import body, digest, row_struct, with_outputs
 
 SHARDS = 40
 ROUNDS = 8
@@ -61,8 +60,8 @@ def permuted(number: Column, rows: Column, seed: int = SEED, rounds: int = ROUND
     return F.when(place < rows, place).otherwise(F.raise_error(F.lit("cycle walking did not end; use another seed")))
 
 
-def numbered(docs: DataFrame, id_col: str, text_col: str, slices: int = SLICES) -> DataFrame:
-    """Narrow rows (id, size, crc, number, total) with a dense global row number from 0.
+def numbered(docs: DataFrame, id_col: str, text_col: str, slices: int = SLICES, rows_too: bool = False) -> DataFrame:
+    """Rows (id, bytes, crc, number, total) with a dense global row number from 0; rows_too adds the row as _row.
 
     Rows are dealt to slices by a hash of id and text, numbered inside their slice in the order of id and text
     digests, and shifted by the counts of earlier slices. No window spans more than a slice, the offsets are one row
@@ -74,26 +73,20 @@ def numbered(docs: DataFrame, id_col: str, text_col: str, slices: int = SLICES)
         F.octet_length(text).cast("long").alias("bytes"),
         F.crc32(F.encode(text, "UTF-8")).alias("crc"),
         digest(text).alias("body"),
+        *([row_struct(docs)] if rows_too else []),
     ).withColumn("slice", F.pmod(F.xxhash64(F.lit(SEED), "id", "body"), F.lit(slices)).cast("int"))
     inside = Window.partitionBy("slice").orderBy("id", "bytes", "crc", "body")
-    rows = staged(rows.withColumn("within", F.row_number().over(inside) - F.lit(1)).drop("body"))
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = rows.groupBy("slice").agg(F.count(F.lit(1)).alias("n"))
     offsets = offsets.select(
         "slice",
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"),
-        F.sum("n").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
+        F.sum("n").over(everything).alias("total"),
     )
+    number = (F.row_number().over(inside) - F.lit(1) + F.col("shift")).cast("long")
     # One row a slice: the number of slices bounds what is broadcast.
-    return rows.join(F.broadcast(offsets), "slice").select(
-        "id", "bytes", "crc", (F.col("within") + F.col("shift")).cast("long").alias("number"), "total"
-    )
-
-
-def place(number: Column, total: Column, shards: int = SHARDS, seed: int = SEED) -> tuple[Column, Column]:
-    """(shard, slot) of a row number: dealing the permuted numbers round leaves no gap and no shard more than one ahead."""
-    at = permuted(number, total, seed)
-    return (at % shards).cast("int"), F.floor(at / shards).cast("long")
+    return rows.join(F.broadcast(offsets), "slice").withColumn("number", number).drop("shift", "slice", "body")
 
 
 def row_number_of(shard: Column, slot: Column, total: Column, shards: int = SHARDS, seed: int = SEED) -> Column:
@@ -109,15 +102,21 @@ def assign_shards(
     A null text counts as no bytes, a null id is an id like any other, equal rows get numbers of their own, and an
     empty table gives an empty table. Extra columns of docs are not read.
     """
-    rows = numbered(docs, id_col, text_col)
+    return _placed(numbered(docs, id_col, text_col), shards, seed)
+
+
+def _placed(rows: DataFrame, shards: int, seed: int) -> DataFrame:
     at = permuted(F.col("number"), F.col("total"), seed)
-    return rows.withColumn("at", at).select(
-        "id",
-        "bytes",
-        "crc",
-        "number",
-        "total",
-        (F.col("at") % shards).cast("int").alias("shard"),
-        F.floor(F.col("at") / shards).cast("long").alias("slot"),
+    return (
+        rows.withColumn("at", at)
+        .withColumns({"shard": (F.col("at") % shards).cast("int"), "slot": F.floor(F.col("at") / shards).cast("long")})
+        .drop("at")
     )
 
+
+def sharded_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, seed: int = SEED
+) -> DataFrame:
+    """docs with shard and slot; input columns of these names are replaced. The texts are shuffled once."""
+    placed = _placed(numbered(docs, id_col, text_col, rows_too=True), shards, seed)
+    return with_outputs(placed, "_row", shard=F.col("shard"), slot=F.col("slot"))
