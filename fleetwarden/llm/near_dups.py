@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,7 +123,7 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
 
 def _ranges(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     words = batch.column("words")
-    ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(words), 0).to_numpy().astype(np.int64))
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy().astype(np.int64))
     return words.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), ends
 
 
