@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-import sys
-
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fleetwarden.operators.joins import join_dimension
 from fleetwarden.operators.ranking import running_total
-from fleetwarden.session import staged
-
-# Executors get the solver with the task, so they need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from fleetwarden.session import ship, staged
 
 FLOW_SCHEMA = "type string, stock_location_id string, lane string, flow bigint"
 CHUNKS = 64
@@ -99,6 +93,7 @@ def transport_plan(lp: DataFrame, lane: str | None = None, tasks: int | None = N
     problem = lp.groupBy("type", "stock_location_id", "lane").agg(
         F.max("cost").alias("cost"), F.max("supply").cast("bigint").alias("supply"), F.sum("demand").alias("demand")
     )
+    ship(problem.sparkSession)
     flows = problem.repartition(tasks, "type").groupBy("type").applyInPandas(solve_product, FLOW_SCHEMA)
     if lane == "designator_id":
         return flows.select(

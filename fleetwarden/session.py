@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +73,23 @@ def staged(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once an application, so that they need no copy of it.
+
+    Spark's file server hands the archive to every executor, also to those that join or come back later.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="fleetwarden-code-"), "fleetwarden.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
