@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetwarden.llm.characters import code_points, folded, squeezed
 from fleetwarden.llm.frames import body, digest, row_struct
-from fleetwarden.session import staged
+from fleetwarden.session import ship, staged
 
 #: Passages of an item, in characters after folding; shorter items down to SHORTEST are one passage.
 PASSAGE, STRIDE, SHORTEST = 100, 50, 32
@@ -221,6 +221,7 @@ def benchmark_hits(
     characters are broadcast as an index, a larger one goes through the documents in blocks of about BLOCK.
     Extra columns are not read.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("row_id"), digest(body(text_col)).alias("row_body"), F.col(text_col).alias("text"))
     texts = items.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).alias("text")).where(F.col("text").isNotNull())
     chars = texts.agg(F.sum(F.char_length("text"))).first()[0] or 0

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetwarden.llm.characters import code_points, folded, letters, squeezed
 from fleetwarden.llm.frames import row_struct
+from fleetwarden.session import ship
 
 UNKNOWN = "und"
 #: n-grams of one to three characters fall into this many features.
@@ -159,6 +160,7 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model | None:
     evenly over the LANGUAGES most frequent languages, drawn by a hash among texts of at most SAMPLE_CHARS
     characters; a fifth of it sets the temperature. Only the sample's features and one row a feature reach the driver.
     """
+    ship(rows.sparkSession)
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     frequencies = (
         rows.select("text")
@@ -243,6 +245,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     without letters is "und" with score 0.0, and so is every text where nothing could be learned. A null id is not
     held out and not learned from. Repeated rows get equal results. Extra columns are not read.
     """
+    ship(docs.sparkSession)
     model = model or train(_learnable(docs, id_col, text_col, lang_col))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
     return rows.mapInArrow(_predict(model), "id long, held_out boolean, lang_pred string, score double")

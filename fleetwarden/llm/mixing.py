@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetwarden.llm.frames import WORD, body, digest, repeated, row_key, row_struct, unpacked_row
-from fleetwarden.session import staged
+from fleetwarden.session import ship, staged
 
 # Fixed values of the mix.
 WEIGHTS = (3, 1, 2)
@@ -133,6 +133,7 @@ def mix(
     Null ids and repeated rows are units of their own; equal rows are interchangeable. Empty input gives empty
     output. Extra columns are not read. The draws depend on the seed, the source's rank and the task's number.
     """
+    ship(docs.sparkSession)
     text = body(text_col)
     rows = staged(
         docs.select(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetwarden.llm.components import components
 from fleetwarden.llm.frames import body, digest, repeated, row_key, row_struct, unpacked_row
-from fleetwarden.session import staged
+from fleetwarden.session import ship, staged
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -279,6 +279,7 @@ def near_duplicates(
     id). Rows that share an id are one document. Rows with a null id are grouped like others, and a group without
     any id has a null class_id. Extra columns are not read; an empty table gives an empty table.
     """
+    ship(docs.sparkSession)
     rows_ = docs.select(
         F.col(id_col).alias("id"), digest(body(text_col), 1).alias("a"), digest(body(text_col), 2).alias("b"), F.col(text_col).alias("text")
     )

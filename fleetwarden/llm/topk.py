@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetwarden.session import staged
+from fleetwarden.session import ship, staged
 
 TOP = 20
 SCALE = 64
@@ -138,6 +138,7 @@ def top_k(
     rows without an id take no part. Only vectors of the same length are compared. Rows with a query's id are not its candidates. Where ids repeat,
     each row is a candidate, and the smallest vector stands for the id as a query. Extra columns are not read.
     """
+    ship(vectors.sparkSession)
     rows = vectors.select(
         F.col(id_col).alias("id"), quantised(F.col(vector_col), scale).alias("v"), is_query.alias("asks")
     ).where(F.col("id").isNotNull() & F.col("v").isNotNull())
