@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The radius and the metres per degree that distances and offsets use.
 EARTH_RADIUS_KM = 6371
 METRES_PER_DEGREE = 111_000.0
 

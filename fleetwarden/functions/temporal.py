@@ -7,6 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Month and day of the holidays that the models know.
+HOLIDAYS = ("01-01", "07-04", "12-25")
+
 
 def time_bucket(seconds: Column | str, grain: str = "hour") -> Column:
     """Unix seconds cut to the grain (in the session zone, pinned to UTC)."""
@@ -17,7 +20,7 @@ def holiday_columns(ts: Column, holidays: list[str]) -> Column:
     return F.date_format(ts, "MM-dd").isin(*holidays) if holidays else F.lit(False)
 
 
-def calendar_features(df: DataFrame, ts: str, holidays: list[str] = ("01-01", "07-04", "12-25")) -> DataFrame:
+def calendar_features(df: DataFrame, ts: str, holidays: list[str] = HOLIDAYS) -> DataFrame:
     """Unix time, weekend and holiday flags, hour, and the hour's place on the day, week, month and year circle."""
     t = F.col(ts)
     hour = F.hour(t)
@@ -42,6 +45,7 @@ def calendar_features(df: DataFrame, ts: str, holidays: list[str] = ("01-01", "0
 
 def stamp_in_name(name: Column | str) -> Column:
     """The 'yyyy-MM-dd_HH:mm:ss' stamp inside a name as a timestamp, null when there is none."""
+    # Fixed value: the stamp's format in run names.
     stamp = F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2}_\d{2}:\d{2}:\d{2})", 1)
     return F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyy-MM-dd_HH:mm:ss"))
 

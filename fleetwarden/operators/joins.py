@@ -5,18 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
-
-
-def fits(df: DataFrame, rows: int, size: int = BROADCAST_BYTES) -> bool:
-    """Whether df has at most `rows` rows and about `size` bytes, counted on no more than rows + 1 of them."""
-    width = F.length(F.to_json(F.struct(*df.columns))) + 8 * len(df.columns)
-    n, held = (
-        df.select(width.alias("w")).limit(rows + 1).agg(F.count("w"), F.coalesce(F.sum("w"), F.lit(0))).first()
-    )
-    return n <= rows and held <= size
+#: Finest to coarsest interval buckets differ by this factor, so an interval touches at most a few of its level.
+LEVEL_FACTOR_LOG2 = 2
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
@@ -35,16 +26,18 @@ def join_dimension(
     dim: DataFrame,
     on: str | list[str],
     how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
-    """Join a few-keyed dimension: broadcast when its rows and bytes are within the bounds, salted otherwise."""
+    """Join a few-keyed dimension.
+
+    Adaptive execution broadcasts the dimension once its shuffled size is known to be within
+    spark.sql.adaptive.autoBroadcastJoinThreshold and splits hot keys of a sort-merge join beyond. `salts` cuts every key into
+    that many parts instead, for plans whose other operators keep adaptive execution from splitting.
+    """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("facts must be the preserved side")
-    if fits(dim, broadcast_rows):
-        return facts.join(F.broadcast(dim), keys, how)
-    return salted_join(facts, dim, keys, how, salts)
+    return salted_join(facts, dim, keys, how, salts) if salts else facts.join(dim, keys, how)
 
 
 def member_join(items: DataFrame, owners: DataFrame, item: str, members: str, how: str = "inner") -> DataFrame:
@@ -75,16 +68,23 @@ def interval_join(
 ) -> DataFrame:
     """Points strictly inside an interval of the same key; all three columns are unix seconds.
 
-    Both sides carry the number of the `width`-second bucket, an interval once per bucket it touches, so a hot
-    key is cut along time and the join stays an equi join.
+    Buckets of `width` seconds are the finest level, and each further level is four times as wide. An interval goes
+    to the level that its length fills, once per bucket it touches there (three at most, whatever its length), and a
+    point asks one bucket of every level in use. A hot key is cut along time, and the join stays an equi join.
     """
-    bucket_of = lambda c: F.floor(F.col(c) / width)
-    marked = points.withColumn("_bucket", bucket_of(point))
-    copies = intervals.filter(F.col(start) < F.col(end)).withColumn(
-        "_bucket", F.explode(F.sequence(bucket_of(start), bucket_of(end)))
+    step = lambda level: F.lit(width) * F.pow(F.lit(2), level * LEVEL_FACTOR_LOG2).cast("bigint")
+    bucket_of = lambda c, level: F.floor(F.col(c) / step(level)).cast("bigint")
+    level = F.ceil(F.greatest(F.log2((F.col(end) - F.col(start)) / width), F.lit(0.0)) / LEVEL_FACTOR_LOG2)
+    leveled = intervals.filter(F.col(start) < F.col(end)).withColumn("_level", level.cast("int"))
+    copies = leveled.withColumn(
+        "_bucket", F.explode(F.sequence(bucket_of(start, F.col("_level")), bucket_of(end, F.col("_level"))))
+    )
+    top = leveled.agg(F.coalesce(F.max("_level"), F.lit(0))).scalar()
+    marked = points.withColumn("_level", F.explode(F.sequence(F.lit(0), top))).withColumn(
+        "_bucket", bucket_of(point, F.col("_level"))
     )
     inside = (F.col(start) < F.col(point)) & (F.col(point) < F.col(end))
-    return marked.join(copies, [*on, "_bucket"]).filter(inside).drop("_bucket")
+    return marked.join(copies, [*on, "_level", "_bucket"]).filter(inside).drop("_level", "_bucket")
 
 
 def modulo_assign(rows: DataFrame, ordinal: Column, owners: DataFrame, owner_ordinal: str) -> DataFrame:

@@ -23,7 +23,8 @@ def not_null(*cols: str) -> list[Expectation]:
     return [Expectation(f"{c}_valid", f"{c} IS NOT NULL", drop=True) for c in cols]
 
 
-def _metrics(rules: list[Expectation]) -> list[Column]:
+def rule_counts(rules: list[Expectation]) -> list[Column]:
+    """Rows, rows that a drop rule removes, and violations of each rule."""
     dropped = [~r.holds() for r in rules if r.drop]
     any_drop = reduce(lambda a, b: a | b, dropped) if dropped else F.lit(False)
     return [
@@ -40,7 +41,7 @@ def expect(df: DataFrame, rules: list[Expectation], observation: Observation | s
     predicate, which Catalyst may push below aggregates and into the scan.
     """
     if observation is not None:
-        df = df.observe(observation, *_metrics(rules))
+        df = df.observe(observation, *rule_counts(rules))
     for rule in rules:
         if rule.drop:
             df = df.filter(F.expr(rule.rule))

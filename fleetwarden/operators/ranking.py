@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fleetwarden.functions.temporal import stamp_in_name
-from fleetwarden.operators.joins import fits
 from fleetwarden.session import staged
 
-ONE_TASK_ROWS = 50_000
-
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """First row per key. Spark limits each group inside every task before the shuffle."""
@@ -20,8 +19,10 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 
 def dedup_hour(df: DataFrame, unit: str = "turbine_id", hour: str = "hourly_timestamp") -> DataFrame:
-    """One row per unit and hour, the least by its other columns: all hours stay."""
-    return keep_first(df, [unit, hour], [F.col(c) for c in df.columns if c not in (unit, hour)])
+    """One row per unit and hour, the least by its other columns: all hours stay. One partial aggregate, no sort."""
+    others = [c for c in df.columns if c not in (unit, hour)]
+    least = df.groupBy(unit, hour).agg(F.min(F.struct(*others)).alias("_least"))
+    return least.select(unit, hour, "_least.*").select(*df.columns)
 
 
 def latest_per_unit(df: DataFrame, unit: str = "turbine_id", hour: str = "hourly_timestamp") -> DataFrame:
@@ -33,18 +34,15 @@ def number_rows(
     order: list[str],
     name: str,
     group: list[str] = (),
-    one_task_rows: int = ONE_TASK_ROWS,
     slices: int | None = None,
 ) -> DataFrame:
-    """row_number over (partition by group order by order).
+    """row_number over (partition by group order by order), as a bigint.
 
-    Within the row bound this is a plain window. Beyond it the rows are range partitioned and stored once, then
-    numbered inside each slice and shifted by the counts of the slices before, so neither the whole table nor
-    a hot group passes through one task. `order` must identify a row within its group.
+    The rows are range partitioned and stored once, then numbered inside each slice and shifted by the counts of the
+    slices before, so neither the whole table nor a hot group passes through one task. `order` must identify a
+    row within its group.
     """
     group = list(group)
-    if fits(df, one_task_rows):
-        return df.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(*order)))
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = staged(df.repartitionByRange(n, *group, *order).withColumn("_slice", F.spark_partition_id()))
     counts = cut.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
@@ -61,7 +59,7 @@ def number_rows(
     return (
         cut.withColumn("_rn", inside)
         .join(shift, same)
-        .withColumn(name, F.col("_rn") + F.col("_shift"))
+        .withColumn(name, (F.col("_rn") + F.col("_shift")).cast("bigint"))
         .select(*df.columns, name)
     )
 
@@ -81,16 +79,21 @@ def running_total(df: DataFrame, group: list[str], chunk: str, order: list[str],
     """Running sum per group in the order (chunk, order).
 
     Chunk totals are summed first and carried over, so a window never holds more than one (group, chunk) and a
-    hot group is spread over its chunks.
+    hot group is spread over its chunks. Null groups and chunks are groups and chunks (a null chunk is the first).
     """
     valued = df.withColumn("_v", value)
     totals = valued.groupBy(*group, chunk).agg(F.sum("_v").alias("_total"))
     before = W.partitionBy(*group).orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
-    carried = totals.select(*group, chunk, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carried"))
+    keys = [*group, chunk]
+    carried = totals.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carried"),
+    )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
     inside = W.partitionBy(*group, chunk).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     return (
         valued.withColumn("_inside", F.sum("_v").over(inside))
-        .join(carried, [*group, chunk])
+        .join(carried, same)
         .withColumn(name, F.col("_carried") + F.coalesce(F.col("_inside"), F.lit(0)))
         .select(*df.columns, name)
     )

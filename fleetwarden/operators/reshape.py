@@ -32,10 +32,6 @@ def unpivot_prefixed(df: DataFrame, keys: list[str], prefix: str, column: str, v
     return df.unpivot(keys, wide, column, value).withColumn(column, F.expr(f"substring({column}, {len(prefix) + 1})"))
 
 
-def columns_matching(df: DataFrame, part: str) -> list[str]:
-    return [c for c in df.columns if part in c]
-
-
 def expand_fleet(platforms: DataFrame, key: str, units: int, name: str = "turbine_id") -> DataFrame:
     """`units` unit rows per platform with value-based unit keys."""
     each = platforms.withColumn("unit_no", F.explode(F.sequence(F.lit(1), F.lit(units))))

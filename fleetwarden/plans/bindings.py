@@ -6,6 +6,7 @@ platforms (nation x market segment), region the stock sites, part the spare part
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,18 @@ BASE_SECONDS = 1_704_049_200  # 2023-12-31 19:00 UTC
 TICK_SECONDS = 15
 LINES = 7
 HEALTHY_SHARE = 0.98
+# Fixed values of the test tables: nation names, market segments; sites and ports are numbered.
+NATIONS = (
+    "ALGERIA", "ARGENTINA", "BRAZIL", "CANADA", "EGYPT", "ETHIOPIA", "FRANCE", "GERMANY", "INDIA", "INDONESIA", "IRAN",
+    "IRAQ", "JAPAN", "JORDAN", "KENYA", "MOROCCO", "MOZAMBIQUE", "PERU", "CHINA", "ROMANIA", "SAUDI ARABIA", "VIETNAM",
+    "RUSSIA", "UNITED KINGDOM", "UNITED STATES",
+)
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+SITE_IDS = [f"supply_{i}" for i in range(1, 6)]
+PORT_IDS = [f"home_{i}" for i in range(1, len(NATIONS) + 1)]
+DESIGNATOR_IDS = [
+    int(hashlib.md5(f"{n} {s}".encode()).hexdigest()[:15], 16) for n in NATIONS for s in SEGMENTS
+]
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -213,14 +226,17 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def status_intervals(spark: SparkSession, sf: str) -> DataFrame:
-    """Order windows as fault intervals on the readings' clock: 30 ticks from each order date."""
+    """Order windows as fault intervals on the readings' clock: 30 ticks from each order date, some a year."""
     fleet = table(spark, sf, "supplier").agg(F.count(F.lit(1))).scalar()
     day = F.datediff("o_orderdate", F.lit("1995-01-01").cast("date"))
     start = F.lit(BASE_SECONDS) + day * TICK_SECONDS
-    unit = F.concat_ws("-", F.concat(F.lit("T"), F.pmod("o_custkey", fleet).cast("string")), F.lit("1"))
+    line = (F.pmod("o_custkey", F.lit(LINES)) + 1).cast("string")
+    unit = F.concat_ws("-", F.concat(F.lit("T"), F.pmod("o_custkey", fleet).cast("string")), line)
+    # Every fiftieth order leaves its window open for a year.
+    length = F.when(F.col("o_orderkey") % 50 == 0, 31_536_000).otherwise(30 * 2 * TICK_SECONDS)
     return table(spark, sf, "orders").select(
         unit.alias("turbine_id"),
         start.cast("bigint").alias("start_time"),
-        (start + 30 * 2 * TICK_SECONDS).cast("bigint").alias("end_time"),
+        (start + length).cast("bigint").alias("end_time"),
         F.when(F.col("o_orderstatus") == "F", "ok").otherwise("sensor_A").alias("abnormal_sensor"),
     )

@@ -5,27 +5,29 @@ Each step reads stored tables and replaces its own, so a step can be run again o
 
 from __future__ import annotations
 
+import datetime
 import os
+import re
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetwarden.operators.quality import Expectation, expect, not_null
+from fleetwarden.operators.quality import Expectation
 from fleetwarden.operators.scoring import placeholder_prediction
-from fleetwarden.operators.stats import statistic_columns
 from fleetwarden.operators.transport import transport_plan
 from fleetwarden.plans import gold, routes, silver, supply, tickets
 from fleetwarden.schemas import MAINTENANCE, PARTS, READINGS, maintenance_actions
-from fleetwarden.session import pin
-from fleetwarden.sources.readers import landing_schema, rescue
-from fleetwarden.sources.writers import overwrite_folder
-from fleetwarden.streaming.hourly import current_hours, hourly_state, upsert_to
-from fleetwarden.streaming.ingest import append_to, file_stream, observed_totals
+from fleetwarden.session import exists, pin, remove
+from fleetwarden.streaming.ingest import each_batch_of_files, ingest_files
 
 Scorer = Column | Callable[[DataFrame], DataFrame]
 
+VERSIONS = "version string, made bigint"
+
 # Landing folder -> bronze table, its schema (None: as the files say) and its rules.
 BRONZE: dict[str, tuple[str, T.StructType | None, list[Expectation]]] = {
     "incoming_data": ("sensor_bronze", READINGS, silver.CURRENT_RULES),
@@ -36,7 +38,11 @@ BRONZE: dict[str, tuple[str, T.StructType | None, list[Expectation]]] = {
 
 
 class Lake:
-    """Tables as Parquet folders below one path."""
+    """Tables as Parquet folders below one path.
+
+    A replaced table is written as a new version beside the old one, then a pointer row names it; readers see the old
+    version until that row is there, and a failed write leaves it in place. The version before stays for open readers.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = pin(spark), path
@@ -44,56 +50,96 @@ class Lake:
     def folder(self, table: str) -> str:
         return os.path.join(self.path, table)
 
-    def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.folder(table))
+    def _pointers(self, table: str) -> str:
+        return self.folder(f"_versions/{table}")
 
-    def replace(self, table: str, df: DataFrame) -> DataFrame:
-        overwrite_folder(df, self.folder(table))
+    def versions(self, table: str) -> list[str]:
+        """Version folders, the newest first; none for a table that only grows."""
+        if not exists(self.spark, self._pointers(table)):
+            return []
+        rows = self.spark.read.schema(VERSIONS).parquet(self._pointers(table)).orderBy(F.desc("made")).collect()
+        return [os.path.join(self.folder(table), r["version"]) for r in rows]
+
+    def current(self, table: str) -> str:
+        return next(iter(self.versions(table)), self.folder(table))
+
+    def read(self, table: str) -> DataFrame:
+        stored = self.spark.read.option("mergeSchema", "true").parquet(self.current(table))
+        return stored.drop("batch", "silver_day")
+
+    def replace(self, table: str, df: DataFrame, partition: str | None = None) -> DataFrame:
+        old, version = self.versions(table)[1:], f"v{uuid.uuid4().hex}"
+        writer = df.write.partitionBy(partition) if partition else df.write
+        writer.parquet(os.path.join(self.folder(table), version))
+        row = self.spark.createDataFrame([(version, time.time_ns())], VERSIONS)
+        row.coalesce(1).write.mode("append").parquet(self._pointers(table))
+        for folder in old:
+            remove(self.spark, folder)
         return self.read(table)
 
 
+def ingest_table(lake: Lake, landing: str, folder: str, files_per_trigger: int = 1000) -> dict[str, int]:
+    """Append what is new in one landing folder to its bronze table; returns the expectation counts."""
+    table, schema, rules = BRONZE[folder]
+    return ingest_files(
+        lake.spark,
+        os.path.join(landing, folder),
+        lake.folder(table),
+        lake.folder(f"_state/{table}"),
+        schema,
+        rules,
+        files_per_trigger,
+        "timestamp",
+    )
+
+
 def ingest(lake: Lake, landing: str, files_per_trigger: int = 1000) -> dict[str, dict[str, int]]:
     """Append what is new in each landing folder to its bronze table; returns the expectation counts.
 
-    Fields that do not fit the declared schema go to _rescued_data and are counted, not lost.
+    Fields that do not fit the declared schema go to _rescued_data and are counted, not lost; files of one folder may
+    differ from each other.
     """
-    counts = {}
-    for folder, (table, schema, rules) in BRONZE.items():
-        source = os.path.join(landing, folder)
-        found = landing_schema(lake.spark, source)
-        stream = rescue(file_stream(lake.spark, source, found, files_per_trigger), schema or found)
-        day_of = "timestamp" if "timestamp" in stream.columns else None
-        run = append_to(stream, lake.folder(table), lake.folder(f"_state/{table}"), rules, day_of=day_of)
-        run.awaitTermination()
-        counts[table] = observed_totals(run)
+    counts = {
+        table: ingest_table(lake, landing, folder, files_per_trigger) for folder, (table, _, _) in BRONZE.items()
+    }
     lake.replace("sensor_maintenance", maintenance_actions(lake.spark))
     return counts
 
 
 def refresh_silver(lake: Lake) -> None:
-    lake.replace("sensor_silver", silver.sensor_silver(lake.read("sensor_bronze")))
+    lake.replace("sensor_silver", _by_day(silver.sensor_silver(lake.read("sensor_bronze"))), "silver_day")
     history = lake.replace(
         "historical_sensor_silver", silver.historical_sensor_silver(lake.read("historical_sensor_bronze"))
     )
     lake.replace("turbine_training_dataset", history)
     lake.replace("ship_meta_silver", silver.platform_silver(lake.read("ship_meta_bronze")))
     lake.replace("parts_silver", silver.parts_silver(lake.read("parts_bronze")))
-    actions = lake.spark.read.schema(MAINTENANCE).parquet(lake.folder("sensor_maintenance"))
+    actions = lake.spark.read.schema(MAINTENANCE).parquet(lake.current("sensor_maintenance"))
     lake.replace("maintenance_actions_silver", silver.maintenance_silver(actions))
 
 
-def upsert_silver(lake: Lake, delay: str = "1 day", files_per_trigger: int = 1000) -> None:
-    """sensor_silver from the new bronze files alone: only the hours they touch are computed again.
+def _by_day(stats: DataFrame) -> DataFrame:
+    return stats.withColumn("silver_day", F.to_date("hourly_timestamp"))
+
 
-    The full refresh stays the source of truth for readings that arrive later than the delay.
+def upsert_silver(lake: Lake, files_per_trigger: int = 1000) -> None:
+    """sensor_silver from the new bronze files: only the days they touch are computed again and overwritten.
+
+    An hour lies in one day, so a day's statistics follow from its own bronze partitions, however late a reading is.
     """
     bronze = lake.folder("sensor_bronze")
-    stream = file_stream(lake.spark, bronze, landing_schema(lake.spark, bronze), files_per_trigger)
-    timed = stream.withColumn("event_time", F.timestamp_seconds("timestamp"))
-    state = hourly_state(timed, ["turbine_id"], "event_time", statistic_columns(), delay)
-    upsert_to(state, lake.folder("sensor_hours"), lake.folder("_state/sensor_hours")).awaitTermination()
-    current = current_hours(lake.read("sensor_hours"), ["turbine_id"])
-    lake.replace("sensor_silver", expect(current, not_null("turbine_id", "hourly_timestamp")))
+
+    def store(paths: list[str], number: int) -> None:
+        days = sorted({m.group(1) for p in paths if (m := re.search(r"/day=([0-9-]+)/", p))})
+        touched = lake.read("sensor_bronze").filter(F.col("day").isin([datetime.date.fromisoformat(d) for d in days]))
+        fresh = _by_day(silver.sensor_silver(touched))
+        if not lake.versions("sensor_silver"):
+            lake.replace("sensor_silver", fresh, "silver_day")
+            return
+        writer = fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("silver_day").parquet(lake.current("sensor_silver"))
+
+    each_batch_of_files(lake.spark, bronze, lake.folder("_state/sensor_silver"), store, files_per_trigger)
 
 
 def refresh_gold(lake: Lake, scorer: Scorer | None = None, latest_only: bool = False) -> None:
@@ -108,12 +154,13 @@ def refresh_gold(lake: Lake, scorer: Scorer | None = None, latest_only: bool = F
 def refresh_shipments(lake: Lake, cost: str = "rank") -> None:
     parts, meta = lake.read("parts_silver"), lake.read("ship_meta_silver")
     columns = ["designator", "designator_id", "home_location", "home_location_id", "lat", "long"]
-    platforms = lake.replace("platforms", meta.select(*columns).distinct())
+    simulated = [c for c in ("sim_lat", "sim_lon") if c in meta.columns]
+    platforms = lake.replace("platforms", meta.select(*columns, *simulated).distinct())
     lake.replace("shipping_cost", supply.shipping_cost(parts, platforms, cost))
     lp = lake.replace("lp_table", supply.lp_table(parts, platforms, lake.read("ship_current_status_gold"), cost))
     plan = lake.replace("transport_plan", transport_plan(lp, "home_location_id"))
     lake.replace("shipment_recommendations", supply.with_names(plan, parts, platforms))
-    lake.replace("infeasible_products", supply.infeasible_products(lp))
+    lake.replace("infeasible_products", supply.infeasible_products(lp, plan))
 
 
 def refresh_tickets(lake: Lake) -> None:

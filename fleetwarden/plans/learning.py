@@ -3,26 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetwarden.functions.temporal import calendar_features
+from fleetwarden.functions.temporal import HOLIDAYS, calendar_features
 from fleetwarden.operators.joins import join_dimension
 from fleetwarden.operators.ranking import best_row
 from fleetwarden.operators.reshape import pivot_prefixed
 from fleetwarden.operators.sampling import with_split
 from fleetwarden.operators.scoring import score_with_model
 from fleetwarden.schemas import PERCENTILES, SENSORS
+from fleetwarden.session import ship, staged
 
 LABEL = "abnormal_sensor"
 KEY = ["turbine_id", "hourly_timestamp"]
@@ -31,9 +31,14 @@ ARRAYS = [f"percentiles_{s}" for s in SENSORS]
 CALENDAR = ["unix_ts", "is_weekend", "is_holiday"] + [
     f"{f}_{p}" for p in ("day", "week", "month", "year") for f in ("sin", "cos")
 ]
-# Inverse regularisation of the L1 logistic regression, seed of the forest.
+INPUTS = ["hourly_timestamp", *NUMERIC, *ARRAYS]
+# Inverse regularisation and steps of the L1 logistic regression, seed, trees and depth of the forest
+# (30 is as deep as Spark's trees go).
 INVERSE_REGULARISATION = 18.487521995589663
+ITERATIONS = 100
 FOREST_SEED = 42
+TREES = 100
+DEPTH = 30
 
 
 def prepared(stats: DataFrame) -> DataFrame:
@@ -61,15 +66,17 @@ def known_labels(df: DataFrame, limit: int = 1000) -> list[str]:
 def balancing_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Per class: rows and weight n / (classes x rows), so that all classes weigh the same."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
-    totals = counts.agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("k"))
-    n, k = totals.select("n").scalar(), totals.select("k").scalar()
+    # The window spans one row per class.
+    classes = W.partitionBy(F.lit(1))
+    n, k = F.sum("rows").over(classes), F.count(F.lit(1)).over(classes)
     return counts.withColumn("weight", n / (k * F.col("rows")))
 
 
 def training_frame(stats: DataFrame, labels: list[str]) -> DataFrame:
-    """Prepared rows with label number, split and balancing weight."""
+    """Prepared rows with label number, split and balancing weight; the weights come from the training rows alone."""
     marked = with_split(with_labels(prepared(stats), labels), KEY)
-    return join_dimension(marked, balancing_weights(stats).drop("rows"), LABEL)
+    weights = balancing_weights(marked.filter(F.col("split") == "train")).drop("rows")
+    return join_dimension(marked, weights, LABEL, "left").fillna(1.0, ["weight"])
 
 
 def feature_stages(calendar: bool = True) -> list:
@@ -94,9 +101,10 @@ def feature_stages(calendar: bool = True) -> list:
     return [*stages, VectorAssembler(inputCols=blocks, outputCol="features")]
 
 
-def logistic_pipeline(rows: int, iterations: int = 60, inverse_reg: float = INVERSE_REGULARISATION) -> Pipeline:
-    """Multinomial logistic regression with an L1 penalty over all feature blocks."""
-    classifier = LogisticRegression(
+def logistic(frame: DataFrame, inverse_reg: float = INVERSE_REGULARISATION, iterations: int = ITERATIONS) -> LogisticRegression:
+    """Multinomial logistic regression with an L1 penalty; the penalty is per training row."""
+    rows = frame.filter(F.col("split") == "train").count()
+    return LogisticRegression(
         family="multinomial",
         elasticNetParam=1.0,
         regParam=1.0 / (inverse_reg * max(rows, 1)),
@@ -104,17 +112,38 @@ def logistic_pipeline(rows: int, iterations: int = 60, inverse_reg: float = INVE
         maxIter=iterations,
         standardization=False,
     )
-    return Pipeline(stages=[*feature_stages(), classifier])
 
 
-def forest_pipeline(trees: int = 100, depth: int = 5) -> Pipeline:
-    """Random forest without the time columns."""
-    forest = RandomForestClassifier(seed=FOREST_SEED, numTrees=trees, maxDepth=depth)
-    return Pipeline(stages=[*feature_stages(calendar=False), forest])
+def forest(trees: int = TREES, depth: int = DEPTH) -> RandomForestClassifier:
+    return RandomForestClassifier(seed=FOREST_SEED, numTrees=trees, maxDepth=depth)
 
 
-def fit(pipeline: Pipeline, frame: DataFrame) -> PipelineModel:
-    return pipeline.fit(frame.filter(F.col("split") == "train"))
+def features(frame: DataFrame, calendar: bool = True) -> tuple[PipelineModel, DataFrame]:
+    """The feature stages fitted on the training rows, and all rows with nothing but what a classifier needs, stored once."""
+    stages = Pipeline(stages=feature_stages(calendar)).fit(frame.filter(F.col("split") == "train"))
+    rows = stages.transform(frame).select("features", "label", LABEL, "weight", "split")
+    return stages, staged(rows)
+
+
+def train(frame: DataFrame, classifier, calendar: bool = True) -> PipelineModel:
+    """A classifier fitted on the training rows, with its feature stages; forests go without the time columns."""
+    stages, rows = features(frame, calendar)
+    fitted = classifier.fit(rows.filter(F.col("split") == "train"))
+    return PipelineModel(stages=[*stages.stages, fitted])
+
+
+def compare(frame: DataFrame, labels: list[str], candidates: list[tuple]) -> DataFrame:
+    """Metrics (run, split, ...) of candidates (run, classifier, with the time columns or not).
+
+    Feature stages are fitted once for each kind of candidate, not once for each candidate.
+    """
+    ready = {calendar: features(frame, calendar)[1] for calendar in {c for _, _, c in candidates}}
+    scored = []
+    for run, classifier, calendar in candidates:
+        rows = ready[calendar]
+        model = PipelineModel(stages=[classifier.fit(rows.filter(F.col("split") == "train"))])
+        scored.append(split_metrics(confusion(model, rows, labels)).withColumn("run", F.lit(run)))
+    return staged(reduce(DataFrame.unionByName, scored))
 
 
 def confusion(model: PipelineModel, frame: DataFrame, labels: list[str]) -> DataFrame:
@@ -146,25 +175,18 @@ def split_metrics(counts: DataFrame) -> DataFrame:
     )
 
 
-def search(frame: DataFrame, rows: int, inverse_regs: list[float], parallelism: int = 2) -> TrainValidationSplit:
-    """A validation-split search over regularisation strengths, scored by weighted F1."""
-    pipeline = logistic_pipeline(rows, iterations=30)
-    classifier = pipeline.getStages()[-1]
-    grid = ParamGridBuilder().addGrid(classifier.regParam, [1.0 / (c * max(rows, 1)) for c in inverse_regs]).build()
-    return TrainValidationSplit(
-        estimator=pipeline,
-        estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(metricName="f1"),
-        trainRatio=0.75,
-        seed=FOREST_SEED,
-        parallelism=parallelism,
+def search(frame: DataFrame, labels: list[str], inverse_regs: list[float]) -> DataFrame:
+    """inverse_reg and its weighted F1: each strength is fitted on the training rows and judged on the validation rows."""
+    runs = compare(frame, labels, [(str(c), logistic(frame, c), True) for c in inverse_regs])
+    return runs.filter(F.col("split") == "val").select(
+        F.col("run").cast("double").alias("inverse_reg"), F.col("weighted_f1").alias("f1")
     )
 
 
-def runs_table(spark: SparkSession, results: list[tuple[str, DataFrame]]) -> DataFrame:
-    """One row per run with its F1 on each split."""
-    rows = [(run, *[r["weighted_f1"] for r in sorted(m.collect(), key=lambda r: r["split"])]) for run, m in results]
-    return spark.createDataFrame(rows, "run string, test_f1 double, train_f1 double, val_f1 double")
+def runs_table(metrics: DataFrame) -> DataFrame:
+    """One row per run with its F1 on each split, by the split's name; a run without a split has null there."""
+    f1 = lambda split: F.max(F.when(F.col("split") == split, F.col("weighted_f1"))).alias(f"{split}_f1")
+    return metrics.groupBy("run").agg(f1("test"), f1("train"), f1("val"))
 
 
 def best_run(runs: DataFrame) -> DataFrame:
@@ -181,17 +203,64 @@ def score_status(model: PipelineModel, labels: list[str]):
     return score
 
 
+def _linear_stages(model: PipelineModel) -> dict:
+    """The numbers inside a fitted logistic pipeline, for scoring inside a SQL function."""
+    imputer, _, numeric, percentiles, _, calendar, hours, _, _, classifier = model.stages
+    fill = imputer.surrogateDF.first()
+    return {
+        "fill": np.array([fill[c] for c in NUMERIC]),
+        "scalers": [(s.mean.toArray(), s.std.toArray()) for s in (numeric, percentiles, calendar)],
+        "hours": np.array([float(h) for h in hours.labels]),
+        "weights": classifier.coefficientMatrix.toArray(),
+        "bias": classifier.interceptVector.toArray(),
+    }
+
+
+def _calendar_matrix(ts: pd.Series) -> np.ndarray:
+    """The CALENDAR columns of calendar_features for a batch of timestamps."""
+    hour, day = ts.dt.hour, ts.dt.dayofweek
+    year_hours = np.where(ts.dt.is_leap_year, 366, 365) * 24
+    places = [
+        (hour, 24), (day * 24 + hour, 168), ((ts.dt.day - 1) * 24 + hour, ts.dt.days_in_month * 24),
+        ((ts.dt.dayofyear - 1) * 24 + hour, year_hours),
+    ]
+    seconds = (ts - pd.Timestamp(0)) // pd.Timedelta(seconds=1)
+    columns = [seconds, day >= 5, ts.dt.strftime("%m-%d").isin(HOLIDAYS)]
+    for place, period in places:
+        angle = 2 * np.pi * place / period
+        columns += [np.sin(angle), np.cos(angle)]
+    return np.column_stack([np.asarray(c, dtype=float) for c in columns])
+
+
+def linear_scores(numbers: dict, ts: pd.Series, values: list[pd.Series], arrays: list[pd.Series]) -> np.ndarray:
+    """One score per row and class, from the 14 input columns."""
+    plain = np.column_stack([v.to_numpy(dtype=float, na_value=np.nan) for v in values])
+    plain = np.where(np.isnan(plain), numbers["fill"], plain)
+    zeros = np.zeros(len(PERCENTILES))
+    lists = np.column_stack([np.stack([zeros if x is None else np.asarray(x, float) for x in a]) for a in arrays])
+    blocks = []
+    for raw, (mean, std) in zip((plain, lists, _calendar_matrix(ts)), numbers["scalers"]):
+        blocks.append((raw - mean) * np.where(std > 0, 1 / np.where(std > 0, std, 1), 0.0))
+    flags = np.zeros((len(ts), numbers["weights"].shape[1] - sum(b.shape[1] for b in blocks)))
+    place = {h: i for i, h in enumerate(numbers["hours"])}
+    # An hour that training never saw has the last flag.
+    flags[np.arange(len(ts)), [place.get(float(h), len(place)) for h in ts.dt.hour]] = 1.0
+    return np.hstack([*blocks, flags]) @ numbers["weights"].T + numbers["bias"]
+
+
 def register_scorer(spark: SparkSession, name: str, model: PipelineModel, labels: list[str]) -> None:
-    """Register the classifier as a SQL function of the feature array: argmax of the linear scores."""
-    classifier = model.stages[-1]
-    weights, bias = classifier.coefficientMatrix.toArray(), classifier.interceptVector.toArray()
-    names = np.array(labels, dtype=object)
+    """Register a logistic pipeline as a SQL function of the 14 INPUTS; each Arrow batch is one matrix product."""
+    ship(spark)
+    numbers, names, split = _linear_stages(model), np.array(labels, dtype=object), 1 + len(NUMERIC)
 
     @F.pandas_udf("string")
-    def scorer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            matrix = np.stack(batch.to_numpy()) if len(batch) else np.empty((0, weights.shape[1]))
-            yield pd.Series(names[(matrix @ weights.T + bias).argmax(axis=1)])
+    def scorer(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            if len(columns[0]):
+                scores = linear_scores(numbers, columns[0], list(columns[1:split]), list(columns[split:]))
+                yield pd.Series(names[scores.argmax(axis=1)])
+            else:
+                yield pd.Series([], dtype=object)
 
     spark.udf.register(name, scorer)
 

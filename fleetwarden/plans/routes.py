@@ -30,6 +30,7 @@ def route_arcs(shipments: DataFrame, parts: DataFrame, platforms: DataFrame) ->
     targets = spread.select("designator", F.col("lat").alias("target_lat"), F.col("long").alias("target_lng"))
     positive = shipments.filter(F.col("qty_shipped") > 0).drop("stock_location")
     located = join_dimension(join_dimension(positive, sites, "stock_location_id", "left"), targets, "designator", "left")
+    # Names and order of the arc table.
     return located.select(
         "stock_location_id",
         "designator",

@@ -110,10 +110,14 @@ def demand_wide(lp: DataFrame, on: str = "designator_id", values: list | None =
     return pivot_prefixed(lp, ["type"], on, F.max("demand"), "Demand_", values)
 
 
-def lp_wide(lp: DataFrame) -> DataFrame:
-    """The wide form: Cost_*, Supply_* and Demand_* columns per (type, stock_location_id), nulls as 0."""
+def lp_wide(lp: DataFrame, sites: list | None = None, designators: list | None = None) -> DataFrame:
+    """The wide form: Cost_*, Supply_* and Demand_* columns per (type, stock_location_id), nulls as 0.
+
+    Given the values, no job looks for them, and the columns do not depend on the data.
+    """
     lp = staged(lp)
-    return cost_wide(lp).join(supply_wide(lp), "type").join(demand_wide(lp), "type").fillna(0)
+    wide = cost_wide(lp, values=designators).join(supply_wide(lp, sites), "type")
+    return wide.join(demand_wide(lp, values=designators), "type").fillna(0)
 
 
 def with_names(plan: DataFrame, parts: DataFrame, platforms: DataFrame) -> DataFrame:
@@ -128,5 +132,7 @@ def shipment_recommendations(lp: DataFrame, parts: DataFrame, platforms: DataFra
     return with_names(transport_plan(lp, lane), parts, platforms)
 
 
-def infeasible_products(lp: DataFrame) -> DataFrame:
-    return feasibility(lp).filter(~F.col("feasible")).drop("feasible")
+def infeasible_products(lp: DataFrame, plan: DataFrame) -> DataFrame:
+    """Products that the solver could not serve, for lack of stock or of a route, with their totals."""
+    unserved = plan.filter(F.col("stock_location_id").isNull()).select("type").distinct()
+    return feasibility(lp).drop("feasible").join(unserved, "type", "left_semi")

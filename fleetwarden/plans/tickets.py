@@ -19,21 +19,26 @@ def part_orders(shipments: DataFrame) -> DataFrame:
     return join_dimension(positive, orders, pair)
 
 
-def parts_by_fault(parts: DataFrame) -> DataFrame:
-    """The sorted part types that serve each sensor."""
-    flat = parts.select("type", F.explode("sensors").alias("prediction")).distinct()
-    return flat.groupBy("prediction").agg(F.sort_array(F.collect_list("type")).alias("parts_required"))
+def required_parts_long(gold: DataFrame, parts: DataFrame) -> DataFrame:
+    """One row per unit, fault and stock number that serves it, with the hours of the fault.
+
+    Units are folded to their faults first, so the parts meet one row per unit and fault, and no row carries a list.
+    """
+    faulty = gold.filter(F.col("prediction") != "ok").groupBy("turbine_id", "prediction")
+    hours = faulty.agg(F.count(F.lit(1)).cast("int").alias("hours"))
+    serving = parts.select("NSN", "type", F.explode("sensors").alias("prediction")).distinct()
+    return join_dimension(hours, serving, "prediction").select("turbine_id", "prediction", "NSN", "type", "hours")
 
 
 def required_parts(gold: DataFrame, parts: DataFrame, keep_duplicates: bool = False) -> DataFrame:
-    """Parts needed per (turbine_id, prediction), each once; or once per hour with keep_duplicates."""
-    faulty = gold.filter(F.col("prediction") != "ok").groupBy("turbine_id", "prediction")
-    hours = faulty.agg(F.count(F.lit(1)).cast("int").alias("_hours"))
-    listed = join_dimension(hours, parts_by_fault(parts), "prediction")
-    if keep_duplicates:
-        copies = F.sort_array(F.flatten(F.array_repeat("parts_required", F.col("_hours"))))
-        listed = listed.withColumn("parts_required", copies)
-    return listed.select("turbine_id", "prediction", "parts_required")
+    """The long form as a sorted list per (turbine_id, prediction): each type once, or each stock number's type once
+    per hour with keep_duplicates."""
+    long = required_parts_long(gold, parts)
+    keys = ["turbine_id", "prediction"]
+    if not keep_duplicates:
+        return long.groupBy(*keys).agg(F.sort_array(F.collect_set("type")).alias("parts_required"))
+    repeated = long.withColumn("_copies", F.array_repeat("type", F.col("hours")))
+    return repeated.groupBy(*keys).agg(F.sort_array(F.flatten(F.collect_list("_copies"))).alias("parts_required"))
 
 
 def numbered_work(required: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ FAILURE_SHARES = (
     ("sensor_E", 7),
     ("sensor_F", 3),
 )
+# Impact of each sensor.
 IMPACT = (
     ("sensor_F", "high"),
     ("sensor_A", "moderate"),
@@ -66,7 +67,6 @@ PLATFORMS_UNDERWAY = _struct(
     ("sim_distance_mi", _D),
     ("sim_bearing_deg", _D),
 )
-STOCK = _struct(("stock_location", _S), ("stock_location_id", _S), ("lat", _D), ("long", _D))
 PARTS = _struct(
     ("NSN", _S),
     ("type", _S),

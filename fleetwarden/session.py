@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A side is broadcast at run time, once its size is known to be within this bound.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Hourly state of a large fleet lives on disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": (
@@ -75,6 +77,18 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the caller made."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -25,21 +25,11 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).json(path)
 
 
-def unit_numbers(spark: SparkSession, count: int, tasks: int, name: str = "unit_no") -> DataFrame:
-    """0..count-1 spread over `tasks` partitions, as the seed of generated rows."""
-    return spark.range(0, count, 1, tasks).withColumnRenamed("id", name)
-
-
 def sensor_columns(df: DataFrame) -> list[str]:
     """Names that contain 'sensor', the label column among them."""
     return [c for c in df.columns if "sensor" in c]
 
 
-def landing_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Schema inferred from the landing files, to be handed to a stream reader."""
-    return spark.read.parquet(path).schema
-
-
 def rescue(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns plus _rescued_data.
 

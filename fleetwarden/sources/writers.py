@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwarden.operators.quality import key_report
+from fleetwarden.session import staged
 
 
 def overwrite_folder(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -26,14 +27,17 @@ def overwrite_by_day(df: DataFrame, path: str, time: str = "timestamp") -> None:
 
 def overwrite_table(df: DataFrame, name: str) -> None:
     """Replace a managed table, its schema included."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+    df.write.mode("overwrite").saveAsTable(name)
 
 
 def write_feature_table(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Replace a feature table and read it back; fails when the key is null or repeated."""
-    df.write.mode("overwrite").parquet(path)
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    report = key_report(stored, keys).first()
+    """Replace a feature table and read it back.
+
+    The new rows are stored aside and checked first: where the key is null or repeated, the old table stays.
+    """
+    rows = staged(df)
+    report = key_report(rows, keys).first()
     if report["repeated_keys"] or report["null_key_rows"]:
         raise ValueError(f"{keys} is not a key: {report.asDict()}")
-    return stored
+    rows.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fleetwarden.plans.bindings import DESIGNATOR_IDS, PORT_IDS, SITE_IDS
 from fleetwarden.schemas import FAILURE_SHARES, IMPACT, MAINTENANCE_ROWS, PERCENTILES, SENSORS
 
 _NUMERIC = ["avg_energy", *[f"std_{s}" for s in SENSORS]]
@@ -191,7 +192,7 @@ _PRIORITY = """CASE maintenance_type WHEN 'Organizational Level' THEN 'Routine'
   WHEN 'Depot Level' THEN 'CASREP' END"""
 
 
-def _circle(radius: float, columns: str) -> str:
+def _circle(radius: float, columns: str, source: str = "raw_platforms") -> str:
     return f"""
   SELECT {columns},
     round(CASE WHEN n > 1 THEN lat + {radius} * sin(a) / 111000.0 ELSE lat END, 6) AS lat,
@@ -200,7 +201,7 @@ def _circle(radius: float, columns: str) -> str:
     SELECT *, count(*) OVER (PARTITION BY lat, long) AS n,
       2 * pi() * (row_number() OVER (PARTITION BY lat, long ORDER BY designator) - 1)
         / count(*) OVER (PARTITION BY lat, long) AS a
-    FROM raw_platforms)"""
+    FROM {source})"""
 
 
 def _jitter() -> str:
@@ -262,8 +263,22 @@ _EVENT_STATS = """SELECT 'U' || user_id AS turbine_id, round(avg(value), 6) AS a
   FROM events GROUP BY user_id, date_trunc('hour', ts)""".format(
     ", ".join(f"round(quantile_disc(value, {p}), 6) AS percentiles_energy_{i}" for i, p in enumerate(PERCENTILES, 1))
 )
+
+
+def _wide(prefix: str, value: str, column: str, values, missing: int | None = None) -> str:
+    """One column per value, with the same value list as the query's."""
+    cell = lambda v: f"max({value}) FILTER (WHERE {column} = {_lit(v)})"
+    full = cell if missing is None else lambda v: f"coalesce({cell(v)}, {missing})"
+    return ", ".join(f'{full(v)} AS "{prefix}{v}"' for v in values)
+
+
 _UUID = "md5(designator || '|' || unit_no)"
 
+_CONFUSION = """scored AS (
+  SELECT CASE WHEN l_orderkey % 5 < 3 THEN 'train' WHEN l_orderkey % 5 = 3 THEN 'val' ELSE 'test' END AS split,
+    l_returnflag AS label, CASE WHEN l_linenumber <= 3 THEN 'N' WHEN l_linenumber <= 5 THEN 'A' ELSE 'R' END AS prediction
+  FROM lineitem)"""
+
 ORACLE: dict[str, str] = {
     "sensor_expectations": f"WITH {READINGS} SELECT {_READING_COLS}, abnormal_sensor FROM bronze",
     "expectation_metrics": f"""WITH {READINGS}, t AS (SELECT count(*) AS rows,
@@ -319,8 +334,9 @@ ORACLE: dict[str, str] = {
       CASE WHEN l_returnflag IN ('A', 'N') THEN 0.0 ELSE 2 END::DOUBLE AS percentiles_3,
       CASE WHEN l_returnflag IN ('A', 'N') THEN 0.0 ELSE 3 END::DOUBLE AS percentiles_4,
       CASE WHEN l_returnflag IN ('A', 'N') THEN 0.0 ELSE 4.5 END::DOUBLE AS percentiles_5 FROM lineitem""",
-    "request_rows": f"""WITH {SILVER} SELECT turbine_id, strftime(max(hourly_timestamp), '%Y-%m-%dT%H:%M:%S') AS iso_time,
-      turbine_id AS request_turbine FROM silver GROUP BY turbine_id""",
+    "request_rows": f"""WITH {SILVER} SELECT turbine_id, strftime(hourly_timestamp, '%Y-%m-%dT%H:%M:%S') AS iso_time,
+      turbine_id AS request_turbine, {_flat_stats()} FROM silver
+      QUALIFY row_number() OVER (PARTITION BY turbine_id ORDER BY hourly_timestamp DESC) = 1""",
     "current_predictions": f"WITH {PREDICTIONS} SELECT {_GOLD_COLS} FROM predictions",
     "gold_status": f"WITH {GOLD} SELECT {_GOLD_COLS}, {_MAINT_COLS} FROM gold",
     "gold_latest_only": f"""WITH {GOLD} SELECT {_GOLD_COLS}, {_MAINT_COLS} FROM gold
@@ -328,9 +344,10 @@ ORACLE: dict[str, str] = {
     "latest_snapshot": f"""WITH {GOLD} SELECT {_GOLD_COLS}, {_MAINT_COLS} FROM gold
       WHERE hourly_timestamp = (SELECT max(hourly_timestamp) FROM gold)""",
     "interval_status_join": f"""WITH {SILVER}, spans AS (
-        SELECT 'T' || (o_custkey % (SELECT count(*) FROM supplier)) || '-1' AS turbine_id,
+        SELECT 'T' || (o_custkey % (SELECT count(*) FROM supplier)) || '-' || (o_custkey % 7 + 1) AS turbine_id,
           1704049200 + 15 * date_diff('day', DATE '1995-01-01', o_orderdate::DATE) AS start_time,
-          1704049200 + 15 * date_diff('day', DATE '1995-01-01', o_orderdate::DATE) + 900 AS end_time,
+          1704049200 + 15 * date_diff('day', DATE '1995-01-01', o_orderdate::DATE)
+            + CASE WHEN o_orderkey % 50 = 0 THEN 31536000 ELSE 900 END AS end_time,
           CASE WHEN o_orderstatus = 'F' THEN 'ok' ELSE 'sensor_A' END AS abnormal_sensor FROM orders)
       SELECT turbine_id, round(avg_energy, 6) AS avg_energy, epoch(hourly_timestamp)::BIGINT AS hour_seconds,
         start_time, end_time, abnormal_sensor
@@ -349,27 +366,25 @@ ORACLE: dict[str, str] = {
       SELECT stock_location_id, home_location_id, round(km, 6) AS km FROM distance""",
     "shipping_cost_rank": f"""WITH {PLATFORMS}, {PARTS}, {COST}
       SELECT stock_location_id AS stock_location, home_location_id AS homeport, cost AS distance FROM cost""",
-    "cost_matrix_wide": f"""WITH {PLATFORMS}, {PARTS}, {COST},
-      named AS (SELECT stock_location_id AS stock_location, 'Cost_' || home_location_id AS port, cost FROM cost)
-      PIVOT named ON port USING max(cost) GROUP BY stock_location""",
+    "cost_matrix_wide": f"""WITH {PLATFORMS}, {PARTS}, {COST} SELECT stock_location_id AS stock_location,
+      {_wide("Cost_", "cost", "home_location_id", PORT_IDS)} FROM cost GROUP BY 1""",
     "cost_unpivot": f"""WITH {PLATFORMS}, {PARTS}, {COST}
       SELECT stock_location_id AS stock_location, home_location_id, cost FROM cost""",
     "supply_long": f"WITH {PARTS} SELECT type, stock_location_id, inventory_level AS supply FROM parts",
     "demand_long": f"WITH {GOLD}, {PARTS}, {DEMAND} SELECT designator_id, parts, demand FROM demand",
     "lp_table": f"""WITH {LP} SELECT type, stock_location_id, designator_id, home_location_id, cost, supply, demand
       FROM lp""",
-    "cost_pivot": f"""WITH {LP}, named AS (SELECT type, stock_location_id, 'Cost_' || designator_id AS c, cost FROM lp)
-      PIVOT named ON c USING max(cost) GROUP BY type, stock_location_id""",
-    "supply_pivot": f"""WITH {LP}, named AS (SELECT type, 'Supply_' || stock_location_id AS c, supply FROM lp)
-      PIVOT named ON c USING max(supply) GROUP BY type""",
-    "demand_pivot": f"""WITH {LP}, named AS (SELECT type, 'Demand_' || designator_id AS c, demand FROM lp)
-      PIVOT named ON c USING max(demand) GROUP BY type""",
-    "lp_wide": f"""WITH {LP}, c AS (SELECT type, stock_location_id, 'Cost_' || designator_id AS k, cost FROM lp),
-      s AS (SELECT type, 'Supply_' || stock_location_id AS k, supply FROM lp),
-      d AS (SELECT type, 'Demand_' || designator_id AS k, demand FROM lp)
-      SELECT * FROM (PIVOT c ON k USING max(cost) GROUP BY type, stock_location_id)
-      JOIN (PIVOT s ON k USING max(supply) GROUP BY type) USING (type)
-      JOIN (PIVOT d ON k USING max(demand) GROUP BY type) USING (type)""",
+    "cost_pivot": f"""WITH {LP} SELECT type, stock_location_id,
+      {_wide("Cost_", "cost", "designator_id", DESIGNATOR_IDS)} FROM lp GROUP BY type, stock_location_id""",
+    "supply_pivot": f"""WITH {LP} SELECT type, {_wide("Supply_", "supply", "stock_location_id", SITE_IDS)}
+      FROM lp GROUP BY type""",
+    "demand_pivot": f"""WITH {LP} SELECT type, {_wide("Demand_", "demand", "designator_id", DESIGNATOR_IDS)}
+      FROM lp GROUP BY type""",
+    "lp_wide": f"""WITH {LP}, c AS (SELECT type, stock_location_id,
+        {_wide("Cost_", "cost", "designator_id", DESIGNATOR_IDS, 0)} FROM lp GROUP BY type, stock_location_id),
+      s AS (SELECT type, {_wide("Supply_", "supply", "stock_location_id", SITE_IDS, 0)} FROM lp GROUP BY type),
+      d AS (SELECT type, {_wide("Demand_", "demand", "designator_id", DESIGNATOR_IDS, 0)} FROM lp GROUP BY type)
+      SELECT * FROM c JOIN s USING (type) JOIN d USING (type)""",
     "transport_feasibility": f"WITH {FEASIBLE} SELECT * FROM feasible",
     "infeasible_products": f"WITH {FEASIBLE} SELECT type, total_supply, total_demand FROM feasible WHERE NOT feasible",
     "transport_audit": f"""WITH {FEASIBLE} SELECT type, total_demand AS shipped, 0::BIGINT AS sites_overdrawn,
@@ -382,6 +397,9 @@ ORACLE: dict[str, str] = {
       SELECT turbine_id, prediction, array_to_string(list_sort(list(type)), ',') AS parts_required
       FROM gold JOIN part_types ON list_contains(sensors, prediction) WHERE prediction <> 'ok'
       GROUP BY turbine_id, prediction""",
+    "parts_required_long": f"""WITH {GOLD}, {PARTS}
+      SELECT turbine_id, prediction, "NSN", type, count(*)::INT AS hours
+      FROM gold JOIN part_types ON list_contains(sensors, prediction) WHERE prediction <> 'ok' GROUP BY ALL""",
     "work_orders": f"""WITH {SHIPMENTS}, {REQUIRED},
       numbered AS (SELECT *, 'AI-WO ' || printf('%03d', row_number() OVER (ORDER BY turbine_id, prediction))
         AS work_order FROM required),
@@ -395,6 +413,13 @@ ORACLE: dict[str, str] = {
         round(k.long, 0) AS source_lng, c.lat AS target_lat, c.long AS target_lng, s.stock_location AS stock_name
       FROM shipments s LEFT JOIN stock k USING (stock_location_id) LEFT JOIN spread c ON c.designator = s.designator
       WHERE qty_shipped > 0""",
+    "route_arcs_underway": f"""WITH {SHIPMENTS}, moved AS (
+        SELECT designator, round(lat / 2, 6) AS lat, round(long / 2 + 1, 6) AS long FROM raw_platforms),
+      spread AS ({_circle(400.0, "designator", "moved")})
+      SELECT s.stock_location_id, s.designator, type, qty_shipped, round(k.lat, 0) AS source_lat,
+        round(k.long, 0) AS source_lng, c.lat AS target_lat, c.long AS target_lng, s.stock_location AS stock_name
+      FROM shipments s LEFT JOIN stock k USING (stock_location_id) LEFT JOIN spread c ON c.designator = s.designator
+      WHERE qty_shipped > 0""",
     "spread_duplicates": f"WITH {PLATFORMS} {_circle(200.0, 'designator, home_location')}",
     "jitter_duplicates": _jitter(),
     "maintenance_by_label": f"""WITH {READINGS}, {MAINTENANCE}
@@ -409,6 +434,10 @@ ORACLE: dict[str, str] = {
       round(sum(abs(l_extendedprice - 20000)) OVER (PARTITION BY l_suppkey
         ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey ROWS UNBOUNDED PRECEDING), 2) AS running
       FROM lineitem""",
+    "running_total_null_keys": """SELECT o_orderkey, sum(round(o_totalprice * 100, 0)::BIGINT) OVER (
+        PARTITION BY nullif(o_orderstatus, 'O')
+        ORDER BY nullif(substr(o_orderpriority, 1, 1), '3') NULLS FIRST, o_orderkey ROWS UNBOUNDED PRECEDING)::BIGINT AS running
+      FROM orders""",
     "datetime_features": _calendar(),
     "split_labels": f"""SELECT CASE WHEN {_SPLIT} % 10000 < 6000 THEN 'train' WHEN {_SPLIT} % 10000 < 8000 THEN 'val'
       ELSE 'test' END AS split, count(*) AS n FROM lineitem GROUP BY 1""",
@@ -432,6 +461,41 @@ ORACLE: dict[str, str] = {
       0::BIGINT AS null_key_rows
       FROM (SELECT turbine_id, hourly_timestamp, count(*) AS n FROM history GROUP BY ALL)""",
     "stream_ingest": """SELECT event_id, user_id, event_type, round(value, 6) AS energy FROM events WHERE value > 25""",
+    "stream_expectation_counts": """WITH t AS (SELECT count(*) AS rows,
+        count(*) FILTER (NOT coalesce(value > 25, false)) AS a,
+        count(*) FILTER (NOT coalesce(event_type <> 'error', false)) AS b FROM events)
+      SELECT 'dropped' AS rule, rows, a AS violations FROM t UNION ALL SELECT 'correct_energy', rows, a FROM t
+      UNION ALL SELECT 'known_type', rows, b FROM t""",
+    "rescued_landing": """SELECT event_id, CASE WHEN event_type <> 'error' THEN round(value, 6) END AS value,
+      event_type <> 'error' AND (event_type <> 'view' OR props IS NULL) AS clean,
+      CASE WHEN event_type = 'error' THEN 'n/a error' END AS rescued_value,
+      CASE WHEN event_type = 'view' THEN props END AS rescued_props FROM events""",
+    "stream_upsert": f"WITH {SILVER} SELECT turbine_id, hourly_timestamp, {_flat_stats()} FROM silver",
+    "replaced_table": "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus",
+    "ordered_files": f"WITH {READINGS} SELECT count(*) AS rows, true AS few_files, 0::BIGINT AS crossed FROM readings",
+    "fixed_file_count": "SELECT count(*) AS rows, 2::BIGINT AS files FROM supplier",
+    "percentile_vector": f"""WITH {SILVER} SELECT turbine_id, hourly_timestamp, {", ".join(
+        f'coalesce(round("percentiles_{s}"[{i}], 6), 0.0) AS v{k * 5 + i}'
+        for k, s in enumerate(SENSORS) for i in range(1, 6))} FROM silver""",
+    "hour_flags": f"""WITH {SILVER}, h AS (SELECT hour(hourly_timestamp)::INT AS hour, count(*) AS n FROM silver GROUP BY 1)
+      SELECT hour, row_number() OVER (ORDER BY hour::DOUBLE::VARCHAR) AS "at", n, 1.0::DOUBLE AS flags FROM h""",
+    "split_metrics": f"""WITH {_CONFUSION}, f AS (
+        SELECT split, label, count(*) AS actual, count(*) FILTER (label = prediction) AS hit FROM scored GROUP BY ALL),
+      g AS (SELECT split, prediction AS label, count(*) AS guessed FROM scored GROUP BY ALL)
+      SELECT split, sum(actual)::BIGINT AS rows, round(sum(hit) / sum(actual), 6) AS accuracy,
+        round(sum(actual * 2 * hit / (actual + coalesce(guessed, 0))) / sum(actual), 6) AS weighted_f1
+      FROM f LEFT JOIN g USING (split, label) GROUP BY split""",
+    "confusion_matrix": f"""WITH {_CONFUSION} SELECT label, {", ".join(
+        f"count(*) FILTER (prediction = '{c}') AS \"predicted_{c}\"" for c in "ANR")}
+      FROM scored WHERE split = 'val' GROUP BY label""",
+    "best_run": """WITH r AS (SELECT l_linenumber::VARCHAR AS run,
+        CASE WHEN l_orderkey % 5 < 3 THEN 'train' WHEN l_orderkey % 5 = 3 THEN 'val' ELSE 'test' END AS split,
+        (l_returnflag = 'R')::INT AS hit FROM lineitem),
+      w AS (SELECT run, avg(hit) FILTER (split = 'test') AS test_f1, avg(hit) FILTER (split = 'train') AS train_f1,
+        avg(hit) FILTER (split = 'val') AS val_f1 FROM r GROUP BY run)
+      SELECT run, round(test_f1, 6) AS test_f1, round(train_f1, 6) AS train_f1, round(val_f1, 6) AS val_f1
+      FROM w ORDER BY w.val_f1 DESC LIMIT 1""",
+    "registered_scorer": f"WITH {HISTORY} SELECT count(*) AS n, 0::BIGINT AS different FROM history",
     "stream_sensor_stats": _EVENT_STATS,
     "class_weights": f"""WITH {HISTORY} SELECT abnormal_sensor, count(*) AS rows,
       round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight FROM history GROUP BY abnormal_sensor""",

@@ -19,7 +19,7 @@ from fleetwarden.functions.temporal import calendar_features, retention_day, tim
 from fleetwarden.operators import joins, quality, ranking, reshape, sampling, scoring, spread, stats, transport
 from fleetwarden.plans import bindings as b
 from fleetwarden.plans import gold as gold_plan
-from fleetwarden.plans import learning, silver, supply, tickets
+from fleetwarden.plans import flow, learning, silver, supply, tickets
 from fleetwarden.plans.routes import route_arcs as arcs_plan
 from fleetwarden.schemas import EVENTS, FAILURE_SHARES, PERCENTILES, PLATFORMS, SENSORS, sensor_impact
 from fleetwarden.session import new_folder, pin, staged
@@ -204,13 +204,20 @@ def request_coercion(spark, sf):
 
 @query
 def request_rows(spark, sf):
-    """One JSON request per latest row, its timestamp in ISO form."""
-    rows = ranking.latest_per_unit(b.sensor_silver(spark, sf)).select("turbine_id", "hourly_timestamp")
-    packed = rows.withColumn("request", request_json("turbine_id", "hourly_timestamp"))
-    return packed.select(
-        "turbine_id",
-        F.get_json_object("request", "$.hourly_timestamp").alias("iso_time"),
-        F.get_json_object("request", "$.turbine_id").alias("request_turbine"),
+    """One JSON request of all 14 feature fields per latest row, read back from its text."""
+    fields = ["hourly_timestamp", *learning.NUMERIC, *learning.ARRAYS]
+    rows = ranking.latest_per_unit(b.sensor_silver(spark, sf))
+    packed = rows.select("turbine_id", request_json("turbine_id", *fields).alias("request"))
+    kinds = {**dict.fromkeys(learning.NUMERIC, "double"), **dict.fromkeys(learning.ARRAYS, "array<double>")}
+    shape = "turbine_id string, hourly_timestamp string, " + ", ".join(f"{c} {k}" for c, k in kinds.items())
+    read = packed.select("turbine_id", F.from_json("request", shape).alias("r"))
+    return flat(
+        read.select(
+            "turbine_id",
+            F.col("r.hourly_timestamp").alias("iso_time"),
+            F.col("r.turbine_id").alias("request_turbine"),
+            *[f"r.{c}" for c in kinds],
+        )
     )
 
 
@@ -231,7 +238,7 @@ def gold_latest_only(spark, sf):
 
 @query
 def latest_snapshot(spark, sf):
-    return flat(gold_plan.newest_status(staged(b.gold(spark, sf))))
+    return flat(gold_plan.newest_status(b.gold(spark, sf)))
 
 
 @query
@@ -295,13 +302,13 @@ def shipping_cost_rank(spark, sf):
 @query
 def cost_matrix_wide(spark, sf):
     cost = staged(supply.shipping_cost(*_dims(spark, sf)))
-    return rounded(reshape.pivot_prefixed(cost, ["stock_location"], "homeport", F.max("distance"), "Cost_"))
+    return rounded(reshape.pivot_prefixed(cost, ["stock_location"], "homeport", F.max("distance"), "Cost_", b.PORT_IDS))
 
 
 @query
 def cost_unpivot(spark, sf):
     cost = staged(supply.shipping_cost(*_dims(spark, sf)))
-    wide = reshape.pivot_prefixed(cost, ["stock_location"], "homeport", F.max("distance"), "Cost_")
+    wide = reshape.pivot_prefixed(cost, ["stock_location"], "homeport", F.max("distance"), "Cost_", b.PORT_IDS)
     return rounded(reshape.unpivot_prefixed(wide, ["stock_location"], "Cost_", "home_location_id", "cost"))
 
 
@@ -323,22 +330,22 @@ def lp_table(spark, sf):
 
 @query
 def cost_pivot(spark, sf):
-    return rounded(supply.cost_wide(staged(_lp(spark, sf)[0])))
+    return rounded(supply.cost_wide(staged(_lp(spark, sf)[0]), values=b.DESIGNATOR_IDS))
 
 
 @query
 def supply_pivot(spark, sf):
-    return supply.supply_wide(staged(_lp(spark, sf)[0]))
+    return supply.supply_wide(staged(_lp(spark, sf)[0]), b.SITE_IDS)
 
 
 @query
 def demand_pivot(spark, sf):
-    return supply.demand_wide(staged(_lp(spark, sf)[0]))
+    return supply.demand_wide(staged(_lp(spark, sf)[0]), values=b.DESIGNATOR_IDS)
 
 
 @query
 def lp_wide(spark, sf):
-    return rounded(supply.lp_wide(_lp(spark, sf)[0]))
+    return rounded(supply.lp_wide(_lp(spark, sf)[0], b.SITE_IDS, b.DESIGNATOR_IDS))
 
 
 @query
@@ -348,7 +355,8 @@ def transport_feasibility(spark, sf):
 
 @query
 def infeasible_products(spark, sf):
-    return supply.infeasible_products(staged(_lp(spark, sf)[0]))
+    lp = staged(_lp(spark, sf)[0])
+    return supply.infeasible_products(lp, staged(transport.transport_plan(lp, "home_location_id")))
 
 
 @query
@@ -400,6 +408,12 @@ def parts_required_per_hour(spark, sf):
     return flat(tickets.required_parts(b.gold(spark, sf), b.parts(spark, sf), keep_duplicates=True))
 
 
+@query
+def parts_required_long(spark, sf):
+    """One row per unit, fault and stock number, without lists."""
+    return tickets.required_parts_long(b.gold(spark, sf), b.parts(spark, sf))
+
+
 @query
 def work_orders(spark, sf):
     shipments, gold, parts, _ = _fixture(spark, sf)
@@ -421,6 +435,16 @@ def route_arcs(spark, sf):
     return rounded(arcs_plan(shipments, parts, platforms))
 
 
+@query
+def route_arcs_underway(spark, sf):
+    """Arcs to platforms at sea: the simulated position, held as text, replaces the home port's."""
+    shipments, _, parts, platforms = _fixture(spark, sf)
+    moved = platforms.withColumns(
+        {"sim_lat": (F.col("lat") / 2).cast("string"), "sim_lon": (F.col("long") / 2 + 1).cast("string")}
+    )
+    return rounded(arcs_plan(shipments, parts, moved))
+
+
 @query
 def spread_duplicates(spark, sf):
     return rounded(spread.spread_on_circle(b.raw_platforms(spark, sf), ["designator"]))
@@ -438,7 +462,7 @@ def jitter_duplicates(spark, sf):
 def sliced_numbering(spark, sf):
     """Orders numbered by date through the sliced path, whatever their count."""
     orders = b.table(spark, sf, "orders").select("o_orderdate", "o_orderkey")
-    numbered = ranking.number_rows(orders, ["o_orderdate", "o_orderkey"], "n", one_task_rows=0)
+    numbered = ranking.number_rows(orders, ["o_orderdate", "o_orderkey"], "n")
     return numbered.select("o_orderkey", "n")
 
 
@@ -447,7 +471,7 @@ def sliced_numbering_by_status(spark, sf):
     """Orders numbered by date within each of three hot statuses, through the sliced path."""
     orders = b.table(spark, sf, "orders").select("o_orderstatus", "o_orderdate", "o_orderkey")
     numbered = ranking.number_rows(
-        orders, ["o_orderdate", "o_orderkey"], "n", group=["o_orderstatus"], one_task_rows=0
+        orders, ["o_orderdate", "o_orderkey"], "n", group=["o_orderstatus"]
     )
     return numbered.select("o_orderkey", "n")
 
@@ -474,6 +498,20 @@ def running_energy(spark, sf):
     )
 
 
+@query
+def running_total_null_keys(spark, sf):
+    """Running revenue by status and priority where both are partly null: null keys are keys."""
+    orders = b.table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.nullif("o_orderstatus", F.lit("O")).alias("status"),
+        F.nullif(F.substring("o_orderpriority", 1, 1), F.lit("3")).alias("level"),
+        F.round(F.col("o_totalprice") * 100, 0).cast("bigint").alias("cents"),
+    )
+    return ranking.running_total(orders, ["status"], "level", ["o_orderkey"], F.col("cents"), "running").select(
+        "o_orderkey", "running"
+    )
+
+
 @query
 def datetime_features(spark, sf):
     hours = b.sensor_silver(spark, sf).select("turbine_id", "hourly_timestamp")
@@ -568,7 +606,7 @@ def feature_pk_check(spark, sf):
 
 
 def _event_stream(spark, sf):
-    # The table folder is the landing folder; its events file is the only drop the glob lets in.
+    # The table folder is the landing folder; its events are the only drop the glob lets in.
     return ingest.file_stream(pin(spark), sf, EVENTS, glob="events.parquet")
 
 
@@ -576,11 +614,95 @@ def _event_stream(spark, sf):
 def stream_ingest(spark, sf):
     """Events through the drop rules of a stream into a Parquet sink."""
     folder = new_folder(spark, "stream-ingest")
-    timed = _event_stream(spark, sf).select("event_id", "user_id", "event_type", F.col("value").alias("energy"))
-    rules = [quality.Expectation("correct_energy", "energy > 25", drop=True), *quality.not_null("user_id")]
-    run = ingest.append_to(timed, f"{folder}/table", f"{folder}/state", rules)
-    run.awaitTermination()
-    return rounded(spark.read.schema(timed.schema).parquet(f"{folder}/table"))
+    rules = [quality.Expectation("correct_energy", "value > 25", drop=True), *quality.not_null("user_id")]
+    ingest.ingest_files(pin(spark), sf, f"{folder}/table", f"{folder}/state", EVENTS, rules, glob="events*.parquet")
+    stored = spark.read.schema(EVENTS).parquet(f"{folder}/table")
+    return rounded(stored.select("event_id", "user_id", "event_type", F.col("value").alias("energy")))
+
+
+@query
+def stream_expectation_counts(spark, sf):
+    """Expectation counts summed over many one-file micro-batches, from the stored metrics."""
+    folder = new_folder(spark, "stream-counts")
+    b.table(spark, sf, "events").repartition(16, "event_id").write.parquet(f"{folder}/landing")
+    rules = [
+        quality.Expectation("correct_energy", "value > 25", drop=True),
+        quality.Expectation("known_type", "event_type <> 'error'"),
+    ]
+    ingest.ingest_files(spark, f"{folder}/landing", f"{folder}/table", f"{folder}/state", EVENTS, rules, 1)
+    return ingest.expectation_totals(spark, f"{folder}/table_metrics")
+
+
+@query
+def rescued_landing(spark, sf):
+    """One landing folder whose files differ in types and columns: nothing is lost, odd values are rescued."""
+    folder = new_folder(spark, "rescued-landing")
+    events = b.table(spark, sf, "events")
+    kind, note = F.col("event_type"), F.concat(F.lit("n/a "), "event_type")
+    drops = [
+        events.filter(~kind.isin("error", "view")).select("event_id", "value"),
+        events.filter(kind == "view").select("event_id", "value", "props"),
+        events.filter(kind == "error").select("event_id", note.alias("value")),
+    ]
+    for drop in drops:
+        drop.write.mode("append").parquet(f"{folder}/landing")
+    target = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    ingest.ingest_files(spark, f"{folder}/landing", f"{folder}/table", f"{folder}/state", target)
+    held = spark.read.parquet(f"{folder}/table")
+    return held.select(
+        "event_id",
+        F.round("value", 6).alias("value"),
+        F.col("_rescued_data").isNull().alias("clean"),
+        F.get_json_object("_rescued_data", "$.value").alias("rescued_value"),
+        F.get_json_object("_rescued_data", "$.props").alias("rescued_props"),
+    )
+
+
+@query
+def stream_upsert(spark, sf):
+    """Readings that arrive in three drops, each late for the one before: the upserted hours equal the batch plan."""
+    lake = flow.Lake(spark, new_folder(spark, "upsert"))
+    landing = new_folder(spark, "upsert-landing")
+    readings = b.readings(spark, sf, labelled=False)
+    for drop in range(3):
+        part = readings.filter(F.pmod(F.xxhash64("turbine_id", "timestamp", "energy"), F.lit(3)) == drop)
+        part.write.mode("append").parquet(f"{landing}/incoming_data")
+        flow.ingest_table(lake, landing, "incoming_data")
+        flow.upsert_silver(lake)
+    return flat(lake.read("sensor_silver"))
+
+
+@query
+def replaced_table(spark, sf):
+    """A lake table replaced twice, with another schema: readers see the last version alone."""
+    lake = flow.Lake(spark, new_folder(spark, "replaced"))
+    orders = b.table(spark, sf, "orders")
+    lake.replace("status", orders.select("o_orderkey", "o_orderstatus"))
+    lake.replace("status", orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")))
+    return lake.read("status")
+
+
+@query
+def ordered_files(spark, sf):
+    """Files of consecutive, sorted stretches of time: rows whose file starts before another file's end."""
+    folder = new_folder(spark, "ordered")
+    rows = b.readings(spark, sf, labelled=False).select("timestamp", "turbine_id")
+    writers.overwrite_time_ordered(rows, folder, 4)
+    stored = spark.read.parquet(folder).select("timestamp", F.input_file_name().alias("file"))
+    spans = stored.groupBy("file").agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("z"), F.count(F.lit(1)).alias("n"))
+    one, two = spans.alias("one"), spans.alias("two")
+    crossed = one.join(two, (F.col("one.file") != F.col("two.file")) & (F.col("one.a") < F.col("two.z")) & (F.col("two.a") < F.col("one.z")))
+    return spans.agg(F.sum("n").alias("rows"), (F.count(F.lit(1)) <= 4).alias("few_files")).withColumn(
+        "crossed", crossed.agg(F.count(F.lit(1))).scalar()
+    )
+
+
+@query
+def fixed_file_count(spark, sf):
+    folder = new_folder(spark, "fixed-files")
+    writers.overwrite_folder(b.table(spark, sf, "supplier").repartition(7), folder, files=2)
+    stored = spark.read.parquet(folder).select(F.input_file_name().alias("file"))
+    return stored.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("file").alias("files"))
 
 
 @query
@@ -610,10 +732,6 @@ def _frame(spark, sf):
     return staged(learning.training_frame(history, labels)), labels
 
 
-def _train_rows(frame):
-    return frame.filter(F.col("split") == "train").count()
-
-
 @query
 def class_weights(spark, sf):
     return rounded(learning.balancing_weights(silver.training_dataset(b.readings(spark, sf))))
@@ -621,7 +739,7 @@ def class_weights(spark, sf):
 
 @query
 def scaled_features(spark, sf):
-    """The numeric block as the models see it: mean-filled and standardised over all rows."""
+    """The numeric block as the models see it: mean-filled and standardised, here over all rows."""
     rows = staged(learning.prepared(b.sensor_silver(spark, sf)))
     model = Pipeline(stages=learning.feature_stages(calendar=False)[:3]).fit(rows)
     block = model.transform(rows).withColumn("v", vector_to_array("numeric"))
@@ -630,56 +748,93 @@ def scaled_features(spark, sf):
 
 
 @query
-def ml_logreg_eval(spark, sf):
-    frame, labels = _frame(spark, sf)
-    model = learning.fit(learning.logistic_pipeline(_train_rows(frame)), frame)
-    return learning.split_metrics(learning.confusion(model, frame, labels))
+def percentile_vector(spark, sf):
+    """The concatenated percentile vector, missing arrays as zeros."""
+    rows = learning.prepared(b.sensor_silver(spark, sf)).withColumn("v", vector_to_array("percentiles"))
+    size = len(PERCENTILES) * len(SENSORS)
+    return rounded(rows.select(*learning.KEY, *[F.get("v", i).alias(f"v{i + 1}") for i in range(size)]))
 
 
 @query
-def ml_rf_eval(spark, sf):
-    frame, labels = _frame(spark, sf)
-    return learning.split_metrics(learning.confusion(learning.fit(learning.forest_pipeline(), frame), frame, labels))
+def hour_flags(spark, sf):
+    """The one-hot block of the hour of day, as many columns as hours occur, counted by hour and column."""
+    rows = staged(learning.prepared(b.sensor_silver(spark, sf)))
+    stages = [s for s in learning.feature_stages() if set(s.extractParamMap()) and "hour" in str(s.extractParamMap())]
+    flagged = Pipeline(stages=stages[:2]).fit(rows).transform(rows).withColumn("v", vector_to_array("hour_flags"))
+    ones = flagged.select(F.col("hour_of_day").cast("int").alias("hour"), F.array_position("v", F.lit(1.0)).alias("at"), F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("s"))
+    return ones.groupBy("hour", "at").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("flags"))
+
+
+def _fixed_confusion(spark, sf):
+    """Confusion counts of predictions that SQL can state too: the line number decides."""
+    rows = b.table(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") % 5 < 3, "train").when(F.col("l_orderkey") % 5 == 3, "val").otherwise("test").alias("split"),
+        F.col("l_returnflag").alias("label"),
+        F.when(F.col("l_linenumber") <= 3, "N").when(F.col("l_linenumber") <= 5, "A").otherwise("R").alias("prediction"),
+    )
+    return rows.groupBy("split", "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def split_metrics(spark, sf):
+    return rounded(learning.split_metrics(_fixed_confusion(spark, sf)))
 
 
 @query
 def confusion_matrix(spark, sf):
-    frame, labels = _frame(spark, sf)
-    model = learning.fit(learning.forest_pipeline(), frame)
-    return learning.confusion_wide(learning.confusion(model, frame, labels), labels)
+    return learning.confusion_wide(_fixed_confusion(spark, sf), ["A", "N", "R"])
 
 
 @query
 def best_run(spark, sf):
-    """Three candidate runs scored, the best by validation F1."""
+    """Every line number as a run whose F1 on a split is its share of returned lines: the best by validation F1."""
+    lines = b.table(spark, sf, "lineitem").select(
+        F.col("l_linenumber").cast("string").alias("run"),
+        F.when(F.col("l_orderkey") % 5 < 3, "train").when(F.col("l_orderkey") % 5 == 3, "val").otherwise("test").alias("split"),
+        (F.col("l_returnflag") == "R").cast("int").alias("hit"),
+    )
+    scored = lines.groupBy("run", "split").agg(F.avg("hit").alias("weighted_f1"))
+    return rounded(learning.best_run(learning.runs_table(scored)))
+
+
+@query
+def ml_logreg_eval(spark, sf):
     frame, labels = _frame(spark, sf)
-    rows = _train_rows(frame)
-    candidates = [
-        ("logistic", learning.logistic_pipeline(rows, 20)),
-        ("logistic_strong", learning.logistic_pipeline(rows, 20, 0.1)),
-        ("forest", learning.forest_pipeline(20)),
-    ]
-    scored = [
-        (name, learning.split_metrics(learning.confusion(learning.fit(p, frame), frame, labels)))
-        for name, p in candidates
-    ]
-    return learning.best_run(learning.runs_table(spark, scored))
+    model = learning.train(frame, learning.logistic(frame))
+    return learning.split_metrics(learning.confusion(model, frame, labels))
+
+
+@query
+def ml_rf_eval(spark, sf):
+    frame, labels = _frame(spark, sf)
+    model = learning.train(frame, learning.forest(), calendar=False)
+    return learning.split_metrics(learning.confusion(model, frame, labels))
+
+
+@query
+def trained_best_run(spark, sf):
+    """Three candidates on features that are fitted once per feature set, the best by validation F1."""
+    frame, labels = _frame(spark, sf)
+    runs = learning.compare(
+        frame,
+        labels,
+        [("logistic", learning.logistic(frame), True), ("logistic_strong", learning.logistic(frame, 0.1), True), ("forest", learning.forest(), False)],
+    )
+    return learning.best_run(learning.runs_table(runs))
 
 
 @query
 def model_search(spark, sf):
-    """Regularisation strengths compared by a validation split."""
-    frame, _ = _frame(spark, sf)
-    strengths = [learning.INVERSE_REGULARISATION, 1.0]
-    found = learning.search(frame, _train_rows(frame), strengths).fit(frame)
-    return spark.createDataFrame(list(zip(strengths, found.validationMetrics)), "inverse_reg double, f1 double")
+    """Regularisation strengths fitted on the training rows and judged on the validation rows."""
+    frame, labels = _frame(spark, sf)
+    return learning.search(frame, labels, [learning.INVERSE_REGULARISATION, 1.0])
 
 
 @query
 def model_status(spark, sf):
     """Gold status with a trained model as the scorer, counted by prediction and maintenance level."""
     frame, labels = _frame(spark, sf)
-    model = learning.fit(learning.forest_pipeline(20), frame)
+    model = learning.train(frame, learning.forest(), calendar=False)
     gold = gold_plan.status_gold(
         b.sensor_silver(spark, sf),
         b.platform_meta(spark, sf),
@@ -691,16 +846,16 @@ def model_status(spark, sf):
 
 @query
 def registered_scorer(spark, sf):
-    """The logistic model as a SQL function; rows where it differs from the pipeline's own prediction."""
+    """A stored model as a SQL function of the 14 input columns: rows, and rows where it differs from the pipeline."""
     frame, labels = _frame(spark, sf)
-    model = learning.fit(learning.logistic_pipeline(_train_rows(frame), 20), frame)
+    folder = new_folder(spark, "models")
+    learning.publish(spark, learning.train(frame, learning.logistic(frame)), labels, folder, "champion", "run_1")
+    model, labels = learning.published(spark, folder, "champion")
     learning.register_scorer(spark, "predict_maintenance", model, labels)
-    scored = model.transform(frame).withColumn("vector", vector_to_array("features"))
-    names = F.array(*[F.lit(x) for x in labels])
-    both = scored.select(
-        F.expr("predict_maintenance(vector)").alias("by_function"),
-        F.get(names, F.col("prediction").cast("int")).alias("by_pipeline"),
-    )
-    return both.groupBy("by_function").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("by_function") != F.col("by_pipeline")).alias("different")
+    inputs = silver.training_dataset(b.readings(spark, sf)).select(*learning.KEY, *learning.INPUTS[1:])
+    by_pipeline = learning.score_status(model, labels)(inputs).withColumnRenamed("prediction", "by_pipeline")
+    call = f"predict_maintenance({', '.join(learning.INPUTS)})"
+    both = by_pipeline.withColumn("by_function", F.expr(call))
+    return both.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("by_function").eqNullSafe(F.col("by_pipeline"))).alias("different")
     )

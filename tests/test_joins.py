@@ -30,7 +30,7 @@ def test_member_join_left_keeps_unmatched(spark):
 def test_salted_join_equals_plain_join_on_a_hot_key(spark, how):
     facts = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("k"), "id")
     dim = spark.createDataFrame([(i, f"d{i}") for i in range(30)], "k bigint, name string")
-    bounded = joins.join_dimension(facts, dim, "k", how, broadcast_rows=5)
+    bounded = joins.join_dimension(facts, dim, "k", how, salts=8)
     assert "_salt" in bounded._jdf.queryExecution().optimizedPlan().toString()
     assert rows(bounded) == rows(facts.join(dim, "k", how)) == rows(joins.join_dimension(facts, dim, "k", how))
 
@@ -71,6 +71,20 @@ def test_interval_join_excludes_both_ends_and_keeps_overlaps(spark):
     assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_intervals_of_any_length_take_few_copies(spark):
+    rnd = random.Random(4)
+    spans = [("u", s, s + 60 * 4 ** rnd.randrange(0, 9)) for s in range(0, 4_000_000, 40_000)]
+    points = [("u", rnd.randrange(8_000_000)) for _ in range(200)]
+    i = spark.createDataFrame(spans, "u string, s bigint, e bigint")
+    p = spark.createDataFrame(points, "u string, t bigint")
+    joined = joins.interval_join(p, i, ["u"], "t", "s", "e", 60)
+    want = [(u, t, s, e) for u, t in points for _, s, e in spans if s < t < e]
+    assert rows(joined.select("u", "t", "s", "e")) == sorted(want, key=repr)
+    step = 60 * F.pow(F.lit(4), F.ceil(F.log2((F.col("e") - F.col("s")) / 60) / 2)).cast("bigint")
+    touched = F.floor(F.col("e") / step) - F.floor(F.col("s") / step) + 1
+    assert i.select(F.max(touched)).first()[0] <= 3
+
+
 def test_modulo_assign(spark):
     units = spark.range(10).withColumnRenamed("id", "unit")
     owners = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "name string, no bigint")

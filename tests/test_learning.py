@@ -1,7 +1,6 @@
 import pytest
 from conftest import rows
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from fleetwarden.operators.sampling import with_split
@@ -19,8 +18,7 @@ def trained(spark, sf):
     history = staged(history)
     labels = learning.known_labels(history)
     frame = staged(learning.training_frame(history, labels))
-    train = frame.filter("split = 'train'").count()
-    return frame, labels, learning.fit(learning.logistic_pipeline(train, 40), frame), train
+    return frame, labels, learning.train(frame, learning.logistic(frame, iterations=40)), history
 
 
 def test_metrics_equal_the_evaluator(trained):
@@ -36,17 +34,27 @@ def test_metrics_equal_the_evaluator(trained):
 
 def test_weights_balance_the_classes(trained):
     frame, _, _, _ = trained
-    totals = [r[1] for r in rows(frame.groupBy("abnormal_sensor").agg(F.sum("weight")))]
+    fitted = frame.filter("split = 'train'")
+    totals = [r[1] for r in rows(fitted.groupBy("abnormal_sensor").agg(F.sum("weight")))]
     assert totals[0] == pytest.approx(totals[1])
 
 
 def test_registered_function_agrees_with_the_pipeline(spark, trained):
-    frame, labels, model, _ = trained
+    _, labels, model, history = trained
     learning.register_scorer(spark, "predict_maintenance_t", model, labels)
-    scored = model.transform(frame).withColumn("v", vector_to_array("features"))
-    names = F.array(*[F.lit(x) for x in labels])
-    differ = scored.filter(F.expr("predict_maintenance_t(v)") != F.get(names, F.col("prediction").cast("int")))
-    assert differ.isEmpty()
+    inputs = history.select("turbine_id", *learning.INPUTS)
+    gaps = inputs.limit(20).withColumns({"avg_energy": F.lit(None).cast("double"), "percentiles_sensor_A": F.lit(None).cast("array<double>")})
+    scored = learning.score_status(model, labels)(inputs.unionByName(gaps))
+    differ = scored.filter(F.expr(f"predict_maintenance_t({', '.join(learning.INPUTS)})") != F.col("prediction"))
+    assert differ.isEmpty() and len(learning.INPUTS) == 14
+
+
+def test_search_judges_on_validation_rows(spark, trained):
+    frame, labels, _, _ = trained
+    found = rows(learning.search(frame, labels, [18.0, 1e-3]))
+    assert [c for c, _ in found] == [0.001, 18.0] and found[1][1] > found[0][1]
+    lying = frame.withColumn("label", F.when(F.col("split") == "test", 1 - F.col("label")).otherwise(F.col("label")))
+    assert rows(learning.search(lying, labels, [18.0])) == [found[1]]
 
 
 def test_publish_and_score(spark, trained, tmp_path):
@@ -65,8 +73,10 @@ def test_best_run_and_confusion_matrix(spark, trained):
     counts = staged(learning.confusion(model, frame, labels))
     wide = learning.confusion_wide(counts, labels).collect()
     assert sum(r[f"predicted_{x}"] for r in wide for x in labels) == frame.filter("split = 'val'").count()
-    runs = learning.runs_table(spark, [("a", learning.split_metrics(counts))])
-    assert learning.best_run(runs.withColumn("val_f1", F.lit(0.5))).first()["run"] == "a"
+    metrics = learning.split_metrics(counts).withColumn("run", F.lit("a"))
+    part = metrics.filter("split <> 'test'").withColumn("run", F.lit("b"))
+    runs = {r["run"]: r for r in learning.runs_table(metrics.unionByName(part)).collect()}
+    assert runs["b"]["test_f1"] is None and runs["a"]["val_f1"] == runs["b"]["val_f1"]
 
 
 def test_split_covers_every_row(spark, sf):

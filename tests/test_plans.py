@@ -4,10 +4,11 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from fleetwarden.functions.arrays import clean_request
-from fleetwarden.operators import spread
-from fleetwarden.plans import gold, supply, tickets
+from fleetwarden.operators import spread, transport
+from fleetwarden.plans import gold, routes, supply, tickets
 from fleetwarden.plans import bindings as b
 from fleetwarden.schemas import maintenance_actions
+from fleetwarden.session import staged
 from fleetwarden.sources import readers
 
 
@@ -112,7 +113,27 @@ def test_request_coercion(spark):
     assert got == [(0.0, [1.0, 2.0], [1.0]), (0.0, [0.0, 0.0], [0.0, 0.0]), (2.5, [0.0, 0.0], [3.0])]
 
 
-def test_no_single_task_window_or_nested_loop_on_big_inputs(spark, sf):
-    plan = b.gold(spark, sf)._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+def test_no_single_task_and_no_nested_loop_on_big_inputs(spark, sf):
+    parts_, platforms = b.parts(spark, sf), b.platforms(spark, sf)
+    gold = b.gold(spark, sf, platforms)
+    lp = supply.lp_table(parts_, platforms, gold)
+    frames = {
+        "gold": gold,
+        "lp": lp,
+        "plan": transport.transport_plan(staged(lp), "home_location_id"),
+        "parts": tickets.required_parts(gold, parts_),
+        "arcs": routes.route_arcs(b.fixture_shipments(lp, parts_, platforms), parts_, platforms),
+    }
+    for name, frame in frames.items():
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan and "SinglePartition" not in plan, name
+
+
+def test_products_without_a_route_are_reported(spark):
+    lp = spark.createDataFrame(
+        [("p", "s1", "d1", "h1", 1.0, 0, 1), ("p", "s2", "d2", "h2", 1.0, 9, 1), ("q", "s2", "d2", "h2", 1.0, 9, 1)],
+        "type string, stock_location_id string, designator_id string, home_location_id string, cost double, supply int, demand int",
+    )
+    plan = staged(transport.transport_plan(lp, "home_location_id"))
+    assert rows(supply.infeasible_products(lp, plan).select("type")) == [("p",)]
     assert readers.sensor_columns(b.readings(spark, sf))[-1] == "abnormal_sensor"

@@ -17,16 +17,23 @@ def test_ties_take_the_highest_place(spark):
 
 def test_sliced_numbering_equals_a_window(spark):
     df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("k"), F.hash("id").alias("v"), "id")
-    sliced = ranking.number_rows(df, ["v", "id"], "n", one_task_rows=10, slices=6)
+    sliced = ranking.number_rows(df, ["v", "id"], "n", slices=6)
     assert rows(sliced) == rows(df.withColumn("n", F.row_number().over(W.orderBy("v", "id"))))
-    grouped = ranking.number_rows(df, ["v", "id"], "n", group=["k"], one_task_rows=10, slices=6)
+    grouped = ranking.number_rows(df, ["v", "id"], "n", group=["k"], slices=6)
     assert rows(grouped) == rows(df.withColumn("n", F.row_number().over(W.partitionBy("k").orderBy("v", "id"))))
 
 
 def test_sliced_numbering_with_null_groups(spark):
     df = spark.createDataFrame([(None if i % 2 else 1.5, i) for i in range(100)], "g double, i int")
-    got = ranking.number_rows(df, ["i"], "n", group=["g"], one_task_rows=5, slices=4)
-    assert rows(got) == rows(ranking.number_rows(df, ["i"], "n", group=["g"]))
+    got = ranking.number_rows(df, ["i"], "n", group=["g"], slices=4)
+    assert got.schema["n"].dataType.simpleString() == "bigint"
+    assert rows(got) == rows(df.withColumn("n", F.row_number().over(W.partitionBy("g").orderBy("i"))))
+
+
+def test_running_total_keeps_null_groups_and_chunks(spark):
+    df = spark.createDataFrame([(None, 1, 1, 5), (None, None, 2, 7), ("a", None, 3, 1), ("a", 2, 4, 2)], "g string, c int, i int, v int")
+    got = {r["i"]: r["t"] for r in ranking.running_total(df, ["g"], "c", ["i"], F.col("v"), "t").collect()}
+    assert got == {2: 7, 1: 12, 3: 1, 4: 3}
 
 
 def test_running_total_equals_a_window(spark):
@@ -75,7 +82,6 @@ def test_pivot_and_back(spark):
     assert wide.columns == ["t", "Cost_1", "Cost_2"] and rows(wide) == [("a", 5.0, 6.0), ("b", 7.0, None)]
     long = reshape.unpivot_prefixed(wide, ["t"], "Cost_", "d", "c").dropna()
     assert rows(long) == [("a", "1", 5.0), ("a", "2", 6.0), ("b", "1", 7.0)]
-    assert reshape.columns_matching(wide, "Cost_") == ["Cost_1", "Cost_2"]
 
 
 def test_time_grid_and_fleet(spark):

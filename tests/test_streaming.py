@@ -29,9 +29,7 @@ def test_ingest_takes_each_file_once_and_restarts(spark, tmp_path):
     schema = spark.createDataFrame([], SCHEMA).schema
 
     def run():
-        q = ingest.append_to(ingest.file_stream(spark, landing + "/*", schema, 1), table, state, rules)
-        q.awaitTermination()
-        return ingest.observed_totals(q)
+        return ingest.ingest_files(spark, landing, table, state, schema, rules, 1)
 
     os.makedirs(landing)
     drop(spark, landing, [("u", at(0), 1.0), ("u", at(1), -1.0), ("u", at(2), None)], "a")
@@ -42,6 +40,23 @@ def test_ingest_takes_each_file_once_and_restarts(spark, tmp_path):
     assert second["rows"] == 1 and second["small"] == 1
     assert rows(spark.read.parquet(table).select("turbine_id", "energy")) == [("u", 1.0), ("v", 500.0)]
     assert run() == {}
+    totals = {r["rule"]: (r["rows"], r["violations"]) for r in ingest.expectation_totals(spark, f"{table}_metrics").collect()}
+    assert totals == {"positive": (4, 2), "small": (4, 2), "dropped": (4, 2)}
+
+
+def test_files_of_other_types_and_columns_lose_nothing(spark, tmp_path):
+    landing, table, state = (str(tmp_path / n) for n in ("landing", "table", "state"))
+    for frame in (
+        spark.createDataFrame([(1, 2.0)], "id int, v double"),
+        spark.createDataFrame([(2, "x")], "id int, v string"),
+        spark.createDataFrame([(3, 3.0, "n")], "id int, v double, note string"),
+        spark.createDataFrame([(4,)], "id int"),
+    ):
+        frame.coalesce(1).write.mode("append").parquet(landing)
+    target = spark.createDataFrame([], "id int, v double").schema
+    ingest.ingest_files(spark, landing, table, state, target)
+    got = rows(spark.read.parquet(table).select("id", "v", "_rescued_data"))
+    assert got == [(1, 2.0, None), (2, None, '{"v":"x"}'), (3, 3.0, '{"note":"n"}'), (4, None, None)]
 
 
 def test_hourly_state_equals_the_batch(spark, sf, tmp_path):
