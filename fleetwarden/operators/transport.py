@@ -12,7 +12,10 @@ from fleetwarden.operators.joins import join_dimension
 from fleetwarden.operators.ranking import running_total
 from fleetwarden.session import ship, staged
 
-FLOW_SCHEMA = "type string, stock_location_id string, lane string, flow bigint"
+FLOW_SCHEMA = (
+    "type string, stock_location_id string, lane string, flow bigint, cost double, supply bigint, demand bigint, "
+    "site_price double, lane_price double"
+)
 CHUNKS = 64
 
 
@@ -65,22 +68,113 @@ def cheapest_flow(cost: np.ndarray, supply: np.ndarray, demand: np.ndarray) -> n
     return flow
 
 
+def prices(cost: np.ndarray, supply: np.ndarray, flow: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Site and lane prices that prove a plan least-cost: cost + site price >= lane price everywhere, equal where
+    something flows, and a site with stock to spare costs nothing.
+
+    All conditions bound differences of prices, so shortest distances that start from zero everywhere meet them; they
+    settle because a least-cost plan leaves no cycle of re-routings that gains. Spare stock is the price of zero.
+    """
+    spare = supply > flow.sum(axis=1)
+    shipped = np.where(flow > 0, cost, 0.0)
+    site, lane, zero = np.zeros(cost.shape[0]), np.zeros(cost.shape[1]), 0.0
+    for _ in range(sum(cost.shape) + 2):
+        before = (*site, *lane, zero)
+        lane = np.minimum(lane, (site[:, None] + cost).min(axis=0))
+        site = np.minimum(site, np.where(flow > 0, lane - shipped, np.inf).min(axis=1))
+        site = np.where(spare, np.minimum(site, zero), site)
+        zero = min(zero, float(site.min()))
+        if before == (*site, *lane, zero):
+            break
+    return site - zero, lane - zero
+
+
 def solve_product(rows: pd.DataFrame) -> pd.DataFrame:
-    """Flows of one product; a product that cannot be served gives one row of nulls."""
+    """Flows of one product with their prices; a product that cannot be served gives one row of nulls."""
     product = rows["type"].iloc[0]
     cost = rows.pivot(index="stock_location_id", columns="lane", values="cost").sort_index().sort_index(axis=1)
     supply = rows.groupby("stock_location_id")["supply"].max().reindex(cost.index).to_numpy()
     demand = rows.groupby("lane")["demand"].max().reindex(cost.columns).to_numpy()
-    flow = cheapest_flow(cost.fillna(np.inf).to_numpy(), supply, demand)
+    costs = cost.fillna(np.inf).to_numpy()
+    flow = cheapest_flow(costs, supply, demand)
+    names = [part.split()[0] for part in FLOW_SCHEMA.split(", ")]
     if flow is None:
-        return pd.DataFrame({"type": [product], "stock_location_id": [None], "lane": [None], "flow": [None]})
+        return pd.DataFrame([[product, *[None] * (len(names) - 1)]], columns=names)
+    site_price, lane_price = prices(costs, supply, flow)
     out = pd.DataFrame(flow, index=cost.index, columns=cost.columns).stack().rename("flow").reset_index()
-    out["type"] = product
-    return out[["type", "stock_location_id", "lane", "flow"]]
+    sites, lanes = flow.shape
+    out["type"], out["cost"] = product, cost.to_numpy().ravel()
+    out["supply"], out["demand"] = np.repeat(supply, lanes), np.tile(demand, sites)
+    out["site_price"], out["lane_price"] = np.repeat(site_price, lanes), np.tile(lane_price, sites)
+    return out[names]
+
+
+def solve(problem: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Flows and prices of every product, from rows (type, stock_location_id, lane, cost, supply, demand); a task gets
+    the sites x lanes rows of one product."""
+    ship(problem.sparkSession)
+    tasks = tasks or int(problem.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return staged(problem.repartition(tasks, "type").groupBy("type").applyInPandas(solve_product, FLOW_SCHEMA))
+
+
+def optimality(flows: DataFrame) -> DataFrame:
+    """Per solved product: its cost, and how many price conditions its plan breaks; none means that it is least-cost."""
+    solved = flows.filter(F.col("lane").isNotNull())
+    gap = F.col("cost") + F.col("site_price") - F.col("lane_price")
+    used = F.sum("flow").over(W.partitionBy("type", "stock_location_id"))
+    idle = (F.col("site_price") > 1e-9) & (used < F.col("supply"))
+    return (
+        solved.withColumns({"_gap": gap, "_idle": idle})
+        .groupBy("type")
+        .agg(
+            F.sum(F.col("flow") * F.coalesce("cost", F.lit(0.0))).alias("total_cost"),
+            F.count_if((F.col("_gap") < -1e-9) | (F.col("site_price") < -1e-9)).alias("reduced_cost_violations"),
+            F.count_if(((F.col("flow") > 0) & (F.abs("_gap") > 1e-9)) | F.col("_idle")).alias("slack_violations"),
+        )
+    )
+
+
+def shipments(asked: DataFrame, stock: DataFrame, cost: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(quantities shipped, flows with prices) without a table of all routes.
+
+    asked has type, designator_id, lane, demand; stock has type, stock_location_id, supply; cost has
+    stock_location_id, lane, cost. Demand is summed per lane, each product is solved over sites x lanes, and a lane's
+    flow is dealt out to the designators that ask something, by laying flows and demands along the same line.
+    Products that cannot be served give one row of nulls, also those without any stock.
+    """
+    asked = asked.filter(F.col("demand") > 0)
+    wanted = asked.groupBy("type", "lane").agg(F.sum("demand").alias("demand"))
+    problem = (
+        wanted.join(stock.withColumn("supply", F.col("supply").cast("bigint")), "type")
+        .join(cost, ["stock_location_id", "lane"], "left")
+        .select("type", "stock_location_id", "lane", "cost", "supply", "demand")
+    )
+    flows = solve(problem)
+    along = W.partitionBy("type", "lane").orderBy("stock_location_id").rowsBetween(W.unboundedPreceding, 0)
+    placed = flows.filter(F.col("flow") > 0).select(
+        "type", "lane", "stock_location_id", "flow", F.sum("flow").over(along).alias("flow_end")
+    )
+    chunked = asked.withColumn("_chunk", F.pmod(F.xxhash64("designator_id"), F.lit(CHUNKS)))
+    laid = running_total(chunked, ["type", "lane"], "_chunk", ["designator_id"], F.col("demand"), "asked_end")
+    overlap = F.least("flow_end", "asked_end") - F.greatest(
+        F.col("flow_end") - F.col("flow"), F.col("asked_end") - F.col("demand")
+    )
+    dealt = laid.join(placed, ["type", "lane"]).select(
+        "type", "stock_location_id", "designator_id", overlap.cast("int").alias("qty_shipped")
+    )
+    unserved = flows.filter(F.col("lane").isNull()).select("type").unionByName(
+        wanted.select("type").distinct().join(stock, "type", "left_anti")
+    )
+    nothing = unserved.select(
+        "type",
+        *[F.lit(None).cast(dealt.schema[c].dataType).alias(c) for c in ("stock_location_id", "designator_id", "qty_shipped")],
+    )
+    return dealt.filter(F.col("qty_shipped") > 0).unionByName(nothing), flows
 
 
 def transport_plan(lp: DataFrame, lane: str | None = None, tasks: int | None = None) -> DataFrame:
-    """Quantities per (type, stock_location_id, designator_id); unservable products give one row of nulls.
+    """Quantities per (type, stock_location_id, designator_id), zeros included; unservable products give one row of
+    nulls. `shipments` makes the same plan without the table of all routes.
 
     `lp` is long: type, stock_location_id, designator_id, cost, supply, demand. Designators of one `lane`
     (same cost from every site, such as one home port) are interchangeable, so a product's task gets sites x
@@ -88,13 +182,11 @@ def transport_plan(lp: DataFrame, lane: str | None = None, tasks: int | None = N
     laying site flows and designator demands along the same line and taking the overlaps.
     """
     lane = lane or "designator_id"
-    tasks = tasks or int(lp.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lp = lp.withColumn("lane", F.col(lane).cast("string"))
     problem = lp.groupBy("type", "stock_location_id", "lane").agg(
         F.max("cost").alias("cost"), F.max("supply").cast("bigint").alias("supply"), F.sum("demand").alias("demand")
     )
-    ship(problem.sparkSession)
-    flows = problem.repartition(tasks, "type").groupBy("type").applyInPandas(solve_product, FLOW_SCHEMA)
+    flows = solve(problem, tasks)
     if lane == "designator_id":
         return flows.select(
             "type",
@@ -102,12 +194,14 @@ def transport_plan(lp: DataFrame, lane: str | None = None, tasks: int | None = N
             F.col("lane").cast(lp.schema["designator_id"].dataType).alias("designator_id"),
             F.col("flow").cast("int").alias("qty_shipped"),
         )
-    return _deal_out(lp, staged(flows))
+    return _deal_out(lp, flows)
 
 
 def _deal_out(lp: DataFrame, flows: DataFrame) -> DataFrame:
     along = W.partitionBy("type", "lane").orderBy("stock_location_id").rowsBetween(W.unboundedPreceding, 0)
-    placed = flows.filter(F.col("flow") > 0).withColumn("flow_end", F.sum("flow").over(along))
+    placed = flows.filter(F.col("flow") > 0).select(
+        "type", "stock_location_id", "lane", "flow", F.sum("flow").over(along).alias("flow_end")
+    )
     asked = lp.withColumn("_chunk", F.pmod(F.xxhash64("designator_id"), F.lit(CHUNKS)))
     asked = running_total(
         asked, ["type", "stock_location_id", "lane"], "_chunk", ["designator_id"], F.col("demand"), "asked_end"
@@ -137,27 +231,32 @@ def _deal_out(lp: DataFrame, flows: DataFrame) -> DataFrame:
 
 def feasibility(lp: DataFrame) -> DataFrame:
     """Per product: total supply, total demand and whether the supply suffices (every site reaches everyone)."""
-    supply = lp.groupBy("type", "stock_location_id").agg(F.max("supply").alias("s"))
-    demand = lp.groupBy("type", "designator_id").agg(F.max("demand").alias("d"))
+    stock = lp.groupBy("type", "stock_location_id").agg(F.max("supply").alias("supply"))
+    asked = lp.groupBy("type", "designator_id").agg(F.max("demand").alias("demand"))
+    return totals(stock, asked)
+
+
+def totals(stock: DataFrame, asked: DataFrame) -> DataFrame:
+    """Per asked product: total supply, total demand and whether the supply suffices."""
     return (
-        supply.groupBy("type")
-        .agg(F.sum("s").alias("total_supply"))
-        .join(demand.groupBy("type").agg(F.sum("d").alias("total_demand")), "type")
+        asked.groupBy("type")
+        .agg(F.sum("demand").alias("total_demand"))
+        .join(stock.groupBy("type").agg(F.sum("supply").alias("total_supply")), "type", "left")
+        .fillna(0, ["total_supply"])
         .withColumn("feasible", F.col("total_supply") >= F.col("total_demand"))
     )
 
 
-def plan_audit(lp: DataFrame, plan: DataFrame) -> DataFrame:
+def plan_audit(asked: DataFrame, stock: DataFrame, plan: DataFrame) -> DataFrame:
     """Per solved product: shipped units, sites over their supply, designators short of their demand."""
-    joined = lp.join(plan, ["type", "stock_location_id", "designator_id"])
-    sites = joined.groupBy("type", "stock_location_id").agg(
-        F.sum("qty_shipped").alias("shipped"), F.max("supply").alias("supply")
-    )
-    asked = joined.groupBy("type", "designator_id").agg(
-        F.sum("qty_shipped").alias("got"), F.max("demand").alias("wanted")
+    solved = plan.filter(F.col("stock_location_id").isNotNull())
+    left = solved.groupBy("type", "stock_location_id").agg(F.sum("qty_shipped").alias("shipped"))
+    sites = left.join(stock, ["type", "stock_location_id"], "left").groupBy("type").agg(
+        F.sum("shipped").alias("shipped"),
+        F.count_if(F.col("shipped") > F.coalesce("supply", F.lit(0))).alias("sites_overdrawn"),
     )
-    a = sites.groupBy("type").agg(
-        F.sum("shipped").alias("shipped"), F.count_if(F.col("shipped") > F.col("supply")).alias("sites_overdrawn")
+    got = solved.groupBy("type", "designator_id").agg(F.sum("qty_shipped").alias("got"))
+    short = asked.join(got, ["type", "designator_id"], "left").groupBy("type").agg(
+        F.count_if(F.coalesce("got", F.lit(0)) < F.col("demand")).alias("designators_short")
     )
-    b = asked.groupBy("type").agg(F.count_if(F.col("got") < F.col("wanted")).alias("designators_short"))
-    return a.join(b, "type")
+    return sites.join(short, "type")

@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from fleetwarden.operators.quality import Expectation
 from fleetwarden.operators.scoring import placeholder_prediction
-from fleetwarden.operators.transport import transport_plan
 from fleetwarden.plans import gold, routes, silver, supply, tickets
 from fleetwarden.schemas import MAINTENANCE, PARTS, READINGS, maintenance_actions
 from fleetwarden.session import exists, pin, remove
@@ -157,10 +156,13 @@ def refresh_shipments(lake: Lake, cost: str = "rank") -> None:
     simulated = [c for c in ("sim_lat", "sim_lon") if c in meta.columns]
     platforms = lake.replace("platforms", meta.select(*columns, *simulated).distinct())
     lake.replace("shipping_cost", supply.shipping_cost(parts, platforms, cost))
-    lp = lake.replace("lp_table", supply.lp_table(parts, platforms, lake.read("ship_current_status_gold"), cost))
-    plan = lake.replace("transport_plan", transport_plan(lp, "home_location_id"))
+    gold_table = lake.read("ship_current_status_gold")
+    lake.replace("lp_table", supply.lp_table(parts, platforms, gold_table, cost))
+    made = supply.Shipping(parts, platforms, gold_table, cost)
+    lake.replace("transport_flows", made.flows)
+    plan = lake.replace("transport_plan", made.plan)
     lake.replace("shipment_recommendations", supply.with_names(plan, parts, platforms))
-    lake.replace("infeasible_products", supply.infeasible_products(lp, plan))
+    lake.replace("infeasible_products", supply.infeasible_products(made.asked, made.stock, plan))
 
 
 def refresh_tickets(lake: Lake) -> None:

@@ -9,7 +9,7 @@ from fleetwarden.functions.geo import haversine_km
 from fleetwarden.operators.joins import join_dimension, member_join, pair_grid
 from fleetwarden.operators.ranking import rank_ties_last
 from fleetwarden.operators.reshape import pivot_prefixed
-from fleetwarden.operators.transport import feasibility, transport_plan
+from fleetwarden.operators.transport import shipments, totals
 from fleetwarden.session import staged
 
 ZERO_DISTANCE = 0.1
@@ -127,12 +127,24 @@ def with_names(plan: DataFrame, parts: DataFrame, platforms: DataFrame) -> DataF
     return join_dimension(join_dimension(plan, sites, "stock_location_id"), names, "designator_id")
 
 
-def shipment_recommendations(lp: DataFrame, parts: DataFrame, platforms: DataFrame) -> DataFrame:
-    lane = "home_location_id" if "home_location_id" in lp.columns else None
-    return with_names(transport_plan(lp, lane), parts, platforms)
+class Shipping:
+    """What the transport plan needs, each part stored once: asked, stock and cost; then plan and flows."""
+
+    def __init__(self, parts: DataFrame, platforms: DataFrame, gold: DataFrame, cost: str = "rank"):
+        ports = platforms.select("designator_id", F.col("home_location_id").alias("lane")).distinct()
+        asked = demand(gold, parts).withColumnRenamed("parts", "type")
+        self.asked = staged(join_dimension(asked, ports, "designator_id"))
+        self.stock = staged(join_dimension(supply(parts), self.asked.select("type").distinct(), "type", "left_semi"))
+        self.cost = staged(
+            shipping_cost(parts, platforms, cost).select(
+                F.col("stock_location").alias("stock_location_id"), F.col("homeport").alias("lane"), F.col("distance").alias("cost")
+            )
+        )
+        plan, self.flows = shipments(self.asked, self.stock, self.cost)
+        self.plan = staged(plan)
 
 
-def infeasible_products(lp: DataFrame, plan: DataFrame) -> DataFrame:
+def infeasible_products(asked: DataFrame, stock: DataFrame, plan: DataFrame) -> DataFrame:
     """Products that the solver could not serve, for lack of stock or of a route, with their totals."""
     unserved = plan.filter(F.col("stock_location_id").isNull()).select("type").distinct()
-    return feasibility(lp).drop("feasible").join(unserved, "type", "left_semi")
+    return totals(stock, asked).select("type", "total_supply", "total_demand").join(unserved, "type", "left_semi")

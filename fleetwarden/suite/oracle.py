@@ -387,6 +387,11 @@ ORACLE: dict[str, str] = {
       SELECT * FROM c JOIN s USING (type) JOIN d USING (type)""",
     "transport_feasibility": f"WITH {FEASIBLE} SELECT * FROM feasible",
     "infeasible_products": f"WITH {FEASIBLE} SELECT type, total_supply, total_demand FROM feasible WHERE NOT feasible",
+    "transport_optimality": f"""WITH {FEASIBLE} SELECT type, 0::BIGINT AS reduced_cost_violations,
+      0::BIGINT AS slack_violations FROM feasible WHERE feasible""",
+    "shipment_totals": f"""WITH {FEASIBLE} SELECT type, home_location_id AS lane, sum(demand)::BIGINT AS shipped
+      FROM (SELECT DISTINCT type, designator_id, home_location_id, demand FROM lp) JOIN feasible USING (type)
+      WHERE feasible AND demand > 0 GROUP BY ALL""",
     "transport_audit": f"""WITH {FEASIBLE} SELECT type, total_demand AS shipped, 0::BIGINT AS sites_overdrawn,
       0::BIGINT AS designators_short FROM feasible WHERE feasible""",
     "part_orders": f"""WITH {SHIPMENTS} SELECT stock_location_id, designator_id, type, qty_shipped, stock_location,

@@ -284,6 +284,11 @@ def _lp(spark, sf):
     return supply.lp_table(parts, platforms, b.gold(spark, sf, platforms)), parts, platforms
 
 
+def _shipping(spark, sf):
+    parts, platforms = _dims(spark, sf)
+    return supply.Shipping(parts, platforms, b.gold(spark, sf, platforms))
+
+
 @query
 def parts_inventory(spark, sf):
     return flat(b.parts(spark, sf))
@@ -350,31 +355,48 @@ def lp_wide(spark, sf):
 
 @query
 def transport_feasibility(spark, sf):
-    return transport.feasibility(staged(_lp(spark, sf)[0]))
+    made = _shipping(spark, sf)
+    return transport.totals(made.stock, made.asked)
 
 
 @query
 def infeasible_products(spark, sf):
-    lp = staged(_lp(spark, sf)[0])
-    return supply.infeasible_products(lp, staged(transport.transport_plan(lp, "home_location_id")))
+    made = _shipping(spark, sf)
+    return supply.infeasible_products(made.asked, made.stock, made.plan)
 
 
 @query
 def transport_plan(spark, sf):
-    return transport.transport_plan(staged(_lp(spark, sf)[0]), "home_location_id")
+    return _shipping(spark, sf).plan
 
 
 @query
 def transport_audit(spark, sf):
     """The solved plan checked: demand met exactly, no site overdrawn, no designator short."""
-    lp = staged(_lp(spark, sf)[0])
-    return transport.plan_audit(lp, transport.transport_plan(lp, "home_location_id"))
+    made = _shipping(spark, sf)
+    return transport.plan_audit(made.asked, made.stock, made.plan)
+
+
+@query
+def transport_optimality(spark, sf):
+    """The plan's prices checked: no route is too cheap, nothing flows at a loss, no idle stock has a price."""
+    return transport.optimality(_shipping(spark, sf).flows).drop("total_cost")
+
+
+@query
+def shipment_totals(spark, sf):
+    """Shipped units per product and home port."""
+    made = _shipping(spark, sf)
+    lanes = made.asked.select("designator_id", "lane").distinct()
+    shipped = made.plan.join(lanes, "designator_id").groupBy("type", "lane")
+    return shipped.agg(F.sum("qty_shipped").alias("shipped"))
 
 
 @query
 def shipment_recommendations(spark, sf):
-    lp, parts, platforms = _lp(spark, sf)
-    return supply.shipment_recommendations(staged(lp), parts, platforms)
+    parts, platforms = _dims(spark, sf)
+    made = supply.Shipping(parts, platforms, b.gold(spark, sf, platforms))
+    return supply.with_names(made.plan, parts, platforms)
 
 
 # ---- tickets and routes ------------------------------------------------------------------------------------
@@ -425,7 +447,7 @@ def planned_work_orders(spark, sf):
     """Work orders on the solver's own shipments."""
     parts, platforms = _dims(spark, sf)
     gold = staged(_ticket_columns(b.gold(spark, sf, platforms)))
-    plan = staged(supply.shipment_recommendations(staged(supply.lp_table(parts, platforms, gold)), parts, platforms))
+    plan = staged(supply.with_names(supply.Shipping(parts, platforms, gold).plan, parts, platforms))
     return flat(tickets.work_orders(gold, parts, staged(tickets.part_orders(plan))))
 
 

@@ -73,13 +73,54 @@ def test_lanes_give_the_same_cost_as_single_designators(spark):
     assert total(by_lane) == total(single)
     solved = {r["type"] for r in transport.feasibility(lp).filter("feasible").collect()}
     assert 0 < len(solved) < 6
-    audit = transport.plan_audit(lp, by_lane).collect()
+    stock = lp.groupBy("type", "stock_location_id").agg(F.max("supply").alias("supply"))
+    asked = lp.select("type", "designator_id", F.col("home_location_id").alias("lane"), "demand").distinct()
+    audit = transport.plan_audit(asked, stock, by_lane).collect()
     assert {r["type"] for r in audit} == solved
     assert all(r["sites_overdrawn"] == 0 and r["designators_short"] == 0 for r in audit)
     nothing = [tuple(r) for r in by_lane.filter("designator_id IS NULL").collect()]
     assert {n[0] for n in nothing} == {f"t{i}" for i in range(6)} - solved and all(n[1:] == (None,) * 3 for n in nothing)
 
 
+def test_prices_prove_random_plans():
+    rnd = np.random.default_rng(8)
+    solved = 0
+    for _ in range(400):
+        sites, lanes = rnd.integers(1, 5, 2)
+        cost = rnd.integers(0, 7, (sites, lanes)).astype(float)
+        cost[rnd.random((sites, lanes)) < 0.15] = np.inf
+        supply, demand = rnd.integers(0, 6, sites), rnd.integers(1, 5, lanes)
+        flow = transport.cheapest_flow(cost, supply, demand)
+        if flow is None:
+            continue
+        solved += 1
+        site, lane = transport.prices(cost, supply, flow)
+        gap = cost + site[:, None] - lane
+        assert (gap[np.isfinite(cost)] >= -1e-9).all() and (site >= -1e-9).all()
+        assert np.abs(gap[flow > 0]).max(initial=0) < 1e-9
+        assert (site[flow.sum(axis=1) < supply] == 0).all()
+    assert solved > 100
+
+
+def test_shipments_without_the_table_of_all_routes(spark):
+    lp = random_lp(spark, 11)
+    asked = lp.select("type", "designator_id", F.col("home_location_id").alias("lane"), "demand").distinct()
+    asked = asked.unionByName(spark.createDataFrame([("none", 1, "h1", 2)], "type string, designator_id bigint, lane string, demand bigint"))
+    stock = lp.groupBy("type", "stock_location_id").agg(F.max("supply").alias("supply"))
+    cost = lp.groupBy("stock_location_id", F.col("home_location_id").alias("lane"), "type").agg(F.max("cost").alias("cost"))
+    for kind in [r[0] for r in lp.select("type").distinct().collect()] + ["none"]:
+        own = F.col("type") == kind
+        plan, flows = transport.shipments(asked.filter(own), stock.filter(own), cost.filter(own).drop("type"))
+        whole = rows(transport.transport_plan(lp.filter(own), "home_location_id").filter("qty_shipped > 0 OR qty_shipped IS NULL"))
+        if kind == "none":
+            assert rows(plan) == [("none", None, None, None)]
+            continue
+        price = {(r["stock_location_id"], r["lane"]): r["cost"] for r in cost.filter(own).collect()}
+        total = lambda found: sum(q * price[s, f"h{d % 3}"] for _, s, d, q in found if q)
+        assert total(rows(plan)) == total(whole)
+        assert all(r["reduced_cost_violations"] == r["slack_violations"] == 0 for r in transport.optimality(flows).collect())
+
+
 def test_zero_quantity_routes_stay(spark):
     lp = random_lp(spark, 11)
     solved = transport.feasibility(lp).filter("feasible").select("type")
