@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import os
 import re
 import unicodedata
 from collections import Counter
@@ -10,11 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetwarden.session import staged
+from fleetwarden.session import ship, staged
 
 #: Below this code point the plain pattern and the library's agree (a test goes through every one of them); a text
 #: with any other letter is cut by the library itself.
@@ -22,7 +24,7 @@ PLAIN_BELOW = 0x530
 #: Long texts are cut where white space follows something else, which always is a boundary between pre-tokens.
 PIECE_CHARS = 1_000_000
 
-BLOCKS = "row long, block string, n_bytes long, ids binary, counts binary, words array<string>"
+BLOCKS = "row long, block long, n_bytes long, ids binary, counts binary, words array<string>"
 
 
 def public_path(name: str = "byte_bpe_50k.json") -> str:
@@ -134,30 +136,34 @@ def unpacked(data: bytes) -> np.ndarray:
 
 def _blocks(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get()
+        task = TaskContext.get().partitionId()
         for k, batch in enumerate(batches):
-            counts = [pretoken_counts(t or "", path) for t in batch.column("text").to_pylist()]
-            total: Counter = Counter()
-            for c in counts:
-                total.update(c.keys())
-            # Words that most documents hold get the small numbers, so that steps between numbers stay short.
-            words = [w for w, _ in total.most_common()]
-            number = {w: i for i, w in enumerate(words)}
+            number: dict[str, int] = {}
             ids, often = [], []
-            for c in counts:
-                own = np.fromiter((number[w] for w in c), np.int64, len(c))
-                order = np.argsort(own)
-                ids.append(packed(np.diff(own[order], prepend=0)))
-                often.append(packed(np.fromiter(c.values(), np.int64, len(c))[order]))
-            n, block = len(counts), f"{task.partitionId()}-{k}"
+            for text in batch.column("text"):
+                found = pretoken_counts(text.as_py() or "", path)
+                ids.append(np.fromiter((number.setdefault(w, len(number)) for w in found), np.int32, len(found)))
+                often.append(np.fromiter(found.values(), np.int32, len(found)))
+            # Words that most documents hold get the small numbers, so that steps between numbers stay short.
+            spread = np.bincount(np.concatenate(ids), minlength=len(number)) if number else np.zeros(0, np.int64)
+            order = np.argsort(-spread, kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            for i, own in enumerate(ids):
+                own = rank[own]
+                at = np.argsort(own)
+                ids[i], often[i] = packed(np.diff(own[at], prepend=0)), packed(often[i][at])
+            words = pa.array(list(number), pa.string()).take(pa.array(order))
+            n = len(ids)
+            offsets = pa.array([0] * (n + 1) + [len(words)], pa.int32(), mask=np.arange(n + 2) < n)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays([batch.column("row").cast(pa.int64()), pa.nulls(1, pa.int64())]),
-                    pa.array([block] * (n + 1)),
+                    pa.array(np.full(n + 1, (task << 32) + k), pa.int64()),
                     pa.concat_arrays([batch.column("n_bytes").cast(pa.int64()), pa.nulls(1, pa.int64())]),
                     pa.array([*ids, None], pa.binary()),
                     pa.array([*often, None], pa.binary()),
-                    pa.array([None] * n + [words], pa.list_(pa.string())),
+                    pa.ListArray.from_arrays(offsets, words),
                 ],
                 names=["row", "block", "n_bytes", "ids", "counts", "words"],
             )
@@ -166,21 +172,48 @@ def _blocks(path: str):
 
 
 def _pieces(path: str):
+    """Counts for rows (block, pos, word) in the order of words: each run of a word is counted once.
+
+    What goes back to a block is packed: places in steps, and a count for each.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         tokenizer, (_, special) = _tokenizer(path), _special(path)
+        last, last_n = None, 0
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            model = tokenizer.encode_batch(words, add_special_tokens=False)
-            n = [1 if w in special else len(e.ids) for w, e in zip(words, model)]
-            yield pa.RecordBatch.from_arrays([batch.column("word").cast(pa.string()), pa.array(n, pa.int32())], names=["word", "n"])
+            if not batch.num_rows:
+                continue
+            runs = pc.run_end_encode(batch.column("word"))
+            words = runs.values.to_pylist()
+            fresh = words[1:] if words[0] == last else words
+            n = [1 if w in special else len(e.ids) for w, e in zip(fresh, tokenizer.encode_batch(fresh, add_special_tokens=False))]
+            n = [last_n] * (len(words) - len(fresh)) + n
+            last, last_n = words[-1], n[-1]
+            n = np.repeat(n, np.diff(runs.run_ends.to_numpy(), prepend=0))
+            block, pos = batch.column("block").to_numpy(), batch.column("pos").to_numpy().astype(np.int64)
+            order = np.lexsort((pos, block))
+            block, pos, n = block[order], pos[order], n[order]
+            starts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+            ends = np.append(starts[1:], len(block))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(block[starts], pa.int64()),
+                    pa.array([packed(np.diff(pos[a:b], prepend=0)) for a, b in zip(starts, ends)], pa.binary()),
+                    pa.array([packed(n[a:b]) for a, b in zip(starts, ends)], pa.binary()),
+                ],
+                names=["of", "at", "n"],
+            )
 
     return run
 
 
 def _sums(key: tuple, docs: pa.Table, words: pa.Table) -> pa.Table:
     """Inner products of one block: its documents' frequencies and its words' piece counts."""
-    weight = np.zeros(words.num_rows, np.int64)
-    weight[words.column("pos").to_numpy()] = words.column("n").to_numpy()
+    at = [np.cumsum(unpacked(x)) for x in words.column("at").to_pylist()]
+    weight = np.zeros(max((int(x[-1]) + 1 for x in at), default=0), np.int64)
+    for x, n in zip(at, words.column("n").to_pylist()):
+        weight[x] = unpacked(n)
     total = [
         int(weight[np.cumsum(unpacked(i))] @ unpacked(c)) if i else 0
         for i, c in zip(docs.column("ids").to_pylist(), docs.column("counts").to_pylist())
@@ -194,23 +227,25 @@ def count_tokens(docs: DataFrame, text_col: str, key_col: str, path: str | None
     """Rows (key, n_bytes, n_tokens), one for each row of docs, as the tokenizers library counts.
 
     Each Arrow batch (64 MB of text at most) becomes a block: its distinct pre-tokens with numbers, and each
-    document's frequencies as packed numbers. Pre-tokens of all blocks meet, each distinct one is counted once, and
-    the counts return to their blocks, where they are summed by documents' frequencies. Token ids are dropped as
-    soon as a pre-token is counted. What is shuffled are the blocks' word lists and the packed frequencies, not texts.
+    document's frequencies as packed numbers. Equal pre-tokens of all blocks meet (one row a block, so the most
+    frequent word has no more rows than there are blocks), each distinct one is counted once, and the counts return
+    to their blocks, where they are joined to the documents' frequencies and summed. Token ids are dropped as soon as
+    a pre-token is counted. What is shuffled are the blocks' word lists and packed numbers, not texts.
 
     A null text is empty: 0 bytes, 0 tokens. Ids may be null or repeat; every row counts. Special strings inside a
     text count one token each, the library's default. A text of any length is cut into runs that are safe to
     pre-tokenise alone; only a run without white space stays whole.
     """
+    ship(docs.sparkSession)
     path = path or public_path()
     rows = docs.select(
         F.col(key_col).alias("row"), F.col(text_col).alias("text"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes")
     )
     blocks = staged(rows.mapInArrow(_blocks(path), BLOCKS))
     words = blocks.where(F.col("words").isNotNull()).select("block", F.posexplode("words").alias("pos", "word"))
-    pieces = words.select("word").distinct().mapInArrow(_pieces(path), "word string, n int")
-    pieces = staged(pieces)
-    counted = words.join(pieces, "word").select(F.col("block").alias("of"), "pos", "n")
+    counted = (
+        words.repartition("word").sortWithinPartitions("word").mapInArrow(_pieces(path), "of long, at binary, n binary")
+    )
     own = blocks.where(F.col("words").isNull()).select("block", "row", "n_bytes", "ids", "counts")
     return (
         own.groupBy("block")
