@@ -23,7 +23,7 @@ CHUNK = 4096
 FAN = 1024
 EDGE = 1e-9
 
-FLOWN = "id long, source string, size long, source_size long, target double, base int, rank int, body long, chunk long, p double"
+FLOWN = "id string, source string, size long, source_size long, target double, base int, rank int, body long, chunk long, p double"
 
 
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -159,7 +159,7 @@ def mix(
     ).select("source", "rank", "source_size", "target", "base", "p", F.ceil(F.col("units") / CHUNK).alias("chunks"))
     chunks = staged(chunks.withColumnsRenamed({"source": "s"}))
     drawn = rows.join(chunks, F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "id",
+        F.col("id").cast("string").alias("id"),  # pandas would turn whole numbers beside a null into floats
         "source",
         "size",
         "source_size",
@@ -189,7 +189,7 @@ def mix(
     for part in done[1:]:
         out = out.unionByName(part)
     return out.select(
-        "id", "source", "size", "source_size", "target", "body", (F.col("base") + F.col("p")).cast("int").alias("copies")
+        F.col("id").cast(rows.schema["id"].dataType).alias("id"), "source", "size", "source_size", "target", "body", (F.col("base") + F.col("p")).cast("int").alias("copies")
     )
 
 

@@ -83,3 +83,9 @@ def test_odd_rows(spark):
     assert out.columns == docs.columns
     assert out.count() == sum(r.copies for r in got)
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mixed_documents(docs.limit(0)).count() == 0
+
+
+def test_large_ids_beside_a_null_id(spark):
+    rows = [(None, "a b c", "x"), (2**62 + 1, "a b", "x"), (2**62 + 3, "a", "x"), (5, "a", "y")]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert {r.id for r in got.collect()} == {r[0] for r in rows} and got.schema["id"].dataType.simpleString() == "bigint"
