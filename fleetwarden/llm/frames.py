@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +71,15 @@ def repeated(rows: DataFrame, decided: DataFrame) -> DataFrame:
 def unpacked_row(df: DataFrame, columns: list[str]) -> DataFrame:
     """The columns that row_struct packed."""
     return df.select(*[F.col("_row")[c].alias(c) for c in columns])
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
+    """Python tasks started inside get Arrow batches of at most this size; the session's own setting returns after."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, own)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwarden.llm.components import components
-from fleetwarden.llm.frames import body, digest, repeated, row_key, row_struct, unpacked_row
+from fleetwarden.llm.frames import arrow_batches, body, digest, repeated, row_key, row_struct, unpacked_row
 from fleetwarden.session import ship, staged
 
 WORDS = 5
@@ -21,7 +21,11 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 SEED = 0x5EED
 #: Words handled at once; bounds a task's memory whatever the batch holds.
-SLICE = 500_000
+SLICE = 200_000
+#: Arrow batches of word digests; the default of 64 MB, held twice on its way, is much beside a small executor's heap.
+BATCH = "8m"
+#: Shingles of one block where a bucket is compared in blocks, and columns of one matrix product.
+BLOCK, COLUMNS = 64_000, 4096
 
 _TOKEN = r"[\p{L}\p{M}\p{N}]+"
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -124,7 +128,7 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
 def _ranges(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     words = batch.column("words")
     ends = np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy().astype(np.int64))
-    return words.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), ends
+    return words.flatten().to_numpy().view(np.uint64), ends
 
 
 def _slices(ends: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -187,14 +191,16 @@ def _coded(width: int):
     return run
 
 
+def _sets(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, set) of some nodes, from texts (node, text): their multisets of shingles, coded as sets."""
+    needed = staged(nodes.select("node").distinct())
+    coded = texts.join(needed, "node", "left_semi").select("node", word_digests(body("text")).alias("words"))
+    return staged(coded.mapInArrow(_coded(width), "node long, set array<long>"))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """pairs (x, y) with s, their multiset Jaccard similarity; texts (node, text) holds every node."""
-    needed = staged(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct())
-    sets = staged(
-        texts.join(needed, "node", "left_semi")
-        .select("node", word_digests(body("text")).alias("words"))
-        .mapInArrow(_coded(width), "node long, set array<long>")
-    )
+    sets = _sets(texts, pairs.select(F.explode(F.array("x", "y")).alias("node")), width)
     both = pairs.join(sets.toDF("x", "sx"), "x").join(sets.toDF("y", "sy"), "y")
     shared = F.size(F.array_intersect("sx", "sy"))
     return (
@@ -204,18 +210,63 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     )
 
 
+def shared_counts(values: np.ndarray, owner: np.ndarray, left: np.ndarray, right: np.ndarray, rows: int) -> np.ndarray:
+    """Sizes of the intersections of sets `left` with sets `right`; set `owner[i]` holds `values[i]`."""
+    _, at, many = np.unique(values, return_inverse=True, return_counts=True)
+    place = np.cumsum(many > 1) - 1
+    held = many[at] > 1
+    column, owner = place[at[held]], owner[held]
+    out = np.zeros((len(left), len(right)))
+    for start in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+        inside = (column >= start) & (column < start + COLUMNS)
+        matrix = np.zeros((rows, COLUMNS), np.float32)
+        matrix[owner[inside], column[inside] - start] = 1
+        out += matrix[left] @ matrix[right].T
+    return out
+
+
+def _joining_links(similarity: float):
+    """Of one pair of blocks of a bucket: links that join parts which were apart, as a forest."""
+
+    def run(table: pa.Table) -> pa.Table:
+        node, part, block = (table.column(c).to_numpy() for c in ("node", "part", "block"))
+        sets = table.column("set").combine_chunks()
+        size = pc.list_value_length(sets).to_numpy().astype(np.int64)
+        owner = np.repeat(np.arange(len(node)), size)
+        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        shared = shared_counts(sets.flatten().to_numpy(), owner, left, right, len(node))
+        near = shared / (size[left][:, None] + size[right] - shared) >= similarity
+        near &= part[left][:, None] != part[right]
+        head: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while x in head:
+                x = head[x]
+            return x
+
+        found = []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
+            a, b = left[i], right[j]
+            x, y = top(int(part[a])), top(int(part[b]))
+            if x != y:
+                head[x] = y
+                found.append((int(node[a]), int(node[b])))
+        return pa.table({"x": pa.array([f[0] for f in found], pa.int64()), "y": pa.array([f[1] for f in found], pa.int64())})
+
+    return run
+
+
 def _ordered(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("x"), F.greatest(x, y).alias("y")]
 
 
 def near_duplicate_links(texts: DataFrame, buckets: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Links (x, y) that connect every pair of nodes that meets in a bucket and reaches the similarity.
+    """Links (x, y) whose components are those of all pairs that meet in a bucket and reach the similarity.
 
-    1. Every node is compared with the smallest and the largest node of each of its buckets.
-    2. Buckets that this leaves in more than one component go on: nodes outside the bucket's largest component meet
-       the bucket's nodes of other components, unless the triangle inequality, which 1 - similarity obeys, already
-       rules the pair out by its distances to the two nodes of step 1.
-    No pair inside a component is expanded, and no pair that could link two components is left out.
+    1. Every node is compared with the smallest and the largest node of each of its buckets. This joins nearly all.
+    2. Buckets that still hold several components are compared in blocks of about BLOCK shingles: each pair of
+       blocks is one task, which counts shared shingles by a matrix product and returns no pairs, only the links that
+       join components that were apart. A bucket of n nodes makes n / block size copies of each of its rows.
     """
     ends = buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
     members = staged(buckets.join(staged(ends), "key"))
@@ -226,39 +277,25 @@ def near_duplicate_links(texts: DataFrame, buckets: DataFrame, width: int, simil
         .select(*_ordered(F.col("node"), F.col("o")))
         .distinct()
     )
-    tested = staged(_verified(staged(stars), texts, width))
-    links = tested.where(F.col("s") >= similarity)
-    parts = components(links)
+    links = staged(_verified(staged(stars), texts, width).where(F.col("s") >= similarity).select("x", "y"))
     labelled = staged(
-        members.join(parts, "node", "left").select("key", "node", "lo", "hi", F.coalesce("label", "node").alias("part"))
+        members.join(components(links), "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("part"))
     )
-    sizes = labelled.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "part")).alias("top"), F.count(F.lit(1)).alias("parts"))
-    mixed = staged(mixed.where("parts > 1").select("key", F.col("top.part").alias("main")))
-    open_ = labelled.join(mixed, "key")
-    far = tested.select("x", "y", (F.lit(1.0) - F.col("s")).alias("d"))
-    for end in ("lo", "hi"):
-        at = far.select(F.col("x").alias("fx"), F.col("y").alias("fy"), F.col("d").alias(f"d_{end}"))
-        open_ = open_.join(
-            at, (F.least("node", end) == F.col("fx")) & (F.greatest("node", end) == F.col("fy")), "left"
-        ).drop("fx", "fy")
-        open_ = open_.withColumn(f"d_{end}", F.when(F.col("node") == F.col(end), 0.0).otherwise(F.col(f"d_{end}")))
-    open_ = staged(open_.select("key", "node", "part", "main", "d_lo", "d_hi"))
-    one = open_.where("part <> main").select("key", "node", "part", "d_lo", "d_hi")
-    two = open_.toDF("key", "o", "o_part", "main", "o_lo", "o_hi")
-    limit = F.lit(1 - similarity + 1e-9)
-    pairs = (
-        one.join(two, "key")
-        .where(
-            (F.col("part") != F.col("o_part"))
-            & (F.abs(F.col("d_lo") - F.col("o_lo")) <= limit)
-            & (F.abs(F.col("d_hi") - F.col("o_hi")) <= limit)
-        )
-        .select(*_ordered(F.col("node"), F.col("o")))
-        .distinct()
-        .join(tested, ["x", "y"], "left_anti")
+    apart = (
+        labelled.groupBy("key")
+        .agg(F.min("part").alias("a"), F.max("part").alias("b"), F.sum("n").alias("shingles"))
+        .where("a <> b")
+        .select("key", F.greatest(F.ceil(F.col("shingles") / BLOCK), F.lit(1)).cast("long").alias("blocks"))
+    )
+    open_ = staged(labelled.join(staged(apart), "key").select("key", "node", "part", "blocks"))
+    sets = _sets(texts, open_, width)
+    dealt = (
+        open_.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "part")
+        .join(sets, "node")
     )
-    more = staged(_verified(staged(pairs), texts, width).where(F.col("s") >= similarity))
+    more = staged(dealt.groupBy("key", "i", "j").applyInArrow(_joining_links(similarity), "x long, y long").distinct())
     return links.unionByName(more)
 
 
@@ -283,18 +320,21 @@ def near_duplicates(
     rows_ = docs.select(
         F.col(id_col).alias("id"), digest(body(text_col), 1).alias("a"), digest(body(text_col), 2).alias("b"), F.col(text_col).alias("text")
     )
-    signed = rows_.select("id", "a", "b", word_digests(body("text")).alias("words")).mapInArrow(
-        _signed(width, bands, rows), "id long, a long, b long, n long, bands array<long>"
-    )
-    nodes = staged(
-        signed.where("n > 0")
-        .groupBy("a", "b")
-        .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
-        .select("a", "b", "id", "copies", F.coalesce("id", "a").alias("node"), "bands")
-    )
-    buckets = nodes.select("node", F.explode("bands").alias("key"))
-    named = rows_.select(F.coalesce("id", "a").alias("node"), "text")
-    links = near_duplicate_links(named, buckets, width, similarity)
+    with arrow_batches(docs.sparkSession, BATCH):
+        signed = rows_.select("id", "a", "b", word_digests(body("text")).alias("words")).mapInArrow(
+            _signed(width, bands, rows), "id long, a long, b long, n long, bands array<long>"
+        )
+        nodes = staged(
+            signed.where("n > 0")
+            .groupBy("a", "b")
+            .agg(
+                F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")
+            )
+            .select("a", "b", "id", "copies", F.coalesce("id", "a").alias("node"), "n", "bands")
+        )
+        buckets = nodes.select("node", "n", F.explode("bands").alias("key"))
+        named = rows_.select(F.coalesce("id", "a").alias("node"), "text")
+        links = near_duplicate_links(named, buckets, width, similarity)
     parts = components(links)
     grouped = nodes.join(parts, "node", "left").select("a", "b", "id", "copies", "label")
     heads = grouped.where("label is not null").groupBy("label").agg(F.min("id").alias("head"))
