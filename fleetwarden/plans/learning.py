@@ -39,6 +39,8 @@ ITERATIONS = 100
 FOREST_SEED = 42
 TREES = 100
 DEPTH = 30
+#: Memory of one task's split statistics while a forest grows.
+FOREST_MEMORY_MB = 1024
 
 
 def prepared(stats: DataFrame) -> DataFrame:
@@ -115,7 +117,10 @@ def logistic(frame: DataFrame, inverse_reg: float = INVERSE_REGULARISATION, iter
 
 
 def forest(trees: int = TREES, depth: int = DEPTH) -> RandomForestClassifier:
-    return RandomForestClassifier(seed=FOREST_SEED, numTrees=trees, maxDepth=depth)
+    # Deep levels have many nodes: the memory bound decides how many passes over the rows they take.
+    return RandomForestClassifier(
+        seed=FOREST_SEED, numTrees=trees, maxDepth=depth, maxMemoryInMB=FOREST_MEMORY_MB, cacheNodeIds=True
+    )
 
 
 def features(frame: DataFrame, calendar: bool = True) -> tuple[PipelineModel, DataFrame]:
