@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -14,14 +15,17 @@ from fleetwarden.llm.characters import code_points, folded, squeezed
 from fleetwarden.llm.frames import body, digest, row_struct
 from fleetwarden.session import ship, staged
 
-#: Passages of an item, in characters after folding; shorter items down to SHORTEST are one passage.
-PASSAGE, STRIDE, SHORTEST = 100, 50, 32
+#: Lengths of passages, in characters after folding: about 13 words, and a longer one that may have more edits in one
+#: place. Items below a length, down to SHORTEST, are one passage.
+LENGTHS, SHORTEST = (75, 100), 32
 #: Length of a q-gram and the edits that a passage may have, by its length.
 Q, EDITS = 10, 0.06
 #: Characters of benchmark text that are broadcast at once; a larger benchmark is searched in blocks of this size.
 BLOCK = 1_000_000
 #: Characters of documents handled at once.
 SLICE = 400_000
+#: Passages that are aligned at once.
+CHUNK = 20_000
 
 HITS = "row_id long, row_body long, item_id long, item_at int, edits int, text_start long, text_end long"
 
@@ -59,69 +63,172 @@ def gram_digests(points: np.ndarray, q: int = Q) -> np.ndarray:
 
 
 class Index:
-    """Passages of benchmark items, and where their q-grams occur."""
+    """Passages of benchmark items, and where the items' q-grams occur.
+
+    Passages are numbered through: for each item first those of one length, then those of the next, from every place.
+    They are kept as ranges, not one by one.
+    """
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.item, self.at, self.points = [], [], []
-        for item, text in items:
-            points, _ = normalised(text or "")
-            if len(points) < SHORTEST:
-                continue
-            last = max(0, len(points) - PASSAGE)
-            for start in sorted({*range(0, last, STRIDE), last}):
-                self.item.append(item)
-                self.at.append(start)
-                self.points.append(points[start : start + PASSAGE])
-        self.length = np.array([len(p) for p in self.points], np.int64)
-        self.budget = np.array([edit_budget(len(p)) for p in self.points], np.int64)
+        texts = [(item, normalised(text or "")[0]) for item, text in items]
+        texts = [(item, points) for item, points in texts if len(points) >= SHORTEST]
+        self.ids = [item for item, _ in texts]
+        self.size = np.array([len(points) for _, points in texts], np.int64)
+        self.offset = np.cumsum(self.size) - self.size
+        self.letters = np.concatenate([points for _, points in texts]) if texts else np.zeros(0, np.uint32)
+        # Ranges of passages: item, length, edits, and the number of the first.
+        kinds = [(i, n) for i, size in enumerate(self.size.tolist()) for n in sorted({min(size, n) for n in LENGTHS})]
+        self.of = np.array([i for i, _ in kinds], np.int64)
+        self.long = np.array([n for _, n in kinds], np.int64)
+        self.edits = np.array([edit_budget(n) for _, n in kinds], np.int64)
+        many = self.size[self.of] - self.long + 1
+        self.first = np.cumsum(many) - many
+        self.many = int(many.sum())
         # The lemma: a passage of length m with k edits shares at least m - q + 1 - k q of its q-grams.
-        self.least = self.length - Q + 1 - self.budget * Q
-        grams = [gram_digests(p) for p in self.points]
+        self.least = self.long - Q + 1 - self.edits * Q
+        grams = [gram_digests(points) for _, points in texts]
         value = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        passage = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+        owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
         order = np.argsort(value, kind="stable")
-        self.value, self.passage, self.place = value[order], passage[order].astype(np.int64), place[order].astype(np.int64)
+        self.value, self.owner, self.place = value[order], owner[order].astype(np.int64), place[order].astype(np.int64)
         self.seen = np.zeros(1 << (64 - int(_FILTER)), bool)
         self.seen[(self.value * _MULTIPLIER) >> _FILTER] = True
-        self.width = int(self.budget.max(initial=0)) + 1
+        self.width = int(self.edits.max(initial=0)) + 1
+
+    def kind(self, passage: np.ndarray) -> np.ndarray:
+        """The range that each passage is in."""
+        return np.searchsorted(self.first, passage, side="right") - 1
+
+    @functools.cached_property
+    def _kinds(self) -> np.ndarray:
+        return self.kind(np.arange(self.many))
+
+    @functools.cached_property
+    def item(self) -> list[int]:
+        return [self.ids[i] for i in self.of[self._kinds].tolist()]
+
+    @functools.cached_property
+    def length(self) -> np.ndarray:
+        return self.long[self._kinds]
+
+    @functools.cached_property
+    def budget(self) -> np.ndarray:
+        return self.edits[self._kinds]
+
+    @functools.cached_property
+    def points(self) -> list[np.ndarray]:
+        start = self.offset[self.of[self._kinds]] + np.arange(self.many) - self.first[self._kinds]
+        return [self.letters[a : a + n] for a, n in zip(start.tolist(), self.length.tolist())]
+
 
+def _expanded(start: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index, value) of the ranges start, start + 1, ... of `many` values each."""
+    owner = np.repeat(np.arange(len(many)), many)
+    return owner, start[owner] + np.arange(len(owner)) - (np.cumsum(many) - many)[owner]
 
-def candidates(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(passage, first diagonal) of every band with as many shared q-grams as the edit budget requires.
 
-    A diagonal is text place minus passage place. Bands are 2 * width diagonals wide and start every `width`
-    diagonals, with width above the largest budget, so an occurrence lies wholly inside one of them.
+def matches(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, diagonal, item place) of every q-gram that the text shares with an item, by item and diagonal.
+
+    A diagonal is text place minus item place.
     """
     value = gram_digests(points)
     at = np.flatnonzero(index.seen[(value * _MULTIPLIER) >> _FILTER])
     low = np.searchsorted(index.value, value[at], side="left")
     many = np.searchsorted(index.value, value[at], side="right") - low
-    at, low, many = at[many > 0], low[many > 0], many[many > 0]
-    row = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    passage = index.passage[row]
-    band = (np.repeat(at, many) - index.place[row]) // index.width
-    offset = PASSAGE // index.width + 2
-    span = len(points) // index.width + offset + 2
-    key = passage * span + band + offset
-    key, shared = np.unique(np.concatenate([key, key - 1]), return_counts=True)
-    passage, band = key // span, key % span - offset
-    enough = shared >= index.least[passage]
-    return passage[enough], band[enough] * index.width
+    owner, row = _expanded(low, many)
+    item, place = index.owner[row], index.place[row]
+    diagonal = at[owner] - place
+    order = np.lexsort((place, diagonal, item))
+    return item[order], diagonal[order], place[order]
+
+
+def candidates(index: Index, item: np.ndarray, diagonal: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(passage, first diagonal) of every band with as many q-grams of the passage as its edit budget requires.
+
+    Bands are 2 * width diagonals wide and start every `width` diagonals, with width above the largest budget, so an
+    occurrence lies wholly inside one of them. About CHUNK passages come at once.
+    """
+    if not len(item):
+        return
+    band = diagonal // index.width
+    offset = 1 - int(band.min())
+    span = int(band.max()) + offset + 1
+    key = item * span + band + offset
+    key, place = np.concatenate([key, key - 1]), np.concatenate([place, place])
+    # Bands with too few q-grams for any passage go first.
+    fewest = np.full(len(index.size), 1 << 60, np.int64)
+    np.minimum.at(fewest, index.of, index.least)
+    bands, slot, shared = np.unique(key, return_inverse=True, return_counts=True)
+    stays = (shared >= fewest[bands // span])[slot]
+    slot, place = slot[stays], place[stays]
+    order = np.lexsort((place, slot))
+    slot, place = slot[order], place[order]
+    for nth in range(len(LENGTHS)):
+        # The range of passages of this length; an item that has fewer lengths is through.
+        kind = np.searchsorted(index.of, bands[slot] // span, side="left") + nth
+        known = kind < len(index.of)
+        known[known] = index.of[kind[known]] == bands[slot[known]] // span
+        mine, at, kind = slot[known], place[known], kind[known]
+        last = np.arange(len(mine)) + index.least[kind] - 1
+        enough = last < len(mine)
+        last = np.minimum(last, max(0, len(mine) - 1))
+        reach = index.long[kind] - Q
+        if len(mine):
+            enough &= (mine[last] == mine) & (at[last] - at <= reach)
+        i = np.flatnonzero(enough)
+        # Passages that hold this q-gram and the one that makes them enough; what the one before covers is left out.
+        mine, kind, low, high = mine[i], kind[i], at[last[i]] - reach[i], at[i]
+        low, high = np.maximum(low, 0), np.minimum(high, index.size[index.of[kind]] - index.long[kind])
+        low[1:] = np.where(mine[1:] == mine[:-1], np.maximum(low[1:], high[:-1] + 1), low[1:])
+        many = np.maximum(high - low + 1, 0)
+        group = np.cumsum(many) // CHUNK
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+        for a, b in zip(cuts, cuts[1:]):
+            owner, start = _expanded(low[a:b], many[a:b])
+            if len(owner):
+                yield index.first[kind[a:b]][owner] + start, ((bands[mine[a:b]] % span - offset) * index.width)[owner]
+
+
+class _Runs:
+    """Stretches in which text and item agree, from their shared q-grams."""
+
+    def __init__(self, index: Index, item: np.ndarray, diagonal: np.ndarray, place: np.ndarray):
+        new = np.ones(len(item), bool)
+        new[1:] = (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (place[1:] != place[:-1] + 1)
+        head = np.flatnonzero(new)
+        end = place[np.append(head[1:], len(item)) - 1] + Q if len(item) else place
+        longest = end - place[head] >= int(index.long.min(initial=1 << 60))
+        head, self.end = head[longest], end[longest]
+        self.least = int(diagonal[head].min(initial=0))
+        self.span = int(diagonal[head].max(initial=0)) - self.least + 1
+        self.size = int(index.size.max(initial=0)) + 1
+        self.line = item[head] * self.span + diagonal[head] - self.least
+        self.key = self.line * self.size + place[head]
+
+    def hold(self, item: np.ndarray, diagonal: np.ndarray, place: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Whether the item's characters from a place on are the text's on this diagonal."""
+        if not len(self.key):
+            return np.zeros(len(item), bool)
+        line = item * self.span + diagonal - self.least
+        at = np.searchsorted(self.key, line * self.size + place, side="right") - 1
+        inside = (diagonal >= self.least) & (diagonal < self.least + self.span) & (at >= 0)
+        return inside & (self.line[at] == line) & (self.end[at] >= place + length)
 
 
 def align(index: Index, points: np.ndarray, passage: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(edits, start, end) of each candidate's best occurrence inside its band, by banded alignment.
 
-    The text around the occurrence is free. Cells are (place in the passage, diagonal); the band is widened by the
-    budget on both sides. All candidates advance together, a passage place at a time.
+    diagonal is text place minus passage place. The text around the occurrence is free. Cells are (place in the
+    passage, diagonal); the band is widened by the budget on both sides. All candidates advance together, a passage
+    place at a time.
     """
     side = index.width
     across = 4 * side + 1
-    n, length = len(passage), index.length[passage]
-    letters = np.zeros((n, PASSAGE), np.int64)
-    for i, p in enumerate(passage):
-        letters[i, : length[i]] = index.points[p]
+    kind = index.kind(passage)
+    n, length = len(passage), index.long[kind]
+    from_ = index.offset[index.of[kind]] + passage - index.first[kind]
     text = points.astype(np.int64)
     column = diagonal[:, None] - side + np.arange(across)
     cost = np.zeros((n, across), np.int64)
@@ -131,9 +238,9 @@ def align(index: Index, points: np.ndarray, passage: np.ndarray, diagonal: np.nd
     for i in range(int(length.max(initial=0))):
         here = column + i
         inside = (here >= 0) & (here < len(text))
-        same = np.zeros((n, across), bool)
-        same[inside] = (text[np.clip(here, 0, len(text) - 1)] == letters[:, i : i + 1])[inside]
-        change = cost + np.where(inside, ~same, 1)
+        letter = index.letters[np.minimum(from_ + i, len(index.letters) - 1)]
+        same = inside & (text[np.clip(here, 0, len(text) - 1)] == letter[:, None])
+        change = cost + ~same
         drop = np.full_like(cost, 1 << 30)
         drop[:, :-1] = cost[:, 1:] + 1
         start = np.where(drop < change, np.concatenate([first[:, 1:], first[:, -1:]], axis=1), first)
@@ -152,18 +259,39 @@ def align(index: Index, points: np.ndarray, passage: np.ndarray, diagonal: np.nd
     return final[rows, at], np.maximum(final_start[rows, at], 0), np.minimum(column[rows, at] + length, len(text))
 
 
+def occurrences(index: Index, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(passage, edits, start, end) of passages within their budget, some at once; a place may come twice.
+
+    Where a band holds a passage without edits, its places are given by the stretches in which text and item agree;
+    all other candidates are aligned.
+    """
+    if not index.many or not len(points):
+        return
+    item, diagonal, place = matches(index, points)
+    runs = _Runs(index, item, diagonal, place)
+    for passage, band in candidates(index, item, diagonal, place):
+        kind = index.kind(passage)
+        owner, at, length = index.of[kind], passage - index.first[kind], index.long[kind]
+        whole = np.zeros(len(passage), bool)
+        for d in range(2 * index.width):
+            exact = runs.hold(owner, band + d, at, length)
+            whole |= exact
+            if exact.any():
+                start = (band + d + at)[exact]
+                yield passage[exact], np.zeros(len(start), np.int64), start, start + length[exact]
+        passage, band, at, kind = (x[~whole] for x in (passage, band, at, kind))
+        edits, start, end = align(index, points, passage, band + at)
+        good = edits <= index.edits[kind]
+        yield passage[good], edits[good], start[good], end[good]
+
+
 def search(index: Index, points: np.ndarray) -> list[tuple[int, int, int, int]]:
     """(passage, edits, start, end) of passages within their budget."""
-    if not len(index.length) or not len(points):
-        return []
-    passage, diagonal = candidates(index, points)
-    edits, start, end = align(index, points, passage, diagonal)
-    good = edits <= index.budget[passage]
-    return list(zip(*(x[good].tolist() for x in (passage, edits, start, end))))
+    return [hit for found in occurrences(index, points) for hit in zip(*(x.tolist() for x in found))]
 
 
 def _scan(index: Index):
-    overlap = PASSAGE + 4 * index.width + Q
+    overlap = max(LENGTHS) + 4 * index.width + Q
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,11 +303,23 @@ def _scan(index: Index):
             def flush():
                 if held:
                     starts = np.cumsum([0] + [len(p) + overlap for _, p, _ in held])
-                    for passage, edits, start, end in search(index, np.concatenate([x for _, p, _ in held for x in (p, gap)])):
-                        k = int(np.searchsorted(starts, end - 1, side="right")) - 1
-                        row, p, at = held[k]
-                        a, b = max(0, start - starts[k]), min(len(p), end - starts[k])
-                        found.append((row, index.item[passage], index.at[passage], edits, int(at[a]), int(at[b - 1]) + 1))
+                    for passage, edits, start, end in occurrences(index, np.concatenate([x for _, p, _ in held for x in (p, gap)])):
+                        kind = index.kind(passage)
+                        item, item_at = index.of[kind], passage - index.first[kind]
+                        slot = np.searchsorted(starts, end - 1, side="right") - 1
+                        # One row for each text, item and place in the item.
+                        order = np.lexsort((item_at, item, slot))
+                        slot, item, item_at, edits, start, end = (x[order] for x in (slot, item, item_at, edits, start, end))
+                        new = np.ones(len(slot), bool)
+                        new[1:] = (slot[1:] != slot[:-1]) | (item[1:] != item[:-1]) | (item_at[1:] != item_at[:-1])
+                        head = np.flatnonzero(new)
+                        if not len(head):
+                            continue
+                        edits, start, end = np.minimum.reduceat(edits, head), np.minimum.reduceat(start, head), np.maximum.reduceat(end, head)
+                        for k, i, place, e, a, b in zip(*(x.tolist() for x in (slot[head], item[head], item_at[head], edits, start, end))):
+                            row, p, at = held[k]
+                            a, b = max(0, a - int(starts[k])), min(len(p), b - int(starts[k]))
+                            found.append((row, index.ids[i], place, e, int(at[a]), int(at[b - 1]) + 1))
                 held.clear()
 
             for i, text in enumerate(batch.column("text")):
@@ -211,10 +351,11 @@ def benchmark_hits(
 ) -> DataFrame:
     """Rows (row_id, row_body, item_id, passages, edits, text_start, text_end), one for each document and item that meet.
 
-    An item is cut into passages of PASSAGE characters every STRIDE characters; a document meets it if one passage
-    occurs with at most EDITS of its length in edits. Both sides are compared in lower case with one blank for each
-    run of signs other than letters and digits. edits is the least of the passages found, passages their number,
-    text_start and text_end (code points of the text) span what was found.
+    Every 75 and every 100 characters of an item, from each of its characters on, are a passage; a document meets the
+    item if one passage occurs with at most EDITS of its length in edits. So a quote counts wherever in the item it
+    starts. Both sides are compared in lower case with one blank for each run of signs other than letters and digits.
+    edits is the least of the passages found, passages the number of places in the item where they start, text_start
+    and text_end (code points of the text) span what was found.
 
     Items with fewer than SHORTEST characters, null items and null, empty or shorter texts meet nothing. Repeated
     items and repeated rows are reported once for each id and text. The benchmark is measured first: up to BLOCK

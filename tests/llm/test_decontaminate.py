@@ -102,3 +102,44 @@ def test_places_slices_blocks_and_odd_rows(spark, monkeypatch):
     assert hits(docs.limit(0)) == set()
     assert dc.benchmark_hits(docs, items.limit(0)).count() == 0
     assert dc.without_benchmark(docs, items.limit(0)).count() == len(rows)
+
+
+def distances(passages, text):
+    """distance() of passages of one length, side by side."""
+    row = np.zeros((len(text) + 1, len(passages)), np.int64)
+    for i in range(passages.shape[1]):
+        new = np.full_like(row, i + 1)
+        for j, x in enumerate(text):
+            new[j + 1] = np.minimum(np.minimum(row[j] + (passages[:, i] != x), row[j + 1] + 1), new[j] + 1)
+        row = new
+    return row.min(axis=0)
+
+
+LONG = ITEM + " it was the season of light and of darkness the spring of hope and the winter of despair we had all before us"
+
+
+def test_quotes_count_wherever_they_start():
+    index, least = dc.Index([(7, LONG)]), min(dc.LENGTHS)
+    item, draw, within = plain(LONG), random.Random(3), 0
+    assert least <= 80
+    for at in range(len(item) - least + 1):
+        text = "qq zz qq zz qqq" + item[at : at + least] + "q zz zz"
+        found = dc.search(index, dc.normalised(text)[0])
+        assert (at, 0, 15, 15 + least) in [(p - index.first[index.kind(p)], *more) for p, *more in found]
+        if at % 15 == 0:
+            points = dc.normalised("qq " * 3 + edited(draw, item[at : at + 105], draw.randrange(8)) + " zz" * 3)[0]
+            best = np.concatenate([distances(np.stack([p for p in index.points if len(p) == n]), points) for n in dc.LENGTHS])
+            found = {}
+            for p, edits, _, _ in dc.search(index, points):
+                found[p] = min(edits, found.get(p, 99))
+            assert found == {p: e for p, e in enumerate(best.tolist()) if e <= index.budget[p]}
+            within += 0 < len(found) and min(found.values()) > 0 or len(set(found.values())) > 1
+    assert within > 2
+
+
+def test_repeated_characters_and_chunks(monkeypatch):
+    index, points = dc.Index([(1, "ab " * 50)]), dc.normalised("x" + "ab " * 90 + "y")[0]
+    whole = sorted(set(dc.search(index, points)))
+    assert {p for p, edits, _, _ in whole if edits == 0} == set(range(index.many))
+    monkeypatch.setattr(dc, "CHUNK", 7)
+    assert sorted(set(dc.search(index, points))) == whole
