@@ -308,13 +308,14 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """Rows (id, digest, digest_b, class_id), one for each row of docs; class_id is the smallest id of its group.
+    """Rows (id, digest, digest_b, class_id, stays), one for each row of docs; class_id is the smallest id of its group.
 
     Documents are in one group if a chain of pairs joins them whose multisets of five-word shingles have a Jaccard
     similarity of 0.8 or more; words are runs of letters, marks and digits in lower case, and a text of fewer words
     is one shingle. Equal texts are one node from the start. Null, empty and wordless texts are alone (class_id =
     id). Rows that share an id are one document. Rows with a null id are grouped like others, and a group without
-    any id has a null class_id. Extra columns are not read; an empty table gives an empty table.
+    any id has a null class_id. stays marks the row with the least (id, digest, digest_b) of each group, ids before
+    null, and rows equal to it. Extra columns are not read; an empty table gives an empty table.
     """
     ship(docs.sparkSession)
     rows_ = docs.select(
@@ -337,25 +338,35 @@ def near_duplicates(
         links = near_duplicate_links(named, buckets, width, similarity)
     parts = components(links)
     grouped = nodes.join(parts, "node", "left").select("a", "b", "id", "copies", "label")
-    heads = grouped.where("label is not null").groupBy("label").agg(F.min("id").alias("head"))
+    heads = (
+        grouped.where("label is not null")
+        .groupBy("label")
+        .agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "a", "b")).alias("head"))
+        .select("label", F.col("head.id").alias("head"), F.col("head.a").alias("head_a"), F.col("head.b").alias("head_b"))
+    )
+    chosen = F.col("label").isNull() | ((F.col("a") == F.col("head_a")) & (F.col("b") == F.col("head_b")))
     classes = staged(
         grouped.where("label is not null or copies > 1")
         .join(staged(heads), "label", "left")
-        .select("a", "b", F.coalesce("head", "id").alias("class_id"), F.lit(True).alias("grouped"))
+        .select("a", "b", F.coalesce("head", "id").alias("class_id"), F.lit(True).alias("grouped"), chosen.alias("chosen"))
     )
     keys = rows_.select("id", "a", "b")
     return keys.join(classes, ["a", "b"], "left").select(
-        "id", F.col("a").alias("digest"), F.col("b").alias("digest_b"), F.when(F.col("grouped"), F.col("class_id")).otherwise(F.col("id")).alias("class_id")
+        "id",
+        F.col("a").alias("digest"),
+        F.col("b").alias("digest_b"),
+        F.when(F.col("grouped"), F.col("class_id")).otherwise(F.col("id")).alias("class_id"),
+        (F.col("grouped").isNull() | (F.col("chosen") & F.col("id").eqNullSafe(F.col("class_id")))).alias("stays"),
     )
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs in their own columns, one document of each group: the one whose id is the group's class_id.
+    """docs in their own columns, one row of each group: the one with the group's smallest id, if any row has one.
 
-    Of rows that agree in id and text one stays.
+    Of rows that agree in id and text one stays. Rows that share an id and no near copy joins stay with each text.
     """
     classes = near_duplicates(docs, id_col, text_col, **options)
-    stays = F.col("id").eqNullSafe(F.col("class_id")).cast("int")
+    stays = F.col("stays").cast("int")
     decided = staged(
         classes.select(*row_key("id", "digest", "digest_b"), stays.alias("stays"))
         .groupBy("k1", "k2")

@@ -104,6 +104,20 @@ def test_odd_rows(spark):
     assert nd.without_near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    def copies(word):
+        return [" ".join([f"{word}{i}" for i in range(60)] + [end]) for end in ("x", "y", "z")]
+
+    unnamed, shared, mixed = copies("a"), copies("b"), copies("c")
+    rows = [(None, t) for t in [*unnamed, unnamed[0]]] + [(5, shared[0]), (5, shared[1]), (9, shared[2])]
+    rows += [(None, mixed[0]), (None, mixed[1]), (12, mixed[2])] + [(None, "alone one"), (None, "alone two"), (None, "alone two"), (None, None)]
+    kept = nd.without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(r.text in unnamed for r in kept)[True] == 1
+    assert [r.doc_id for r in kept if r.text in shared] == [5]
+    assert [r.doc_id for r in kept if r.text in mixed] == [12]
+    assert sorted(r.text or "" for r in kept if r.text not in unnamed + shared + mixed) == ["", "alone one", "alone two"]
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 3), (200, 200)]
     got = {r.node: r.label for r in components(spark.createDataFrame(chain, "x long, y long")).collect()}
