@@ -16,7 +16,7 @@ from fleetwarden.llm.frames import body, digest, row_struct
 from fleetwarden.session import ship, staged
 
 #: Lengths of passages, in characters after folding: about 13 words, and a longer one that may have more edits in one
-#: place. Items below a length, down to SHORTEST, are one passage.
+#: place. Items below a length, down to SHORTEST, are one passage; still shorter ones down to Q are found as they are.
 LENGTHS, SHORTEST = (75, 100), 32
 #: Length of a q-gram and the edits that a passage may have, by its length.
 Q, EDITS = 10, 0.06
@@ -29,6 +29,12 @@ CHUNK = 20_000
 
 HITS = "row_id long, row_body long, item_id long, item_at int, edits int, text_start long, text_end long"
 
+#: Length of the q-gram that finds an item below SHORTEST; one of Q characters has a blank at each end at most.
+_START = Q - 2
+#: Scripts that write no blanks between words: Thai, Lao, Burmese, Khmer, Chinese, Japanese.
+_UNSPACED = ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x312F), (0x31A0, 0x9FFF), (0xF900, 0xFAFF),
+             (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF))
+
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _FILTER = np.uint64(44)
 
@@ -62,6 +68,57 @@ def gram_digests(points: np.ndarray, q: int = Q) -> np.ndarray:
     return out ^ (out >> np.uint64(31)) if n else np.zeros(0, np.uint64)
 
 
+def unspaced(points: np.ndarray) -> np.ndarray:
+    """Which code points are of a script without blanks between words."""
+    out = np.zeros(len(points), bool)
+    for low, high in _UNSPACED:
+        out |= (points >= low) & (points <= high)
+    return out
+
+
+def _expanded(start: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index, value) of the ranges start, start + 1, ... of `many` values each."""
+    owner = np.repeat(np.arange(len(many)), many)
+    return owner, start[owner] + np.arange(len(owner)) - (np.cumsum(many) - many)[owner]
+
+
+class ShortItems:
+    """Benchmark items from Q to below SHORTEST characters, by their first q-gram."""
+
+    def __init__(self, items: list[tuple[int, str]]):
+        texts = [(item, normalised(text or "")[0]) for item, text in items]
+        texts = [(item, points[int(points[0] == 32) : len(points) - int(points[-1] == 32)]) for item, points in texts if Q <= len(points) < SHORTEST]
+        start = np.array([gram_digests(points, _START)[0] for _, points in texts], np.uint64)
+        order = np.argsort(start, kind="stable")
+        self.value, texts = start[order], [texts[i] for i in order.tolist()]
+        self.ids = [item for item, _ in texts]
+        self.size = np.array([len(points) for _, points in texts], np.int64)
+        self.letters = np.zeros((len(texts), SHORTEST), np.uint32)
+        for i, (_, points) in enumerate(texts):
+            self.letters[i, : len(points)] = points
+        self.seen = np.zeros(1 << (64 - int(_FILTER)), bool)
+        self.seen[(self.value * _MULTIPLIER) >> _FILTER] = True
+
+    def search(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, start, end) wherever an item stands without edits between ends of words."""
+        if not self.ids or not len(points):
+            return tuple(np.zeros(0, np.int64) for _ in range(3))
+        value = gram_digests(points, _START)
+        at = np.flatnonzero(self.seen[(value * _MULTIPLIER) >> _FILTER])
+        low = np.searchsorted(self.value, value[at], side="left")
+        owner, item = _expanded(low, np.searchsorted(self.value, value[at], side="right") - low)
+        start, size = at[owner], self.size[item]
+        text = np.concatenate([[32], points, np.full(SHORTEST + 1, 32)]).astype(np.uint32)
+        text[text == 0] = 32
+        same = np.ones(len(item), bool)
+        for i in range(int(size.max(initial=0))):
+            same &= (text[start + 1 + i] == self.letters[item, i]) | (i >= size)
+        end = start + size
+        for inner, outer in ((text[start + 1], text[start]), (text[end], text[end + 1])):
+            same &= (outer == 32) | unspaced(outer) | unspaced(inner)
+        return item[same], start[same], end[same]
+
+
 class Index:
     """Passages of benchmark items, and where the items' q-grams occur.
 
@@ -122,12 +179,6 @@ class Index:
         return [self.letters[a : a + n] for a, n in zip(start.tolist(), self.length.tolist())]
 
 
-def _expanded(start: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index, value) of the ranges start, start + 1, ... of `many` values each."""
-    owner = np.repeat(np.arange(len(many)), many)
-    return owner, start[owner] + np.arange(len(owner)) - (np.cumsum(many) - many)[owner]
-
-
 def matches(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(item, diagonal, item place) of every q-gram that the text shares with an item, by item and diagonal.
 
@@ -290,7 +341,7 @@ def search(index: Index, points: np.ndarray) -> list[tuple[int, int, int, int]]:
     return [hit for found in occurrences(index, points) for hit in zip(*(x.tolist() for x in found))]
 
 
-def _scan(index: Index):
+def _scan(index: Index, short: ShortItems):
     overlap = max(LENGTHS) + 4 * index.width + Q
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,26 +351,37 @@ def _scan(index: Index):
             gap = np.zeros(overlap, np.uint32)
             held, size = [], 0
 
+            def note(ids, slot, item, item_at, edits, start, end):
+                """One row for each text, item and place in the item."""
+                order = np.lexsort((item_at, item, slot))
+                slot, item, item_at, edits, start, end = (x[order] for x in (slot, item, item_at, edits, start, end))
+                new = np.ones(len(slot), bool)
+                new[1:] = (slot[1:] != slot[:-1]) | (item[1:] != item[:-1]) | (item_at[1:] != item_at[:-1])
+                head = np.flatnonzero(new)
+                if not len(head):
+                    return
+                edits, start, end = np.minimum.reduceat(edits, head), np.minimum.reduceat(start, head), np.maximum.reduceat(end, head)
+                for k, i, place, e, a, b in zip(*(x.tolist() for x in (slot[head], item[head], item_at[head], edits, start, end))):
+                    row, p, at, _, _ = held[k]
+                    a, b = max(0, a), min(len(p), b)
+                    found.append((row, ids[i], place, e, int(at[a]), int(at[b - 1]) + 1))
+
             def flush():
                 if held:
-                    starts = np.cumsum([0] + [len(p) + overlap for _, p, _ in held])
-                    for passage, edits, start, end in occurrences(index, np.concatenate([x for _, p, _ in held for x in (p, gap)])):
+                    starts = np.cumsum([0] + [len(p) + overlap for _, p, *_ in held])
+                    points = np.concatenate([x for _, p, *_ in held for x in (p, gap)])
+                    for passage, edits, start, end in occurrences(index, points):
                         kind = index.kind(passage)
-                        item, item_at = index.of[kind], passage - index.first[kind]
                         slot = np.searchsorted(starts, end - 1, side="right") - 1
-                        # One row for each text, item and place in the item.
-                        order = np.lexsort((item_at, item, slot))
-                        slot, item, item_at, edits, start, end = (x[order] for x in (slot, item, item_at, edits, start, end))
-                        new = np.ones(len(slot), bool)
-                        new[1:] = (slot[1:] != slot[:-1]) | (item[1:] != item[:-1]) | (item_at[1:] != item_at[:-1])
-                        head = np.flatnonzero(new)
-                        if not len(head):
-                            continue
-                        edits, start, end = np.minimum.reduceat(edits, head), np.minimum.reduceat(start, head), np.maximum.reduceat(end, head)
-                        for k, i, place, e, a, b in zip(*(x.tolist() for x in (slot[head], item[head], item_at[head], edits, start, end))):
-                            row, p, at = held[k]
-                            a, b = max(0, a - int(starts[k])), min(len(p), b - int(starts[k]))
-                            found.append((row, index.ids[i], place, e, int(at[a]), int(at[b - 1]) + 1))
+                        note(index.ids, slot, index.of[kind], passage - index.first[kind], edits, start - starts[slot], end - starts[slot])
+                    item, start, end = short.search(points)
+                    slot = np.searchsorted(starts, start, side="right") - 1
+                    start, end = start - starts[slot], end - starts[slot]
+                    # At a cut the neighbour is not seen; the overlap shows the place whole in the other part.
+                    size_, before, after = (np.array([h(x) for x in held]) for h in (lambda x: len(x[1]), lambda x: x[3], lambda x: x[4]))
+                    seen = ~(before[slot] & (start == 0)) & ~(after[slot] & (end == size_[slot]))
+                    none = np.zeros(int(seen.sum()), np.int64)
+                    note(short.ids, slot[seen], item[seen], none, none, start[seen], end[seen])
                 held.clear()
 
             for i, text in enumerate(batch.column("text")):
@@ -327,7 +389,7 @@ def _scan(index: Index):
                 for a in range(0, max(1, len(points)), SLICE):
                     part = points[a : a + SLICE + overlap]
                     if len(part):
-                        held.append((i, part, at[a : a + SLICE + overlap]))
+                        held.append((i, part, at[a : a + SLICE + overlap], a > 0, a + SLICE + overlap < len(points)))
                         size += len(part)
                     if size >= SLICE:
                         flush()
@@ -357,7 +419,9 @@ def benchmark_hits(
     edits is the least of the passages found, passages the number of places in the item where they start, text_start
     and text_end (code points of the text) span what was found.
 
-    Items with fewer than SHORTEST characters, null items and null, empty or shorter texts meet nothing. Repeated
+    Items of Q to below SHORTEST characters are found without edits, where they begin and end with words; scripts
+    without blanks between words have such ends everywhere. Items with fewer than Q characters, null items and null
+    or empty texts meet nothing. Repeated
     items and repeated rows are reported once for each id and text. The benchmark is measured first: up to BLOCK
     characters are broadcast as an index, a larger one goes through the documents in blocks of about BLOCK.
     Extra columns are not read.
@@ -371,7 +435,8 @@ def benchmark_hits(
     found = None
     for block in range(blocks):
         held = [(r["item"], r["text"]) for r in texts.where(F.col("block") == block).select("item", "text").collect()]
-        hits = rows.mapInArrow(_scan(Index(sorted(held, key=repr))), HITS)
+        held.sort(key=repr)
+        hits = rows.mapInArrow(_scan(Index(held), ShortItems(held)), HITS)
         found = hits if found is None else found.unionByName(hits)
     return found.groupBy("row_id", "row_body", "item_id").agg(
         F.count_distinct("item_at").alias("passages"),

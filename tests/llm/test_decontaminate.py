@@ -143,3 +143,26 @@ def test_repeated_characters_and_chunks(monkeypatch):
     assert {p for p, edits, _, _ in whole if edits == 0} == set(range(index.many))
     monkeypatch.setattr(dc, "CHUNK", 7)
     assert sorted(set(dc.search(index, points))) == whole
+
+
+def test_short_items_are_found_as_they_are(spark, monkeypatch):
+    asks, chinese = "What is the capital of France?", "中国的首都是哪一座城市呢。"
+    items = spark.createDataFrame([(1, asks), (2, chinese), (3, "tiny"), (4, asks + " Paris"), (5, "¿Un día más?")], "item_id long, text string")
+    texts = {
+        1: "Q: WHAT is the capital of France", 2: "what is the capital of france's coast", 3: "somewhat is the capital of France?",
+        4: "what is the capital of Frances", 5: "我问他中国的首都是哪一座城市呢他不知道", 6: "中国的首都是哪一座城市", 7: "tiny tiny un dia mas",
+        8: "x" * 3 + " un día más", 9: "lorem ipsum " * 40 + asks + " Paris", 10: "lorem ipsum " * 40 + "some" + asks + "x " + "dolor " * 99,
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = {(1, 1, 3, 32), (2, 1, 0, 29), (5, 2, 3, 15), (8, 5, 4, 14), (9, 1, 480, 509)}
+
+    def hits():
+        found = dc.benchmark_hits(docs, items).collect()
+        assert {(r.row_id, r.edits, r.passages) for r in found if r.item_id != 4} == {(d, 0, 1) for d in (1, 2, 5, 8, 9)}
+        return {(r.row_id, r.item_id, r.text_start, r.text_end) for r in found if r.item_id != 4}
+
+    assert hits() == want
+    assert {r.doc_id for r in dc.without_benchmark(docs, items).collect()} & {1, 2, 3, 5, 6, 7, 8} == {3, 6, 7}
+    for cut in (241, 484, 488):
+        monkeypatch.setattr(dc, "SLICE", cut)
+        assert hits() == want
