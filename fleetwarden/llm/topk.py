@@ -77,9 +77,12 @@ def top_products(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray,
         alive = qid[:, None] != part_id[None, :]
         for level, of in zip(levels, of_q):
             lines = np.flatnonzero(alive.any(axis=1))
-            bound = of[lines] @ segment_statistics(part.astype(float), level).T
+            of_part = segment_statistics(part.astype(float), level)
+            bound = of[lines] @ of_part.T
+            # Rounding goes with the vectors' lengths, whatever the bound's sign and size.
+            slack = 1e-9 * np.outer(np.linalg.norm(of[lines], axis=1), np.linalg.norm(of_part, axis=1)) + 1e-3
             # Scores are whole numbers; ids ascend, so a later candidate has to be better, not equal.
-            alive[lines] &= bound * (1 + 1e-9) + 1e-3 >= kth[lines, None] + 1
+            alive[lines] &= bound + slack >= kth[lines, None] + 1
         lines = np.flatnonzero(alive.any(axis=1))
         if not len(lines):
             continue

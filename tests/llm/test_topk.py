@@ -39,6 +39,13 @@ def test_large_components_are_exact():
     assert list(zip(*(x.tolist() for x in got))) == [(0, 1, int(big[0] @ big[1])), (0, 2, int(big[0] @ big[2]))]
 
 
+def test_large_negative_products_are_not_pruned(monkeypatch):
+    monkeypatch.setattr(topk, "STEP", 1)
+    c = np.array([[2_000_000, 2_000_000], [2_000_000, 1_999_999], [2_000_001, 2_000_000]], np.int64)
+    got = topk.top_products(np.array([9]), np.array([[-1, -1]], np.int64), np.arange(3), c, 1)
+    assert list(zip(*(x.tolist() for x in got))) == [(9, 1, -3_999_999)]
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (20, [0.1, -0.2]), (3, None), (4, [None, 1.0]), (5, [nan, 1.0]),
