@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators."""
+"""The registered queries of the thirteen operators."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetwarden.llm import (
+    byte_bpe,
     decontaminate,
     language,
     line_dedup,
@@ -198,3 +199,12 @@ def page_records(spark, sf):
 @query
 def op10_revisits(spark, sf):
     return revisits.resolve_revisits(page_records(spark, sf))
+
+
+@query
+def op13_byte_bpe(spark, sf):
+    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256) of every document; a null text is an empty one."""
+    encoded = byte_bpe.encode(table(spark, sf, "documents").select("doc_id", "text"))
+    told = F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), ","), "UTF-8"), 256)
+    rows = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), told.alias("ids_sha256"), "ids")
+    return byte_bpe.decode(rows).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
