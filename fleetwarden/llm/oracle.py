@@ -134,3 +134,43 @@ SELECT record_id, url_key, CASE WHEN agree THEN 'resolved' WHEN refers_to IS NOT
             ELSE concat_ws(chr(13) || chr(10), 'Date: now', 'Cache-Control: max-age=3600', 'Content-Length: 0', 'Connection: close', v) END AS headers
 FROM found
 """
+
+ORACLE["op11_divergence"] = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS d, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+  FROM documents
+), word AS (
+  SELECT d, lang, source, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM doc
+), kept AS (
+  SELECT lang, term FROM word GROUP BY ALL HAVING count(DISTINCT d) >= 10
+), grp AS (
+  SELECT DISTINCT lang, source FROM doc
+), found AS (
+  SELECT w.lang, w.source, w.term, count(*) AS n FROM word w JOIN kept k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL
+), cell AS (
+  SELECT g.lang, g.source, k.term, coalesce(f.n, 0)::HUGEINT AS n
+  FROM grp g JOIN kept k ON g.lang = k.lang LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term
+), share AS (
+  SELECT *, 1 + 1000000000 * (n + 2) // (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p
+  FROM cell
+), whole AS (
+  SELECT lang, term, 1 + 1000000000 * (n + 2) // (sum(n) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM cell GROUP BY ALL)
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+), summed AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), part AS (
+  SELECT p.lang, p.source, 'pair' AS part, p.item, coalesce(s.value, 0)::BIGINT AS value
+  FROM pair p LEFT JOIN summed s ON p.lang = s.lang AND p.source = s.source AND p.item = s.item
+  UNION ALL
+  SELECT s.lang, s.source, 'term', s.term, ((p - q) * (p - q) // (p + q))::BIGINT
+  FROM share s JOIN whole w ON s.lang = w.lang AND s.term = w.term WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM part
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""

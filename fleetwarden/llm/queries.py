@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetwarden.llm import (
     byte_bpe,
     decontaminate,
+    divergence,
     language,
     line_dedup,
     mixing,
@@ -208,3 +209,9 @@ def op13_byte_bpe(spark, sf):
     told = F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), ","), "UTF-8"), 256)
     rows = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), told.alias("ids_sha256"), "ids")
     return byte_bpe.decode(rows).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op11_divergence(spark, sf):
+    """Rows (lang, source, part, item, value, rank) over every document; nulls read as ''."""
+    return divergence.source_divergence(table(spark, sf, "documents"))
