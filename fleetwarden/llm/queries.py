@@ -11,6 +11,7 @@ from fleetwarden.llm import (
     byte_bpe,
     decontaminate,
     divergence,
+    hard_negatives,
     language,
     line_dedup,
     mixing,
@@ -215,3 +216,12 @@ def op13_byte_bpe(spark, sf):
 def op11_divergence(spark, sf):
     """Rows (lang, source, part, item, value, rank) over every document; nulls read as ''."""
     return divergence.source_divergence(table(spark, sf, "documents"))
+
+
+@query
+def op12_hard_negatives(spark, sf):
+    """Rows (anchor_id, positive_id, rank, negative_id, positive_score, negative_score) of the anchors with an id divisible
+    by 100, against every vector; an id divisible by 7 has the next label."""
+    number, label = F.col("vec_id"), F.col("label")
+    moved = F.when(number % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(table(spark, sf, "embeddings"), number % 100 == 0, moved)
