@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,8 +20,9 @@ from fleetwarden.session import ship, staged
 
 MIN_DOCUMENTS = 10
 TOP = 10
-#: Cells (term and source) that a task holds before it gives its stripes out.
-CELLS = 500_000
+#: Cells (term and source) that a task holds before it gives its stripes out; they are added up when so many times as
+#: many have come.
+CELLS, FRESH = 1_000_000, 3
 #: Terms of one task of the divergences; more where a language has more sources.
 TERMS = 4096
 #: Pairs of sources whose sums one task holds.
@@ -40,75 +42,125 @@ def terms(text: bytes) -> list[bytes]:
     return text.translate(FOLD).split()
 
 
-def _given_out(stripes: dict) -> pa.RecordBatch:
-    langs, words, documents, sources, counts, sizes = [], [], [], [], [], []
-    for (lang, term), (n, cells) in stripes.items():
-        langs.append(lang)
-        words.append(term)
-        documents.append(n)
-        sources += cells
-        counts += cells.values()
-        sizes.append(len(cells))
-    offsets = pa.array(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))).astype(np.int32))
+def _cells(row: np.ndarray, source: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Occurrences added up by (row, source), in that order."""
+    width = int(source.max(initial=0)) + 1
+    key = row * width + source
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return key[first] // width, key[first] % width, np.add.reduceat(count[order], first) if len(key) else count
+
+
+def _batch(lang: pa.Array, term: pa.Array, documents: np.ndarray, names: pa.Array, cells: tuple) -> pa.RecordBatch:
+    """Stripes as a batch, from cells with a row number."""
+    row, source, count = cells
+    offsets = pa.array(np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(documents))))).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, x) for x in (names.take(pa.array(source)), pa.array(count, pa.int64()))]
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(langs, pa.string()),
-            pa.array(words, pa.binary()).cast(pa.string()),
-            pa.array(documents, pa.int64()),
-            pa.ListArray.from_arrays(offsets, pa.array(sources, pa.string())),
-            pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64())),
-        ],
-        names=["lang", "term", "documents", "sources", "counts"],
+        [lang, term, pa.array(documents, pa.int64()), *lists], names=["lang", "term", "documents", "sources", "counts"]
     )
 
 
+class Rows(dict):
+    """The row of each term of a language; a new term gets the next row of all."""
+
+    def __init__(self, lang: str, all_rows: list):
+        super().__init__()
+        self.lang, self.all_rows = lang, all_rows
+
+    def __missing__(self, term: bytes) -> int:
+        row = self[term] = len(self.all_rows)
+        self.all_rows.append((self.lang, term))
+        return row
+
+
+class Stripes:
+    """A task's stripes: a hash from term to row, and cells (row, source, occurrences), added up when many came."""
+
+    def __init__(self):
+        self.rows: list[tuple[str, bytes]] = []
+        self.of_lang: dict[str, Rows] = {}
+        self.sources: dict[str, int] = {}
+        self.documents = np.zeros(0, np.int64)
+        self.cells = tuple(np.zeros(0, np.int64) for _ in range(3))
+        self.fresh: list[tuple[np.ndarray, int, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, lang: str, source: str, found: dict[bytes, int]) -> None:
+        row_of = self.of_lang.get(lang) or self.of_lang.setdefault(lang, Rows(lang, self.rows))
+        code = self.sources.setdefault(source, len(self.sources))
+        n = len(found) + 1
+        rows = np.fromiter(map(row_of.__getitem__, [b"", *found]), np.int64, n)
+        self.fresh.append((rows, code, np.fromiter([0, *found.values()], np.int64, n)))
+        self.size += n
+
+    def add_up(self) -> int:
+        """How many cells there are."""
+        row = np.concatenate([x[0] for x in self.fresh]) if self.fresh else np.zeros(0, np.int64)
+        source = np.repeat([x[1] for x in self.fresh], [len(x[0]) for x in self.fresh]).astype(np.int64)
+        count = np.concatenate([x[2] for x in self.fresh]) if self.fresh else row
+        seen = np.bincount(row, minlength=len(self.rows))
+        seen[: len(self.documents)] += self.documents
+        self.documents, self.fresh = seen, []
+        self.cells = _cells(*(np.concatenate(x) for x in zip(self.cells, (row, source, count))))
+        self.size = len(self.cells[0])
+        return self.size
+
+    def given_out(self) -> pa.RecordBatch:
+        self.add_up()
+        langs, words = zip(*self.rows)
+        term = pa.array(words, pa.binary()).cast(pa.string())
+        return _batch(pa.array(langs, pa.string()), term, self.documents, pa.array(list(self.sources), pa.string()), self.cells)
+
+
 def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stripes of a partition's documents. The stripe of the empty term has all sources of the language, with 0."""
-    stripes: dict[tuple[str, bytes], list] = {}
-    cells = 0
+    stripes = Stripes()
     for batch in batches:
         texts = batch.column("text").cast(pa.large_binary())
         for text, lang, source in zip(texts, batch.column("lang").to_pylist(), batch.column("source").to_pylist()):
-            found = Counter(terms(text.as_py()))
-            for term, n in [(b"", 0), *found.items()]:
-                stripe = stripes.get((lang, term))
-                if stripe is None:
-                    stripe = stripes[(lang, term)] = [0, {}]
-                stripe[0] += 1
-                own = stripe[1]
-                if source in own:
-                    own[source] += n
-                else:
-                    own[source] = n
-                    cells += 1
+            stripes.add(lang, source, Counter(terms(text.as_py())))
             # Only between documents: a document counts once for each of its terms.
-            if cells >= CELLS:
-                yield _given_out(stripes)
-                stripes, cells = {}, 0
-    if stripes:
-        yield _given_out(stripes)
+            if stripes.size >= FRESH * CELLS and stripes.add_up() >= CELLS:
+                yield stripes.given_out()
+                stripes = Stripes()
+    if stripes.rows:
+        yield stripes.given_out()
 
 
-def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One stripe a key from stripes in the order of keys."""
-    stripes: dict[tuple[str, bytes], list] = {}
+def merge(batches: Iterator[pa.RecordBatch], min_documents: int = 0) -> Iterator[pa.RecordBatch]:
+    """One stripe a key from stripes in the order of keys, without those of fewer documents; the empty term's all stay."""
+    open_: pa.RecordBatch | None = None
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("lang", "term", "documents", "sources", "counts")]
-        key = None
-        for lang, term, n, sources, counts in zip(*columns):
-            key = (lang, term.encode())
-            stripe = stripes.setdefault(key, [0, {}])
-            stripe[0] += n
-            own = stripe[1]
-            for source, count in zip(sources, counts):
-                own[source] = own.get(source, 0) + count
-        if key:
-            open_ = stripes.pop(key)
-            if stripes:
-                yield _given_out(stripes)
-            stripes = {key: open_}
-    if stripes:
-        yield _given_out(stripes)
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch] if open_ is None else [open_, batch]).combine_chunks().to_batches()[0]
+        lang, term = table.column("lang"), table.column("term")
+        both = [pc.equal(x.slice(1), x.slice(0, len(x) - 1)) for x in (lang, term)]
+        new = np.append(True, ~pc.and_(*both).to_numpy(zero_copy_only=False))
+        first = np.flatnonzero(new)
+        run = np.cumsum(new) - 1
+        documents = np.add.reduceat(table.column("documents").to_numpy(), first)
+        stays = (documents >= min_documents) | (pc.equal(term, "").to_numpy(zero_copy_only=False)[first])
+        stays[-1] = True  # it may go on in the next batch
+        chosen = table.filter(pa.array(stays[run]))
+        sources = chosen.column("sources")
+        coded = pc.dictionary_encode(sources.flatten())
+        row = np.repeat((np.cumsum(stays) - 1)[run[stays[run]]], pc.list_value_length(sources).to_numpy())
+        at = pa.array(first[stays])
+        done = _batch(
+            lang.take(at),
+            term.take(at),
+            documents[stays],
+            coded.dictionary,
+            _cells(row, coded.indices.to_numpy().astype(np.int64), chosen.column("counts").flatten().to_numpy()),
+        )
+        open_ = done.slice(done.num_rows - 1)
+        if done.num_rows > 1:
+            yield done.slice(0, done.num_rows - 1)
+    if open_ is not None and (open_.column("documents")[0].as_py() >= min_documents or open_.column("term")[0].as_py() == ""):
+        yield open_
 
 
 def shares(counts: np.ndarray, total, terms_kept: int) -> np.ndarray:
@@ -169,14 +221,18 @@ def _parts(key: tuple, stripes: pa.Table, profile: pa.Table) -> pa.Table:
     )
 
 
-def stripes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """One row (lang, term, documents, sources, counts) for each term of each language, and one with the empty term that
-    lists the language's sources. Nulls read as ''. Other columns are not read."""
+def stripes(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_documents: int = 0
+) -> DataFrame:
+    """One row (lang, term, documents, sources, counts) for each term that so many documents of a language hold, and one
+    with the empty term that lists the language's sources. Nulls read as ''. Other columns are not read."""
     ship(docs.sparkSession)
     rows = docs.select(
         body(docs[f"`{text_col}`"]).alias("text"), body(docs[f"`{lang_col}`"]).alias("lang"), body(docs[f"`{source_col}`"]).alias("source")
     )
-    return rows.mapInArrow(fold, STRIPE).repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(merge, STRIPE)
+    keys = ["lang", "term"]
+    folded = rows.mapInArrow(fold, STRIPE).repartition(*keys).sortWithinPartitions(*keys)
+    return folded.mapInArrow(lambda batches: merge(batches, min_documents), STRIPE)
 
 
 def source_divergence(
@@ -198,8 +254,7 @@ def source_divergence(
     sources; a chunk gives a sum for each pair and ten terms a source, so its output is no larger than its input.
     Languages of many sources are dealt out by left sides too.
     """
-    merged = stripes(docs, text_col, lang_col, source_col)
-    merged = staged(merged.where((F.col("documents") >= min_documents) | (F.col("term") == "")))
+    merged = staged(stripes(docs, text_col, lang_col, source_col, min_documents))
     kept = merged.where(F.col("term") != "")
     # One row a language: its sources in order, their totals and the number of terms. Partial sums come first.
     named = merged.where(F.col("term") == "").select("lang", F.explode("sources").alias("source"))
