@@ -8,8 +8,6 @@ finest level is multiplied.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -22,97 +20,23 @@ SCALE = 256
 POSITIVES, NEGATIVES = 5, 10
 #: The band, in hundredths of the positive's score.
 LOW, HIGH = 30, 90
-#: Anchors and rows of one task, rows of one step inside it.
-ANCHORS, ROWS, STEP = 512, 4096, 1024
+#: Anchors and rows of one task.
+ANCHORS, ROWS = 512, 4096
 
 STORED = "id long, label long, dim int, v array<double>, anchor boolean, mean array<double>, spread array<double>"
 SCORED = "anchor long, band int, id long, score long"
 
 
-class Block:
-    """Rows of a task: ids, labels, whole numbers and, level by level, rooted means and deviations."""
-
-    def __init__(self, table: pa.Table, scale: int):
-        n = table.num_rows
-        self.id, self.label = (np.asarray(table.column(c).combine_chunks()) for c in ("id", "label"))
-        self.whole = products.Whole(products.matrix(table.column("v"), n), scale)
-        dim = self.whole.raw.shape[1]
-        levels = products.levels(dim)
-        self.levels = []
-        if levels and n:
-            mean, spread = (products.matrix(table.column(c), n) for c in ("mean", "spread"))
-            for at in levels:
-                finest = at is levels[-1]
-                own = (mean, spread) if finest else products.coarser(mean, spread, levels[-1], at, dim)
-                self.levels.append(products.rooted(*own, at, dim))
-
-
-def survivors(q: Block, c: Block, part: np.ndarray, alive: np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """Those of the pairs whose bounds leave a score from least to most possible, refined level by level."""
-    exempt = q.whole.large[:, None] | c.whole.large[part][None, :]
-    for (q_mean, q_spread), (c_mean, c_spread) in zip(q.levels, c.levels):
-        lines = np.flatnonzero((alive & ~exempt).any(axis=1))
-        if not len(lines):
-            break
-        middle, reach = q_mean[lines] @ c_mean[part].T, q_spread[lines] @ c_spread[part].T
-        # Rounding goes with the vectors' lengths.
-        size = np.linalg.norm(q.whole.value[lines], axis=1)[:, None] * np.linalg.norm(c.whole.value[part], axis=1)[None, :]
-        reach += 1e-9 * np.where(exempt[lines], 0, size) + 1e-3
-        inside = (middle + reach >= least[lines, None]) & (middle - reach <= most[lines, None])
-        alive[lines] &= inside | exempt[lines]
-    return alive
-
-
-def best_in_bands(
-    q: Block, c: Block, same_label: bool, low: np.ndarray, high: np.ndarray, k: int
-) -> tuple[tuple[np.ndarray, ...], int]:
-    """((anchor's row, band, id, score) of the k best rows of each anchor and band, number of exact products).
-
-    low and high have a row for each anchor and a column for each band. Rows are of the anchor's label, or of others,
-    and never have its id.
-    """
-    order = np.argsort(c.id, kind="stable")
-    bands = low.shape[1]
-    codes, scores, ids = (np.zeros(0, np.int64) for _ in range(3))
-    need, products_made = low.copy(), 0
-    for start in range(0, len(order), STEP):
-        part = order[start : start + STEP]
-        alive = ((q.label[:, None] == c.label[part][None, :]) == same_label) & (q.id[:, None] != c.id[part][None, :])
-        # A band that is empty, or full of the highest score, asks nothing.
-        alive &= (need <= high).any(axis=1)[:, None]
-        alive = survivors(q, c, part, alive, need.min(axis=1), high.max(axis=1))
-        lines, columns = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
-        if not len(lines):
-            continue
-        exact = products.inner_products(q.whole, lines, c.whole, part[columns])
-        products_made += int(alive.sum())
-        fresh = [(codes, scores, ids)]
-        for band in range(bands):
-            fits = alive[np.ix_(lines, columns)] & (exact >= need[lines, band, None]) & (exact <= high[lines, band, None])
-            if len(columns) > k:
-                kth = np.partition(np.where(fits, exact, products.LEAST), len(columns) - k, axis=1)[:, len(columns) - k]
-                fits &= exact >= kth[:, None]
-            i, j = np.nonzero(fits)
-            fresh.append((lines[i] * bands + band, exact[i, j], c.id[part[columns[j]]]))
-        codes, scores, ids = products.best_of(*(np.concatenate(x) for x in zip(*fresh)), k)
-        count = np.bincount(codes, minlength=need.size)
-        full = np.flatnonzero(count >= k)
-        last = scores[np.cumsum(count)[full] - 1]
-        # Ids ascend, so a later row has to be better than the k-th, not equal.
-        need.ravel()[full] = np.where(last < products.MOST, last + 1, last)
-    return (codes // bands, codes % bands, ids, scores), products_made
-
-
 def _task(same_label: bool, k: int, scale: int, low: int, high: int):
     def run(key: tuple, anchors: pa.Table, rows: pa.Table) -> pa.Table:
         found = [np.zeros(0, np.int64)] * 4
         if anchors.num_rows and rows.num_rows:
-            q, c = Block(anchors, scale), Block(rows, scale)
+            q, c = products.Block(anchors, scale), products.Block(rows, scale)
             if same_label:
                 least, most = np.full((len(q.id), 1), products.LEAST), np.full((len(q.id), 1), products.MOST)
             else:
                 least, most = _bands(anchors.column("asked").to_pylist(), low, high)
-            (row, *rest), _ = best_in_bands(q, c, same_label, least, most, k)
+            (row, *rest), _ = products.best_in_bands(q, c, same_label, least, most, k)
             found = [q.id[row], *rest]
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
         return pa.table({n: pa.array(x, t) for n, x, t in zip(("anchor", "band", "id", "score"), found, kinds)})
@@ -130,29 +54,6 @@ def _bands(scores: list[list[int]], low: int, high: int) -> tuple[np.ndarray, np
     return least, most
 
 
-def _summaries(scale: int, dim: int, turn: np.ndarray | None):
-    """Adds each vector's segments at the finest level, after the rotation."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            v = batch.column("v")
-            sizes = np.asarray(batch.column("dim"))
-            means, spreads = [None] * len(v), [None] * len(v)
-            for size in np.unique(sizes).tolist():
-                levels, rows = products.levels(size), np.flatnonzero(sizes == size)
-                if not levels:
-                    continue
-                whole = products.Whole(np.array(v.take(pa.array(rows)).to_pylist(), float), scale)
-                x = np.where(whole.large[:, None], 0.0, whole.value)
-                mean, spread = products.summary(x @ turn if size == dim and turn is not None else x, levels[-1])
-                for r, m, s in zip(rows.tolist(), mean, spread):
-                    means[r], spreads[r] = m, s
-            lists = [pa.array(x, pa.list_(pa.float64())) for x in (means, spreads)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *lists], names=[*batch.schema.names, "mean", "spread"])
-
-    return run
-
-
 def _block(column: str, seed: int, blocks: int | Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), column), F.lit(blocks) if isinstance(blocks, int) else blocks)
 
@@ -194,7 +95,7 @@ def hard_negatives(
         is_anchor.alias("anchor"),
     ).where(F.col("id").isNotNull() & F.col("label").isNotNull() & products.takes_part(F.col("v")))
     dim, turn = products.rotation(rows, "v", F.xxhash64("id"))
-    stored = staged(rows.mapInArrow(_summaries(scale, dim, turn), STORED))
+    stored = staged(rows.mapInArrow(products.with_summaries(scale, dim, turn), STORED))
     anchors = staged(
         stored.where("anchor").groupBy("id").agg(F.min(F.struct("dim", "v", "label", "mean", "spread")).alias("a")).select("id", "a.*")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ LEAST, MOST = -(2**63), 2**63 - 1
 #: Rows whose directions of most energy give the rotation, and single components at the front of each level.
 SAMPLE = 2048
 LEVELS = (2, 8, 16, 32)
+#: Rows of one step inside a task.
+STEP = 1024
 
 
 def takes_part(vector: Column) -> Column:
@@ -117,3 +120,102 @@ def best_of(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> tu
     rows = rows[order]
     keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
     return rows[keep], scores[order][keep], ids[order][keep]
+
+
+class Block:
+    """Rows of a task: ids, labels, whole numbers and, level by level, rooted means and deviations."""
+
+    def __init__(self, table: pa.Table, scale: int):
+        n = table.num_rows
+        column = lambda c: np.asarray(table.column(c).combine_chunks())
+        self.id, self.label = column("id"), column("label") if "label" in table.column_names else None
+        self.whole = Whole(matrix(table.column("v"), n), scale)
+        dim = self.whole.raw.shape[1]
+        steps = levels(dim)
+        self.levels = []
+        if steps and n:
+            mean, spread = (matrix(table.column(c), n) for c in ("mean", "spread"))
+            for at in steps:
+                own = (mean, spread) if at is steps[-1] else coarser(mean, spread, steps[-1], at, dim)
+                self.levels.append(rooted(*own, at, dim))
+
+
+def survivors(q: Block, c: Block, part: np.ndarray, alive: np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Those of the pairs whose bounds leave a score from least to most possible, refined level by level."""
+    exempt = q.whole.large[:, None] | c.whole.large[part][None, :]
+    for (q_mean, q_spread), (c_mean, c_spread) in zip(q.levels, c.levels):
+        lines = np.flatnonzero((alive & ~exempt).any(axis=1))
+        if not len(lines):
+            break
+        middle, reach = q_mean[lines] @ c_mean[part].T, q_spread[lines] @ c_spread[part].T
+        # Rounding goes with the vectors' lengths.
+        size = np.linalg.norm(q.whole.value[lines], axis=1)[:, None] * np.linalg.norm(c.whole.value[part], axis=1)[None, :]
+        reach += 1e-9 * np.where(exempt[lines], 0, size) + 1e-3
+        inside = (middle + reach >= least[lines, None]) & (middle - reach <= most[lines, None])
+        alive[lines] &= inside | exempt[lines]
+    return alive
+
+
+def best_in_bands(
+    q: Block, c: Block, same_label: bool | None, low: np.ndarray, high: np.ndarray, k: int
+) -> tuple[tuple[np.ndarray, ...], int]:
+    """((anchor's row, band, id, score) of the k best rows of each anchor and band, number of exact products).
+
+    low and high have a row for each anchor and a column for each band. Rows are of the anchor's label, or of others, or
+    of any (None), and never have its id.
+    """
+    order = np.argsort(c.id, kind="stable")
+    bands = low.shape[1]
+    codes, scores, ids = (np.zeros(0, np.int64) for _ in range(3))
+    need, made = low.copy(), 0
+    for start in range(0, len(order), STEP):
+        part = order[start : start + STEP]
+        alive = q.id[:, None] != c.id[part][None, :]
+        if same_label is not None:
+            alive &= (q.label[:, None] == c.label[part][None, :]) == same_label
+        # A band that is empty, or full of the highest score, asks nothing.
+        alive &= (need <= high).any(axis=1)[:, None]
+        alive = survivors(q, c, part, alive, need.min(axis=1), high.max(axis=1))
+        lines, columns = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
+        if not len(lines):
+            continue
+        exact = inner_products(q.whole, lines, c.whole, part[columns])
+        made += int(alive.sum())
+        fresh = [(codes, scores, ids)]
+        for band in range(bands):
+            fits = alive[np.ix_(lines, columns)] & (exact >= need[lines, band, None]) & (exact <= high[lines, band, None])
+            if len(columns) > k:
+                kth = np.partition(np.where(fits, exact, LEAST), len(columns) - k, axis=1)[:, len(columns) - k]
+                fits &= exact >= kth[:, None]
+            i, j = np.nonzero(fits)
+            fresh.append((lines[i] * bands + band, exact[i, j], c.id[part[columns[j]]]))
+        codes, scores, ids = best_of(*(np.concatenate(x) for x in zip(*fresh)), k)
+        count = np.bincount(codes, minlength=need.size)
+        full = np.flatnonzero(count >= k)
+        last = scores[np.cumsum(count)[full] - 1]
+        # Ids ascend, so a later row has to be better than the k-th, not equal.
+        need.ravel()[full] = np.where(last < MOST, last + 1, last)
+    return (codes // bands, codes % bands, ids, scores), made
+
+
+def with_summaries(scale: int, dim: int, turn: np.ndarray | None):
+    """For mapInArrow: adds mean and spread, each vector's segments at the finest level after the rotation, to rows with v and dim."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = batch.column("v")
+            sizes = np.asarray(batch.column("dim"))
+            means, spreads = [None] * len(v), [None] * len(v)
+            for size in np.unique(sizes).tolist():
+                at, rows = levels(size), np.flatnonzero(sizes == size)
+                if not at:
+                    continue
+                whole = Whole(np.array(v.take(pa.array(rows)).to_pylist(), float), scale)
+                x = np.where(whole.large[:, None], 0.0, whole.value)
+                mean, spread = summary(x @ turn if size == dim and turn is not None else x, at[-1])
+                for r, m, s in zip(rows.tolist(), mean, spread):
+                    means[r], spreads[r] = m, s
+            lists = [pa.array(x, pa.list_(pa.float64())) for x in (means, spreads)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *lists], names=[*batch.schema.names, "mean", "spread"])
+
+    return run

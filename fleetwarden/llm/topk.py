@@ -10,114 +10,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetwarden.llm import products
 from fleetwarden.session import ship, staged
 
 TOP = 20
 SCALE = 64
-#: Candidates and queries of one task, candidates of one step inside it, and segments from coarse to fine.
-CANDIDATES, QUERIES, STEP = 4096, 2048, 1024
-SEGMENTS = (1, 4, 16)
-#: Largest size of a quantised component, so that scores fit a long.
-LARGEST = 2.0**24
+#: Candidates and queries of one task.
+CANDIDATES, QUERIES = 4096, 1024
 
+STORED = "id long, dim int, v array<double>, asks boolean, mean array<double>, spread array<double>"
 FOUND = "query_id long, vec_id long, score long"
 
 
-def quantised(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of every component; null where the vector takes no part."""
-    usable = vector.isNotNull() & (F.size(vector) > 0) & F.forall(
-        vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) * scale < LARGEST)
-    )
-    return F.when(usable, F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long")))
-
-
-def segment_statistics(x: np.ndarray, parts: int) -> np.ndarray:
-    """Means and deviations of `parts` segments, each times the root of its length, as one row a vector.
-
-    For two vectors, the inner product of these rows is at least that of the vectors: inside a segment the means'
-    product is exact and the rest is at most the product of the deviations. In distances: |q - c|^2 is at least the
-    sum over segments of length * ((difference of means)^2 + (difference of deviations)^2).
-    """
-    cut = np.array_split(np.arange(x.shape[1]), min(parts, x.shape[1]))
-    means = np.stack([x[:, s].mean(axis=1) * math.sqrt(len(s)) for s in cut], axis=1)
-    spread = np.stack([x[:, s].std(axis=1) * math.sqrt(len(s)) for s in cut], axis=1)
-    return np.concatenate([means, spread], axis=1)
-
-
-def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Integer inner products: by floats while these are exact, else by integers."""
-    if float(np.abs(q).max()) * float(np.abs(c).max()) * q.shape[1] < 2**53:
-        return (q.astype(float) @ c.astype(float).T).astype(np.int64)
-    return q @ c.T
-
-
-def _best(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """The k best of each row, ties to the smaller id."""
-    order = np.lexsort((ids, -scores, rows))
-    rows = rows[order]
-    first = np.searchsorted(rows, rows)
-    keep = np.arange(len(rows)) - first < k
-    return rows[keep], scores[order][keep], ids[order][keep]
-
+def _search(k: int, scale: int):
+    """The k best candidates of each query, from what the query already knows to be reached (`least`)."""
 
-def top_products(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(query ids, candidate ids, scores): each query's k best candidates with another id, exact.
-
-    Candidates come in steps. For each step bounds from 1, 4 and 16 segments are computed coarse to fine, only pairs
-    whose bound reaches the query's k-th score so far go on, and exact products are taken of the survivors.
-    """
-    at = np.argsort(cid, kind="stable")
-    cid, c = cid[at], c[at]
-    rows, scores, ids = (np.zeros(0, np.int64) for _ in range(3))
-    kth = np.full(len(qid), -np.inf)
-    levels = [s for s in SEGMENTS if s < q.shape[1]]
-    of_q = [segment_statistics(q.astype(float), s) for s in levels]
-    for start in range(0, len(cid), STEP):
-        part, part_id = c[start : start + STEP], cid[start : start + STEP]
-        alive = qid[:, None] != part_id[None, :]
-        for level, of in zip(levels, of_q):
-            lines = np.flatnonzero(alive.any(axis=1))
-            of_part = segment_statistics(part.astype(float), level)
-            bound = of[lines] @ of_part.T
-            # Rounding goes with the vectors' lengths, whatever the bound's sign and size.
-            slack = 1e-9 * np.outer(np.linalg.norm(of[lines], axis=1), np.linalg.norm(of_part, axis=1)) + 1e-3
-            # Scores are whole numbers; ids ascend, so a later candidate has to be better, not equal.
-            alive[lines] &= bound + slack >= kth[lines, None] + 1
-        lines = np.flatnonzero(alive.any(axis=1))
-        if not len(lines):
-            continue
-        exact = _products(q[lines], part)
-        i, j = np.nonzero(alive[lines] & (exact > kth[lines, None]))
-        rows, scores, ids = _best(
-            np.concatenate([rows, lines[i]]),
-            np.concatenate([scores, exact[i, j]]),
-            np.concatenate([ids, part_id[j]]),
-            k,
-        )
-        counts = np.bincount(rows, minlength=len(qid))
-        last = np.cumsum(counts) - 1
-        full = counts >= k
-        kth[full] = scores[last[full]]
-    return qid[rows], ids, scores
-
-
-def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
-    flat = pa.concat_arrays([x.flatten() for x in column.chunks]).to_numpy(zero_copy_only=False)
-    return flat.astype(np.int64).reshape(rows, -1)
-
-
-def _search(k: int):
     def run(key: tuple, queries: pa.Table, candidates: pa.Table) -> pa.Table:
         found = [np.zeros(0, np.int64)] * 3
         if queries.num_rows and candidates.num_rows:
-            found = top_products(
-                queries.column("qid").to_numpy(),
-                _matrix(queries.column("q"), queries.num_rows),
-                candidates.column("cid").to_numpy(),
-                _matrix(candidates.column("c"), candidates.num_rows),
-                k,
-            )
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, found))))
+            q, c = products.Block(queries, scale), products.Block(candidates, scale)
+            least = np.array(queries.column("least").to_pylist(), np.int64)[:, None]
+            (row, _, ids, scores), _ = products.best_in_bands(q, c, None, least, np.full_like(least, products.MOST), k)
+            found = [q.id[row], ids, scores]
+        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("query_id", "vec_id", "score"), found)})
 
     return run
 
@@ -130,47 +45,45 @@ def top_k(
     k: int = TOP,
     scale: int = SCALE,
 ) -> DataFrame:
-    """Rows (query_id, rank, vec_id, score) of the k largest integer inner products of each query.
-
-    Queries and candidates are dealt into blocks by a hash of their ids, and every pair of blocks is one task: the
-    stated query set meets all rows, block by block. A task returns k rows a query, and a window over
-    (candidate blocks x k) rows a query ranks them. Block sizes bound a task whatever the table's size, and equal
-    vectors have different ids, so no block is hot.
-
-    Vectors that are null or empty, hold a null or non-finite component or one of 2^24 or more after scaling, and
-    rows without an id take no part. Only vectors of the same length are compared. Rows with a query's id are not its candidates. Where ids repeat,
-    each row is a candidate, and the smallest vector stands for the id as a query. Extra columns are not read.
+    """Rows (query_id, rank, vec_id, score) of the k largest inner products of floor(scale * x), exact; scale is a power of two.
+
+    Vectors are turned to the directions of most energy and stored with the means and deviations of their segments, which
+    bound all products coarse to fine; exact products are taken of the survivors. Queries and candidates are dealt into
+    blocks by a hash of their ids, and every pair of blocks is one task: the stated query set meets all rows, block by
+    block. The first block of candidates gives each query a score that its k-th best reaches, and all blocks start from
+    it. A task returns k rows a query, and a window over (candidate blocks x k) rows a query ranks them. Block sizes
+    bound a task whatever the table's size, and equal vectors have different ids, so no block is hot.
+
+    Vectors that are null or empty or hold a null or non-finite component, and rows without an id take no part.
+    Components of any size do: a score beyond 64 bits is the least or most that they hold. Only vectors of the same
+    length are compared. Rows with a query's id are not its candidates. Where ids repeat, each row is a candidate, and the
+    smallest vector of each length stands for the id as a query; a query of several lengths has its k best of all.
+    Extra columns are not read.
     """
     ship(vectors.sparkSession)
     rows = vectors.select(
-        F.col(id_col).alias("id"), quantised(F.col(vector_col), scale).alias("v"), is_query.alias("asks")
-    ).where(F.col("id").isNotNull() & F.col("v").isNotNull())
-    rows = staged(rows.withColumn("dim", F.size("v")))
-    queries = rows.where("asks").groupBy("id", "dim").agg(F.min("v").alias("q"))
-    n, asked = rows.count(), rows.where("asks").count()
-    c_blocks, q_blocks = max(1, math.ceil(n / CANDIDATES)), max(1, math.ceil(asked / QUERIES))
-    left = queries.select(
-        F.col("id").alias("qid"),
-        "q",
-        F.col("dim").alias("q_dim"),
-        F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(q_blocks)).alias("q_block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(c_blocks - 1).cast("long"))).alias("q_other"),
-    )
-    right = rows.select(
-        F.col("id").alias("cid"),
-        F.col("v").alias("c"),
-        F.col("dim").alias("c_dim"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))).alias("c_other"),
-        F.pmod(F.xxhash64(F.lit(2), "id"), F.lit(c_blocks)).alias("c_block"),
-    )
-    found = (
-        left.groupBy("q_dim", "q_block", "q_other")
-        .cogroup(right.groupBy("c_dim", "c_other", "c_block"))
-        .applyInArrow(_search(k), FOUND)
+        F.col(id_col).cast("long").alias("id"), F.size(vector_col).alias("dim"), F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("asks")
+    ).where(F.col("id").isNotNull() & products.takes_part(F.col("v")) & (F.col("dim") > 0))
+    dim, turn = products.rotation(rows, "v", F.xxhash64("id"))
+    stored = staged(rows.mapInArrow(products.with_summaries(scale, dim, turn), STORED))
+    queries = staged(
+        stored.where("asks").groupBy("id", "dim").agg(F.min(F.struct("v", "mean", "spread")).alias("q")).select("id", "dim", "q.*")
     )
+    n, asked = stored.count(), queries.count()
+    c_blocks, q_blocks = max(1, math.ceil(n / CANDIDATES)), max(1, math.ceil(asked / QUERIES))
+    block = lambda seed, blocks: F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(blocks).cast("long"))
+    every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (
-        found.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast(T.IntegerType()).alias("rank"), "vec_id", "score")
-    )
+    keys = ["dim", "q_block", "c_block"]
+
+    def ranked(left: DataFrame, right: DataFrame) -> DataFrame:
+        found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_search(k, scale), FOUND)
+        return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+    left = queries.withColumn("q_block", block(1, q_blocks))
+    right = stored.drop("asks").withColumn("c_block", block(2, c_blocks)).withColumn("q_block", every(q_blocks))
+    lowest = F.lit(products.LEAST).cast("long")
+    start = ranked(left.select("*", lowest.alias("least"), F.lit(0).cast("long").alias("c_block")), right.where("c_block = 0"))
+    start = staged(start.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("reached")))
+    asks = left.join(start, "id", "left").select("*", F.coalesce("reached", lowest).alias("least"), every(c_blocks).alias("c_block"))
+    return ranked(asks, right).select("query_id", F.col("rank").cast(T.IntegerType()).alias("rank"), "vec_id", "score")

@@ -112,11 +112,11 @@ def survived(x, label, turn):
     whole = np.floor(x * scale)
     mean, spread = products.summary(whole @ turn, products.levels(dim)[-1])
     table = pa.table({"id": np.arange(len(x)), "label": label, "v": x.tolist(), "mean": mean.tolist(), "spread": spread.tolist()})
-    c, q = hard_negatives.Block(table, scale), hard_negatives.Block(table.slice(0, 40), scale)
+    c, q = products.Block(table, scale), products.Block(table.slice(0, 40), scale)
     same = np.where(label[:40, None] == label[None, :], whole[:40] @ whole.T, -np.inf)
     np.fill_diagonal(same, -np.inf)
     top = np.sort(same, axis=1)[:, -5:].astype(int).tolist()
-    (_, _, _, scores), n = hard_negatives.best_in_bands(q, c, False, *hard_negatives._bands(top, 30, 90), 10)
+    (_, _, _, scores), n = products.best_in_bands(q, c, False, *hard_negatives._bands(top, 30, 90), 10)
     return n / int((label[:40, None] != label[None, :]).sum())
 
 
