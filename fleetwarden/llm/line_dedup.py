@@ -76,11 +76,12 @@ def drop_repeated_lines(
     joined = rows.join(
         dropped, F.col("doc").eqNullSafe(F.col("gone_doc")) & (F.col("body") == F.col("gone_body")), "left"
     )
+    # Lines are a lambda's argument: they are cut once for a text and not again for each line that stays.
     lines = _lines(body(F.col("_row")[text_col]))
-    kept = F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda i: F.get(lines, i)
-    )
-    thinned = F.when(F.col("gone").isNull(), F.col("_row")[text_col]).otherwise(F.array_join(kept, "\n"))
+    stays = lambda x: F.array_except(F.sequence(F.lit(0), F.size(x["lines"]) - 1), x["gone"])
+    kept = lambda x: F.array_join(F.transform(stays(x), lambda i: F.get(x["lines"], i)), "\n")
+    joined_lines = F.get(F.transform(F.array(F.struct(lines.alias("lines"), F.col("gone").alias("gone"))), kept), F.lit(0))
+    thinned = F.when(F.col("gone").isNull(), F.col("_row")[text_col]).otherwise(joined_lines)
     return with_outputs(
         joined,
         "_row",

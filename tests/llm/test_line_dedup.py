@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 import pytest
 
@@ -73,3 +74,14 @@ def test_query_digests(spark, sf):
 def test_native_plans_hold_no_python(spark, sf, name):
     plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_a_text_of_many_lines_takes_time_in_proportion(spark):
+    long = [f"line number {i} of a very long text" for i in range(60_000)]
+    common = "a line that several documents hold"
+    rows = [(1, "\n".join([common, *long, common])), (2, common), (3, common)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    start = time.time()
+    got = {r["doc_id"]: r for r in drop_repeated_lines(docs).collect()}
+    assert time.time() - start < 60
+    assert got[1]["text"] == "\n".join(long) and got[1]["n_dropped"] == 2 and got[2]["text"] == "" and got[3]["text"] == common
