@@ -299,6 +299,18 @@ def near_duplicate_links(texts: DataFrame, buckets: DataFrame, width: int, simil
     return links.unionByName(more)
 
 
+def texts_of_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) from rows (node, a, b, text) and nodes (node, copies): of rows that agree in node and text, one.
+
+    Copies under one id, or without any, would else be compared copies x copies times. Only nodes with copies are grouped,
+    and before the shuffle every task keeps one row of each.
+    """
+    many = staged(nodes.where("copies > 1").select("node").distinct())
+    single = rows.join(many, "node", "left_anti").select("node", "text")
+    grouped = rows.join(many, "node", "left_semi").groupBy("node", "a", "b").agg(F.first("text").alias("text"))
+    return single.unionByName(staged(grouped.select("node", "text")))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -308,7 +320,8 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """Rows (id, digest, digest_b, class_id, stays), one for each row of docs; class_id is the smallest id of its group.
+    """Rows (id, digest, digest_b, class_id, class_digest, stays), one for each row of docs; class_id is the smallest id of
+    its group, class_digest the digest of the row that stays, which also tells groups without any id apart.
 
     Documents are in one group if a chain of pairs joins them whose multisets of five-word shingles have a Jaccard
     similarity of 0.8 or more; words are runs of letters, marks and digits in lower case, and a text of fewer words
@@ -334,7 +347,7 @@ def near_duplicates(
             .select("a", "b", "id", "copies", F.coalesce("id", "a").alias("node"), "n", "bands")
         )
         buckets = nodes.select("node", "n", F.explode("bands").alias("key"))
-        named = rows_.select(F.coalesce("id", "a").alias("node"), "text")
+        named = texts_of_nodes(rows_.select(F.coalesce("id", "a").alias("node"), "a", "b", "text"), nodes)
         links = near_duplicate_links(named, buckets, width, similarity)
     parts = components(links)
     grouped = nodes.join(parts, "node", "left").select("a", "b", "id", "copies", "label")
@@ -348,7 +361,14 @@ def near_duplicates(
     classes = staged(
         grouped.where("label is not null or copies > 1")
         .join(staged(heads), "label", "left")
-        .select("a", "b", F.coalesce("head", "id").alias("class_id"), F.lit(True).alias("grouped"), chosen.alias("chosen"))
+        .select(
+            "a",
+            "b",
+            F.coalesce("head", "id").alias("class_id"),
+            F.coalesce("head_a", "a").alias("class_digest"),
+            F.lit(True).alias("grouped"),
+            chosen.alias("chosen"),
+        )
     )
     keys = rows_.select("id", "a", "b")
     return keys.join(classes, ["a", "b"], "left").select(
@@ -356,6 +376,7 @@ def near_duplicates(
         F.col("a").alias("digest"),
         F.col("b").alias("digest_b"),
         F.when(F.col("grouped"), F.col("class_id")).otherwise(F.col("id")).alias("class_id"),
+        F.coalesce("class_digest", "a").alias("class_digest"),
         (F.col("grouped").isNull() | (F.col("chosen") & F.col("id").eqNullSafe(F.col("class_id")))).alias("stays"),
     )
 

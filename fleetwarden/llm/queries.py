@@ -91,37 +91,42 @@ def page_list_entries(captures):
 
 @query
 def op1_url_lists(spark, sf):
+    """Rows of evaluate_captures for every page; a null url has no host and meets no entry."""
     captures = page_captures(spark, sf)
     return url_lists.evaluate_captures(captures, page_list_entries(captures)).drop("fetched_at")
 
 
 @query
 def op2_language(spark, sf):
+    """Rows (doc_id, held_out, lang_pred, score) of every document; a text that is null or has no letter is `und`."""
     return language.identify(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
 
 
 @query
 def op3_line_dedup(spark, sf):
+    """Rows (doc_id, n_lines, n_dropped, kept_sha256) of every document; a null or empty text is one empty line."""
     kept = line_dedup.drop_repeated_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode(body("text"), "UTF-8"), 256).alias("kept_sha256"))
 
 
 @query
 def op4_benchmark_hits(spark, sf):
+    """Rows of benchmark_hits, one for each document and item that share a passage; null texts share none."""
     hits = decontaminate.benchmark_hits(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return hits.withColumnRenamed("row_id", "doc_id").drop("row_body")
 
 
 @query
 def op5_near_duplicates(spark, sf):
+    """Rows (doc_id, class_id, is_representative, class_digest), one for each document: one text of a class represents it,
+    also where ids are null or repeat."""
     rows = near_dups.near_duplicates(table(spark, sf, "documents"))
-    return rows.select(
-        F.col("id").alias("doc_id"), "class_id", F.col("id").eqNullSafe(F.col("class_id")).alias("is_representative")
-    )
+    return rows.select(F.col("id").alias("doc_id"), "class_id", F.col("stays").alias("is_representative"), "class_digest")
 
 
 @query
 def op6_shards(spark, sf):
+    """Rows (doc_id, size, text_crc32, law, shard, slot, grown_shard) of every document under the law `rows`; a null text has 0 bytes."""
     rows = sharding.assign_shards(table(spark, sf, "documents"))
     return rows.select(
         F.col("id").alias("doc_id"),
@@ -137,6 +142,7 @@ def op6_shards(spark, sf):
 
 @query
 def op7_mix(spark, sf):
+    """Rows (doc_id, size, source_size, target, taken) of every document; a null text has size 0, null sources come last."""
     rows = mixing.mix(table(spark, sf, "documents"))
     return rows.select(
         F.col("id").alias("doc_id"),
@@ -151,11 +157,13 @@ def op7_mix(spark, sf):
 
 @query
 def op8_top_products(spark, sf):
+    """Rows (query_id, rank, vec_id, score): the 20 best of every id divisible by 20, against all vectors."""
     return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
 @query
 def op9_token_counts(spark, sf):
+    """Rows (doc_id, n_bytes, n_tokens, over_limit) of every document; a null text is an empty one."""
     return token_counts.with_token_counts(table(spark, sf, "documents"))
 
 
@@ -200,6 +208,7 @@ def page_records(spark, sf):
 
 @query
 def op10_revisits(spark, sf):
+    """Rows of resolve_revisits for two revisits of every page; a page without url is a record of the empty url."""
     return revisits.resolve_revisits(page_records(spark, sf))
 
 

@@ -123,3 +123,30 @@ def test_components(spark):
     got = {r.node: r.label for r in components(spark.createDataFrame(chain, "x long, y long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 103: 100}
     assert components(spark.createDataFrame([], "x long, y long")).count() == 0
+
+
+def test_copies_without_ids_are_one_text(spark):
+    one = [f"w{i}" for i in range(60)]
+    near = " ".join([*one[:-1], "zz"])
+    rows = [(None, " ".join(one))] * 200 + [(None, near)] * 200 + [(7, "x y z q r s"), (7, "x y z q r s"), (7, "other words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    held = docs.selectExpr("coalesce(doc_id, xxhash64(text)) AS node", "xxhash64(text) AS a", "xxhash64(text, 1) AS b", "text")
+    nodes = held.groupBy("node", "a", "b").count().withColumnRenamed("count", "copies")
+    assert nd.texts_of_nodes(held, nodes).count() == 4
+    got = nd.near_duplicates(docs).collect()
+    first = [r for r in got if r["id"] is None]
+    assert len({r["class_digest"] for r in first}) == 1 and all(r["class_id"] is None for r in first)
+    assert len({r["digest"] for r in first if r["stays"]}) == 1
+
+
+def test_query_marks_one_text_of_each_class(spark, tmp_path):
+    words = [f"w{i}" for i in range(60)]
+    text, near = " ".join(words), " ".join([*words[:-1], "end"])
+    far = " ".join(reversed(words))
+    rows = [(None, text), (None, near), (None, far), (None, far + " more"), (1, "one text of two under an id " + text[:40]), (1, "else")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op5_near_duplicates"](spark, str(tmp_path)).collect()
+    classes = {}
+    for r in got:
+        classes.setdefault(r["class_digest"], []).append(r["is_representative"])
+    assert sorted(map(sorted, classes.values())) == [[False, True], [False, True], [True], [True]]
