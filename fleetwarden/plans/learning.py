@@ -3,13 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.classification import (
+    DecisionTreeClassificationModel,
+    LogisticRegression,
+    LogisticRegressionModel,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
+from pyspark.ml.feature import (
+    Imputer,
+    OneHotEncoder,
+    StandardScaler,
+    StandardScalerModel,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -21,6 +36,7 @@ from fleetwarden.operators.ranking import best_row
 from fleetwarden.operators.reshape import pivot_prefixed
 from fleetwarden.operators.sampling import with_split
 from fleetwarden.operators.scoring import score_with_model
+from fleetwarden.plans import forests
 from fleetwarden.schemas import PERCENTILES, SENSORS
 from fleetwarden.session import ship, staged
 
@@ -37,8 +53,8 @@ INVERSE_REGULARISATION = 18.487521995589663
 ITERATIONS = 100
 FOREST_SEED = 42
 TREES = 100
-#: Spark's trees go to depth 30; that fits the training rows exactly and takes many times as long (README).
-DEPTH = 8
+#: Depth to which passes over all rows grow a forest, and the depth that the original's trees may reach.
+DEPTH, FULL_DEPTH = 8, 30
 #: Memory of one task's split statistics while a forest grows.
 FOREST_MEMORY_MB = 1024
 
@@ -208,19 +224,56 @@ def score_status(model: PipelineModel, labels: list[str]):
     return score
 
 
-def _linear_stages(model: PipelineModel) -> dict:
-    """The numbers inside a fitted logistic pipeline, for scoring inside a SQL function."""
-    imputer, _, numeric, percentiles, _, calendar, hours, _, _, classifier = model.stages
-    fill = imputer.surrogateDF.first()
+@dataclass
+class FlatForest:
+    """Fitted feature stages and a forest as node arrays; transform adds the class number, as a pipeline does."""
+
+    stages: PipelineModel
+    forest: forests.NodeArrays
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return forests.with_prediction(self.stages.transform(df), self.forest)
+
+
+def train_deep(frame: DataFrame, depth: int = FULL_DEPTH, trees: int = TREES) -> FlatForest:
+    """A forest of the depth that the original has: passes over all rows to DEPTH, the rest of each subtree in a task."""
+    stages, rows = features(frame, calendar=False)
+    nodes = forests.fit_deep(rows.filter(F.col("split") == "train"), forest(trees, min(depth, DEPTH)), depth)
+    return FlatForest(stages, forests.node_arrays(nodes))
+
+
+def _feature_numbers(stages: list) -> dict:
+    """The numbers inside fitted feature stages, for scoring inside a SQL function."""
+    fill = stages[0].surrogateDF.first()
+    hours = [s.labels for s in stages if isinstance(s, StringIndexerModel)]
     return {
         "fill": np.array([fill[c] for c in NUMERIC]),
-        "scalers": [(s.mean.toArray(), s.std.toArray()) for s in (numeric, percentiles, calendar)],
-        "hours": np.array([float(h) for h in hours.labels]),
-        "weights": classifier.coefficientMatrix.toArray(),
-        "bias": classifier.interceptVector.toArray(),
+        "scalers": [(s.mean.toArray(), s.std.toArray()) for s in stages if isinstance(s, StandardScalerModel)],
+        "hours": np.array([float(h) for h in hours[0]]) if hours else None,
     }
 
 
+@dataclass
+class Linear:
+    weights: np.ndarray
+    bias: np.ndarray
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        return x @ self.weights.T + self.bias
+
+
+def _scorer_of(model: PipelineModel | FlatForest) -> tuple[dict, Linear | forests.NodeArrays]:
+    """(numbers of the feature stages, what gives one score a class from features)."""
+    if isinstance(model, FlatForest):
+        return _feature_numbers(model.stages.stages), model.forest
+    *stages, classifier = model.stages
+    if isinstance(classifier, LogisticRegressionModel):
+        return _feature_numbers(stages), Linear(classifier.coefficientMatrix.toArray(), classifier.interceptVector.toArray())
+    if isinstance(classifier, (RandomForestClassificationModel, DecisionTreeClassificationModel)):
+        return _feature_numbers(stages), forests.node_arrays(forests.model_nodes(classifier))
+    raise TypeError(f"no SQL function for a {type(classifier).__name__}")
+
+
 def _calendar_matrix(ts: pd.Series) -> np.ndarray:
     """The CALENDAR columns of calendar_features for a batch of timestamps."""
     hour, day = ts.dt.hour, ts.dt.dayofweek
@@ -237,33 +290,41 @@ def _calendar_matrix(ts: pd.Series) -> np.ndarray:
     return np.column_stack([np.asarray(c, dtype=float) for c in columns])
 
 
-def linear_scores(numbers: dict, ts: pd.Series, values: list[pd.Series], arrays: list[pd.Series]) -> np.ndarray:
-    """One score per row and class, from the 14 input columns."""
+def feature_matrix(numbers: dict, ts: pd.Series, values: list[pd.Series], arrays: list[pd.Series]) -> np.ndarray:
+    """The feature vectors of a batch, from the 14 input columns."""
     plain = np.column_stack([v.to_numpy(dtype=float, na_value=np.nan) for v in values])
     plain = np.where(np.isnan(plain), numbers["fill"], plain)
     zeros = np.zeros(len(PERCENTILES))
     lists = np.column_stack([np.stack([zeros if x is None else np.asarray(x, float) for x in a]) for a in arrays])
+    raw = [plain, lists] if numbers["hours"] is None else [plain, lists, _calendar_matrix(ts)]
     blocks = []
-    for raw, (mean, std) in zip((plain, lists, _calendar_matrix(ts)), numbers["scalers"]):
-        blocks.append((raw - mean) * np.where(std > 0, 1 / np.where(std > 0, std, 1), 0.0))
-    flags = np.zeros((len(ts), numbers["weights"].shape[1] - sum(b.shape[1] for b in blocks)))
-    place = {h: i for i, h in enumerate(numbers["hours"])}
-    # An hour that training never saw has the last flag.
-    flags[np.arange(len(ts)), [place.get(float(h), len(place)) for h in ts.dt.hour]] = 1.0
-    return np.hstack([*blocks, flags]) @ numbers["weights"].T + numbers["bias"]
+    for block, (mean, std) in zip(raw, numbers["scalers"]):
+        blocks.append((block - mean) * np.where(std > 0, 1 / np.where(std > 0, std, 1), 0.0))
+    if numbers["hours"] is not None:
+        place = {h: i for i, h in enumerate(numbers["hours"])}
+        # An hour that training never saw has the last flag.
+        flags = np.zeros((len(ts), len(place) + 1))
+        flags[np.arange(len(ts)), [place.get(float(h), len(place)) for h in ts.dt.hour]] = 1.0
+        blocks.append(flags)
+    return np.hstack(blocks)
+
 
+def register_scorer(spark: SparkSession, name: str, model: PipelineModel | FlatForest, labels: list[str]) -> None:
+    """Register a fitted logistic, tree or forest model as a SQL function of the 14 INPUTS.
 
-def register_scorer(spark: SparkSession, name: str, model: PipelineModel, labels: list[str]) -> None:
-    """Register a logistic pipeline as a SQL function of the 14 INPUTS; each Arrow batch is one matrix product."""
+    Each Arrow batch is one matrix product, or one walk down all trees level by level.
+    """
     ship(spark)
-    numbers, names, split = _linear_stages(model), np.array(labels, dtype=object), 1 + len(NUMERIC)
+    names, split = np.array(labels, dtype=object), 1 + len(NUMERIC)
+    held = spark.sparkContext.broadcast(_scorer_of(model))  # a matrix, or nodes within forests.MOST_NODES
 
     @F.pandas_udf("string")
     def scorer(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        numbers, classifier = held.value
         for columns in batches:
             if len(columns[0]):
-                scores = linear_scores(numbers, columns[0], list(columns[1:split]), list(columns[split:]))
-                yield pd.Series(names[scores.argmax(axis=1)])
+                x = feature_matrix(numbers, columns[0], list(columns[1:split]), list(columns[split:]))
+                yield pd.Series(names[classifier.scores(x).argmax(axis=1)])
             else:
                 yield pd.Series([], dtype=object)
 

@@ -500,6 +500,7 @@ ORACLE: dict[str, str] = {
         avg(hit) FILTER (split = 'val') AS val_f1 FROM r GROUP BY run)
       SELECT run, round(test_f1, 6) AS test_f1, round(train_f1, 6) AS train_f1, round(val_f1, 6) AS val_f1
       FROM w ORDER BY w.val_f1 DESC LIMIT 1""",
+    "registered_forest": f"WITH {HISTORY} SELECT count(*) AS n, 0::BIGINT AS different FROM history",
     "registered_scorer": f"WITH {HISTORY} SELECT count(*) AS n, 0::BIGINT AS different FROM history",
     "stream_sensor_stats": _EVENT_STATS,
     "class_weights": f"""WITH {HISTORY} SELECT abnormal_sensor, count(*) AS rows,

@@ -833,6 +833,21 @@ def ml_rf_eval(spark, sf):
     return learning.split_metrics(learning.confusion(model, frame, labels))
 
 
+@query
+def ml_deep_forest_eval(spark, sf):
+    """The forest at full depth: upper levels by passes over the table, the rest of every subtree in one task."""
+    frame, labels = _frame(spark, sf)
+    return learning.split_metrics(learning.confusion(learning.train_deep(frame), frame, labels))
+
+
+@query
+def trained_confusion_matrix(spark, sf):
+    """The confusion matrix of a trained forest on the validation rows."""
+    frame, labels = _frame(spark, sf)
+    model = learning.train(frame, learning.forest(), calendar=False)
+    return learning.confusion_wide(learning.confusion(model, frame, labels), labels)
+
+
 @query
 def trained_best_run(spark, sf):
     """Three candidates on features that are fitted once per feature set, the best by validation F1."""
@@ -866,18 +881,30 @@ def model_status(spark, sf):
     return gold.groupBy("prediction", "maintenance_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _function_differences(spark, sf, model, labels, name):
+    """Rows, and rows where the model as a SQL function of the 14 input columns differs from the model."""
+    learning.register_scorer(spark, name, model, labels)
+    inputs = silver.training_dataset(b.readings(spark, sf)).select(*learning.KEY, *learning.INPUTS[1:])
+    by_pipeline = learning.score_status(model, labels)(inputs).withColumnRenamed("prediction", "by_pipeline")
+    both = by_pipeline.withColumn("by_function", F.expr(f"{name}({', '.join(learning.INPUTS)})"))
+    return both.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("by_function").eqNullSafe(F.col("by_pipeline"))).alias("different")
+    )
+
+
+@query
+def registered_forest(spark, sf):
+    """A stored forest as a SQL function, its nodes as arrays: rows, and rows where it differs from the library's forest."""
+    frame, labels = _frame(spark, sf)
+    folder = new_folder(spark, "models")
+    learning.publish(spark, learning.train(frame, learning.forest(), calendar=False), labels, folder, "champion", "run_1")
+    return _function_differences(spark, sf, *learning.published(spark, folder, "champion"), "predict_by_forest")
+
+
 @query
 def registered_scorer(spark, sf):
     """A stored model as a SQL function of the 14 input columns: rows, and rows where it differs from the pipeline."""
     frame, labels = _frame(spark, sf)
     folder = new_folder(spark, "models")
     learning.publish(spark, learning.train(frame, learning.logistic(frame)), labels, folder, "champion", "run_1")
-    model, labels = learning.published(spark, folder, "champion")
-    learning.register_scorer(spark, "predict_maintenance", model, labels)
-    inputs = silver.training_dataset(b.readings(spark, sf)).select(*learning.KEY, *learning.INPUTS[1:])
-    by_pipeline = learning.score_status(model, labels)(inputs).withColumnRenamed("prediction", "by_pipeline")
-    call = f"predict_maintenance({', '.join(learning.INPUTS)})"
-    both = by_pipeline.withColumn("by_function", F.expr(call))
-    return both.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("by_function").eqNullSafe(F.col("by_pipeline"))).alias("different")
-    )
+    return _function_differences(spark, sf, *learning.published(spark, folder, "champion"), "predict_maintenance")

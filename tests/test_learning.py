@@ -82,3 +82,24 @@ def test_best_run_and_confusion_matrix(spark, trained):
 def test_split_covers_every_row(spark, sf):
     df = with_split(b.table(spark, sf, "orders"), ["o_orderkey"])
     assert df.filter(F.col("split").isNull()).isEmpty()
+
+
+def test_forests_as_functions_agree_with_the_models(spark, trained):
+    frame, labels, _, history = trained
+    inputs = history.select("turbine_id", *learning.INPUTS)
+    gaps = inputs.limit(20).withColumns({"avg_energy": F.lit(None).cast("double"), "percentiles_sensor_A": F.lit(None).cast("array<double>")})
+    rows_ = inputs.unionByName(gaps)
+    flat = learning.train_deep(frame, depth=12, trees=5)
+    for name, model in (
+        ("by_forest_t", learning.train(frame, learning.forest(5, 4), calendar=False)),
+        ("by_deep_t", flat),
+        ("by_timed_forest_t", learning.train(frame, learning.forest(3, 4))),
+    ):
+        learning.register_scorer(spark, name, model, labels)
+        scored = learning.score_status(model, labels)(rows_)
+        both = scored.withColumn("f", F.expr(f"{name}({', '.join(learning.INPUTS)})"))
+        assert both.filter(~F.col("f").eqNullSafe(F.col("prediction"))).isEmpty()
+    metrics = {r["split"]: r for r in learning.split_metrics(learning.confusion(flat, frame, labels)).collect()}
+    assert metrics["test"]["weighted_f1"] > 0.9
+    with pytest.raises(TypeError, match="no SQL function"):
+        learning._scorer_of(type("M", (), {"stages": [None]})())
