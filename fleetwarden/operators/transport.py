@@ -134,6 +134,24 @@ def optimality(flows: DataFrame) -> DataFrame:
     )
 
 
+def deal_out(asked: DataFrame, flows: DataFrame) -> DataFrame:
+    """Quantities (type, stock_location_id, designator_id, qty_shipped) for asked (type, designator_id, lane, demand), from
+    flows (type, stock_location_id, lane, flow): both are laid along the same line, and overlaps are shipments."""
+    along = W.partitionBy("type", "lane").orderBy("stock_location_id").rowsBetween(W.unboundedPreceding, 0)
+    placed = flows.filter(F.col("flow") > 0).select(
+        "type", "lane", "stock_location_id", "flow", F.sum("flow").over(along).alias("flow_end")
+    )
+    chunked = asked.withColumn("_chunk", F.pmod(F.xxhash64("designator_id"), F.lit(CHUNKS)))
+    laid = running_total(chunked, ["type", "lane"], "_chunk", ["designator_id"], F.col("demand"), "asked_end")
+    overlap = F.least("flow_end", "asked_end") - F.greatest(
+        F.col("flow_end") - F.col("flow"), F.col("asked_end") - F.col("demand")
+    )
+    dealt = laid.join(placed, ["type", "lane"]).select(
+        "type", "stock_location_id", "designator_id", overlap.cast("int").alias("qty_shipped")
+    )
+    return dealt.filter(F.col("qty_shipped") > 0)
+
+
 def shipments(asked: DataFrame, stock: DataFrame, cost: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(quantities shipped, flows with prices) without a table of all routes.
 
@@ -150,18 +168,7 @@ def shipments(asked: DataFrame, stock: DataFrame, cost: DataFrame) -> tuple[Data
         .select("type", "stock_location_id", "lane", "cost", "supply", "demand")
     )
     flows = solve(problem)
-    along = W.partitionBy("type", "lane").orderBy("stock_location_id").rowsBetween(W.unboundedPreceding, 0)
-    placed = flows.filter(F.col("flow") > 0).select(
-        "type", "lane", "stock_location_id", "flow", F.sum("flow").over(along).alias("flow_end")
-    )
-    chunked = asked.withColumn("_chunk", F.pmod(F.xxhash64("designator_id"), F.lit(CHUNKS)))
-    laid = running_total(chunked, ["type", "lane"], "_chunk", ["designator_id"], F.col("demand"), "asked_end")
-    overlap = F.least("flow_end", "asked_end") - F.greatest(
-        F.col("flow_end") - F.col("flow"), F.col("asked_end") - F.col("demand")
-    )
-    dealt = laid.join(placed, ["type", "lane"]).select(
-        "type", "stock_location_id", "designator_id", overlap.cast("int").alias("qty_shipped")
-    )
+    dealt = deal_out(asked, flows)
     unserved = flows.filter(F.col("lane").isNull()).select("type").unionByName(
         wanted.select("type").distinct().join(stock, "type", "left_anti")
     )
@@ -169,7 +176,7 @@ def shipments(asked: DataFrame, stock: DataFrame, cost: DataFrame) -> tuple[Data
         "type",
         *[F.lit(None).cast(dealt.schema[c].dataType).alias(c) for c in ("stock_location_id", "designator_id", "qty_shipped")],
     )
-    return dealt.filter(F.col("qty_shipped") > 0).unionByName(nothing), flows
+    return dealt.unionByName(nothing), flows
 
 
 def transport_plan(lp: DataFrame, lane: str | None = None, tasks: int | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetwarden.functions.geo import haversine_km
 from fleetwarden.operators.joins import join_dimension, pair_grid
 from fleetwarden.operators.ranking import cumulative_class
 from fleetwarden.operators.scoring import placeholder_prediction
@@ -240,3 +241,31 @@ def status_intervals(spark: SparkSession, sf: str) -> DataFrame:
         (start + length).cast("bigint").alias("end_time"),
         F.when(F.col("o_orderstatus") == "F", "ok").otherwise("sensor_A").alias("abnormal_sensor"),
     )
+
+
+def customer_shipping(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(asked, stock, cost in km) with every customer at a place of its own: what a customer ordered of a brand is asked, and
+    the regions hold a tenth more of it; of every seventh brand, half of it."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    brands = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("type"))
+    asked = lines.join(orders, "o_orderkey").join(brands, "p_partkey").groupBy("type", F.col("o_custkey").alias("designator_id")).agg(
+        F.count(F.lit(1)).alias("demand")
+    )
+    shares = F.element_at(F.array(*[F.lit(x) for x in (1, 2, 3, 1, 4)]), (F.col("r_regionkey") + 1).cast("int"))
+    number = F.expr("cast(substring(type, 7) as int)")
+    total = asked.groupBy("type").agg(F.sum("demand").alias("total"))
+    supply = F.floor(F.col("total") * shares / F.when(number % 7 == 0, 22).otherwise(10)) + 1
+    site = F.concat(F.lit("supply_"), (F.col("r_regionkey") + 1).cast("string"))
+    stock_ = pair_grid(total, table(spark, sf, "region").select("r_regionkey")).select(
+        "type", site.alias("stock_location_id"), supply.cast("bigint").alias("supply")
+    )
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    places = table(spark, sf, "customer").select(
+        key.alias("designator_id"),
+        (nation * 5 - 60 + key * 7919 % 1000 / 250).alias("_plat"),
+        (nation * 14 - 170 + key * 104729 % 1000 / 100).alias("_plon"),
+    )
+    sites = stock(spark, sf).select("stock_location_id", F.col("lat").alias("_slat"), F.col("long").alias("_slon"))
+    km = haversine_km(F.col("_slat"), F.col("_slon"), F.col("_plat"), F.col("_plon"))
+    return asked, stock_, pair_grid(places, sites).select("stock_location_id", "designator_id", km.alias("cost"))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from fleetwarden.functions import keys as key_functions
 from fleetwarden.functions.arrays import clean_request, request_json, spread_array
 from fleetwarden.functions.temporal import calendar_features, retention_day, time_bucket
-from fleetwarden.operators import joins, quality, ranking, reshape, sampling, scoring, spread, stats, transport
+from fleetwarden.operators import joins, quality, ranking, reshape, sampling, scoring, spread, stats, transport, transport_prices
 from fleetwarden.plans import bindings as b
 from fleetwarden.plans import gold as gold_plan
 from fleetwarden.plans import flow, learning, silver, supply, tickets
@@ -383,6 +383,13 @@ def transport_optimality(spark, sf):
     return transport.optimality(_shipping(spark, sf).flows).drop("total_cost")
 
 
+@query
+def transport_optimality_km(spark, sf):
+    """Least kilometres where every customer has costs of its own: plan and prices prove each other."""
+    plan, priced = transport_prices.least_cost(*b.customer_shipping(spark, sf))
+    return transport_prices.proof(staged(plan), priced).drop("total_cost")
+
+
 @query
 def shipment_totals(spark, sf):
     """Shipped units per product and home port."""
