@@ -12,11 +12,11 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetwarden.operators.quality import Expectation, expect, rule_counts
+from fleetwarden.operators.quality import Expectation, expect
 from fleetwarden.session import exists
 from fleetwarden.sources.readers import rescue
 
@@ -101,15 +101,17 @@ def ingest_files(
 
     def store(paths: list[str], number: int) -> None:
         landed = read_landing(spark, paths, schema)
-        # A scan of the rules' columns alone; it does not depend on the write, so a repeated batch counts the same.
-        counts = landed.agg(*rule_counts(rules)).first().asDict()
-        rows = expect(landed, rules)
+        # Counted while the rows are written: the files are read once. A batch that is run again counts the same.
+        seen = Observation(f"expectations_{number}")
+        rows = expect(landed, rules, seen)
         if day_of and day_of in rows.columns:
             dated = rows.withColumn("day", F.to_date(F.timestamp_seconds(day_of)))
             dated.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={number}")
         else:
             rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
-        lines = [(name, counts["rows"], n) for name, n in counts.items() if name != "rows"]
+        counts = seen.get
+        names = ["dropped", *[r.name for r in rules]]
+        lines = [(name, counts.get("rows", 0), counts.get(name, 0)) for name in names]
         spark.createDataFrame(lines, METRICS).coalesce(1).write.mode("overwrite").parquet(f"{metrics}/batch={number}")
 
     each_batch_of_files(spark, folder, checkpoint, store, files_per_trigger, glob)

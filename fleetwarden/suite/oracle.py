@@ -512,6 +512,40 @@ ORACLE: dict[str, str] = {
     "registered_forest": f"WITH {HISTORY} SELECT count(*) AS n, 0::BIGINT AS different FROM history",
     "registered_scorer": f"WITH {HISTORY} SELECT count(*) AS n, 0::BIGINT AS different FROM history",
     "stream_sensor_stats": _EVENT_STATS,
+    "stream_with_late_rows": _EVENT_STATS,
+    "merged_sensor_stats": f"WITH {SILVER} SELECT turbine_id, hourly_timestamp, {_flat_stats()} FROM silver",
+    "late_row_counts": """WITH timed AS (
+        SELECT ts, floor(epoch(ts))::BIGINT AS s FROM events),
+      dropped AS (
+        SELECT ts, CASE WHEN s % 10 = 7 THEN 2 ELSE least(greatest((s - 1704067200) // 864000, 0), 2) END::INTEGER AS batch FROM timed),
+      high AS (SELECT batch, max(ts) AS high FROM dropped GROUP BY batch)
+      SELECT batch, count(*) AS rows, count(*) FILTER (
+        ts < (SELECT max(high) FROM high h WHERE h.batch < d.batch) - INTERVAL 1 DAY) AS late
+      FROM dropped d GROUP BY batch""",
+    "holiday_orders": """WITH days AS (
+        SELECT unnest(generate_series(DATE '1995-01-01', DATE '2004-12-31', INTERVAL 1 DAY))::DATE AS day),
+      part AS (SELECT day, year(day) AS y, month(day) AS m, day(day) AS d, isodow(day) AS w FROM days),
+      a AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM (SELECT DISTINCT y FROM part)),
+      h AS (SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM a),
+      l AS (SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM h),
+      n AS (SELECT y, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS n FROM l),
+      easter AS (SELECT make_date(y, n // 31, n % 31 + 1) AS easter FROM n),
+      dated AS (
+        SELECT day, CASE
+          WHEN m = 1 AND d = 1 THEN 'New Year''s Day' WHEN m = 7 AND d = 4 THEN 'Independence Day'
+          WHEN m = 11 AND d = 11 THEN 'Veterans Day' WHEN m = 12 AND d = 25 THEN 'Christmas Day'
+          WHEN m = 1 AND w = 1 AND d BETWEEN 15 AND 21 THEN 'Martin Luther King Day'
+          WHEN m = 2 AND w = 1 AND d BETWEEN 15 AND 21 THEN 'Washington''s Birthday'
+          WHEN m = 5 AND w = 1 AND d >= 25 THEN 'Memorial Day' WHEN m = 9 AND w = 1 AND d <= 7 THEN 'Labor Day'
+          WHEN m = 10 AND w = 1 AND d BETWEEN 8 AND 14 THEN 'Columbus Day'
+          WHEN m = 11 AND w = 4 AND d BETWEEN 22 AND 28 THEN 'Thanksgiving'
+          WHEN day + 2 IN (SELECT easter FROM easter) THEN 'Good Friday' END AS holiday, w
+        FROM part),
+      named AS (
+        SELECT day, holiday, FALSE AS observed FROM dated WHERE holiday IS NOT NULL
+        UNION ALL SELECT day + CASE w WHEN 6 THEN -1 WHEN 7 THEN 1 ELSE 0 END, holiday, TRUE FROM dated WHERE holiday IS NOT NULL)
+      SELECT year(o_orderdate)::INTEGER AS year, holiday, count(*) AS n, observed
+      FROM orders JOIN named ON o_orderdate::DATE = day GROUP BY ALL""",
     "class_weights": f"""WITH {HISTORY} SELECT abnormal_sensor, count(*) AS rows,
       round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight FROM history GROUP BY abnormal_sensor""",
     "scaled_features": _scaled(),

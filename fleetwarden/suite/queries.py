@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetwarden.functions import holidays
 from fleetwarden.functions import keys as key_functions
 from fleetwarden.functions.arrays import clean_request, request_json, spread_array
 from fleetwarden.functions.temporal import calendar_features, retention_day, time_bucket
-from fleetwarden.operators import joins, quality, ranking, reshape, sampling, scoring, spread, stats, transport, transport_prices
+from fleetwarden.operators import joins, partials, quality, ranking, reshape, sampling, scoring, spread, stats, transport, transport_prices
 from fleetwarden.plans import bindings as b
 from fleetwarden.plans import gold as gold_plan
 from fleetwarden.plans import flow, learning, silver, supply, tickets
@@ -752,6 +753,59 @@ def stream_sensor_stats(spark, sf):
     return flat(hourly.current_hours(stored, ["turbine_id"]))
 
 
+@query
+def merged_sensor_stats(spark, sf):
+    """Hourly statistics from the stored partials of three disjoint drops of the readings."""
+    rows, keys = b.bronze(spark, sf), ["turbine_id", "hourly_timestamp"]
+    hour = time_bucket("timestamp").alias("hourly_timestamp")
+    drop = F.pmod(F.xxhash64("turbine_id", "timestamp", "energy"), F.lit(3)).alias("drop")
+    stored = staged(partials.partial_statistics(rows, ["turbine_id", hour, drop]))
+    return flat(partials.final_statistics(partials.merge_partials(stored, keys, "drop"), keys))
+
+
+def _late_events(spark, sf):
+    """Events in three drops by time; every tenth event comes with the last drop, however old it is."""
+    folder = new_folder(spark, "late-events")
+    events = b.events(spark, sf).select("turbine_id", "event_time", "energy")
+    seconds = F.unix_timestamp("event_time")
+    third = F.floor((seconds - 1_704_067_200) / 864_000)  # ten days each from the start of 2024
+    drop = F.when(F.pmod(seconds, F.lit(10)) == 7, 2).when(third <= 0, 0).when(third == 1, 1).otherwise(2)
+    for number in range(3):
+        events.filter(drop == number).coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+    stream = ingest.file_stream(spark, f"{folder}/landing", events.schema, 1)
+    table = hourly.HourlyPartials(spark, f"{folder}/table", ["turbine_id"], "event_time", ["energy"])
+    table.run(stream, f"{folder}/state").awaitTermination()
+    return table
+
+
+@query
+def stream_with_late_rows(spark, sf):
+    """Streamed hours with their late rows: the same as one computation over all events."""
+    return flat(_late_events(spark, sf).statistics())
+
+
+@query
+def late_row_counts(spark, sf):
+    """Rows and late rows of every micro-batch."""
+    return _late_events(spark, sf).batches().select("batch", "rows", "late")
+
+
+@query
+def holiday_orders(spark, sf):
+    """Orders on public holidays, which a calendar of rules gives for ten years, and on the days these are observed."""
+    orders = b.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("d"))
+    dates = holidays.calendar(spark, 1995, 2004)
+    counted = [
+        holidays.with_holidays(orders, F.col("d"), dates, observed)
+        .select(F.year("d").alias("year"), F.explode("holidays").alias("holiday"))
+        .groupBy("year", "holiday")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("observed", F.lit(observed))
+        for observed in (False, True)
+    ]
+    return counted[0].unionByName(counted[1])
+
+
 # ---- learning ----------------------------------------------------------------------------------------------
 
 
