@@ -17,7 +17,7 @@ from fleetwarden.operators.joins import join_dimension, pair_grid
 from fleetwarden.operators.ranking import cumulative_class
 from fleetwarden.operators.scoring import placeholder_prediction
 from fleetwarden.plans import gold as gold_plan
-from fleetwarden.plans import silver
+from fleetwarden.plans import silver, supply
 from fleetwarden.plans.platforms import platform_dimension, unit_metadata
 from fleetwarden.schemas import FAILURE_SHARES, SENSORS, maintenance_actions
 from fleetwarden.session import pin, staged
@@ -102,7 +102,7 @@ def raw_platforms(spark: SparkSession, sf: str) -> DataFrame:
 
 def platforms(spark: SparkSession, sf: str) -> DataFrame:
     """The platform table, stored once: later steps check its size and join it several times."""
-    return staged(platform_dimension(staged(raw_platforms(spark, sf))))
+    return staged(platform_dimension(raw_platforms(spark, sf)))
 
 
 def units(spark: SparkSession, sf: str) -> DataFrame:
@@ -201,17 +201,29 @@ def gold(
     )
 
 
-def fixture_shipments(lp: DataFrame, parts_: DataFrame, platforms_: DataFrame) -> DataFrame:
-    """A shipment table that plain SQL can also state: each demand goes to its cheapest site, up to its supply."""
-    cheapest = lp.groupBy("type", "designator_id").agg(
-        F.min(F.struct("cost", "stock_location_id")).getField("stock_location_id").alias("best")
+def fixture_shipments(parts_: DataFrame, platforms_: DataFrame, gold_: DataFrame) -> DataFrame:
+    """A shipment table that plain SQL can also state: each demand goes to its cheapest site, up to its supply.
+
+    Designators of one port have the same cheapest site of a product, so sites are compared once a port.
+    """
+    ports = platforms_.select("designator_id", "home_location_id").distinct()
+    asked = join_dimension(supply.demand(gold_, parts_).withColumnRenamed("parts", "type"), ports, "designator_id")
+    cost = supply.shipping_cost(parts_, platforms_).select(
+        F.col("stock_location").alias("stock_location_id"), F.col("homeport").alias("home_location_id"), F.col("distance").alias("cost")
+    )
+    best = (
+        join_dimension(supply.supply(parts_), cost, "stock_location_id")
+        .groupBy("type", "home_location_id")
+        .agg(F.min(F.struct("cost", "stock_location_id", "supply")).alias("best"))
+    )
+    dealt = join_dimension(asked.filter("demand > 0"), best, ["type", "home_location_id"]).select(
+        "type",
+        F.col("best.stock_location_id").alias("stock_location_id"),
+        "designator_id",
+        F.least("demand", F.coalesce("best.supply", F.lit(0)).cast("bigint")).cast("int").alias("qty_shipped"),
     )
-    qty = F.when(F.col("stock_location_id") == F.col("best"), F.least("demand", F.col("supply").cast("bigint"))).otherwise(0)
     sites = parts_.select("stock_location", "stock_location_id").distinct()
     names = platforms_.select("designator", "designator_id").distinct()
-    dealt = lp.join(cheapest, ["type", "designator_id"]).select(
-        "type", "stock_location_id", "designator_id", qty.cast("int").alias("qty_shipped")
-    )
     return join_dimension(join_dimension(dealt, sites, "stock_location_id"), names, "designator_id")
 
 

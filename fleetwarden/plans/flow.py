@@ -157,7 +157,6 @@ def refresh_shipments(lake: Lake, cost: str = "rank") -> None:
     platforms = lake.replace("platforms", meta.select(*columns, *simulated).distinct())
     lake.replace("shipping_cost", supply.shipping_cost(parts, platforms, cost))
     gold_table = lake.read("ship_current_status_gold")
-    lake.replace("lp_table", supply.lp_table(parts, platforms, gold_table, cost))
     made = supply.Shipping(parts, platforms, gold_table, cost)
     lake.replace("transport_flows", made.flows)
     plan = lake.replace("transport_plan", made.plan)

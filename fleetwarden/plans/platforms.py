@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from fleetwarden.functions.keys import surrogate_id
 from fleetwarden.operators.joins import join_dimension, modulo_assign
-from fleetwarden.operators.ranking import number_distinct, number_rows
+from fleetwarden.operators.ranking import number_rows
 
 
 def with_home_ids(platforms: DataFrame) -> DataFrame:
-    """Distinct home locations are numbered in name order and joined back."""
-    homes = number_distinct(platforms, ["home_location"], "_n").select(
-        "home_location", F.concat(F.lit("home_"), F.col("_n").cast("string")).alias("home_location_id")
+    """Distinct home locations are numbered in name order and joined back.
+
+    The ports come as one sorted list from one aggregate with partial sets; a fleet has few of them.
+    """
+    ports = platforms.agg(F.array_sort(F.collect_set("home_location")).alias("_ports"))
+    homes = ports.select(F.posexplode("_ports").alias("_n", "home_location")).select(
+        "home_location", F.concat(F.lit("home_"), (F.col("_n") + 1).cast("string")).alias("home_location_id")
     )
     return join_dimension(platforms, homes, "home_location")
 

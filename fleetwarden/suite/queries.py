@@ -419,8 +419,7 @@ def _ticket_columns(gold):
 def _fixture(spark, sf):
     parts, platforms = _dims(spark, sf)
     gold = staged(_ticket_columns(b.gold(spark, sf, platforms)))
-    lp = staged(supply.lp_table(parts, platforms, gold))
-    return staged(b.fixture_shipments(lp, parts, platforms)), gold, parts, platforms
+    return staged(b.fixture_shipments(parts, platforms, gold)), gold, parts, platforms
 
 
 @query

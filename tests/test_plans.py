@@ -128,7 +128,7 @@ def test_no_single_task_and_no_nested_loop_on_big_inputs(spark, sf):
         "lp": lp,
         "plan": supply.Shipping(parts_, platforms, gold).plan,
         "parts": tickets.required_parts(gold, parts_),
-        "arcs": routes.route_arcs(b.fixture_shipments(lp, parts_, platforms), parts_, platforms),
+        "arcs": routes.route_arcs(b.fixture_shipments(parts_, platforms, gold), parts_, platforms),
     }
     for name, frame in frames.items():
         plan = frame._jdf.queryExecution().executedPlan().toString()
