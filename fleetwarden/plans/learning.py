@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
@@ -204,6 +206,36 @@ def search(frame: DataFrame, labels: list[str], inverse_regs: list[float]) -> Da
     )
 
 
+def successive_halving(
+    frame: DataFrame, labels: list[str], inverse_regs: list[float], rungs: tuple[int, ...] = (10, 30, ITERATIONS), parallel: int = 4
+) -> DataFrame:
+    """One row (rung, iterations, inverse_reg, f1, kept) for each fit of a search.
+
+    All strengths are fitted with the iterations of the first rung, and the better half by weighted F1 on the validation
+    rows goes on to the next; ties keep the smaller strength. Feature stages are fitted and stored once. The fits of a
+    rung are independent Spark jobs that run side by side, so a cluster is not idle while one fit waits for its last task.
+    """
+    spark = frame.sparkSession
+    ready = features(frame)[1]
+    train_rows = ready.filter(F.col("split") == "train")
+    held = ready.filter(F.col("split") == "val")
+
+    def fit(strength: float, iterations: int) -> float:
+        model = PipelineModel(stages=[logistic(frame, strength, iterations).fit(train_rows)])
+        return split_metrics(confusion(model, held, labels)).first()["weighted_f1"]
+
+    alive, found = sorted(set(inverse_regs)), []
+    for rung, iterations in enumerate(rungs):
+        with ThreadPoolExecutor(parallel) as pool:
+            # Threads of the pool work for this session and its job properties.
+            scores = list(pool.map(inheritable_thread_target(spark)(lambda c: fit(c, iterations)), alive))
+        ranked = sorted(zip(alive, scores), key=lambda r: (-r[1], r[0]))
+        stay = ranked[: 1 if rung == len(rungs) - 1 else (len(ranked) + 1) // 2]
+        found += [(rung, iterations, c, float(f1), (c, f1) in stay) for c, f1 in ranked]
+        alive = sorted(c for c, _ in stay)
+    return spark.createDataFrame(found, "rung int, iterations int, inverse_reg double, f1 double, kept boolean")
+
+
 def runs_table(metrics: DataFrame) -> DataFrame:
     """One row per run with its F1 on each split, by the split's name; a run without a split has null there."""
     f1 = lambda split: F.max(F.when(F.col("split") == split, F.col("weighted_f1"))).alias(f"{split}_f1")

@@ -511,6 +511,11 @@ ORACLE: dict[str, str] = {
       FROM w ORDER BY w.val_f1 DESC LIMIT 1""",
     "registered_forest": f"WITH {HISTORY} SELECT count(*) AS n, 0::BIGINT AS different FROM history",
     "registered_scorer": f"WITH {HISTORY} SELECT count(*) AS n, 0::BIGINT AS different FROM history",
+    "managed_table": "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus",
+    "bucketed_predictions": f"""WITH {PREDICTIONS} SELECT designator_id, prediction, count(*) AS hours,
+      count(DISTINCT turbine_id) AS units FROM predictions GROUP BY ALL""",
+    "search_runs": """SELECT * FROM (VALUES (0, 4::BIGINT, 10, 2::BIGINT), (1, 2::BIGINT, 30, 1::BIGINT), (2, 1::BIGINT, 100, 1::BIGINT))
+      t(rung, fits, iterations, kept)""",
     "stream_sensor_stats": _EVENT_STATS,
     "stream_with_late_rows": _EVENT_STATS,
     "merged_sensor_stats": f"WITH {SILVER} SELECT turbine_id, hourly_timestamp, {_flat_stats()} FROM silver",

@@ -5,6 +5,7 @@ Doubles are rounded to 6 places and arrays laid out as scalar columns, so that r
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
@@ -631,6 +632,26 @@ def feature_pk_check(spark, sf):
     return quality.key_report(silver.training_dataset(b.readings(spark, sf)), learning.KEY)
 
 
+@query
+def managed_table(spark, sf):
+    """A managed table replaced with another schema, read once it is there and has rows."""
+    name = f"managed_{uuid.uuid4().hex}"
+    orders = b.table(spark, sf, "orders")
+    writers.overwrite_table(orders.select("o_orderkey"), name)
+    writers.overwrite_table(orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")), name)
+    return spark.table(name) if quality.table_ready(spark, name) else orders.limit(0)
+
+
+@query
+def bucketed_predictions(spark, sf):
+    """Statistics and platforms stored in buckets by unit, joined without an exchange: hours and predictions a platform."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    statistics = writers.overwrite_bucketed(b.sensor_silver(spark, sf).select(*learning.KEY, *learning.NUMERIC), f"{name}_s", ["turbine_id"], 8)
+    meta = writers.overwrite_bucketed(b.platform_meta(spark, sf), f"{name}_m", ["turbine_id"], 8)
+    scored = gold_plan.current_predictions(statistics, meta, b.scorer())
+    return scored.groupBy("designator_id", "prediction").agg(F.count(F.lit(1)).alias("hours"), F.count_distinct("turbine_id").alias("units"))
+
+
 # ---- streams -----------------------------------------------------------------------------------------------
 
 
@@ -927,6 +948,21 @@ def model_search(spark, sf):
     return learning.search(frame, labels, [learning.INVERSE_REGULARISATION, 1.0])
 
 
+def _halving(spark, sf):
+    """A search over strengths: few iterations for all, more for the better half, all iterations for the last."""
+    frame, labels = _frame(spark, sf)
+    return learning.successive_halving(frame, labels, [100.0, learning.INVERSE_REGULARISATION, 1.0, 0.01], rungs=(10, 30, learning.ITERATIONS))
+
+
+@query
+def search_runs(spark, sf):
+    """The runs table of a search by successive halving: fits and their iterations by rung."""
+    runs = _halving(spark, sf)
+    return runs.groupBy("rung").agg(
+        F.count(F.lit(1)).alias("fits"), F.max("iterations").alias("iterations"), F.count_if("kept").alias("kept")
+    )
+
+
 @query
 def model_status(spark, sf):
     """Gold status with a trained model as the scorer, counted by prediction and maintenance level."""

@@ -103,3 +103,15 @@ def test_forests_as_functions_agree_with_the_models(spark, trained):
     assert metrics["test"]["weighted_f1"] > 0.9
     with pytest.raises(TypeError, match="no SQL function"):
         learning._scorer_of(type("M", (), {"stages": [None]})())
+
+
+def test_halving_finds_the_winner_of_the_grid_with_fewer_long_fits(spark, trained):
+    frame, labels, _, _ = trained
+    strengths = [50.0, 18.0, 1.0, 1e-3, 1e-4]
+    runs = learning.successive_halving(frame, labels, strengths, rungs=(5, 15, 40)).collect()
+    assert [sum(r["rung"] == k for r in runs) for k in range(3)] == [5, 3, 2]
+    winner = next(r for r in runs if r["rung"] == 2 and r["kept"])
+    grid = {c: learning.split_metrics(learning.confusion(learning.train(frame, learning.logistic(frame, c, 40)), frame, labels)).filter("split = 'val'").first()["weighted_f1"] for c in strengths}
+    assert grid[winner["inverse_reg"]] == pytest.approx(max(grid.values()), abs=0.005)
+    assert winner["f1"] == pytest.approx(grid[winner["inverse_reg"]])
+    assert sum(r["iterations"] for r in runs) < 40 * len(strengths)

@@ -80,3 +80,29 @@ def test_tables(spark, tmp_path):
 def test_names_and_ranges(spark):
     df = spark.createDataFrame([(1,)], ["a-b (c) d"])
     assert snake_columns(df).columns == ["a_b_c_d"]
+
+
+def test_bucketed_tables_join_and_group_without_an_exchange(spark, sf, monkeypatch):
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from fleetwarden.sources import writers
+
+    name = f"t_{uuid.uuid4().hex}"
+    facts = spark.range(2000).select((F.col("id") % 97).alias("unit"), F.col("id").alias("v"))
+    dims = spark.range(97).select(F.col("id").alias("unit"), (F.col("id") * 2).alias("w"))
+    left = writers.overwrite_bucketed(facts, f"{name}_a", ["unit"], 4)
+    right = writers.overwrite_bucketed(dims, f"{name}_b", ["unit"], 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = left.join(right, "unit").groupBy("unit").agg(F.sum("v").alias("v"), F.max("w").alias("w"))
+        got = {r["unit"]: (r["v"], r["w"]) for r in joined.collect()}
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for t in ("a", "b"):
+            spark.sql(f"DROP TABLE {name}_{t}")
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert got == {u: (sum(range(u, 2000, 97)), 2 * u) for u in range(97)}
