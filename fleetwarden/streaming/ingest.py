@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetwarden.operators.quality import Expectation, expect
-from fleetwarden.session import exists
+from fleetwarden.session import exists, pin
 from fleetwarden.sources.readers import rescue
 
 METRICS = "rule string, rows bigint, violations bigint"
@@ -98,9 +98,11 @@ def ingest_files(
     """
     rules, metrics = list(rules), f"{path}_metrics"
     before = last_batch(spark, metrics)
+    # Observations belong to a session of their own: a session that has had one can't be shipped inside a fitted model.
+    apart = pin(spark.newSession())
 
     def store(paths: list[str], number: int) -> None:
-        landed = read_landing(spark, paths, schema)
+        landed = read_landing(apart, paths, schema)
         # Counted while the rows are written: the files are read once. A batch that is run again counts the same.
         seen = Observation(f"expectations_{number}")
         rows = expect(landed, rules, seen)

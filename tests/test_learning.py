@@ -115,3 +115,16 @@ def test_halving_finds_the_winner_of_the_grid_with_fewer_long_fits(spark, traine
     assert grid[winner["inverse_reg"]] == pytest.approx(max(grid.values()), abs=0.005)
     assert winner["f1"] == pytest.approx(grid[winner["inverse_reg"]])
     assert sum(r["iterations"] for r in runs) < 40 * len(strengths)
+
+
+def test_models_are_fitted_and_used_after_an_ingest(spark, trained, tmp_path):
+    from fleetwarden.operators.quality import Expectation
+    from fleetwarden.streaming import ingest
+
+    landing, table, state = (str(tmp_path / n) for n in ("landing", "table", "state"))
+    spark.range(10).write.parquet(landing)
+    counts = ingest.ingest_files(spark, landing, table, state, spark.range(1).schema, [Expectation("small", "id < 4")])
+    assert counts["small"] == 6
+    frame, labels, _, _ = trained
+    model = learning.train(frame, learning.logistic(frame, iterations=3))
+    assert learning.confusion(model, frame, labels).count() > 0
