@@ -81,5 +81,5 @@ def test_run_equals_the_stages(spark, sf, steps):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {"op1_url_lists", "op3_line_dedup", "op8_top_products", "op10_revisits"} <= set(oracle_sql())
