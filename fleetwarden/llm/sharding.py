@@ -6,11 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetwarden.llm.frames import body, digest, row_struct, with_outputs
+from fleetwarden.session import staged
 
 SHARDS = 40
 ROUNDS = 8
 SEED = 20240607
+#: Slices in which rows are numbered: at least so many, and one for each ROWS_A_SLICE rows.
 SLICES = 4096
+ROWS_A_SLICE = 50_000
+#: A slice of more rows than this, and than four times the mean, is looked through for equal rows.
+HOT_ROWS = 200_000
 WALKS = 32
 
 
@@ -64,9 +69,13 @@ def numbered(docs: DataFrame, id_col: str, text_col: str, slices: int = SLICES,
     """Rows (id, bytes, crc, number, total) with a dense global row number from 0; rows_too adds the row as _row.
 
     Rows are dealt to slices by a hash of id and text, numbered inside their slice in the order of id and text
-    digests, and shifted by the counts of earlier slices. No window spans more than a slice, the offsets are one row
-    a slice, and the number depends on the rows alone, not on files or partitions. Equal rows are interchangeable.
+    digests, and shifted by the counts of earlier slices; slices grow in number with the rows. A slice that is far
+    above the mean holds many equal rows: those that fill more than half of what a slice may hold leave their slice,
+    are stored once, get the numbers behind all other rows and are numbered in pieces. So no window spans more than a
+    slice or a piece, the offsets are one row for each of them, and the number depends on the rows alone, not on
+    files or partitions. Rows equal in id and text are interchangeable.
     """
+    slices = max(slices, docs.count() // ROWS_A_SLICE)
     text = body(text_col)
     rows = docs.select(
         F.col(id_col).alias("id"),
@@ -75,18 +84,73 @@ def numbered(docs: DataFrame, id_col: str, text_col: str, slices: int = SLICES,
         digest(text).alias("body"),
         *([row_struct(docs)] if rows_too else []),
     ).withColumn("slice", F.pmod(F.xxhash64(F.lit(SEED), "id", "body"), F.lit(slices)).cast("int"))
-    inside = Window.partitionBy("slice").orderBy("id", "bytes", "crc", "body")
-    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = rows.groupBy("slice").agg(F.count(F.lit(1)).alias("n"))
-    offsets = offsets.select(
+    sizes = staged(rows.groupBy("slice").agg(F.count(F.lit(1)).alias("n")))
+    mean, largest = sizes.agg(F.sum("n") / slices, F.max("n")).first()  # two numbers
+    most = max(HOT_ROWS, int(4 * (mean or 0)))
+    rows = rows.withColumn("piece", F.lit(0))
+    sizes = sizes.withColumn("piece", F.lit(0))
+    if (largest or 0) > most:
+        rows, sizes = _hot_rows_apart(rows, sizes, slices, most)
+    order = Window.orderBy("slice", "piece")
+    offsets = sizes.select(
         "slice",
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"),
-        F.sum("n").over(everything).alias("total"),
+        "piece",
+        F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("shift"),
+        F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
     )
+    inside = Window.partitionBy("slice", "piece").orderBy("id", "bytes", "crc", "body")
     number = (F.row_number().over(inside) - F.lit(1) + F.col("shift")).cast("long")
-    # One row a slice: the number of slices bounds what is broadcast.
-    return rows.join(F.broadcast(offsets), "slice").withColumn("number", number).drop("shift", "slice", "body")
+    # One row a slice or piece: their number bounds what is broadcast.
+    placed = rows.join(F.broadcast(offsets), ["slice", "piece"]).withColumn("number", number)
+    return placed.drop("shift", "slice", "piece", "body")
+
+
+def _hot_rows_apart(rows: DataFrame, sizes: DataFrame, slices: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """rows and sizes with the groups of more than most / 2 equal rows moved to slices of their own, in pieces.
+
+    Such a group lies in a slice of more than `most` rows or is left where it is. There are at most 2 * rows / most
+    groups, no more than half as many as slices, so their list may be broadcast.
+    """
+    heavy = sizes.where(F.col("n") > most).select("slice")
+    groups = (
+        rows.join(F.broadcast(heavy), "slice", "left_semi")
+        .groupBy("slice", "id", "bytes", "body")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > most // 2)
+    )
+    by_key = Window.orderBy("slice", "id", "bytes", "body")
+    groups = staged(
+        groups.select(
+            F.col("slice").alias("old"),
+            F.col("id").alias("g_id"),
+            F.col("bytes").alias("g_bytes"),
+            F.col("body").alias("g_body"),
+            "n",
+            (F.row_number().over(by_key) - 1 + slices).cast("int").alias("own"),
+        )
+    )
+    same = (
+        (F.col("slice") == F.col("old"))
+        & F.col("id").eqNullSafe(F.col("g_id"))
+        & (F.col("bytes") == F.col("g_bytes"))
+        & (F.col("body") == F.col("g_body"))
+    )
+    rest = rows.join(F.broadcast(groups), same, "left_anti")
+    # The piece comes from the place in the input, so the rows are written before anything is counted by it.
+    hot = staged(
+        rows.join(F.broadcast(groups), same)
+        .withColumn(
+            "piece",
+            F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.ceil(F.col("n") * 2 / F.lit(most))).cast("int"),
+        )
+        .withColumn("slice", F.col("own"))
+        .select(*rows.columns)
+    )
+    gone = groups.groupBy(F.col("old").alias("slice")).agg(F.sum("n").alias("gone"))
+    left = sizes.join(gone, "slice", "left").select(
+        "slice", "piece", (F.col("n") - F.coalesce("gone", F.lit(0))).alias("n")
+    )
+    return rest.unionByName(hot), left.unionByName(hot.groupBy("slice", "piece").agg(F.count(F.lit(1)).alias("n")))
 
 
 def row_number_of(shard: Column, slot: Column, total: Column, shards: int = SHARDS, seed: int = SEED) -> Column:

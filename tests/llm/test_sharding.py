@@ -7,7 +7,7 @@ from fleetwarden.llm import sharding
 from fleetwarden.llm.queries import QUERIES
 
 
-@pytest.mark.parametrize("rows", [1, 2, 3, 7, 40, 41, 100, 961, 1000, 1023])
+@pytest.mark.parametrize("rows", [1, 2, 3, 7, 40, 41, 100, 961, 1000, 1023, 1025, 10_000])
 def test_permutation_and_its_inverse(spark, rows):
     got = (
         spark.range(rows)
@@ -55,3 +55,47 @@ def test_odd_rows(spark):
     assert full.columns == ["doc_id", "text", "number", "shard", "slot"]
     assert full.where("number = 'x'").count() == 6
     assert sharding.assign_shards(docs.limit(0)).count() == 0
+
+
+def test_equal_rows_are_numbered_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "HOT_ROWS", 50)
+    monkeypatch.setattr(sharding, "SLICES", 64)
+    rows = [(7, "same", i) for i in range(900)] + [(None, None, i) for i in range(700)] + [(i, f"t{i}", i) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra long")
+    numbers = lambda d: sharding.numbered(d, "doc_id", "text", slices=64)
+    got = {(r.id, r.number) for r in numbers(docs).collect()}
+    assert sorted(n for _, n in got) == list(range(len(rows)))
+    # The two large groups lie behind all others, each without a gap, whatever the layout of the input.
+    assert got == {(r.id, r.number) for r in numbers(docs.repartition(5)).collect()}
+    assert all((n < 600) == (i is not None and (i != 7 or n < 600)) for i, n in got)
+    plan = numbers(docs)
+    assert plan.groupBy("id").agg(F.max("number") - F.min("number")).where("id IS NULL").first()[1] == 699
+    full = sharding.sharded_documents(docs)
+    assert full.count() == len(rows) and full.select("shard", "slot").distinct().count() == len(rows)
+    assert sorted(r.extra for r in full.where("doc_id IS NULL").collect()) == list(range(700))
+
+
+def plain_place(number, rows, seed):
+    """The permutation written out with whole numbers, given the hash of a round."""
+    a = next(k for k in range(1, rows + 2) if k * k >= rows)
+    b = -(-rows // a)
+    while True:
+        left, right = number % a, number // a
+        for i in range(1, sharding.ROUNDS + 1):
+            if i % 2:
+                left = (left + seed(i, right) % a) % a
+            else:
+                right = (right + seed(i, left) % b) % b
+        number = right * a + left
+        if number < rows:
+            return number
+
+
+@pytest.mark.parametrize("rows", [10, 103])
+def test_permutation_against_a_plain_one(spark, rows):
+    halves = spark.range(rows + 2).crossJoin(spark.range(1, sharding.ROUNDS + 1).withColumnRenamed("id", "i"))
+    hashes = {
+        (r.i, r.id): r.h for r in halves.withColumn("h", F.xxhash64(F.lit(sharding.SEED), F.col("i").cast("int"), "id")).collect()
+    }
+    got = spark.range(rows).withColumn("at", sharding.permuted(F.col("id"), F.lit(rows))).collect()
+    assert [r["at"] for r in got] == [plain_place(r["id"], rows, lambda i, h: hashes[i, h]) for r in got]
