@@ -21,9 +21,11 @@ SEED = 20240607
 #: Documents of one flight task, and how many tasks' remainders (two documents each at most) the next level joins.
 CHUNK = 4096
 FAN = 1024
+#: Equal rows are dealt to the tasks in pieces of so many.
+PIECE = 256
 EDGE = 1e-9
 
-FLOWN = "id string, source string, size long, source_size long, target double, base int, rank int, body long, chunk long, p double"
+FLOWN = "id string, source string, size long, source_size long, target double, base int, rank int, body long, chunk long, p double, n int"
 
 
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -104,6 +106,7 @@ def fly(sizes: np.ndarray, chances: np.ndarray, draws: np.random.Generator, land
 def _flight(level: int, last: bool, seed: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         # A fixed order, large ones first, so that what is left over at the end tends to be small.
+        pdf = pdf.loc[pdf.index.repeat(pdf["n"])].assign(n=1)
         pdf = pdf.sort_values(["size", "id", "body"], ascending=[False, True, True], kind="stable")
         draws = np.random.default_rng([seed, level, int(pdf["rank"].iloc[0]), int(pdf["chunk"].iloc[0])])
         return pdf.assign(p=fly(pdf["size"].to_numpy(), pdf["p"].to_numpy(), draws, last))
@@ -135,6 +138,7 @@ def mix(
     """
     ship(docs.sparkSession)
     text = body(text_col)
+    # Equal rows are one row with a count until a task needs them, so copies of one row neither meet nor travel.
     rows = staged(
         docs.select(
             F.col(id_col).alias("id"),
@@ -142,9 +146,12 @@ def mix(
             F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
             digest(text).alias("body"),
         )
+        .groupBy("id", "source", "size", "body")
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
     per_source = rows.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("units")
+        F.sum(F.col("size") * F.col("rows")).alias("source_size"),
+        F.sum(F.when(F.col("size") > 0, F.col("rows")).otherwise(0)).alias("units"),
     )
     per_source = staged(per_source)
     targets = source_targets(per_source.drop("units"), weights, share, most)
@@ -158,7 +165,8 @@ def mix(
         per_source.select(F.col("source").alias("s"), "units"), F.col("source").eqNullSafe(F.col("s"))
     ).select("source", "rank", "source_size", "target", "base", "p", F.ceil(F.col("units") / CHUNK).alias("chunks"))
     chunks = staged(chunks.withColumnsRenamed({"source": "s"}))
-    drawn = rows.join(chunks, F.col("source").eqNullSafe(F.col("s")), "left").select(
+    pieces = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("rows") - 1) / PIECE))))
+    drawn = pieces.join(chunks, F.col("source").eqNullSafe(F.col("s")), "left").select(
         F.col("id").cast("string").alias("id"),  # pandas would turn whole numbers beside a null into floats
         "source",
         "size",
@@ -167,14 +175,16 @@ def mix(
         "base",
         "rank",
         "body",
-        F.pmod(F.xxhash64(F.lit(seed), "id", "size", "body"), F.greatest("chunks", F.lit(1))).alias("chunk"),
+        F.pmod(F.xxhash64(F.lit(seed), "id", "size", "body", "piece"), F.greatest("chunks", F.lit(1))).alias("chunk"),
         F.when((F.col("size") > 0) & F.col("p").between(EDGE, 1 - EDGE), F.col("p"))
         .when(F.col("p") > 1 - EDGE, 1.0)
         .otherwise(0.0)
         .alias("p"),
+        F.least(F.lit(PIECE), F.col("rows") - F.col("piece") * PIECE).cast("int").alias("n"),
     )
     open_ = (F.col("p") > 0) & (F.col("p") < 1)
-    done, flying = [drawn.where(~open_)], drawn.where(open_)
+    single = F.explode(F.array_repeat(F.lit(1), F.col("n")))
+    done, flying = [drawn.where(~open_).withColumn("n", single)], drawn.where(open_)
     left = chunks.agg(F.max("chunks")).first()[0] or 1  # one number: the tasks of the largest source
     level = 0
     while True:

@@ -89,3 +89,32 @@ def test_large_ids_beside_a_null_id(spark):
     rows = [(None, "a b c", "x"), (2**62 + 1, "a b", "x"), (2**62 + 3, "a", "x"), (5, "a", "y")]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
     assert {r.id for r in got.collect()} == {r[0] for r in rows} and got.schema["id"].dataType.simpleString() == "bigint"
+
+
+def test_equal_rows_are_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 64)
+    monkeypatch.setattr(mixing, "PIECE", 8)
+    seen = spark.sparkContext.accumulator(0)
+    largest = 200
+    plain = mixing._flight
+
+    def watched(level, last, seed):
+        run = plain(level, last, seed)
+
+        def inner(pdf):
+            if pdf["n"].sum() > largest:
+                seen.add(1)
+            return run(pdf)
+
+        return inner
+
+    monkeypatch.setattr(mixing, "_flight", watched)
+    rows = [(None, "a b c", "x")] * 3000 + [(i, "w " * (1 + i % 9), "x") for i in range(1000)] + [(i, "w w", "y") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows) and seen.value == 0
+    for s in "xy":
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.size * r.copies for r in own) - own[0].target) <= 18
+    count = lambda d: sorted((str(r.id), r.size, r.copies) for r in d)
+    assert count(got) == count(mixing.mix(docs.repartition(3)).collect())
