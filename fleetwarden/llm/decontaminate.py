@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import functools
 import math
 from collections.abc import Iterator
@@ -26,8 +27,10 @@ BLOCK = 1_000_000
 SLICE = 400_000
 #: Passages that are aligned at once.
 CHUNK = 20_000
+#: Shared q-grams, as pairs of a text place and an item place, that are looked at together.
+PAIRS = 2_000_000
 
-HITS = "row_id long, row_body long, item_id long, item_at int, edits int, text_start long, text_end long"
+HITS = "row_id long, row_body long, item_id long, item_at int, same int, edits int, text_start long, text_end long"
 
 #: Length of the q-gram that finds an item below SHORTEST; one of Q characters has a blank at each end at most.
 _START = Q - 2
@@ -123,7 +126,10 @@ class Index:
     """Passages of benchmark items, and where the items' q-grams occur.
 
     Passages are numbered through: for each item first those of one length, then those of the next, from every place.
-    They are kept as ranges, not one by one.
+    They are kept as ranges, not one by one. Of the places of an item that are followed by the same characters, as
+    many as the longest passage has, the first stands for all: `same` has their number there and 0 at the others,
+    `like` has the first one's place.
+    Only q-grams of such first passages are kept, so an item that repeats itself is not longer than what it repeats.
     """
 
     def __init__(self, items: list[tuple[int, str]]):
@@ -144,15 +150,54 @@ class Index:
         # The lemma: a passage of length m with k edits shares at least m - q + 1 - k q of its q-grams.
         self.least = self.long - Q + 1 - self.edits * Q
         grams = [gram_digests(points) for _, points in texts]
-        value = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
+        self.same, self.like = np.ones(len(self.letters), np.int64), np.arange(len(self.letters))
+        for offset, (_, points) in zip(self.offset.tolist(), texts):
+            value = gram_digests(points, max(LENGTHS))
+            _, head, of, many = np.unique(value, return_index=True, return_inverse=True, return_counts=True)
+            self.same[offset : offset + len(value)] = 0
+            self.same[offset + head] = many
+            self.like[offset : offset + len(value)] = offset + head[of]
+        edge = np.zeros(len(self.letters) + max(LENGTHS) + 1, np.int64)
+        first = np.flatnonzero(self.same)
+        edge[first] += 1
+        edge[first + max(LENGTHS) - Q + 1] -= 1
+        kept = np.flatnonzero(np.cumsum(edge)[self.offset[owner] + place]) if len(owner) else place
+        value = np.concatenate(grams)[kept] if grams else np.zeros(0, np.uint64)
+        owner, place = owner[kept], place[kept]
+        self.low, self.high = 0, len(self.letters)
         order = np.argsort(value, kind="stable")
         self.value, self.owner, self.place = value[order], owner[order].astype(np.int64), place[order].astype(np.int64)
         self.seen = np.zeros(1 << (64 - int(_FILTER)), bool)
         self.seen[(self.value * _MULTIPLIER) >> _FILTER] = True
         self.width = int(self.edits.max(initial=0)) + 1
 
+    def lookup(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text place, first row, rows) of every q-gram of the text that an item may have."""
+        value = gram_digests(points)
+        at = np.flatnonzero(self.seen[(value * _MULTIPLIER) >> _FILTER])
+        low = np.searchsorted(self.value, value[at], side="left")
+        return at, low, np.searchsorted(self.value, value[at], side="right") - low
+
+    def halves(self) -> list[Index]:
+        """Two indexes that hold the passages from each half of the places of this one, or none if it is short."""
+        if self.high - self.low <= 4 * max(LENGTHS):
+            return []
+        middle, out = (self.low + self.high) // 2, []
+        for low, high in ((self.low, middle), (middle, self.high)):
+            part = copy.copy(self)
+            part.low, part.high = low, high
+            at = self.offset[self.owner] + self.place
+            kept = (at >= low) & (at < high + max(LENGTHS))
+            part.value, part.owner, part.place = self.value[kept], self.owner[kept], self.place[kept]
+            out.append(part)
+        return out
+
+    def start(self, passage: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Where each passage begins in the characters of all items."""
+        return self.offset[self.of[kind]] + passage - self.first[kind]
+
     def kind(self, passage: np.ndarray) -> np.ndarray:
         """The range that each passage is in."""
         return np.searchsorted(self.first, passage, side="right") - 1
@@ -179,15 +224,11 @@ class Index:
         return [self.letters[a : a + n] for a, n in zip(start.tolist(), self.length.tolist())]
 
 
-def matches(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def matches(index: Index, at: np.ndarray, low: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(item, diagonal, item place) of every q-gram that the text shares with an item, by item and diagonal.
 
     A diagonal is text place minus item place.
     """
-    value = gram_digests(points)
-    at = np.flatnonzero(index.seen[(value * _MULTIPLIER) >> _FILTER])
-    low = np.searchsorted(index.value, value[at], side="left")
-    many = np.searchsorted(index.value, value[at], side="right") - low
     owner, row = _expanded(low, many)
     item, place = index.owner[row], index.place[row]
     diagonal = at[owner] - place
@@ -279,7 +320,7 @@ def align(index: Index, points: np.ndarray, passage: np.ndarray, diagonal: np.nd
     across = 4 * side + 1
     kind = index.kind(passage)
     n, length = len(passage), index.long[kind]
-    from_ = index.offset[index.of[kind]] + passage - index.first[kind]
+    from_ = index.start(passage, kind)
     text = points.astype(np.int64)
     column = diagonal[:, None] - side + np.arange(across)
     cost = np.zeros((n, across), np.int64)
@@ -313,15 +354,32 @@ def align(index: Index, points: np.ndarray, passage: np.ndarray, diagonal: np.nd
 def occurrences(index: Index, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(passage, edits, start, end) of passages within their budget, some at once; a place may come twice.
 
-    Where a band holds a passage without edits, its places are given by the stretches in which text and item agree;
-    all other candidates are aligned.
+    Of equal passages of an item the first comes. Where a band holds a passage without edits, its places are given by
+    the stretches in which text and item agree; all other candidates are aligned. A text that shares more than PAIRS
+    q-grams is searched in halves that overlap by a passage, a short one for half of the passages at a time.
     """
     if not index.many or not len(points):
         return
-    item, diagonal, place = matches(index, points)
+    found = index.lookup(points)
+    if found[2].sum() > PAIRS:
+        overlap = max(LENGTHS) + 4 * index.width + Q
+        if len(points) > 8 * overlap:
+            half = len(points) // 2
+            yield from occurrences(index, points[: half + overlap])
+            for passage, edits, start, end in occurrences(index, points[half:]):
+                yield passage, edits, start + half, end + half
+            return
+        parts = index.halves()
+        if parts:
+            for part in parts:
+                yield from occurrences(part, points)
+            return
+    item, diagonal, place = matches(index, *found)
     runs = _Runs(index, item, diagonal, place)
     for passage, band in candidates(index, item, diagonal, place):
         kind = index.kind(passage)
+        first = index.same[index.start(passage, kind)] > 0
+        passage, band, kind = passage[first], band[first], kind[first]
         owner, at, length = index.of[kind], passage - index.first[kind], index.long[kind]
         whole = np.zeros(len(passage), bool)
         for d in range(2 * index.width):
@@ -337,8 +395,13 @@ def occurrences(index: Index, points: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 
 def search(index: Index, points: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(passage, edits, start, end) of passages within their budget."""
-    return [hit for found in occurrences(index, points) for hit in zip(*(x.tolist() for x in found))]
+    """(passage, edits, start, end) of passages within their budget, each of equal passages."""
+    out = []
+    for passage, edits, start, end in occurrences(index, points):
+        at = index.start(passage, index.kind(passage))
+        for p, e, a, b, place in zip(*(x.tolist() for x in (passage, edits, start, end, at))):
+            out += [(p + other - place, e, a, b) for other in np.flatnonzero(index.like == place).tolist()]
+    return out
 
 
 def _scan(index: Index, short: ShortItems):
@@ -351,29 +414,37 @@ def _scan(index: Index, short: ShortItems):
             gap = np.zeros(overlap, np.uint32)
             held, size = [], 0
 
-            def note(ids, slot, item, item_at, edits, start, end):
+            def note(ids, slot, item, item_at, same, edits, start, end):
                 """One row for each text, item and place in the item."""
                 order = np.lexsort((item_at, item, slot))
-                slot, item, item_at, edits, start, end = (x[order] for x in (slot, item, item_at, edits, start, end))
+                slot, item, item_at, same, edits, start, end = (x[order] for x in (slot, item, item_at, same, edits, start, end))
                 new = np.ones(len(slot), bool)
                 new[1:] = (slot[1:] != slot[:-1]) | (item[1:] != item[:-1]) | (item_at[1:] != item_at[:-1])
                 head = np.flatnonzero(new)
                 if not len(head):
                     return
                 edits, start, end = np.minimum.reduceat(edits, head), np.minimum.reduceat(start, head), np.maximum.reduceat(end, head)
-                for k, i, place, e, a, b in zip(*(x.tolist() for x in (slot[head], item[head], item_at[head], edits, start, end))):
+                for k, i, place, s, e, a, b in zip(*(x.tolist() for x in (slot[head], item[head], item_at[head], same[head], edits, start, end))):
                     row, p, at, _, _ = held[k]
                     a, b = max(0, a), min(len(p), b)
-                    found.append((row, ids[i], place, e, int(at[a]), int(at[b - 1]) + 1))
+                    found.append((row, ids[i], place, s, e, int(at[a]), int(at[b - 1]) + 1))
 
             def flush():
-                if held:
+                nonlocal held
+                if len(held) > 1 and sum(int(index.lookup(p)[2].sum()) for _, p, *_ in held) > PAIRS:
+                    # Texts that share much are searched one by one, so that a text's rows depend on it alone.
+                    whole = held
+                    for one in whole:
+                        held = [one]
+                        flush()
+                elif held:
                     starts = np.cumsum([0] + [len(p) + overlap for _, p, *_ in held])
                     points = np.concatenate([x for _, p, *_ in held for x in (p, gap)])
                     for passage, edits, start, end in occurrences(index, points):
                         kind = index.kind(passage)
                         slot = np.searchsorted(starts, end - 1, side="right") - 1
-                        note(index.ids, slot, index.of[kind], passage - index.first[kind], edits, start - starts[slot], end - starts[slot])
+                        same = index.same[index.start(passage, kind)]
+                        note(index.ids, slot, index.of[kind], passage - index.first[kind], same, edits, start - starts[slot], end - starts[slot])
                     item, start, end = short.search(points)
                     slot = np.searchsorted(starts, start, side="right") - 1
                     start, end = start - starts[slot], end - starts[slot]
@@ -381,8 +452,8 @@ def _scan(index: Index, short: ShortItems):
                     size_, before, after = (np.array([h(x) for x in held]) for h in (lambda x: len(x[1]), lambda x: x[3], lambda x: x[4]))
                     seen = ~(before[slot] & (start == 0)) & ~(after[slot] & (end == size_[slot]))
                     none = np.zeros(int(seen.sum()), np.int64)
-                    note(short.ids, slot[seen], item[seen], none, none, start[seen], end[seen])
-                held.clear()
+                    note(short.ids, slot[seen], item[seen], none, none + 1, none, start[seen], end[seen])
+                held = []
 
             for i, text in enumerate(batch.column("text")):
                 points, at = normalised(text.as_py() or "")
@@ -400,9 +471,9 @@ def _scan(index: Index, short: ShortItems):
                 [
                     batch.column("row_id").take(rows),
                     batch.column("row_body").take(rows),
-                    *[pa.array([f[k] for f in found], t) for k, t in ((1, pa.int64()), (2, pa.int32()), (3, pa.int32()), (4, pa.int64()), (5, pa.int64()))],
+                    *[pa.array([f[k] for f in found], t) for k, t in ((1, pa.int64()), (2, pa.int32()), (3, pa.int32()), (4, pa.int32()), (5, pa.int64()), (6, pa.int64()))],
                 ],
-                names=["row_id", "row_body", "item_id", "item_at", "edits", "text_start", "text_end"],
+                names=["row_id", "row_body", "item_id", "item_at", "same", "edits", "text_start", "text_end"],
             )
 
     return run
@@ -438,8 +509,14 @@ def benchmark_hits(
         held.sort(key=repr)
         hits = rows.mapInArrow(_scan(Index(held), ShortItems(held)), HITS)
         found = hits if found is None else found.unionByName(hits)
-    return found.groupBy("row_id", "row_body", "item_id").agg(
-        F.count_distinct("item_at").alias("passages"),
+    places = found.groupBy("row_id", "row_body", "item_id", "item_at").agg(
+        F.max("same").alias("same"),
+        F.min("edits").alias("edits"),
+        F.min("text_start").alias("text_start"),
+        F.max("text_end").alias("text_end"),
+    )
+    return places.groupBy("row_id", "row_body", "item_id").agg(
+        F.sum("same").alias("passages"),
         F.min("edits").alias("edits"),
         F.min("text_start").alias("text_start"),
         F.max("text_end").alias("text_end"),

@@ -166,3 +166,34 @@ def test_short_items_are_found_as_they_are(spark, monkeypatch):
     for cut in (241, 484, 488):
         monkeypatch.setattr(dc, "SLICE", cut)
         assert hits() == want
+
+
+def test_search_in_parts_finds_the_same(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcde"), 4)) for _ in range(30)]
+    item = " ".join(rng.choice(words, 200))
+    quote = item[100:190]
+    other = " ".join(rng.choice(words, 3000))
+    text = other[:5000] + " " + quote + " " + other[5000:9000] + quote[:40] + "x" + quote[41:] + other[9000:]
+    index = dc.Index([(1, item), (2, "zz " + quote + " zz")])
+    points = dc.normalised(text)[0]
+    whole = {(p, e) for p, e, _, _ in dc.search(index, points)}
+    assert {e for _, e in whole} > {0, 1}
+    for pairs in (500, 20):
+        monkeypatch.setattr(dc, "PAIRS", pairs)
+        found = dc.search(index, points)
+        best = lambda hits: {p: min(e for q, e in hits if q == p) for p, _ in hits}
+        assert best({(p, e) for p, e, _, _ in found}) == best(whole)
+
+
+def test_an_item_that_repeats_itself(spark):
+    item, text = "ab " * 4000, "so " + "ab " * 3000 + "it is"
+    index = dc.Index([(1, item)])
+    assert len(index.value) < 500 and index.same.sum() == len(index.same)
+    # Passages from every place of the item are counted, though only the first ones are searched for.
+    docs = spark.createDataFrame([(1, text), (2, "ab " * 20), (3, "a" * 50_000)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, "a" * 30_000)], "item_id long, text string")
+    got = {(r.row_id, r.item_id): r for r in dc.benchmark_hits(docs, items).collect()}
+    assert set(got) == {(1, 1), (3, 2)}
+    assert got[1, 1].passages == len(dc.normalised(item)[0]) - 75 + 1 and got[1, 1].edits == 0
+    assert got[3, 2].passages == 30_000 - 75 + 1 and (got[3, 2].text_start, got[3, 2].text_end) == (0, 50_000)
