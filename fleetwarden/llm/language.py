@@ -17,11 +17,12 @@ from fleetwarden.session import ship
 UNKNOWN = "und"
 #: n-grams of one to three characters fall into this many features.
 FEATURES, LONGEST = 1 << 15, 3
-#: Bounds of the training sample: documents in all, languages, and characters of a document that may be drawn.
-SAMPLE, LANGUAGES, SAMPLE_CHARS = 3_000, 256, 50_000
+#: Bounds of the training sample: documents in all, but so many of each language at least, and characters of a document.
+SAMPLE, SAMPLE_EACH, SAMPLE_CHARS = 3_000, 12, 50_000
 SEED = 20240607
-#: Documents that score less are rejected by a filter. Two languages in one text score 0.4 to 0.5 and stay.
-LEAST_SCORE = 0.35
+#: Documents that score less are rejected by a filter: two languages in one text score 0.4 to 0.5 and stay. Among many
+#: languages the bound is this many times the score of a guess.
+LEAST_SCORE, GUESSES = 0.35, 1.4
 #: Characters handled at once, so that a text of any length needs bounded memory.
 SLICE = 1_000_000
 
@@ -156,9 +157,12 @@ def best_temperature(scores: np.ndarray, labels: np.ndarray) -> float:
 def train(rows: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from rows (id, text, lang), or None where no row has a lang and a letter.
 
-    Document frequencies cover every row. The regression is fitted on a sample of about `sample` documents, spread
-    evenly over the LANGUAGES most frequent languages, drawn by a hash among texts of at most SAMPLE_CHARS
-    characters; a fifth of it sets the temperature. Only the sample's features and one row a feature reach the driver.
+    Document frequencies cover every row, and every language that a row has is learned. The regression is fitted on a
+    sample of about `sample` documents, spread evenly over the languages, but SAMPLE_EACH of each language if that is
+    more (all, if it has fewer), drawn by a hash; repeated rows are drawn once. Of a text with more than SAMPLE_CHARS
+    characters so many from a place drawn by the hash are taken. A fifth of the sample sets the temperature, except
+    for languages that would have nothing else to learn from. The sample's features, one row a feature and one row a
+    language reach the driver; the model has a weight for each feature and language.
     """
     ship(rows.sparkSession)
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -170,14 +174,24 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model | None:
         .agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
         .collect()
     )
-    usable = rows.where(F.char_length("text") <= SAMPLE_CHARS)
-    per_language = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    chance = F.xxhash64(F.lit(SEED), "id", "text")
+    per_language = rows.groupBy("lang").agg(F.approx_count_distinct(chance).alias("n")).orderBy("lang").collect()
     if not per_language:
         return None
-    share = [x for r in per_language for x in (F.lit(r["lang"]), F.lit(sample / len(per_language) / r["count"]))]
-    place = F.pmod(F.xxhash64(F.lit(SEED), "id", "text"), F.lit(1 << 30)) / (1 << 30)
-    drawn = usable.where(place < F.create_map(*share)[F.col("lang")]).select(
-        "lang", "text", (F.pmod(F.xxhash64(F.lit(SEED + 1), "id", "text"), F.lit(5)) == 0).alias("hold")
+    each = max(sample / len(per_language), SAMPLE_EACH)
+    rates = rows.sparkSession.createDataFrame([(r["lang"], each / r["n"]) for r in per_language], "lang string, rate double")
+    size = F.char_length("text")
+    start = F.when(size > SAMPLE_CHARS, F.pmod(F.xxhash64(F.lit(SEED + 2), "id", "text"), size - SAMPLE_CHARS)).otherwise(0)
+    drawn = (
+        # One row a language, as the weights have one column a language.
+        rows.join(F.broadcast(rates), "lang")
+        .where(F.pmod(chance, F.lit(1 << 30)) / (1 << 30) < F.col("rate"))
+        .select(
+            "lang",
+            F.substring("text", start.cast("int") + 1, F.lit(SAMPLE_CHARS)).alias("text"),
+            (F.pmod(F.xxhash64(F.lit(SEED + 1), "id", "text"), F.lit(5)) == 0).alias("hold"),
+        )
+        .distinct()
     )
     found = drawn.mapInArrow(_sparse, "lang string, hold boolean, at binary, times binary").collect()
     languages = sorted({r["lang"] for r in found})
@@ -189,11 +203,12 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model | None:
         idf[r["feature"]] = np.log((1 + total) / (1 + r["seen"])) + 1
     learn, hold = [], []
     found.sort(key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["times"])))
+    learned = {r["lang"] for r in found if not r["hold"]}
     for r in found:
         at = np.frombuffer(r["at"], np.int32)
         values = np.frombuffer(r["times"], np.int32) * idf[at]
         values = np.append(values / np.linalg.norm(values), 1.0)
-        (hold if r["hold"] else learn).append((np.append(at, FEATURES), values, languages.index(r["lang"])))
+        (hold if r["hold"] and r["lang"] in learned else learn).append((np.append(at, FEATURES), values, languages.index(r["lang"])))
     weights, bias = follow_the_leader(learn, len(languages))
     whole = np.vstack([weights, bias])
     scores = np.array([v @ whole[at] for at, v, _ in hold]).reshape(len(hold), len(languages))
@@ -251,9 +266,15 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return rows.mapInArrow(_predict(model), "id long, held_out boolean, lang_pred string, score double")
 
 
-def with_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = LEAST_SCORE) -> DataFrame:
-    """docs in their own columns, without those whose language is "und" or scores less than `least`."""
+def with_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float | None = None) -> DataFrame:
+    """docs in their own columns, without those whose language is "und" or scores less than `least`.
+
+    Without `least` it is LEAST_SCORE, and GUESSES / languages where there are so many that this is less. Texts that
+    are null, empty or without letters go, and all texts where nothing could be learned; extra columns stay.
+    """
     model = train(_learnable(docs, id_col, text_col, lang_col))
+    if least is None:
+        least = min(LEAST_SCORE, GUESSES / len(model.languages)) if model else LEAST_SCORE
     rows = docs.select(row_struct(docs), F.col(text_col).alias("text"))
     schema = rows.select("_row").schema.add("lang_pred", "string").add("score", "double")
     scored = rows.select("_row", "text").mapInArrow(_predict(model), schema)

@@ -1,8 +1,10 @@
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from fleetwarden.llm import language
 from fleetwarden.llm import language as lang
 from fleetwarden.llm.queries import QUERIES
 
@@ -72,3 +74,61 @@ def test_odd_rows(spark):
     assert lang.identify(docs.limit(0)).count() == 0 and lang.with_language(docs.limit(0)).count() == 0
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in lang.identify(unlabelled).collect()} == {"und"}
+
+
+def _many_languages(languages, rows, words):
+    rng = np.random.default_rng(3)
+    alphabet = [chr(c) for c in range(0x61, 0x7B)]
+    out = []
+    for k in range(languages):
+        vocabulary = ["".join(rng.choice(rng.choice(alphabet, 9), int(rng.integers(4, 9)))) for _ in range(12)]
+        out += [(k * 1000 + i, " ".join(rng.choice(vocabulary, words)), f"l{k}") for i in range(rows)]
+    return out
+
+
+def test_every_labelled_language_is_learned(spark):
+    rows = _many_languages(300, 4, 30)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learnable = language._learnable(docs, "doc_id", "text", "lang")
+    model = language.train(learnable)
+    assert set(model.languages) == {r.lang for r in learnable.select("lang").distinct().collect()} and len(model.languages) > 290
+    known = [r for r in rows if r[2] in model.languages]
+    right = sum(language.predict_text(model, r[1])[0] == r[2] for r in known)
+    assert right >= 0.95 * len(known)
+    # Clean short texts stay, though the score of a guess is small.
+    kept = language.with_language(spark.createDataFrame([(i, " ".join(t.split()[:4]), l) for i, t, l in rows], docs.schema))
+    assert kept.count() >= 0.98 * len(rows)
+
+
+def test_long_and_repeated_rows_are_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_CHARS", 400)
+    rows = _many_languages(3, 8, 30)
+    ids = {r.id for r in spark.range(100_000).where(~language.held_out("id")).limit(60).collect()}
+    ids = iter(sorted(ids))
+    rows = [(next(ids), t, l) for _, t, l in rows]
+    long = [(next(ids), "zu hause ist es am schönsten " * 500, "only long")]
+    copies = [(next(ids), "ce texte est toujours le même", "copies")] * 3000
+    docs = spark.createDataFrame(rows + long + copies, "doc_id long, text string, lang string")
+    model = language.train(language._learnable(docs, "doc_id", "text", "lang"), sample=30)
+    assert model.languages == ["copies", "l0", "l1", "l2", "only long"]
+    assert language.predict_text(model, long[0][1])[0] == "only long"
+    assert language.predict_text(model, copies[0][1])[0] == "copies"
+
+
+def test_prediction_against_a_plain_one(spark, sf):
+    """The scores written out: counted n-grams times idf, scaled to length 1, times weights, plus bias, over temperature."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = language.train(language._learnable(docs, "doc_id", "text", "lang"))
+    for r in docs.where(F.col("text").isNotNull()).limit(25).collect():
+        counts = language.gram_counts(r.text)
+        if counts is None:
+            continue
+        pairs = [(int(f), int(counts[f])) for f in np.flatnonzero(counts)]
+        norm = sum((n * model.idf[f]) ** 2 for f, n in pairs) ** 0.5
+        raw = [
+            (sum(n * model.weights[f, k] for f, n in pairs) / norm + model.bias[k]) / model.temperature
+            for k in range(len(model.languages))
+        ]
+        odds = [np.exp(x - max(raw)) for x in raw]
+        best, score = language.predict_text(model, r.text)
+        assert best == model.languages[int(np.argmax(odds))] and score == pytest.approx(max(odds) / sum(odds))
