@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwarden.operators.quality import key_report
-from fleetwarden.session import staged
 
 
 def overwrite_folder(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -41,14 +42,27 @@ def overwrite_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int)
     return df.sparkSession.table(name)
 
 
-def write_feature_table(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Replace a feature table and read it back.
+def write_feature_table(df: DataFrame, name: str, keys: list[str], folder: str) -> DataFrame:
+    """Replace a feature table of the catalog and read it back; its versions lie in `folder`, one folder each.
 
-    The new rows are stored aside and checked first: where the key is null or repeated, the old table stays.
+    The new rows are stored beside the old ones and checked first: where the key is null or repeated, the old table
+    stays. Then the table's entry in the catalog is pointed at them, so a write that dies leaves the old table whole
+    and a reader sees one version or the other. Rows of other columns replace the entry. Old versions stay for the
+    readers that have them open, until the owner of the folder clears them.
     """
-    rows = staged(df)
+    spark, version = df.sparkSession, f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(version)
+    rows = spark.read.schema(df.schema).parquet(version)
     report = key_report(rows, keys).first()
     if report["repeated_keys"] or report["null_key_rows"]:
         raise ValueError(f"{keys} is not a key: {report.asDict()}")
-    rows.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    columns = [(f.name, f.dataType) for f in df.schema]
+    there = spark.catalog.tableExists(name)
+    if there and [(f.name, f.dataType) for f in spark.table(name).schema] == columns:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+    else:
+        if there:
+            spark.sql(f"DROP TABLE {name}")
+        spark.catalog.createTable(name, version, "parquet", df.schema)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)

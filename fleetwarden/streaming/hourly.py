@@ -71,8 +71,13 @@ class HourlyPartials:
         return partial_statistics(rows, [*self.keys, hour, *more], self.sensors)
 
     def _high(self, before: int):
+        """The newest time of earlier batches; each batch carries it on, so one folder is read however many there are."""
+        last = f"{self.path}/batches/batch={before - 1}"
+        if exists(self.spark, last):
+            return self.spark.read.schema(PASSED).parquet(last).first()["high"]
         if not exists(self.spark, f"{self.path}/batches"):
             return None
+        # A batch number was left out.
         return self.batches().filter(F.col("batch") < before).agg(F.max("high")).first()[0]
 
     def store(self, batch: DataFrame, number: int) -> None:
@@ -84,7 +89,8 @@ class HourlyPartials:
             put = lambda df, name: df.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={number}")
             put(rows.filter("_late").drop("_late"), "late")
             put(self._partials(rows.filter("NOT _late")), "partials")
-            counts = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if("_late").alias("late"), F.max(self.time).alias("high"))
+            newest = F.greatest(F.max(self.time), F.lit(high).cast("timestamp")).alias("high")
+            counts = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if("_late").alias("late"), newest)
             # Written last: a batch whose counts are there is whole.
             put(counts.coalesce(1), "batches")
         finally:
@@ -95,7 +101,7 @@ class HourlyPartials:
         return writer.trigger(availableNow=True).start()
 
     def batches(self) -> DataFrame:
-        """One row a batch: rows, late rows, newest time."""
+        """One row a batch: rows, late rows, newest time up to it."""
         return self.spark.read.schema(f"{PASSED}, batch int").parquet(f"{self.path}/batches")
 
     def late(self) -> DataFrame:

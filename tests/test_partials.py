@@ -74,6 +74,22 @@ def test_late_rows_are_kept_counted_and_replayed(spark, tmp_path):
     assert rows(table.statistics().select(*columns)) == before
 
 
+def test_newest_time_is_carried_from_batch_to_batch(spark, tmp_path, monkeypatch):
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    schema = "turbine_id string, event_time timestamp, energy double"
+    table = hourly.HourlyPartials(spark, str(tmp_path / "t"), ["turbine_id"], "event_time", ["energy"], "60 minutes")
+    drops = [[], [("u", at(500), 1.0)], [("u", at(450), 1.0)], [("u", None, 1.0)], [], [("u", at(439), 1.0), ("u", at(441), 1.0)]]
+    whole = table.batches
+    monkeypatch.setattr(table, "batches", lambda: pytest.fail("all batches were read"))
+    for number, drop in enumerate(drops):
+        table.store(spark.createDataFrame(drop, schema), number)
+    monkeypatch.setattr(table, "batches", whole)
+    table.store(spark.createDataFrame([("u", at(100), 1.0)], schema), 8)  # numbers 6 and 7 were left out
+    assert rows(table.batches().select("batch", "rows", "late", "high")) == [
+        (0, 0, 0, None), *[(i, n, late, at(500)) for i, n, late in [(1, 1, 0), (2, 1, 0), (3, 1, 1), (4, 0, 0), (5, 2, 1), (8, 1, 1)]]
+    ]
+
+
 def test_counts_come_from_the_write_over_many_batches(spark, tmp_path, monkeypatch):
     landing, table, state = (str(tmp_path / n) for n in ("landing", "table", "state"))
     spark.range(0, 2010, 1, 201).selectExpr("id", "id % 10 AS v").write.parquet(landing)

@@ -61,12 +61,25 @@ def test_file_counts_and_time_order(spark, tmp_path):
     assert spark.read.parquet(daily).count() == 1000 and any(f.startswith("day=") for f in os.listdir(daily))
 
 
-def test_feature_table_rejects_a_broken_key(spark, tmp_path):
+def test_feature_table_is_switched_and_rejects_a_broken_key(spark, tmp_path):
+    folder, name, keys = str(tmp_path / "f"), "fleet_features", ["turbine_id", "h"]
     good = spark.createDataFrame([("u", 1), ("u", 2)], "turbine_id string, h int")
-    assert writers.write_feature_table(good, str(tmp_path / "f"), ["turbine_id", "h"]).count() == 2
-    with pytest.raises(ValueError):
-        writers.write_feature_table(good, str(tmp_path / "f"), ["turbine_id"])
-    assert spark.read.parquet(str(tmp_path / "f")).count() == 2
+    first = writers.write_feature_table(good, name, keys, folder)
+    assert first.count() == 2
+    for bad in (good.unionByName(good), spark.createDataFrame([("u", None)], good.schema)):
+        with pytest.raises(ValueError):
+            writers.write_feature_table(bad, name, keys, folder)
+    assert spark.table(name).count() == 2
+    more = good.unionByName(spark.createDataFrame([("v", 1)], good.schema))
+    assert writers.write_feature_table(more, name, keys, folder).count() == spark.table(name).count() == 3
+    assert rows(first) == [("u", 1), ("u", 2)]  # a reader of the version before still has its files
+    broken = more.withColumn("h", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        writers.write_feature_table(broken, name, keys, folder)
+    assert spark.table(name).count() == 3
+    wider = writers.write_feature_table(more.withColumn("x", F.lit(1.5)), name, keys, folder)
+    assert wider.columns == ["turbine_id", "h", "x"] and spark.table(name).agg(F.sum("x")).first()[0] == 4.5
+    spark.sql(f"drop table {name}")
 
 
 def test_tables(spark, tmp_path):
