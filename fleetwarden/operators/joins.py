@@ -68,6 +68,8 @@ def interval_join(
 ) -> DataFrame:
     """Points strictly inside an interval of the same key; all three columns are unix seconds.
 
+    An interval with a null bound, or whose end is not after its start, holds no point; give open ones an end.
+
     Buckets of `width` seconds are the finest level, and each further level is four times as wide. An interval goes
     to the level that its length fills, once per bucket it touches there (three at most, whatever its length), and a
     point asks one bucket of every level in use. A hot key is cut along time, and the join stays an equi join.

@@ -179,16 +179,17 @@ def shipments(asked: DataFrame, stock: DataFrame, cost: DataFrame) -> tuple[Data
     return dealt.unionByName(nothing), flows
 
 
-def transport_plan(lp: DataFrame, lane: str | None = None, tasks: int | None = None) -> DataFrame:
+def transport_plan(lp: DataFrame, lane: str, tasks: int | None = None) -> DataFrame:
     """Quantities per (type, stock_location_id, designator_id), zeros included; unservable products give one row of
     nulls. `shipments` makes the same plan without the table of all routes.
 
     `lp` is long: type, stock_location_id, designator_id, cost, supply, demand. Designators of one `lane`
     (same cost from every site, such as one home port) are interchangeable, so a product's task gets sites x
     lanes rows however many designators there are. The flow of a lane is then dealt out to its designators by
-    laying site flows and designator demands along the same line and taking the overlaps.
+    laying site flows and designator demands along the same line and taking the overlaps. Where each designator
+    has costs of its own, "designator_id" is the lane of a small problem, and transport_prices.least_cost solves a
+    large one without a product's table in one task.
     """
-    lane = lane or "designator_id"
     lp = lp.withColumn("lane", F.col(lane).cast("string"))
     problem = lp.groupBy("type", "stock_location_id", "lane").agg(
         F.max("cost").alias("cost"), F.max("supply").cast("bigint").alias("supply"), F.sum("demand").alias("demand")

@@ -27,7 +27,7 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -134,6 +134,54 @@ def logistic(frame: DataFrame, inverse_reg: float = INVERSE_REGULARISATION, iter
     )
 
 
+def logistic_proof(fitted: LogisticRegressionModel, rows: DataFrame, tolerance: float = 1e-4) -> DataFrame:
+    """Per class: whether the fitted weights are a least point of what the training minimises, found from the rows alone.
+
+    The minimised sum is convex, so a point is least exactly if no weight can move downhill: the mean slope of the loss
+    is 0 for an intercept, the penalty against the sign of a weight, and within the penalty for a weight of 0. `rows` are
+    the training rows with features, label and weight. Slopes are summed in the tasks, one short list a class and Arrow
+    batch; the columns are label, weights that are not 0, weights off by more than the tolerance, and the largest miss.
+    """
+    spark = rows.sparkSession
+    ship(spark)
+    weights, bias = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
+    classes, penalty = len(bias), fitted.getRegParam()
+    if fitted.getElasticNetParam() != 1.0 or fitted.getStandardization():
+        raise ValueError("the proof is for a plain L1 penalty")
+
+    def slopes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if batch.empty:
+                continue
+            x = np.column_stack([np.stack(batch["x"].to_numpy()), np.ones(len(batch))])
+            score = x @ np.column_stack([weights, bias]).T
+            share = np.exp(score - score.max(axis=1, keepdims=True))
+            share /= share.sum(axis=1, keepdims=True)
+            share[np.arange(len(batch)), batch["label"].to_numpy(dtype=int)] -= 1.0
+            w = batch["weight"].to_numpy(dtype=float)
+            yield pd.DataFrame({"label": np.arange(classes), "slope": list((share * w[:, None]).T @ x), "w": w.sum()})
+
+    plain = rows.select(vector_to_array("features").alias("x"), "label", "weight")
+    parts = plain.mapInPandas(slopes, "label int, slope array<double>, w double")
+    total = F.sum("w").alias("w")
+    summed = parts.select("label", "w", F.posexplode("slope").alias("at", "slope")).groupBy("label", "at")
+    points = [(k, j, float(v)) for k in range(classes) for j, v in enumerate([*weights[k], bias[k]])]
+    found = summed.agg(F.sum("slope").alias("slope"), total).join(
+        spark.createDataFrame(points, "label int, at int, value double"), ["label", "at"]
+    )
+    slope, value, last = F.col("slope") / F.col("w"), F.col("value"), F.col("at") == weights.shape[1]
+    miss = (
+        F.when(last, F.abs(slope))
+        .when(value == 0, F.greatest(F.abs(slope) - penalty, F.lit(0.0)))
+        .otherwise(F.abs(slope + penalty * F.signum(value)))
+    )
+    return found.groupBy("label").agg(
+        F.count_if((value != 0) & ~last).alias("weights"),
+        F.count_if(miss > tolerance).alias("off"),
+        F.max(miss).alias("largest_miss"),
+    )
+
+
 def forest(trees: int = TREES, depth: int = DEPTH) -> RandomForestClassifier:
     # Deep levels have many nodes: the memory bound decides how many passes over the rows they take.
     return RandomForestClassifier(

@@ -401,6 +401,11 @@ ORACLE: dict[str, str] = {
     "shipment_totals": f"""WITH {FEASIBLE} SELECT type, home_location_id AS lane, sum(demand)::BIGINT AS shipped
       FROM (SELECT DISTINCT type, designator_id, home_location_id, demand FROM lp) JOIN feasible USING (type)
       WHERE feasible AND demand > 0 GROUP BY ALL""",
+    "named_shipment_totals": f"""WITH {FEASIBLE} SELECT type, designator_id, designator, sum(demand)::BIGINT AS shipped,
+        0::BIGINT AS unnamed_sites
+      FROM (SELECT DISTINCT type, designator_id, demand FROM lp) JOIN feasible USING (type)
+      JOIN (SELECT DISTINCT designator_id, designator FROM platforms) USING (designator_id)
+      WHERE feasible AND demand > 0 GROUP BY ALL""",
     "transport_audit": f"""WITH {FEASIBLE} SELECT type, total_demand AS shipped, 0::BIGINT AS sites_overdrawn,
       0::BIGINT AS designators_short FROM feasible WHERE feasible""",
     "part_orders": f"""WITH {SHIPMENTS} SELECT stock_location_id, designator_id, type, qty_shipped, stock_location,
@@ -509,6 +514,9 @@ ORACLE: dict[str, str] = {
         avg(hit) FILTER (split = 'val') AS val_f1 FROM r GROUP BY run)
       SELECT run, round(test_f1, 6) AS test_f1, round(train_f1, 6) AS train_f1, round(val_f1, 6) AS val_f1
       FROM w ORDER BY w.val_f1 DESC LIMIT 1""",
+    "logistic_optimality": f"WITH {HISTORY} SELECT abnormal_sensor AS label, 0::BIGINT AS weights_off FROM history GROUP BY ALL",
+    "model_status_audit": f"""WITH {GOLD} SELECT home_location, count(*) AS hours, count(DISTINCT turbine_id) AS units,
+      0::BIGINT AS unknown_predictions, 0::BIGINT AS wrong_levels FROM gold GROUP BY ALL""",
     "registered_forest": f"WITH {HISTORY} SELECT count(*) AS n, 0::BIGINT AS different FROM history",
     "registered_scorer": f"WITH {HISTORY} SELECT count(*) AS n, 0::BIGINT AS different FROM history",
     "managed_table": "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus",

@@ -408,6 +408,15 @@ def shipment_recommendations(spark, sf):
     return supply.with_names(made.plan, parts, platforms)
 
 
+@query
+def named_shipment_totals(spark, sf):
+    """The named plan by product and designator: what each receives, which no choice among equal-cost plans changes."""
+    named = shipment_recommendations(spark, sf).filter("qty_shipped > 0")
+    return named.groupBy("type", "designator_id", "designator").agg(
+        F.sum("qty_shipped").alias("shipped"), F.count_if(F.col("stock_location").isNull()).alias("unnamed_sites")
+    )
+
+
 # ---- tickets and routes ------------------------------------------------------------------------------------
 
 
@@ -907,6 +916,16 @@ def ml_logreg_eval(spark, sf):
     return learning.split_metrics(learning.confusion(model, frame, labels))
 
 
+@query
+def logistic_optimality(spark, sf):
+    """A fitted logistic regression checked from the training rows alone: weights of each class that are not at their best."""
+    frame, labels = _frame(spark, sf)
+    rows = learning.features(frame)[1].filter(F.col("split") == "train")
+    proof = learning.logistic_proof(learning.logistic(frame, 0.1, 200).setTol(1e-9).fit(rows), rows)
+    names = F.array(*[F.lit(x) for x in labels])
+    return proof.select(F.get(names, F.col("label")).alias("label"), F.col("off").alias("weights_off"))
+
+
 @query
 def ml_rf_eval(spark, sf):
     frame, labels = _frame(spark, sf)
@@ -963,9 +982,8 @@ def search_runs(spark, sf):
     )
 
 
-@query
-def model_status(spark, sf):
-    """Gold status with a trained model as the scorer, counted by prediction and maintenance level."""
+def _model_gold(spark, sf):
+    """Gold status with a trained forest as the scorer, and the labels it knows."""
     frame, labels = _frame(spark, sf)
     model = learning.train(frame, learning.forest(), calendar=False)
     gold = gold_plan.status_gold(
@@ -974,7 +992,28 @@ def model_status(spark, sf):
         b.maintenance_actions(spark),
         learning.score_status(model, labels),
     )
-    return gold.groupBy("prediction", "maintenance_type").agg(F.count(F.lit(1)).alias("n"))
+    return gold, labels
+
+
+@query
+def model_status(spark, sf):
+    """Gold status with a trained model as the scorer, counted by prediction and maintenance level."""
+    return _model_gold(spark, sf)[0].groupBy("prediction", "maintenance_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def model_status_audit(spark, sf):
+    """Gold status with a trained model as the scorer: hours and units by home port, predictions that are no label, and
+    maintenance levels that are not the prediction's."""
+    gold, labels = _model_gold(spark, sf)
+    faults = b.maintenance_actions(spark).select("fault", F.col("maintenance_type").alias("listed"))
+    level = joins.join_dimension(gold.withColumnRenamed("prediction", "fault"), faults, "fault", "left")
+    return level.groupBy("home_location").agg(
+        F.count(F.lit(1)).alias("hours"),
+        F.count_distinct("turbine_id").alias("units"),
+        F.count_if(~F.coalesce(F.col("fault").isin(labels), F.lit(False))).alias("unknown_predictions"),
+        F.count_if(~F.col("maintenance_type").eqNullSafe(F.col("listed"))).alias("wrong_levels"),
+    )
 
 
 def _function_differences(spark, sf, model, labels, name):

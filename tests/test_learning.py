@@ -1,6 +1,9 @@
+import numpy as np
 import pytest
 from conftest import rows
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from fleetwarden.operators.sampling import with_split
@@ -39,6 +42,34 @@ def test_weights_balance_the_classes(trained):
     assert totals[0] == pytest.approx(totals[1])
 
 
+def test_proof_of_a_logistic_fit(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 4))
+    label = (x[:, 0] + 0.5 * x[:, 1] + rng.normal(size=400) > 0.3).astype(int) + (x[:, 2] > 1)
+    data = [(Vectors.dense(a), float(k), 1.0 + i % 3) for i, (a, k) in enumerate(zip(x, label))]
+    table = spark.createDataFrame(data, ["features", "label", "weight"]).repartition(5)
+    fit = lambda reg, steps: LogisticRegression(
+        family="multinomial", elasticNetParam=1.0, regParam=reg, weightCol="weight", maxIter=steps, standardization=False, tol=1e-10
+    ).fit(table)
+    good = learning.logistic_proof(fit(0.02, 300), table).collect()
+    assert [r["off"] for r in good] == [0, 0, 0] and max(r["largest_miss"] for r in good) < 1e-5
+    assert 0 < sum(r["weights"] for r in good) < 12  # the penalty leaves some out
+    early = learning.logistic_proof(fit(0.02, 2), table).collect()
+    assert sum(r["off"] for r in early) > 0
+    # The slope of one class by hand.
+    model = fit(0.02, 2)
+    score = x @ model.coefficientMatrix.toArray().T + model.interceptVector.toArray()
+    share = np.exp(score) / np.exp(score).sum(axis=1, keepdims=True)
+    w = np.array([r[2] for r in data])
+    slope = ((share[:, 1] - (label == 1)) * w) @ np.column_stack([x, np.ones(400)]) / w.sum()
+    value = np.append(model.coefficientMatrix.toArray()[1], 0)
+    miss = np.where(value == 0, np.maximum(np.abs(slope) - 0.02, 0), np.abs(slope + 0.02 * np.sign(value)))
+    miss[-1] = abs(slope[-1])
+    assert {r["label"]: r["largest_miss"] for r in early}[1] == pytest.approx(miss.max(), rel=1e-9)
+    with pytest.raises(ValueError):
+        learning.logistic_proof(LogisticRegression(regParam=0.1, weightCol="weight").fit(table), table)
+
+
 def test_registered_function_agrees_with_the_pipeline(spark, trained):
     _, labels, model, history = trained
     learning.register_scorer(spark, "predict_maintenance_t", model, labels)

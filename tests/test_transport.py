@@ -69,7 +69,7 @@ def test_lanes_give_the_same_cost_as_single_designators(spark):
         .groupBy("type")
         .agg(F.sum(F.col("cost") * F.col("qty_shipped")))
     )
-    by_lane, single = transport.transport_plan(lp, "home_location_id"), transport.transport_plan(lp)
+    by_lane, single = transport.transport_plan(lp, "home_location_id"), transport.transport_plan(lp, "designator_id")
     assert total(by_lane) == total(single)
     solved = {r["type"] for r in transport.feasibility(lp).filter("feasible").collect()}
     assert 0 < len(solved) < 6
