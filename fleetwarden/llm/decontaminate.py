@@ -524,7 +524,11 @@ def benchmark_hits(
 
 
 def without_benchmark(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs in their own columns, without the documents that meet an item of the benchmark."""
+    """docs in their own columns, without the documents that meet an item of the benchmark.
+
+    Rows that agree in id and text go together. A null or empty text meets no item, so its row stays, and so do all rows
+    where the benchmark is empty; null ids are ids, extra columns stay.
+    """
     hits = staged(benchmark_hits(docs, items, id_col, text_col).select("row_id", "row_body").distinct())
     rows = docs.select(row_struct(docs), F.col(id_col).cast("long").alias("id"), digest(body(text_col)).alias("body"))
     clean = rows.join(hits, F.col("id").eqNullSafe(F.col("row_id")) & (F.col("body") == F.col("row_body")), "left_anti")

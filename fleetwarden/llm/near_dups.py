@@ -88,6 +88,10 @@ def bag_min_hash(
     uses the points below w. Component i keeps the earliest such point, and two documents agree there with their
     weighted Jaccard similarity as chance, without bias. Each process runs in the order of time and stops at the
     latest minimum of its document, so most elements of a long document give one or two points.
+
+    The cells are the levels of the hierarchy, but none is split from a parent's process: parts of a Poisson process in
+    disjoint cells are independent, so each cell drawn by itself has the law of the split one. Points of the last cell
+    that lie above w are thinned out; on average these are less than half of all points drawn.
     """
     best = np.full(docs * size, np.inf)
     which = np.zeros(docs * size, np.uint64)
