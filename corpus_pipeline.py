@@ -18,22 +18,27 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a recognised language; texts that are null, empty or without letters go, extra columns stay."""
     return language.with_language(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near copies; texts without words are a group only with their equals, null ids count as ids."""
     return near_dups.without_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage; null and empty texts stay, an empty benchmark drops nothing."""
     return decontaminate.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target takes them; repeated rows are drawn one by one, a null source is a source."""
     return mixing.mixed_documents(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with shard and slot, columns of these names replaced; null ids and texts have places like any row."""
     return sharding.sharded_documents(docs)
 
 
