@@ -23,7 +23,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies; texts without words are a group only with their equals, null ids count as ids."""
+    """One row of each group of near copies, ids or not; null, empty and wordless texts stay, but for rows of one id and text."""
     return near_dups.without_near_duplicates(docs)
 
 
