@@ -48,3 +48,13 @@ def jitter_repeats(
     moved = F.col("_k") > 1
     placed = _places(df, lat, lon, key, "_k")
     return _shift(placed, lat, lon, moved, draw("r") * reach_m, draw("a") * (2 * math.pi)).select(*df.columns)
+
+
+def gathered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with those of equal keys near each other, before an aggregate whose buffers are larger than rows.
+
+    Where a group has few rows in any one task, reducing inside tasks shrinks nothing and shuffles a buffer for each
+    row. The rows are dealt by a hash of the keys; adaptive execution splits a slice that a large group makes too large
+    into several tasks, which then reduce it side by side, so an aggregate over the keys still merges across tasks.
+    """
+    return rows.withColumn("_near", F.xxhash64(*keys)).hint("rebalance", "_near").drop("_near")

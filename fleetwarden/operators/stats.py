@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwarden.functions.temporal import time_bucket
+from fleetwarden.operators.spread import gathered
 from fleetwarden.schemas import PERCENTILES, SENSORS
 
 
@@ -26,11 +27,12 @@ def sensor_statistics(
 ) -> DataFrame:
     """Average energy, population deviation and percentiles of each sensor per key and bucket.
 
-    Every aggregate has a partial form, so a unit that holds most of the readings is reduced inside each task
-    before the one shuffle.
+    The readings of a key and bucket are brought near each other first (`gathered`), then reduced inside each task, so
+    that sketches are shuffled once a group and a unit that holds most of the readings shrinks where its rows lie.
     """
-    bucket = time_bucket("timestamp", grain).alias("hourly_timestamp")
-    return readings.groupBy(*keys, bucket).agg(*statistic_columns(sensors, probabilities))
+    near = gathered(readings.withColumn("_bucket", time_bucket("timestamp", grain)), [*keys, "_bucket"])
+    grouped = near.groupBy(*keys, F.col("_bucket").alias("hourly_timestamp"))
+    return grouped.agg(*statistic_columns(sensors, probabilities))
 
 
 def numeric_summary(df: DataFrame, columns: list[str], accuracy: int = 100_000) -> DataFrame:

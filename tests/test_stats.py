@@ -55,3 +55,24 @@ def test_summary(spark):
     assert (out["x"]["p25"], out["x"]["p50"], out["x"]["p75"], out["x"]["mean"]) == (2.0, 3.0, 4.0, 3.0)
     assert out["y"]["count"] == 0 and out["y"]["mean"] is None
     assert out["x"]["stddev"] == pytest.approx(1.5811388)
+
+
+def test_readings_are_near_each_other_before_they_are_reduced(spark):
+    df = stats.sensor_statistics(spark.createDataFrame([reading(3600, "u", 1.0)], READINGS))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # Top down: rows are dealt by a hash of their group below the partial aggregate, groups above it.
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.rindex("Exchange hashpartitioning(_near") > plan.index("partial_percentile_approx")
+
+
+def test_a_large_group_is_split_between_tasks(spark):
+    from fleetwarden.operators.spread import gathered
+
+    rows_ = spark.range(400_000, numPartitions=16).select(F.lit(1).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "1m")
+    try:
+        tasks = len(gathered(rows_, ["k"]).groupBy(F.spark_partition_id()).agg(F.max("v")).collect())
+    finally:
+        spark.conf.unset(size)
+    assert tasks > 4
