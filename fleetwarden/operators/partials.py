@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetwarden.operators.spread import gathered
 from fleetwarden.schemas import PERCENTILES, SENSORS
 
 #: Size of a quantile sketch: exact up to so many values, then ranks are off by about 1.3 in a hundred.
@@ -24,10 +25,17 @@ def moments(column: str) -> Column:
 
 
 def partial_statistics(rows: DataFrame, keys: list[str | Column], sensors=SENSORS, energy: str = "energy") -> DataFrame:
-    """One partial for each group of keys: moments of energy and sensors, and a sketch of each sensor's values."""
+    """One partial for each group of keys: moments of energy and sensors, and a sketch of each sensor's values.
+
+    The rows of a group are brought near each other first: a sketch of a few rows is larger than the rows.
+    """
+    key = lambda k: rows.select(k).columns[0]
+    names = [f"_key_{i}" for i in range(len(keys))]
+    keyed = gathered(rows.withColumns(dict(zip(names, [F.col(k) if isinstance(k, str) else k for k in keys]))), names)
     columns = list(dict.fromkeys([energy, *sensors]))
     sketches = [F.kll_sketch_agg_double(F.col(s).cast("double"), F.lit(SKETCH)).alias(f"sketch_{s}") for s in sensors]
-    return rows.groupBy(*keys).agg(*[moments(c).alias(f"moments_{c}") for c in columns], *sketches)
+    grouped = keyed.groupBy(*[F.col(n).alias(key(k)) for n, k in zip(names, keys)])
+    return grouped.agg(*[moments(c).alias(f"moments_{c}") for c in columns], *sketches)
 
 
 def _added(parts: Column) -> Column:
@@ -51,7 +59,7 @@ def merge_partials(partials: DataFrame, keys: list[str], order: str) -> DataFram
     names = [c.removeprefix("moments_") for c in partials.columns if c.startswith("moments_")]
     sketched = [c for c in partials.columns if c.startswith("sketch_")]
     rows = F.array_sort(F.collect_list(F.struct(order, *[f"moments_{c}" for c in names])))
-    merged = partials.groupBy(*keys).agg(rows.alias("_parts"), *[F.kll_merge_agg_double(c).alias(c) for c in sketched])
+    merged = gathered(partials, keys).groupBy(*keys).agg(rows.alias("_parts"), *[F.kll_merge_agg_double(c).alias(c) for c in sketched])
     added = [_added(F.col("_parts")[f"moments_{c}"]).alias(f"moments_{c}") for c in names]
     return merged.select(*keys, *added, *sketched)
 

@@ -130,3 +130,12 @@ def test_rows_keep_their_columns_and_number(spark):
     df = spark.createDataFrame([(1, "2024-07-04"), (2, "2024-07-05"), (3, None)], "day int, d string")
     got = rows(holidays.with_holidays(df, F.col("d"), dates))
     assert got == [(1, "2024-07-04", ["Feast", "Independence Day"], True), (2, "2024-07-05", [], False), (3, None, [], False)]
+
+
+def test_rows_are_near_each_other_before_they_are_reduced(spark):
+    df = spark.createDataFrame([("u", 3600, 1.0, 2.0)], "k string, ts bigint, energy double, s double")
+    hour = F.floor(F.col("ts") / 3600).alias("hour")
+    parts = partials.partial_statistics(df, ["k", hour], ["s"])
+    assert parts.columns[:2] == ["k", "hour"] and parts.first()["hour"] == 1
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Exchange hashpartitioning(_near") > plan.index("partial_kll")
