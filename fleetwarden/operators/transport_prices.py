@@ -21,6 +21,8 @@ from fleetwarden.session import ship, staged
 #: times finer that each round is.
 SUMS, STEPS, FINER = 500, 4, 4
 ROUNDS = 40
+#: Tasks for each core over which the products of a round are dealt.
+TASKS_A_CORE = 4
 CLOSE = 1e-9
 
 SOLVED = "type string, costs array<double>, flows array<bigint>, site_prices array<double>"
@@ -41,10 +43,14 @@ def _solve(key: tuple, sums: pd.DataFrame, stock: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _slack(costs: Column, prices_: Column) -> Column:
-    """How much dearer each site is than the cheapest, prices included."""
-    whole = F.zip_with(costs, prices_, lambda c, p: c + p)
-    return F.transform(whole, lambda v: v - F.array_min(whole))
+def _with_slack(priced: DataFrame) -> DataFrame:
+    """priced plus `slack`: how much dearer each site is than the cheapest, prices included.
+
+    Sums and their least are columns of their own, so they are made once a row and not once for each site.
+    """
+    whole = priced.withColumn("_whole", F.zip_with("costs", "site_prices", lambda c, p: c + p))
+    least = whole.withColumn("_least", F.array_min("_whole"))
+    return least.withColumn("slack", F.transform("_whole", lambda v: v - F.col("_least"))).drop("_whole", "_least")
 
 
 def _only(costs: Column, site: Column) -> Column:
@@ -83,11 +89,11 @@ def least_cost(asked: DataFrame, stock: DataFrame, cost: DataFrame) -> tuple[Dat
     widest = base.select(F.max(F.array_max(finite) - F.array_min(finite))).first()[0] or 0.0
     quantum, margin = widest / STEPS, float("inf")
     priced = base.withColumn("site_prices", F.transform("costs", lambda c: F.lit(0.0))).withColumn("opened", F.lit(False))
-    exact = False
+    exact, tasks = False, TASKS_A_CORE * spark.sparkContext.defaultParallelism
     for _ in range(ROUNDS):
-        slack = _slack(F.col("costs"), F.col("site_prices"))
-        near = F.size(F.filter(slack, lambda v: v <= margin)) > 1
-        marked = priced.withColumn("site", F.array_position(slack, F.lit(0.0)).cast("int") - 1).withColumn("open", F.col("opened") | near)
+        slacked = _with_slack(priced)
+        near = F.size(F.filter("slack", lambda v: v <= margin)) > 1
+        marked = slacked.withColumn("site", F.array_position("slack", F.lit(0.0)).cast("int") - 1).withColumn("open", F.col("opened") | near)
         round_ = staged(marked.select("type", "designator_id", "demand", "costs", "open", "site"))
         undecided = round_.filter("open").groupBy("type", "costs").agg(F.count(F.lit(1)).alias("n")).groupBy("type").count()
         exact = exact or quantum <= CLOSE or (undecided.agg(F.max("count")).first()[0] or 0) <= SUMS
@@ -95,17 +101,19 @@ def least_cost(asked: DataFrame, stock: DataFrame, cost: DataFrame) -> tuple[Dat
         key = F.when(F.col("open"), rounded).otherwise(_only(F.col("costs"), F.col("site")))
         keyed = round_.withColumn("key", key)
         sums = keyed.groupBy("type", F.col("key").alias("costs")).agg(F.sum("demand").alias("demand"))
-        solved = staged(sums.groupBy("type").cogroup(sites.groupBy("type")).applyInPandas(_solve, SOLVED))
+        # Few bytes and much work: with a fixed number of tasks, adaptive execution does not put all products into one.
+        dealt_out = [t.repartition(tasks, "type").groupBy("type") for t in (sums, sites)]
+        solved = staged(dealt_out[0].cogroup(dealt_out[1]).applyInPandas(_solve, SOLVED))
         found = solved.filter("flows IS NOT NULL").groupBy("type").agg(F.first("site_prices").alias("site_prices"))
         priced = round_.join(found, "type").withColumn("opened", F.lit(False))
         if exact:
             # A decided destination that has a cheaper site at these prices is opened and stays so.
-            after = F.element_at(_slack(F.col("costs"), F.col("site_prices")), F.col("site") + 1)
-            wrong = ~F.col("open") & (after > CLOSE)
-            left = priced.agg(F.count_if(wrong)).first()[0]
+            wrong = ~F.col("open") & (F.element_at("slack", F.col("site") + 1) > CLOSE)
+            checked = _with_slack(priced).withColumn("wrong", wrong).drop("slack")
+            left = checked.agg(F.count_if("wrong")).first()[0]
             if not left:
                 break
-            priced, margin = priced.withColumn("opened", F.col("open") | wrong), -1.0
+            priced, margin = checked.withColumn("opened", F.col("open") | F.col("wrong")).drop("wrong"), -1.0
         else:
             margin, quantum = 2 * STEPS * quantum, quantum / FINER
     else:
@@ -128,8 +136,7 @@ def proof(plan: DataFrame, priced: DataFrame) -> DataFrame:
     Every unit has to come from a site that is cheapest for its destination at the prices, prices are not negative, a
     site with stock to spare has none, no site gives more than it has, and every destination gets what it asked.
     """
-    slack = _slack(F.col("costs"), F.col("site_prices"))
-    each = priced.select("type", "designator_id", F.explode(F.arrays_zip("sites", "costs", slack.alias("slack"))).alias("r"))
+    each = _with_slack(priced).select("type", "designator_id", F.explode(F.arrays_zip("sites", "costs", "slack")).alias("r"))
     each = each.select("type", "designator_id", F.col("r.sites").alias("stock_location_id"), F.col("r.costs").alias("cost"), F.col("r.slack").alias("slack"))
     shipped = plan.filter(F.col("stock_location_id").isNotNull())
     moved = shipped.join(each, ["type", "designator_id", "stock_location_id"], "left").groupBy("type").agg(

@@ -62,3 +62,18 @@ def test_a_worse_plan_does_not_pass(spark):
     broken = transport_prices.proof(swapped, priced).first()
     assert broken["dear_routes"] > 0
     assert transport_prices.proof(plan.limit(3), priced).first()["not_as_asked"] > 0
+
+
+def test_products_are_solved_in_tasks_of_their_own(spark, monkeypatch):
+    files = []
+
+    def kept(df):
+        out = staged(df)
+        if out.columns == ["type", "costs", "flows", "site_prices"]:
+            files.append(len([f for f in out.inputFiles() if spark.read.parquet(f).select("type").limit(1).count()]))
+        return out
+
+    monkeypatch.setattr(transport_prices, "staged", kept)
+    frames, *_ = problem(spark, 7, types=12, places=20)
+    transport_prices.least_cost(*frames)
+    assert files and min(files) >= 8  # twelve products in 32 tasks
