@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwarden.operators.quality import key_report
+from fleetwarden.session import new_folder
+
+#: Rows that a task sorts for a time-ordered file, and slices that such a write plans at most.
+SLICE_ROWS, MOST_SLICES = 1_000_000, 500
 
 
 def overwrite_folder(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -16,8 +21,33 @@ def overwrite_folder(df: DataFrame, path: str, files: int | None = None) -> None
 
 
 def overwrite_time_ordered(df: DataFrame, path: str, files: int, time: str = "timestamp") -> None:
-    """Replace a Parquet folder whose files hold consecutive, sorted stretches of time."""
-    df.repartitionByRange(files, time).sortWithinPartitions(time).write.mode("overwrite").parquet(path)
+    """Replace a Parquet folder whose files hold consecutive, sorted stretches of time.
+
+    A file of many rows is not sorted in one task: slices of about SLICE_ROWS rows are sorted and stored, and the task of
+    a file reads its slices one after another. Rows of one time share a slice, so a time that most rows hold is still
+    sorted in one task, which spills.
+    """
+    slices = min(-(-df.count() // SLICE_ROWS), MOST_SLICES)
+    ranged = df.repartitionByRange(max(files, slices), time).sortWithinPartitions(time)
+    (_joined_slices(ranged, files) if slices > files else ranged).write.mode("overwrite").parquet(path)
+
+
+def _joined_slices(ranged: DataFrame, files: int) -> DataFrame:
+    """The partitions of a frame stored as they are, then joined in their order to `files` partitions of about equal rows."""
+    spark, folder = ranged.sparkSession, new_folder(ranged.sparkSession, "slices")
+    ranged.withColumn("_slice", F.spark_partition_id()).write.parquet(folder)
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    # One row a slice, MOST_SLICES at most.
+    counted = spark.read.parquet(folder).groupBy("_slice", name.alias("file")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total, before, stretches = sum(r["n"] for r in counted), 0, {}
+    for part in sorted(counted):
+        stretches.setdefault((2 * before + part["n"]) * files // (2 * total), []).append(part["file"])
+        before += part["n"]
+    read = lambda file: spark.read.schema(ranged.schema).parquet(f"{folder}/{file}")
+    # One partition reads its parts in the order of the union. A union of nothing but single partitions is a single
+    # partition itself, so an end that holds no row goes along.
+    end = spark.read.parquet(folder).filter(F.col("_slice") < 0).select(*ranged.columns)
+    return reduce(DataFrame.union, [*[reduce(DataFrame.union, map(read, s)).coalesce(1) for s in stretches.values()], end])
 
 
 def overwrite_by_day(df: DataFrame, path: str, time: str = "timestamp") -> None:

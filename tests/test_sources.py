@@ -61,6 +61,33 @@ def test_file_counts_and_time_order(spark, tmp_path):
     assert spark.read.parquet(daily).count() == 1000 and any(f.startswith("day=") for f in os.listdir(daily))
 
 
+def test_time_order_of_many_rows_comes_from_small_sorts(spark, tmp_path, monkeypatch):
+    """Rows of a file are sorted in slices; nulls come first, a repeated time lies in one file, and no row is lost."""
+    import pyarrow.parquet as pq
+
+    at = F.when(F.col("id") % 500 == 0, None).when(F.col("id") % 5 == 0, 4242).otherwise((F.col("id") * 7919) % 10_007)
+    df = spark.range(20_000).select(at.alias("timestamp"), F.col("id").cast("string").alias("unit")).repartition(6)
+    sorted_rows, sort = [], type(df).sortWithinPartitions
+
+    def counted(frame, *columns):
+        sorted_rows.append(max(r[1] for r in frame.groupBy(F.spark_partition_id()).count().collect()))
+        return sort(frame, *columns)
+
+    monkeypatch.setattr(writers, "SLICE_ROWS", 500, raising=False)
+    monkeypatch.setattr(type(df), "sortWithinPartitions", counted)
+    folder = str(tmp_path / "ordered")
+    writers.overwrite_time_ordered(df, folder, 4)
+    # A fifth of the rows hold one time, which is one slice.
+    assert sorted_rows[0] < 4_900
+    held = []
+    for name in sorted(f for f in os.listdir(folder) if f.startswith("part-")):
+        held.append([-1 if t is None else t for t in pq.read_table(f"{folder}/{name}")["timestamp"].to_pylist()])
+    assert len(held) == 4 and all(part == sorted(part) for part in held)
+    held.sort()
+    assert all(one[-1] < two[0] for one, two in zip(held, held[1:]))
+    assert rows(spark.read.parquet(folder)) == rows(df)
+
+
 def test_feature_table_is_switched_and_rejects_a_broken_key(spark, tmp_path):
     folder, name, keys = str(tmp_path / "f"), "fleet_features", ["turbine_id", "h"]
     good = spark.createDataFrame([("u", 1), ("u", 2)], "turbine_id string, h int")
