@@ -838,8 +838,12 @@ def holiday_orders(spark, sf):
 # ---- learning ----------------------------------------------------------------------------------------------
 
 
-def _frame(spark, sf):
-    history = staged(silver.training_dataset(b.readings(spark, sf)))
+def _history(spark, sf):
+    return staged(silver.training_dataset(b.readings(spark, sf)))
+
+
+def _frame(spark, sf, history=None):
+    history = _history(spark, sf) if history is None else history
     labels = learning.known_labels(history)
     return staged(learning.training_frame(history, labels)), labels
 
@@ -1016,10 +1020,10 @@ def model_status_audit(spark, sf):
     )
 
 
-def _function_differences(spark, sf, model, labels, name):
+def _function_differences(spark, history, model, labels, name):
     """Rows, and rows where the model as a SQL function of the 14 input columns differs from the model."""
     learning.register_scorer(spark, name, model, labels)
-    inputs = silver.training_dataset(b.readings(spark, sf)).select(*learning.KEY, *learning.INPUTS[1:])
+    inputs = history.select(*learning.KEY, *learning.INPUTS[1:])
     by_pipeline = learning.score_status(model, labels)(inputs).withColumnRenamed("prediction", "by_pipeline")
     both = by_pipeline.withColumn("by_function", F.expr(f"{name}({', '.join(learning.INPUTS)})"))
     return both.agg(
@@ -1030,16 +1034,18 @@ def _function_differences(spark, sf, model, labels, name):
 @query
 def registered_forest(spark, sf):
     """A stored forest as a SQL function, its nodes as arrays: rows, and rows where it differs from the library's forest."""
-    frame, labels = _frame(spark, sf)
+    history = _history(spark, sf)
+    frame, labels = _frame(spark, sf, history)
     folder = new_folder(spark, "models")
     learning.publish(spark, learning.train(frame, learning.forest(), calendar=False), labels, folder, "champion", "run_1")
-    return _function_differences(spark, sf, *learning.published(spark, folder, "champion"), "predict_by_forest")
+    return _function_differences(spark, history, *learning.published(spark, folder, "champion"), "predict_by_forest")
 
 
 @query
 def registered_scorer(spark, sf):
     """A stored model as a SQL function of the 14 input columns: rows, and rows where it differs from the pipeline."""
-    frame, labels = _frame(spark, sf)
+    history = _history(spark, sf)
+    frame, labels = _frame(spark, sf, history)
     folder = new_folder(spark, "models")
     learning.publish(spark, learning.train(frame, learning.logistic(frame)), labels, folder, "champion", "run_1")
-    return _function_differences(spark, sf, *learning.published(spark, folder, "champion"), "predict_maintenance")
+    return _function_differences(spark, history, *learning.published(spark, folder, "champion"), "predict_maintenance")

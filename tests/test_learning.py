@@ -174,3 +174,15 @@ def test_many_rows_of_a_fit_are_dealt_evenly_and_stay_the_same(spark, trained, m
     held = [r["n"] for r in fitted.groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
     cores, n = spark.sparkContext.defaultParallelism, plain.count()
     assert sum(held) == n and len(held) == cores and max(held) < 1.5 * n / cores
+
+
+def test_function_queries_compute_their_statistics_once(spark, sf, monkeypatch):
+    """Fit and comparison read one stored table of hourly statistics."""
+    from fleetwarden.suite import queries
+
+    calls, whole, logistic = [], silver.training_dataset, learning.logistic
+    monkeypatch.setattr(silver, "training_dataset", lambda *a, **k: calls.append(1) or whole(*a, **k))
+    monkeypatch.setattr(learning, "logistic", lambda frame: logistic(frame, iterations=3))
+    found = queries.registered_scorer(spark, sf).first()
+    assert len(calls) == 1
+    assert found["n"] == whole(b.readings(spark, sf)).count() and found["different"] == 0
