@@ -24,14 +24,23 @@ from fleetwarden.session import new_folder, ship, staged
 TASK_ROWS = 1_000_000
 #: Levels that such a round adds, and edges between the codes of a feature.
 MORE_LEVELS, EDGES = 4, 255
+#: Rows for each class from which a node's rows are counted by code, not sorted.
+COUNTED_ROWS = 64
 #: Nodes that a scoring task holds (about 100 bytes each).
 MOST_NODES = 20_000_000
 
 #: Nodes of a subtree that a task has grown have numbers from here on, but for its root.
 LOW_NODES = 1 << 32
 
+#: Nodes of a tree that are packed in one task, rows whose votes are one record, rows that walk down a tree together.
+SHELF_NODES, SLICE, WALK = 500_000, 1 << 16, 1 << 14
+#: A code that no row exceeds.
+NO_CODE = 0xFFFF
+
+PART = "tree int, shelf int, ids binary, step binary, leaf binary, shares binary"
 NODES = "tree int, node bigint, feature int, threshold double, left bigint, right bigint, votes array<double>, rows bigint"
-GROUPED = "tree int, leaf bigint, codes binary, label int, weight double"
+#: Rows of a shelf (some leaves of a tree), many in one record: the bytes of a column of each.
+GROUPED = "tree int, shelf int, leaf binary, codes binary, label binary, weight binary, key binary"
 
 
 def model_nodes(model) -> DataFrame:
@@ -120,37 +129,134 @@ def _chosen(key: np.ndarray, features: int, tried: int) -> np.ndarray:
     return np.sort(np.argpartition(draw, tried, axis=1)[:, :tried], axis=1)
 
 
+def _sorted_by(key: np.ndarray, count: int) -> np.ndarray:
+    """The order by a key below count, equal ones as they came; short keys are sorted in passes over their bytes."""
+    return np.argsort(key.astype(np.uint16) if count <= 1 << 16 else key, kind="stable")
+
+
+def _in_order(node: np.ndarray, value: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The order by (node, value), equal ones as they came; node is in order already, with its starts, and value is a byte.
+
+    256 nodes at a time have keys of two bytes.
+    """
+    key = (node.astype(np.uint16) << 8) | value
+    ends = np.append(starts[256::256], len(node))
+    return np.concatenate([lo + np.argsort(key[lo:hi], kind="stable") for lo, hi in zip(starts[::256], ends)])
+
+
 def _splits(codes: np.ndarray, node: np.ndarray, label: np.ndarray, weight: np.ndarray, votes: np.ndarray, chosen: np.ndarray):
     """(gain, feature, code) of the best split of every node, from rows in the order of their nodes.
 
-    Of equal gains the first feature and the lowest code win; gains are shares of a node's weight, to nine digits.
+    Of equal gains the first feature and the lowest code win; gains are shares of a node's weight, to nine digits. Nodes
+    of many rows count them by code, the others sort them; nodes of either kind best lie together.
     """
     count, classes = votes.shape
+    starts = np.searchsorted(node, np.arange(count + 1))
+    large = _is_large(np.diff(starts), classes)
+    edges = [0, *(np.flatnonzero(large[1:] != large[:-1]) + 1).tolist(), count]
+    found = []
+    for a, b in zip(edges, edges[1:]):
+        search, rows = _dense_splits if large[a:b].any() else _sparse_splits, slice(starts[a], starts[b])
+        found.append(search(codes[rows], node[rows] - a, label[rows], weight[rows], votes[a:b], chosen[a:b]))
+    return tuple(np.concatenate(parts) for parts in zip(*found))
+
+
+def _is_large(rows: np.ndarray, classes: int) -> np.ndarray:
+    return rows >= COUNTED_ROWS * classes
+
+
+def _dense_splits(codes: np.ndarray, node: np.ndarray, label: np.ndarray, weight: np.ndarray, votes: np.ndarray, chosen: np.ndarray):
+    """`_splits` by the weights of each node's codes and classes."""
+    count, classes = votes.shape
+    total, held = votes.sum(axis=1)[:, None], (votes * votes).sum(axis=1)[:, None]
+    best, feature, code = np.zeros(count), np.zeros(count, np.int64), np.zeros(count, np.int64)
+    size, every = np.bincount(node, minlength=count), np.arange(count)
+    flat, row = codes.reshape(-1), np.arange(len(node)) * codes.shape[1]
+    cell = node * (256 * classes) + label
+    for column in chosen.T:
+        value = flat[row + np.repeat(column, size)]
+        cells = np.bincount(cell + value * np.int64(classes), weight, count * 256 * classes).reshape(count, 256, classes)
+        filled = cells.any(axis=2)
+        # A split lies after a code that has rows and is not the node's last.
+        filled[every, 255 - filled[:, ::-1].argmax(axis=1)] = False
+        low = np.cumsum(cells, axis=1, out=cells)
+        below, squares = low.sum(axis=2), np.einsum("nvc,nvc->nv", low, low)
+        high = held - 2.0 * np.einsum("nvc,nc->nv", low, votes) + squares
+        gain = squares / np.maximum(below, 1e-12) + high / np.maximum(total - below, 1e-12) - held / total
+        gain = np.where(filled, np.round(gain / total, 9), -1.0)
+        first = gain.argmax(axis=1)
+        most = gain[every, first]
+        better = most > best
+        best[better], feature[better], code[better] = most[better], column[better], first[better]
+    return best, feature, code
+
+
+def _sparse_splits(codes: np.ndarray, node: np.ndarray, label: np.ndarray, weight: np.ndarray, votes: np.ndarray, chosen: np.ndarray):
+    """`_splits` by sorting each node's rows: sums run over the rows of all nodes, so nodes of little weight should come
+    first, where large ones cannot blur them."""
+    count, classes = votes.shape
     total, held = votes.sum(axis=1), (votes * votes).sum(axis=1)
     best, feature, code = np.zeros(count), np.zeros(count, np.int64), np.zeros(count, np.int64)
-    starts = np.searchsorted(node, np.arange(count))
+    n = len(node)
+    if not n:
+        return best, feature, code
+    size = np.bincount(node, minlength=count)
+    starts = np.cumsum(size) - size
+    last = np.append(node[1:] != node[:-1], True)
+    flat, row = codes.reshape(-1), np.arange(n) * codes.shape[1]
+    short = label.astype(np.uint8 if classes <= 256 else np.uint16)
+    impure = held / total
+    # By class and node, rows of one class of a node lie together whatever the feature.
+    alike = np.bincount(label * np.int64(count) + node, minlength=classes * count)
+    alike = alike[alike > 0]
+    first_alike = np.cumsum(alike) - alike
+    # Weights, and weights times what their class weighs in the node, as the two parts of one number.
+    pair = weight + 1j * (weight * votes[node, label])
+
+    def from_start(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # Running sums, and what they were before each node.
+        sums = np.cumsum(x)
+        return sums, np.where(starts > 0, sums[starts - 1], 0.0)
+
     for column in chosen.T:
-        value = codes[np.arange(len(node)), column[node]].astype(np.int64)
-        order = np.argsort(node * 256 + value, kind="stable")
+        value = flat[row + np.repeat(column, size)]
+        order = _in_order(node, value, starts)
         value = value[order]
-        low = np.zeros((len(node) + 1, classes))
-        low[np.arange(1, len(node) + 1), label[order]] = weight[order]
-        np.cumsum(low, axis=0, out=low)
         # A split lies after the last row of a value that is not the node's last.
-        ends = np.flatnonzero((node[1:] == node[:-1]) & (value[1:] != value[:-1]))
+        ends = np.flatnonzero((value[1:] != value[:-1]) & ~last[:-1])
+        if not len(ends):
+            continue
+        pairs = pair[order]
+        w = np.ascontiguousarray(pairs.real)
+        # The weight of a row's own class that lies before it in its node.
+        by = np.argsort(short[order], kind="stable")
+        before = w[by]
+        before = np.cumsum(before) - before
+        before -= np.repeat(before[first_alike], alike)
+        earlier = np.empty(n)
+        earlier[by] = before
+        # Squares of the classes' weights below and above a split, without a column for each class.
+        squares, squares_0 = from_start(w * (2.0 * earlier + w))
+        pairs, pairs_0 = from_start(pairs)
         at = node[ends]
-        low = low[ends + 1] - low[starts[at]]
-        high = votes[at] - low
-        below, above = np.maximum(low.sum(axis=1), 1e-12), np.maximum(high.sum(axis=1), 1e-12)
-        gain = ((low * low).sum(axis=1) / below + (high * high).sum(axis=1) / above - held[at] / total[at]) / total[at]
-        gain = np.round(gain, 9)
-        most = np.zeros(count)
-        np.maximum.at(most, at, gain)
-        first, place = np.unique(at[gain == most[at]], return_index=True)
-        place = np.flatnonzero(gain == most[at])[place]
-        better = most[first] > best[first]
-        first, place = first[better], place[better]
-        best[first], feature[first], code[first] = most[first], column[first], value[ends[place]]
+        low = squares[ends] - squares_0[at]
+        pairs = pairs[ends] - pairs_0[at]
+        below = pairs.real
+        high = held[at] - 2.0 * pairs.imag + low
+        above = np.maximum(total[at] - below, 1e-12)
+        share = low / np.maximum(below, 1e-12) + high / above
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        # Only what is within a rounding of a node's most is rounded.
+        most, held_by = np.maximum.reduceat(share, first), at[first]
+        near = np.flatnonzero(share >= np.repeat(most - 2e-9 * total[held_by], np.diff(np.append(first, len(at)))))
+        gain = lambda share, i: np.round((share - impure[i]) / total[i], 9)
+        most = gain(most, held_by)
+        place = near[gain(share[near], at[near]) == np.repeat(most, np.bincount(np.searchsorted(held_by, at[near]), minlength=len(most)))]
+        place = place[np.append(True, at[place[1:]] != at[place[:-1]])]
+        better = most > best[held_by]
+        place = place[better]
+        found = at[place]
+        best[found], feature[found], code[found] = most[better], column[found], value[ends[place]]
     return best, feature, code
 
 
@@ -173,13 +279,14 @@ def grow(
         feature, code = np.full(count, -1), np.zeros(count, np.int64)
         left, right = np.full(count, -1), np.full(count, -1)
         open_ = np.flatnonzero((depth > 0) & ((votes > 0).sum(axis=1) > 1))
+        open_ = open_[np.lexsort((votes[open_].sum(axis=1), _is_large(held[open_], classes)))]
         place = np.full(count, -1)
         place[open_] = np.arange(len(open_))
         stays = place[node] >= 0
         rows, node = rows[stays], place[node[stays]]
-        order = np.argsort(node, kind="stable")
+        order = _sorted_by(node, len(open_))
         rows, node = rows[order], node[order]
-        gain, of_feature, of_code = _splits(codes[rows], node, label[rows], weight[rows], votes[open_], _chosen(key[open_], codes.shape[1], tried))
+        gain, of_feature, of_code = _splits(codes.take(rows, axis=0), node, label[rows], weight[rows], votes[open_], _chosen(key[open_], codes.shape[1], tried))
         split = np.flatnonzero(gain > 0)
         chosen = open_[split]
         feature[chosen], code[chosen] = of_feature[split], of_code[split]
@@ -204,48 +311,71 @@ def _draws(key: np.ndarray, tree: int) -> np.ndarray:
     return np.searchsorted(upto, unit(key, tree), "right")
 
 
+def _codes(batch: pa.RecordBatch, edges: list[np.ndarray]) -> np.ndarray:
+    """The features of a batch as places among the edges: a byte each, or two where a feature has more than 255 edges."""
+    x, kind = _matrix(batch), np.uint8 if max(map(len, edges)) < 256 else np.uint16
+    return np.stack([np.searchsorted(e, x[:, i], "left").astype(kind) for i, e in enumerate(edges)], axis=1)
+
+
 def _coded(edges: list[np.ndarray], open_leaves: list[tuple[np.ndarray, np.ndarray]], bagged: bool):
-    """Rows (features, leaf, label, weight, key) once for each tree whose bag has them and whose leaf is still open."""
+    """Rows (features, leaf, label, weight, key) once for each tree whose bag has them and whose leaf is still open.
+
+    A leaf of the library has a number and, if it is open, a shelf (-1: none). Rows of a batch that go to one shelf are
+    one record of GROUPED, so that what Spark sorts and sends are few records and not one for each row and tree.
+    """
+    names = [c.split()[0] for c in GROUPED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            x = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
             leaf = batch.column("leaf").flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(np.int64)
-            codes = np.stack([np.searchsorted(e, x[:, i], "left") for i, e in enumerate(edges)], axis=1).astype(np.uint8)
-            packed = pa.Array.from_buffers(pa.binary(x.shape[1]), n, [None, pa.py_buffer(np.ascontiguousarray(codes))]).cast(pa.binary())
+            codes = _codes(batch, edges)
             label, weight = batch.column("label").to_numpy().astype(np.int32), batch.column("weight").to_numpy()
             key = batch.column("key").to_numpy()
-            for tree, (node_of, is_open) in enumerate(open_leaves):
+            for tree, (node_of, shelf_of) in enumerate(open_leaves):
                 times = _draws(key, tree) if bagged else np.ones(n, np.int64)
-                rows = np.flatnonzero((times > 0) & is_open[leaf[:, tree]])
-                if len(rows):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(rows), tree, np.int32)),
-                            pa.array(node_of[leaf[rows, tree]]),
-                            packed.take(pa.array(rows)),
-                            pa.array(label[rows]),
-                            pa.array(weight[rows] * times[rows]),
-                        ],
-                        names=["tree", "leaf", "codes", "label", "weight"],
-                    )
+                shelf = shelf_of[leaf[:, tree]]
+                rows = np.flatnonzero((times > 0) & (shelf >= 0))
+                if not len(rows):
+                    continue
+                rows = rows[np.argsort(shelf[rows], kind="stable")]
+                shelves, first = np.unique(shelf[rows], return_index=True)
+                columns = (node_of[leaf[rows, tree]], codes[rows], label[rows], weight[rows] * times[rows], key[rows])
+                packed = [[np.ascontiguousarray(x).tobytes() for x in np.split(c, first[1:])] for c in columns]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(shelves), tree, np.int32)), pa.array(shelves.astype(np.int32)), *(pa.array(x, pa.binary()) for x in packed)],
+                    names=names,
+                )
 
     return run
 
 
+def _shelved(rows: list[int], most: int) -> np.ndarray:
+    """A shelf for each of a tree's open leaves, from their rows: shelves of much the same rows, about `most` each."""
+    shelves = max(1, int(np.ceil(sum(rows) / most)))
+    held, shelf = np.zeros(shelves), np.zeros(len(rows), np.int64)
+    for i in np.argsort(rows, kind="stable")[::-1]:
+        shelf[i] = held.argmin()
+        held[shelf[i]] += rows[i]
+    return shelf
+
+
+def _bytes_of(table: pa.Table, column: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
+
+
 def _subtrees(edges: list[np.ndarray], classes: int, depth: dict[tuple[int, int], int], tried: int, seed: int):
     flat = np.concatenate(edges)
     first = np.cumsum([0, *map(len, edges)])
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         tree = key[0].as_py()
-        codes = np.frombuffer(b"".join(table.column("codes").to_pylist()), np.uint8).reshape(table.num_rows, -1)
-        label, weight, leaf = (table.column(c).to_numpy() for c in ("label", "weight", "leaf"))
-        # The same order whatever order the rows came in.
-        order = np.lexsort((weight, label, *codes.T, leaf))
+        leaf, key_of, label = _bytes_of(table, "leaf", np.int64), _bytes_of(table, "key", np.int64), _bytes_of(table, "label", np.int32)
+        codes, weight = _bytes_of(table, "codes", np.uint8).reshape(len(leaf), -1), _bytes_of(table, "weight", np.float64)
+        # The same order whatever order the rows came in: the key follows from features and label.
+        order = np.lexsort((weight, key_of, leaf))
         roots, root = np.unique(leaf[order], return_inverse=True)
         levels = np.array([depth[tree, i] for i in roots.tolist()])
         keys = (unit(roots, seed + tree) * 2.0**53).astype(np.int64)
@@ -309,7 +439,7 @@ def fit_deep(rows: DataFrame, classifier, depth: int, tried: int | None = None,
         return nodes
     # The upper levels fit on the driver, as the model itself does: at most 2^levels nodes a tree.
     upper = nodes.select("tree", "node", "feature", "left", "right", "votes", "rows").orderBy("tree", "node").collect()
-    leaves, left_over = [], {}
+    leaves, left_over, groups = [], {}, 0
     for tree in range(max(r["tree"] for r in upper) + 1):
         own = {r["node"]: r for r in upper if r["tree"] == tree}
         levels, stack = {0: 0}, [0]
@@ -321,7 +451,12 @@ def fit_deep(rows: DataFrame, classifier, depth: int, tried: int | None = None,
                     stack.append(child)
         ends = [i for i in sorted(own) if own[i]["feature"] < 0]
         left_over |= {(tree, i): depth - levels[i] for i in ends}
-        leaves.append((np.array(ends, np.int64), np.array([sum(v > 0 for v in own[i]["votes"]) > 1 for i in ends])))
+        is_open = np.array([sum(v > 0 for v in own[i]["votes"]) > 1 for i in ends])
+        # A tree's leaves share tasks of about TASK_ROWS / 4 rows, which grow them side by side.
+        shelf = np.full(len(ends), -1)
+        shelf[is_open] = _shelved([own[i]["rows"] for i, x in zip(ends, is_open) if x], max(1, row_limit // 4))
+        groups += int(shelf.max()) + 1
+        leaves.append((np.array(ends, np.int64), shelf))
     size, classes = model.numFeatures, model.numClasses
     plain = rows.select(vector_to_array("features").alias("array"), "features", "label", "weight")
     model.setLeafCol("leaf")
@@ -337,14 +472,16 @@ def fit_deep(rows: DataFrame, classifier, depth: int, tried: int | None = None,
     edges = feature_edges(placed, size)
     tried = tried or (size if len(leaves) == 1 else int(np.ceil(np.sqrt(size))))
     seed = classifier.getSeed() & 0x7FFFFFFF
-    grouped = placed.mapInArrow(_coded(edges, leaves, bagged), GROUPED)
-    # A tree's leaves share tasks of about TASK_ROWS / 4 rows, which grow them side by side.
-    shelves = int(np.ceil(4 * max(r["rows"] for r in upper) / row_limit))
-    shelf = F.pmod(F.xxhash64("leaf"), F.lit(shelves)).alias("shelf")
-    grown = grouped.groupBy("tree", shelf).applyInArrow(_subtrees(edges, classes, left_over, tried, seed), NODES)
-    grown = staged(grown)
-    replaced = grown.where("node < 4294967296").select("tree", "node")
-    return staged(nodes.join(replaced, ["tree", "node"], "left_anti").unionByName(grown))
+    grouped = _spread(placed.mapInArrow(_coded(edges, leaves, bagged), GROUPED), groups, "tree", "shelf")
+    grown = staged(grouped.groupBy("tree", "shelf").applyInArrow(_subtrees(edges, classes, left_over, tried, seed), NODES))
+    replaced = grown.where(F.col("node") < LOW_NODES).select("tree", "node")
+    return staged(nodes.join(replaced, ["tree", "node"], "left_anti")).unionByName(grown)
+
+
+def _spread(df: DataFrame, groups: int, *key: str) -> DataFrame:
+    """df in partitions by the key, so many that few of the cores' partitions hold several groups more than others."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(2 * groups, 16 * cores)), *key)
 
 
 def with_prediction(df: DataFrame, forest: NodeArrays, features: str = "features", output: str = "prediction") -> DataFrame:
@@ -362,77 +499,145 @@ def with_prediction(df: DataFrame, forest: NodeArrays, features: str = "features
     return df.withColumn(output, predict(vector_to_array(features)))
 
 
-def _upper_votes(upper: NodeArrays, number: np.ndarray, is_open: np.ndarray):
-    """Votes (row, class, share) of the trees in whose upper levels a row (row, features) ends, summed for each row."""
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+
+
+def _coded_rows(edges: list[np.ndarray]):
+    """Rows (row, features), a record a batch: its first row, and all rows' numbers and codes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = _matrix(batch)
-                found, total = upper.leaves(x), np.zeros((len(x), upper.votes.shape[1]))
-                for tree in range(found.shape[1]):
-                    ended = ~is_open[found[:, tree]]
-                    total[ended] += upper.votes[found[ended, tree]]
-                yield _shares(batch.column("row").to_numpy(), total)
+                row, codes = batch.column("row").to_numpy(), _codes(batch, edges).astype(np.uint16)
+                columns = [pa.array(row[:1]), *(pa.array([x.tobytes()], pa.binary()) for x in (row, codes))]
+                yield pa.RecordBatch.from_arrays(columns, names=["first", "ids", "step"])
 
     return run
 
 
-def _below(upper: NodeArrays, number: np.ndarray, is_open: np.ndarray, edges: list[np.ndarray]):
-    """Rows (row, features) once for each tree in which they go on below the upper levels: tree, root, row and codes."""
+def _packed(edges: list[np.ndarray], classes: int):
+    """The nodes of one shelf of a tree as PART: roots come first, the two children of a node lie side by side.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _matrix(batch)
-            codes = np.stack([np.searchsorted(e, x[:, i], "left") for i, e in enumerate(edges)], axis=1).astype(np.uint8)
-            packed = pa.Array.from_buffers(pa.binary(x.shape[1]), len(x), [None, pa.py_buffer(np.ascontiguousarray(codes))]).cast(pa.binary())
-            row, found = batch.column("row").to_numpy(), upper.leaves(x)
-            for tree in range(found.shape[1]):
-                at = np.flatnonzero(is_open[found[:, tree]])
-                if len(at):
-                    columns = [np.full(len(at), tree, np.int32), number[found[at, tree]], row[at]]
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), packed.take(pa.array(at))], names=["tree", "root", "row", "codes"])
+    A step is a node's left child, code and feature in one number; rows whose code is no larger go left, the others to the
+    place after it. A leaf's step is to itself. `leaf` is its class if it has one, or a place among `shares` after that.
+    """
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by("node")
+        node, feature, threshold = (table.column(c).to_numpy() for c in ("node", "feature", "threshold"))
+        inner = np.flatnonzero(feature >= 0)
+        left, right = (np.searchsorted(node, table.column(c).to_numpy()[inner]) for c in ("left", "right"))
+        is_root = np.ones(len(node), bool)
+        is_root[left] = is_root[right] = False
+        roots = np.flatnonzero(is_root)
+        place, pairs = np.empty(len(node), np.int64), len(roots) + 2 * np.arange(len(inner))
+        place[roots], place[left], place[right] = np.arange(len(roots)), pairs, pairs + 1
+        code = np.zeros(len(node), np.int64)
+        for i, e in enumerate(edges):
+            at = inner[feature[inner] == i]
+            code[at] = np.searchsorted(e, threshold[at])
+        step, leaf = (place << 32) | (NO_CODE << 16), np.zeros(len(node), np.int32)
+        step[inner] = (pairs << 32) | (code[inner] << 16) | feature[inner]
+        votes = table.column("votes").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        mixed = np.flatnonzero((feature < 0) & ((votes > 0).sum(axis=1) != 1))
+        leaf[:] = votes.argmax(axis=1)
+        leaf[mixed] = classes + np.arange(len(mixed))
+        shares = votes[mixed] / np.maximum(votes[mixed].sum(axis=1, keepdims=True), 1e-300)
+        order = np.empty(len(node), np.int64)
+        order[place] = np.arange(len(node))
+        # The upper levels tell the number of every node, others of their roots.
+        ids = node[order] if key[1].as_py() < 0 else node[roots]
+        blobs = [x.tobytes() for x in (ids, step[order], leaf[order], shares)]
+        return pa.table({"tree": pa.array([key[0].as_py()], pa.int32()), "shelf": pa.array([key[1].as_py()], pa.int32())} | {
+            name: pa.array([x], pa.binary()) for name, x in zip(("ids", "step", "leaf", "shares"), blobs)
+        })
 
     return run
 
 
-def _matrix(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+def _whole_tree(parts: list[dict], classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(step, leaf, shares) of a tree from its PARTs; its root is at 0. A leaf of the upper levels that is the root of a
+    subtree steps to it."""
+    parts = sorted(parts, key=lambda p: p["shelf"])
+    steps, leaves, shares, ids, places, first, mixed = [], [], [np.eye(classes)], [], [], 0, classes
+    for part in parts:
+        step, leaf = np.frombuffer(part["step"], np.int64), np.frombuffer(part["leaf"], np.int32)
+        own = np.frombuffer(part["shares"]).reshape(-1, classes)
+        steps.append(step + (first << 32))
+        leaves.append(np.where(leaf >= classes, leaf + (mixed - classes), leaf))
+        shares.append(own)
+        if part["shelf"] >= 0:
+            ids.append(np.frombuffer(part["ids"], np.int64))
+            places.append(first + np.arange(len(ids[-1])))
+        first, mixed = first + len(step), mixed + len(own)
+    step = np.concatenate(steps)
+    if ids:
+        roots, place = np.concatenate(ids), np.concatenate(places)
+        upper = np.frombuffer(parts[0]["ids"], np.int64)
+        order = np.argsort(roots)
+        found = np.minimum(np.searchsorted(roots, upper, sorter=order), len(roots) - 1)
+        goes_on = roots[order[found]] == upper
+        step[: len(upper)][goes_on] = (place[order[found[goes_on]]] << 32) | (NO_CODE << 16)
+    return step, np.concatenate(leaves), np.concatenate(shares)
+
+
+def _ends(step: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Where the rows (codes) end that walk down a tree; rows that have ended are left out once they are half of those going."""
+    flat, row, at = codes.reshape(-1), np.arange(len(codes)) * codes.shape[1], np.zeros(len(codes), np.int64)
+    ends, going = at.copy(), np.arange(len(codes))
+    while len(going):
+        here = step.take(at)
+        value = flat.take(row + (here & 0xFFFF))
+        here >>= 16
+        goes_right = value > here.astype(np.uint16)
+        here >>= 16
+        here += goes_right
+        moved = here != at
+        at = here
+        if np.count_nonzero(moved) <= len(going) // 2:
+            ends[going] = at
+            going, row, at = going[moved], row[moved], at[moved]
+    return ends
+
+
+def _votes(classes: int, groups: int):
+    """Votes of a group of trees for the rows of a block: a record for each SLICE of its rows, in the order of their numbers."""
 
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        tree = table.column("tree").to_numpy()
+        rows = table.filter(pa.array(tree < 0))
+        ids = _bytes_of(rows, "ids", np.int64)
+        order = np.argsort(ids)
+        ids, codes = ids[order], _bytes_of(rows, "step", np.uint16).reshape(len(ids), -1)[order] if len(ids) else ids
+        total = np.zeros((len(ids), classes))
+        starts = range(0, len(ids), SLICE)
+        for i in np.unique(tree[tree >= 0]) if len(ids) else ():
+            step, leaf, shares = _whole_tree(table.filter(pa.array(tree == i)).to_pylist(), classes)
+            for a in range(0, len(ids), WALK):
+                total[a : a + WALK] += shares[leaf[_ends(step, codes[a : a + WALK])]]
+        n, (block, group) = len(starts), divmod(key[0].as_py(), groups)
+        return pa.table(
+            {
+                "block": pa.array(np.full(n, block, np.int32)),
+                "slice": pa.array(np.arange(n, dtype=np.int32)),
+                "group": pa.array(np.full(n, group, np.int32)),
+                "ids": pa.array([ids[a : a + SLICE].tobytes() for a in starts], pa.binary()),
+                "votes": pa.array([total[a : a + SLICE].tobytes() for a in starts], pa.binary()),
+            }
+        )
 
-def _shares(row: np.ndarray, votes: np.ndarray) -> pa.RecordBatch:
-    at, of_class = np.nonzero(votes)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(row[at]), pa.array(of_class.astype(np.int32)), pa.array(votes[at, of_class])], names=["row", "class", "share"]
-    )
+    return run
 
 
-def _subtree_votes(edges: list[np.ndarray]):
-    """Votes of the subtrees of one shelf of a tree for the rows that come to their roots."""
+def _elected(classes: int):
+    """Row and class number of most votes from all groups of trees, for one slice of rows."""
 
-    def run(rows: pa.Table, nodes: pa.Table) -> pa.Table:
-        if not rows.num_rows or not nodes.num_rows:
-            return pa.Table.from_batches([_shares(np.zeros(0, np.int64), np.zeros((0, 1)))])
-        nodes = nodes.sort_by("node")
-        node, feature = nodes.column("node").to_numpy(), nodes.column("feature").to_numpy()
-        inner = feature >= 0
-        threshold = nodes.column("threshold").to_numpy()
-        code = np.zeros(len(node), np.int64)
-        for i, e in enumerate(edges):
-            code[feature == i] = np.searchsorted(e, threshold[feature == i])
-        left, right = (np.searchsorted(node, np.where(inner, nodes.column(c).to_numpy(), node)) for c in ("left", "right"))
-        votes = nodes.column("votes").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
-        votes = votes / np.maximum(votes.sum(axis=1, keepdims=True), 1e-300)
-        codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.uint8).reshape(rows.num_rows, -1)
-        at = np.searchsorted(node, rows.column("root").to_numpy())
-        going = np.flatnonzero(inner[at])
-        while len(going):
-            here = at[going]
-            at[going] = np.where(codes[going, feature[here]] <= code[here], left[here], right[here])
-            going = going[inner[at[going]]]
-        return pa.Table.from_batches([_shares(rows.column("row").to_numpy(), votes[at])])
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by("group")
+        row = np.frombuffer(table.column("ids")[0].as_py(), np.int64)
+        total = _bytes_of(table, "votes", np.float64).reshape(table.num_rows, len(row), classes).sum(axis=0)
+        return pa.table({"row": pa.array(row), "class": pa.array(np.round(total, 9).argmax(axis=1).astype(float))})
 
     return run
 
@@ -440,34 +645,43 @@ def _subtree_votes(edges: list[np.ndarray]):
 def with_deep_prediction(df: DataFrame, nodes: DataFrame, features: str = "features", output: str = "prediction") -> DataFrame:
     """df with the class number that a forest of `fit_deep` gives its feature vector; no process holds the forest.
 
-    Every task has the upper levels, which fit on the driver. A row goes on to the task of a subtree with a byte a feature,
-    once for each tree in which it does not end above, and meets the subtree's nodes there. Votes are summed by row; of
-    equal sums (to nine digits) the first class wins.
+    Nodes are packed in shelves (PART), and rows in batches of codes. A block of rows and a group of trees meet in a task,
+    which holds one tree at a time as arrays: a row goes to a task once for each group and not for each tree, and a
+    task's votes are summed before they leave it. Of equal sums (to nine digits) the first class wins.
     """
-    ship(df.sparkSession)
-    below = F.col("left") >= LOW_NODES
-    top = nodes.where(F.col("node") < LOW_NODES).select(
-        "tree", "node", F.when(below, -1).otherwise(F.col("feature")).alias("feature"), "threshold", "left", "right", "votes", below.alias("open")
-    )
-    upper = node_arrays(top)
-    ends = top.orderBy("tree", "node").select("node", "open").toArrow()
-    number, is_open = ends.column("node").to_numpy(), ends.column("open").to_numpy()
-    root = F.when(F.col("node") < LOW_NODES, F.col("node")).otherwise(F.shiftright("node", 32) - 1)
-    deep = nodes.where((F.col("node") >= LOW_NODES) | below).withColumn("root", root)
+    spark = df.sparkSession
+    ship(spark)
     kept = staged(df.withColumn("_row", F.monotonically_increasing_id()))
     rows = kept.select(F.col("_row").alias("row"), vector_to_array(features).alias("features"))
-    votes = "row bigint, class int, share double"
-    found = rows.mapInArrow(_upper_votes(upper, number, is_open), votes)
-    values = deep.where("feature >= 0").groupBy("feature").agg(F.sort_array(F.collect_set("threshold")).alias("v")).collect()
-    if values:
-        # Thresholds below the upper levels are edges of the codes: EDGES a feature at most.
-        of = {r["feature"]: np.array(r["v"], float) for r in values}
-        edges = [of.get(i, np.zeros(0)) for i in range(len(rows.first()["features"]) if not rows.isEmpty() else max(of) + 1)]
-        shelves = int(np.ceil(4 * kept.count() / TASK_ROWS)) or 1
-        shelf = F.pmod(F.xxhash64("root"), F.lit(shelves)).alias("shelf")
-        sent = rows.mapInArrow(_below(upper, number, is_open, edges), "tree int, root bigint, row bigint, codes binary")
-        met = sent.groupBy("tree", shelf).cogroup(deep.groupBy("tree", shelf))
-        found = found.unionByName(met.applyInArrow(_subtree_votes(edges), votes))
-    summed = found.groupBy("row", "class").agg(F.round(F.sum("share"), 9).alias("share"))
-    best = summed.groupBy("row").agg(F.max(F.struct("share", (-F.col("class")).alias("minus"))).alias("b"))
-    return kept.join(best.select(F.col("row").alias("_row"), (-F.col("b.minus")).cast("double").alias(output)), "_row", "left").drop("_row")
+    # The edges of the codes are the forest's thresholds, which come from few edges a feature.
+    of: dict[int, list[float]] = {}
+    for r in nodes.where("feature >= 0").select("feature", "threshold").distinct().collect():
+        of.setdefault(r["feature"], []).append(r["threshold"])
+    edges = [np.sort(np.array(of.get(i, []), float)) for i in range(max(of, default=0) + 1)]
+    if max(map(len, edges)) >= NO_CODE or len(edges) > NO_CODE:
+        raise ValueError(f"{NO_CODE} or more thresholds of a feature")
+    size = nodes.agg(F.count(F.lit(1)).alias("nodes"), F.countDistinct("tree").alias("trees"), F.max(F.size("votes")).alias("classes")).first()
+    classes, trees = size["classes"], size["trees"]
+    below = F.col("left") >= LOW_NODES
+    columns = ["tree", "shelf", "node", "feature", "threshold", "left", "right", "votes"]
+    top = nodes.where(F.col("node") < LOW_NODES).withColumns({"feature": F.when(below, -1).otherwise(F.col("feature")), "shelf": F.lit(-1).cast("bigint")})
+    root = F.when(F.col("node") < LOW_NODES, F.col("node")).otherwise(F.shiftright("node", 32) - 1)
+    shelves = int(np.ceil(size["nodes"] / trees / SHELF_NODES))
+    deep = nodes.where((F.col("node") >= LOW_NODES) | below).withColumn("shelf", F.pmod(F.xxhash64(root), F.lit(shelves)))
+    shelved = _spread(top.select(*columns).unionByName(deep.select(*columns)), trees * (shelves + 1), "tree", "shelf")
+    parts = shelved.groupBy("tree", "shelf").applyInArrow(_packed(edges, classes), PART)
+    # Blocks bound the rows of a task; groups of trees give all cores tasks.
+    blocks = int(np.ceil(kept.count() * max(1.0, classes / 8) / TASK_ROWS)) or 1
+    groups = min(trees, max(int(np.ceil(size["nodes"] / MOST_NODES)), int(np.ceil(4 * spark.sparkContext.defaultParallelism / blocks))))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    none = F.lit(None).cast("binary")
+    batches = rows.mapInArrow(_coded_rows(edges), "first bigint, ids binary, step binary").select(
+        F.pmod(F.xxhash64("first"), F.lit(blocks)).cast("int").alias("block"), each(groups).alias("group"),
+        F.lit(-1).alias("tree"), F.lit(-1).alias("shelf"), "ids", "step", none.alias("leaf"), none.alias("shares"),
+    )
+    grouped = parts.select(each(blocks).alias("block"), F.pmod(F.col("tree"), F.lit(groups)).alias("group"), "*")
+    met = batches.unionByName(grouped).select((F.col("block") * groups + F.col("group")).alias("task"), "*").drop("block", "group")
+    met = met.repartitionById(blocks * groups, F.col("task")).groupBy("task")
+    votes = met.applyInArrow(_votes(classes, groups), "block int, slice int, group int, ids binary, votes binary")
+    best = votes.groupBy("block", "slice").applyInArrow(_elected(classes), "row bigint, class double")
+    return kept.join(best.select(F.col("row").alias("_row"), F.col("class").alias(output)), "_row", "left").drop("_row")

@@ -237,7 +237,9 @@ def compare(frame: DataFrame, labels: list[str], candidates: list[tuple]) -> Dat
 def confusion(model: PipelineModel, frame: DataFrame, labels: list[str]) -> DataFrame:
     """Counts per split, label and prediction."""
     names = F.array(*[F.lit(x) for x in labels])
-    scored = model.transform(frame)
+    # A model that stores the rows it scores is spared the columns that neither it nor the counts read.
+    read = {"split", LABEL, "features", "percentiles", "hour_of_day", *NUMERIC, *CALENDAR}
+    scored = model.transform(frame.select(*[c for c in frame.columns if c in read]))
     return scored.groupBy("split", F.col(LABEL).alias("label"), F.get(names, F.col("prediction").cast("int")).alias(
         "prediction"
     )).agg(F.count(F.lit(1)).alias("n"))
@@ -337,7 +339,8 @@ class FlatForest:
         return forests.node_arrays(self.nodes)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return forests.with_deep_prediction(self.stages.transform(df), self.nodes)
+        ready = self.stages.transform(df).select(*df.columns, "features")
+        return forests.with_deep_prediction(ready, self.nodes)
 
 
 def train_deep(frame: DataFrame, depth: int = FULL_DEPTH, trees: int = TREES) -> FlatForest:

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
@@ -170,3 +171,79 @@ def test_a_deep_forest_scores_without_being_held(spark, data, monkeypatch):
     assert predictions(df, forests.node_arrays(shallow)) == {
         tuple(r["features"].toArray()): r["prediction"] for r in forests.with_deep_prediction(df, shallow).collect()
     }
+
+
+def test_counted_rows_split_like_sorted_ones():
+    rng = np.random.default_rng(8)
+    for classes in (2, 5):
+        node = np.sort(rng.integers(0, 6, 3000))
+        codes, label = rng.integers(0, 256, (3000, 4)).astype(np.uint8), rng.integers(0, classes, 3000)
+        codes[:, 3] = 7  # a feature of one value splits nothing
+        weight = rng.integers(1, 5, 3000).astype(float)
+        votes = np.bincount(node * classes + label, weight, 6 * classes).reshape(6, classes)
+        chosen = np.sort(np.argsort(rng.random((6, 4)), axis=1)[:, :3], axis=1)
+        counted, ordered = (f(codes, node, label, weight, votes, chosen) for f in (forests._dense_splits, forests._sparse_splits))
+        assert (counted[0] > 0).all()
+        for a, b in zip(counted, ordered):
+            assert a.tolist() == b.tolist()
+        # Nodes of both kinds in any order.
+        small = np.isin(node, [1, 4]) & (rng.random(3000) < 0.9)
+        few = [x[~small] for x in (codes, node, label, weight)]
+        held = np.bincount(few[1] * classes + few[2], few[3], 6 * classes).reshape(6, classes)
+        assert len(set(forests._is_large(np.bincount(few[1]), classes))) == 2
+        for a, b in zip(forests._splits(*few, held, chosen), forests._sparse_splits(*few, held, chosen)):
+            assert a.tolist() == b.tolist()
+
+
+def test_rows_of_a_shelf_travel_as_one_record():
+    """Growth sends a record for each batch, tree and shelf, not one for each row and tree; no row is lost or repeated."""
+    rng = np.random.default_rng(4)
+    n, trees = 400, 6
+    x, leaf, label = rng.normal(size=(n, 3)), rng.integers(0, 5, (n, trees)), rng.integers(0, 3, n)
+    batch = pa.RecordBatch.from_pydict(
+        {"features": x.tolist(), "leaf": leaf.tolist(), "label": label.astype(float), "weight": rng.random(n), "key": rng.integers(0, 1 << 60, n)}
+    )
+    edges = [np.sort(rng.normal(size=20)) for _ in range(3)]
+    numbers, shelf = np.array([3, 8, 9, 12, 15]), np.array([0, -1, 1, 1, 0])
+    sent = pa.Table.from_batches(forests._coded(edges, [(numbers, shelf)] * trees, False)(iter([batch])))
+    assert sent.num_rows == 2 * trees
+    for r in sent.to_pylist():
+        rows = np.flatnonzero(shelf[leaf[:, r["tree"]]] == r["shelf"])
+        key = np.frombuffer(r["key"], np.int64)
+        order = np.argsort(key)
+        rows = rows[np.argsort(batch.column("key").to_numpy()[rows])]
+        assert key[order].tolist() == batch.column("key").to_numpy()[rows].tolist()
+        assert np.frombuffer(r["leaf"], np.int64)[order].tolist() == numbers[leaf[rows, r["tree"]]].tolist()
+        assert np.frombuffer(r["label"], np.int32)[order].tolist() == label[rows].tolist()
+        codes = np.stack([np.searchsorted(e, x[rows, i]) for i, e in enumerate(edges)], axis=1)
+        assert np.frombuffer(r["codes"], np.uint8).reshape(-1, 3)[order].tolist() == codes.tolist()
+    packed = pa.Table.from_batches(forests._coded_rows(edges)(iter([batch.append_column("row", pa.array(np.arange(n)))])))
+    assert packed.num_rows == 1 and len(packed.column("ids")[0].as_py()) == 8 * n
+
+
+def test_blocks_of_rows_and_groups_of_trees_elect_what_the_whole_forest_does(spark, data, monkeypatch):
+    x, _, df = data
+    nodes = forests.fit_deep(df, RandomForestClassifier(numTrees=7, maxDepth=3, seed=5, weightCol="weight"), 30)
+    scores = forests.node_arrays(nodes).scores(x)
+    monkeypatch.setattr(forests, "TASK_ROWS", 250)  # blocks
+    monkeypatch.setattr(forests, "SHELF_NODES", 40)  # shelves of a tree's nodes
+    twice = df.unionByName(df)  # equal rows are rows of their own
+    got = forests.with_deep_prediction(twice, nodes).select("features", "prediction").collect()
+    assert len(got) == 2 * len(x)
+    want = {tuple(v): np.flatnonzero(np.round(s, 9) == np.round(s, 9).max())[0] for v, s in zip(x.tolist(), scores)}
+    differ = [r for r in got if r["prediction"] != want[tuple(r["features"].toArray())]]
+    assert not differ
+    none = forests.with_deep_prediction(df.limit(0), nodes)
+    assert none.count() == 0
+    alone = forests.fit_deep(df, DecisionTreeClassifier(maxDepth=3, seed=1, weightCol="weight"), 30, bagged=False)
+    assert predictions(df, forests.node_arrays(alone)) == {
+        tuple(r["features"].toArray()): r["prediction"] for r in forests.with_deep_prediction(df, alone).collect()
+    }
+
+
+def test_leaves_fill_shelves_evenly():
+    rows = [900, 10, 500, 400, 0, 300, 299, 1]
+    shelf = forests._shelved(rows, 800)
+    held = np.bincount(shelf, rows)
+    assert len(held) == 4 and held.max() == 900 and held.min() > 400
+    assert forests._shelved([], 10).tolist() == []
