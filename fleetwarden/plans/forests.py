@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +23,8 @@ from fleetwarden.session import new_folder, ship, staged
 
 #: Rows of a leaf that one task may finish (about 50 bytes each); beyond, whole-table passes grow further levels first.
 TASK_ROWS = 1_000_000
-#: Levels that such a round adds, and edges between the codes of a feature.
-MORE_LEVELS, EDGES = 4, 255
+#: Edges between the codes of a feature, and bytes of counts that a task of such a pass holds.
+EDGES, COUNTED_BYTES = 255, 1 << 26
 #: Rows for each class from which a node's rows are counted by code, not sorted.
 COUNTED_ROWS = 64
 #: Nodes that a scoring task holds (about 100 bytes each).
@@ -168,29 +169,34 @@ def _is_large(rows: np.ndarray, classes: int) -> np.ndarray:
 def _dense_splits(codes: np.ndarray, node: np.ndarray, label: np.ndarray, weight: np.ndarray, votes: np.ndarray, chosen: np.ndarray):
     """`_splits` by the weights of each node's codes and classes."""
     count, classes = votes.shape
-    total, held = votes.sum(axis=1)[:, None], (votes * votes).sum(axis=1)[:, None]
     best, feature, code = np.zeros(count), np.zeros(count, np.int64), np.zeros(count, np.int64)
-    size, every = np.bincount(node, minlength=count), np.arange(count)
+    size = np.bincount(node, minlength=count)
     flat, row = codes.reshape(-1), np.arange(len(node)) * codes.shape[1]
     cell = node * (256 * classes) + label
     for column in chosen.T:
         value = flat[row + np.repeat(column, size)]
         cells = np.bincount(cell + value * np.int64(classes), weight, count * 256 * classes).reshape(count, 256, classes)
-        filled = cells.any(axis=2)
-        # A split lies after a code that has rows and is not the node's last.
-        filled[every, 255 - filled[:, ::-1].argmax(axis=1)] = False
-        low = np.cumsum(cells, axis=1, out=cells)
-        below, squares = low.sum(axis=2), np.einsum("nvc,nvc->nv", low, low)
-        high = held - 2.0 * np.einsum("nvc,nc->nv", low, votes) + squares
-        gain = squares / np.maximum(below, 1e-12) + high / np.maximum(total - below, 1e-12) - held / total
-        gain = np.where(filled, np.round(gain / total, 9), -1.0)
-        first = gain.argmax(axis=1)
-        most = gain[every, first]
+        most, first = _cell_splits(cells, votes)
         better = most > best
         best[better], feature[better], code[better] = most[better], column[better], first[better]
     return best, feature, code
 
 
+def _cell_splits(cells: np.ndarray, votes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(gain, code) of the best split of every node by one feature, from the weights of its codes and classes."""
+    total, held = votes.sum(axis=1)[:, None], (votes * votes).sum(axis=1)[:, None]
+    every, filled = np.arange(len(votes)), cells.any(axis=2)
+    # A split lies after a code that has rows and is not the node's last.
+    filled[every, 255 - filled[:, ::-1].argmax(axis=1)] = False
+    low = np.cumsum(cells, axis=1)
+    below, squares = low.sum(axis=2), np.einsum("nvc,nvc->nv", low, low)
+    high = held - 2.0 * np.einsum("nvc,nc->nv", low, votes) + squares
+    gain = squares / np.maximum(below, 1e-12) + high / np.maximum(total - below, 1e-12) - held / total
+    gain = np.where(filled, np.round(gain / total, 9), -1.0)
+    first = gain.argmax(axis=1)
+    return gain[every, first], first
+
+
 def _sparse_splits(codes: np.ndarray, node: np.ndarray, label: np.ndarray, weight: np.ndarray, votes: np.ndarray, chosen: np.ndarray):
     """`_splits` by sorting each node's rows: sums run over the rows of all nodes, so nodes of little weight should come
     first, where large ones cannot blur them."""
@@ -299,11 +305,16 @@ def grow(
         goes = codes[rows, of_feature[node]] <= of_code[node]
         node = place[node] + ~goes
         depth, made = np.repeat(depth[chosen] - 1, 2), made + 2 * len(split)
-        key = (unit(np.repeat(key[chosen], 2), 1 << 20) * 2.0**53).astype(np.int64) * 2 + np.tile([0, 1], len(split))
+        key = _child_keys(key[chosen])
     names = ("feature", "code", "left", "right", "votes", "rows")
     return {name: np.concatenate(parts) for name, parts in zip(names, zip(*levels))}
 
 
+def _child_keys(key: np.ndarray) -> np.ndarray:
+    """The keys of the left and right children of nodes."""
+    return (unit(np.repeat(key, 2), 1 << 20) * 2.0**53).astype(np.int64) * 2 + np.tile([0, 1], len(key))
+
+
 def _draws(key: np.ndarray, tree: int) -> np.ndarray:
     """How often each row is in a tree's bag: Poisson numbers of mean 1 that follow from row and tree, so that a task that
     runs again draws the same."""
@@ -317,32 +328,134 @@ def _codes(batch: pa.RecordBatch, edges: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(e, x[:, i], "left").astype(kind) for i, e in enumerate(edges)], axis=1)
 
 
-def _coded(edges: list[np.ndarray], open_leaves: list[tuple[np.ndarray, np.ndarray]], bagged: bool):
+@dataclass
+class Open:
+    """Where a tree's rows go on below the library's levels.
+
+    `ends` are the numbers of the library's leaves, by their place; `splits` are those that passes have added since, each
+    (node, feature, code, left, right) and parents first; `goes` has a place for every node in `numbers` (in order) at which
+    rows are still needed.
+    """
+
+    ends: np.ndarray
+    splits: list[tuple[int, int, int, int, int]]
+    numbers: np.ndarray
+    goes: np.ndarray
+
+    def places(self, leaf: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the node, `goes`) of every row; -1 where it is needed no more."""
+        node = self.ends[leaf]
+        for split, feature, code, left, right in self.splits:
+            at = np.flatnonzero(node == split)
+            node[at] = np.where(codes[at, feature] <= code, left, right)
+        if not len(self.numbers):
+            return node, np.full(len(node), -1)
+        place = np.minimum(np.searchsorted(self.numbers, node), len(self.numbers) - 1)
+        return node, np.where(self.numbers[place] == node, self.goes[place], -1)
+
+
+def _drawn(batch: pa.RecordBatch, edges: list[np.ndarray], trees: dict[int, Open], bagged: bool):
+    """(tree, rows of the batch in its bag that are still needed, their nodes, where they go, weights), and codes, label, key."""
+    n = batch.num_rows
+    leaf = batch.column("leaf").flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(np.int64)
+    codes = _codes(batch, edges)
+    label, weight = batch.column("label").to_numpy().astype(np.int32), batch.column("weight").to_numpy()
+    key = batch.column("key").to_numpy()
+
+    def drawn():
+        for tree, open_ in trees.items():
+            times = _draws(key, tree) if bagged else np.ones(n, np.int64)
+            node, goes = open_.places(leaf[:, tree], codes)
+            rows = np.flatnonzero((times > 0) & (goes >= 0))
+            if len(rows):
+                yield tree, rows, node[rows], goes[rows], weight[rows] * times[rows]
+
+    return drawn(), codes, label, key
+
+
+def _counted(edges: list[np.ndarray], trees: dict[int, Open], chosen: dict[int, np.ndarray], classes: int, bagged: bool):
+    """Weights and rows of the large nodes of all trees by tried feature, code and class, a record for each node and task.
+
+    `goes` counts a tree's large nodes; `chosen` has the features that each tries.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], list[np.ndarray]] = {}
+
+        def records() -> pa.RecordBatch:
+            part = TaskContext.get().partitionId()
+            columns = [pa.array([k[0] for k in held], pa.int32()), pa.array([k[1] for k in held], pa.int64()), pa.array([part] * len(held), pa.int32())]
+            blobs = [pa.array([v[i].tobytes() for v in held.values()], pa.binary()) for i in (0, 1)]
+            return pa.RecordBatch.from_arrays(columns + blobs, names=["tree", "node", "part", "cells", "counts"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            drawn, codes, label, _ = _drawn(batch, edges, trees, bagged)
+            for tree, rows, node, goes, weight in drawn:
+                for place in np.unique(goes):
+                    at = np.flatnonzero(goes == place)
+                    features = chosen[tree][place]
+                    cells, counts = held.setdefault(
+                        (tree, int(node[at[0]])), [np.zeros((len(features), 256 * classes)), np.zeros((len(features), 256), np.int64)]
+                    )
+                    for i, feature in enumerate(features):
+                        value = codes[rows[at], feature].astype(np.int64)
+                        cells[i] += np.bincount(value * classes + label[rows[at]], weight[at], 256 * classes)
+                        counts[i] += np.bincount(value, minlength=256)
+            if sum(v[0].nbytes for v in held.values()) > COUNTED_BYTES:
+                yield records()
+                held.clear()
+        if held:
+            yield records()
+
+    return run
+
+
+def _summed(classes: int, chosen: dict[tuple[int, int], np.ndarray]):
+    """The best split of a large node from what its tasks counted, and votes and rows of its two children."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        tree, node = (k.as_py() for k in key)
+        table, features = table.sort_by("part"), chosen[tree, node]
+        cells = sum(np.frombuffer(c).reshape(len(features), 256, classes) for c in table.column("cells").to_pylist())
+        counts = sum(np.frombuffer(c, np.int64).reshape(len(features), 256) for c in table.column("counts").to_pylist())
+        votes = cells[0].sum(axis=0)
+        gain, code = _cell_splits(cells, np.repeat(votes[None, :], len(features), axis=0))
+        best = int(gain.argmax())
+        low, rows = cells[best][: code[best] + 1].sum(axis=0), int(counts[best][: code[best] + 1].sum())
+        found = {"tree": tree, "node": node, "gain": gain[best], "feature": int(features[best]), "code": int(code[best])}
+        found |= {"votes": votes.tolist(), "low": low.tolist(), "high": cells[best][code[best] + 1 :].sum(axis=0).tolist()}
+        found |= {"rows_low": rows, "rows": int(counts[best].sum())}
+        return pa.Table.from_pylist([found], schema=pa.schema(
+            [("tree", pa.int32()), ("node", pa.int64()), ("gain", pa.float64()), ("feature", pa.int32()), ("code", pa.int32()), ("rows", pa.int64()),
+             ("rows_low", pa.int64()), *((c, pa.list_(pa.float64())) for c in ("votes", "low", "high"))]
+        ))
+
+    return run
+
+
+SPLIT = "tree int, node bigint, gain double, feature int, code int, rows bigint, rows_low bigint, votes array<double>, low array<double>, high array<double>"
+
+
+def _coded(edges: list[np.ndarray], trees: dict[int, Open], bagged: bool):
     """Rows (features, leaf, label, weight, key) once for each tree whose bag has them and whose leaf is still open.
 
-    A leaf of the library has a number and, if it is open, a shelf (-1: none). Rows of a batch that go to one shelf are
-    one record of GROUPED, so that what Spark sorts and sends are few records and not one for each row and tree.
+    `goes` is the shelf of an open leaf. Rows of a batch that go to one shelf are one record of GROUPED, so that what Spark
+    sorts and sends are few records and not one for each row and tree.
     """
     names = [c.split()[0] for c in GROUPED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            if not n:
+            if not batch.num_rows:
                 continue
-            leaf = batch.column("leaf").flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(np.int64)
-            codes = _codes(batch, edges)
-            label, weight = batch.column("label").to_numpy().astype(np.int32), batch.column("weight").to_numpy()
-            key = batch.column("key").to_numpy()
-            for tree, (node_of, shelf_of) in enumerate(open_leaves):
-                times = _draws(key, tree) if bagged else np.ones(n, np.int64)
-                shelf = shelf_of[leaf[:, tree]]
-                rows = np.flatnonzero((times > 0) & (shelf >= 0))
-                if not len(rows):
-                    continue
-                rows = rows[np.argsort(shelf[rows], kind="stable")]
-                shelves, first = np.unique(shelf[rows], return_index=True)
-                columns = (node_of[leaf[rows, tree]], codes[rows], label[rows], weight[rows] * times[rows], key[rows])
+            drawn, codes, label, key = _drawn(batch, edges, trees, bagged)
+            for tree, rows, node, shelf, weight in drawn:
+                order = np.argsort(shelf, kind="stable")
+                rows, shelf = rows[order], shelf[order]
+                shelves, first = np.unique(shelf, return_index=True)
+                columns = (node[order], codes[rows], label[rows], weight[order], key[rows])
                 packed = [[np.ascontiguousarray(x).tobytes() for x in np.split(c, first[1:])] for c in columns]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(shelves), tree, np.int32)), pa.array(shelves.astype(np.int32)), *(pa.array(x, pa.binary()) for x in packed)],
@@ -366,7 +479,7 @@ def _bytes_of(table: pa.Table, column: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
 
 
-def _subtrees(edges: list[np.ndarray], classes: int, depth: dict[tuple[int, int], int], tried: int, seed: int):
+def _subtrees(edges: list[np.ndarray], classes: int, left_over: dict[tuple[int, int], tuple[int, int]], tried: int):
     flat = np.concatenate(edges)
     first = np.cumsum([0, *map(len, edges)])
 
@@ -377,8 +490,7 @@ def _subtrees(edges: list[np.ndarray], classes: int, depth: dict[tuple[int, int]
         # The same order whatever order the rows came in: the key follows from features and label.
         order = np.lexsort((weight, key_of, leaf))
         roots, root = np.unique(leaf[order], return_inverse=True)
-        levels = np.array([depth[tree, i] for i in roots.tolist()])
-        keys = (unit(roots, seed + tree) * 2.0**53).astype(np.int64)
+        levels, keys = np.array([left_over[tree, i] for i in roots.tolist()], np.int64).T
         grown = grow(codes[order], root, label[order], weight[order], classes, levels, tried, keys)
         # A root takes its leaf's number; the others are numbered from their root's and their place.
         n, inner = len(grown["feature"]), grown["feature"] >= 0
@@ -418,45 +530,21 @@ def feature_edges(rows: DataFrame, size: int) -> list[np.ndarray]:
 def fit_deep(rows: DataFrame, classifier, depth: int, tried: int | None = None, bagged: bool = True) -> DataFrame:
     """The nodes (NODES) of a forest of that depth, from rows with features, label and weight.
 
-    `classifier` (a tree or forest) grows its own maxDepth of levels with passes over all rows, MORE_LEVELS more as long
-    as a leaf holds more than TASK_ROWS rows. Then the rows of every leaf that is not pure meet in one task, once for each
-    tree whose bag draws them, as one byte a feature, and the task grows the rest. A node's features follow from tree and
-    path, and a row's draws from its values, so a repeated task returns the same subtrees.
+    `classifier` (a tree or forest) grows its own maxDepth of levels with passes over all rows. A leaf of more than TASK_ROWS
+    rows is split by further passes, which count such leaves alone, until none is left. Then the rows of every leaf that is
+    not pure meet in one task, once for each tree whose bag draws them, as one byte a feature, and the task grows the rest.
+    A node's features follow from tree and path, and a row's draws from its values, so a repeated task returns the same
+    subtrees.
 
     `with_deep_prediction` scores such a forest without any process that holds it.
     """
     spark = rows.sparkSession
     ship(spark)
-    top_depth, row_limit = classifier.getMaxDepth(), TASK_ROWS
-    while True:
-        model = classifier.copy({classifier.maxDepth: min(top_depth, depth)}).fit(rows)
-        nodes = staged(model_nodes(model))
-        still = nodes.where((F.col("feature") < 0) & (F.size(F.filter("votes", lambda v: v > 0)) > 1))
-        if top_depth >= depth or (still.agg(F.max("rows")).first()[0] or 0) <= row_limit:
-            break
-        top_depth += MORE_LEVELS
+    top_depth = classifier.getMaxDepth()
+    model = classifier.copy({classifier.maxDepth: min(top_depth, depth)}).fit(rows)
+    nodes = staged(model_nodes(model))
     if top_depth >= depth:
         return nodes
-    # The upper levels fit on the driver, as the model itself does: at most 2^levels nodes a tree.
-    upper = nodes.select("tree", "node", "feature", "left", "right", "votes", "rows").orderBy("tree", "node").collect()
-    leaves, left_over, groups = [], {}, 0
-    for tree in range(max(r["tree"] for r in upper) + 1):
-        own = {r["node"]: r for r in upper if r["tree"] == tree}
-        levels, stack = {0: 0}, [0]
-        while stack:
-            at = stack.pop()
-            if own[at]["feature"] >= 0:
-                for child in (own[at]["left"], own[at]["right"]):
-                    levels[child] = levels[at] + 1
-                    stack.append(child)
-        ends = [i for i in sorted(own) if own[i]["feature"] < 0]
-        left_over |= {(tree, i): depth - levels[i] for i in ends}
-        is_open = np.array([sum(v > 0 for v in own[i]["votes"]) > 1 for i in ends])
-        # A tree's leaves share tasks of about TASK_ROWS / 4 rows, which grow them side by side.
-        shelf = np.full(len(ends), -1)
-        shelf[is_open] = _shelved([own[i]["rows"] for i, x in zip(ends, is_open) if x], max(1, row_limit // 4))
-        groups += int(shelf.max()) + 1
-        leaves.append((np.array(ends, np.int64), shelf))
     size, classes = model.numFeatures, model.numClasses
     plain = rows.select(vector_to_array("features").alias("array"), "features", "label", "weight")
     model.setLeafCol("leaf")
@@ -470,14 +558,78 @@ def fit_deep(rows: DataFrame, classifier, depth: int, tried: int | None = None,
     )
     placed = staged(placed)
     edges = feature_edges(placed, size)
-    tried = tried or (size if len(leaves) == 1 else int(np.ceil(np.sqrt(size))))
+    # The upper levels fit on the driver, as the model itself does: at most 2^levels nodes a tree.
+    upper = nodes.select("tree", "node", "feature", "left", "right", "votes", "rows").orderBy("tree", "node").collect()
+    count = max(r["tree"] for r in upper) + 1
+    tried = tried or (size if count == 1 else int(np.ceil(np.sqrt(size))))
     seed = classifier.getSeed() & 0x7FFFFFFF
-    grouped = _spread(placed.mapInArrow(_coded(edges, leaves, bagged), GROUPED), groups, "tree", "shelf")
-    grown = staged(grouped.groupBy("tree", "shelf").applyInArrow(_subtrees(edges, classes, left_over, tried, seed), NODES))
+    trees: dict[int, Open] = {}
+    # What may still be split, (tree, node): rows, levels left and key.
+    left: dict[tuple[int, int], tuple[int, int, int]] = {}
+    next_node: list[int] = []
+    for tree in range(count):
+        own = {r["node"]: r for r in upper if r["tree"] == tree}
+        levels, stack = {0: 0}, [0]
+        while stack:
+            at = stack.pop()
+            if own[at]["feature"] >= 0:
+                for child in (own[at]["left"], own[at]["right"]):
+                    levels[child] = levels[at] + 1
+                    stack.append(child)
+        ends = np.array([i for i in sorted(own) if own[i]["feature"] < 0], np.int64)
+        keys = (unit(ends, seed + tree) * 2.0**53).astype(np.int64)
+        for i, key in zip(ends.tolist(), keys.tolist()):
+            if sum(v > 0 for v in own[i]["votes"]) > 1:
+                left[tree, i] = (own[i]["rows"], depth - levels[i], key)
+        trees[tree] = Open(ends, [], ends[:0], ends[:0])
+        next_node.append(max(own) + 1)
+    made: dict[tuple[int, int], tuple] = {}
+    while large := sorted(k for k, (held, _, _) in left.items() if held > TASK_ROWS):
+        _split_large(placed, edges, trees, left, next_node, made, large, classes, size, tried, bagged)
+    groups = 0
+    for tree, open_ in trees.items():
+        numbers = sorted(i for t, i in left if t == tree)
+        # A tree's leaves share tasks of about TASK_ROWS / 4 rows, which grow them side by side.
+        shelf = _shelved([left[tree, i][0] for i in numbers], max(1, TASK_ROWS // 4))
+        open_.numbers, open_.goes = np.array(numbers, np.int64), shelf
+        groups += len(np.unique(shelf))
+    left_over = {k: v[1:] for k, v in left.items()}
+    grouped = _spread(placed.mapInArrow(_coded(edges, trees, bagged), GROUPED), groups, "tree", "shelf")
+    grown = staged(grouped.groupBy("tree", "shelf").applyInArrow(_subtrees(edges, classes, left_over, tried), NODES))
+    if made:
+        added = spark.createDataFrame([(*k, *v) for k, v in made.items()], NODES)
+        nodes = nodes.join(F.broadcast(added.select("tree", "node")), ["tree", "node"], "left_anti").unionByName(added)
     replaced = grown.where(F.col("node") < LOW_NODES).select("tree", "node")
     return staged(nodes.join(replaced, ["tree", "node"], "left_anti")).unionByName(grown)
 
 
+def _split_large(placed, edges, trees, left, next_node, made, large, classes, size, tried, bagged) -> None:
+    """One pass that splits every `large` node, or ends it. What comes to the driver is one row a node."""
+    chosen = {k: _chosen(np.array([left[k][2]]), size, tried)[0] for k in large}
+    some = {}
+    for tree in dict.fromkeys(t for t, _ in large):
+        numbers = np.array([i for t, i in large if t == tree], np.int64)
+        some[tree] = Open(trees[tree].ends, trees[tree].splits, numbers, np.arange(len(numbers)))
+    by_place = {t: [chosen[t, i] for i in o.numbers.tolist()] for t, o in some.items()}
+    partials = placed.mapInArrow(_counted(edges, some, by_place, classes, bagged), "tree int, node bigint, part int, cells binary, counts binary")
+    found = {(r["tree"], r["node"]): r for r in partials.groupBy("tree", "node").applyInArrow(_summed(classes, chosen), SPLIT).collect()}
+    for k in large:
+        tree, node = k
+        _, levels, key = left.pop(k)
+        r = found.get(k)
+        if r is None or r["gain"] <= 0:
+            continue
+        low, high = next_node[tree], next_node[tree] + 1
+        next_node[tree] += 2
+        trees[tree].splits.append((node, r["feature"], r["code"], low, high))
+        made[k] = (r["feature"], float(edges[r["feature"]][r["code"]]), low, high, r["votes"], r["rows"])
+        child_keys = _child_keys(np.array([key])).tolist()
+        for child, votes, rows, child_key in zip((low, high), (r["low"], r["high"]), (r["rows_low"], r["rows"] - r["rows_low"]), child_keys):
+            made[tree, child] = (-1, None, -1, -1, votes, rows)
+            if levels > 1 and sum(v > 0 for v in votes) > 1:
+                left[tree, child] = (rows, levels - 1, child_key)
+
+
 def _spread(df: DataFrame, groups: int, *key: str) -> DataFrame:
     """df in partitions by the key, so many that few of the cores' partitions hold several groups more than others."""
     cores = df.sparkSession.sparkContext.defaultParallelism

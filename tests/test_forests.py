@@ -205,7 +205,8 @@ def test_rows_of_a_shelf_travel_as_one_record():
     )
     edges = [np.sort(rng.normal(size=20)) for _ in range(3)]
     numbers, shelf = np.array([3, 8, 9, 12, 15]), np.array([0, -1, 1, 1, 0])
-    sent = pa.Table.from_batches(forests._coded(edges, [(numbers, shelf)] * trees, False)(iter([batch])))
+    open_ = forests.Open(numbers, [], numbers[shelf >= 0], shelf[shelf >= 0])
+    sent = pa.Table.from_batches(forests._coded(edges, dict.fromkeys(range(trees), open_), False)(iter([batch])))
     assert sent.num_rows == 2 * trees
     for r in sent.to_pylist():
         rows = np.flatnonzero(shelf[leaf[:, r["tree"]]] == r["shelf"])
@@ -247,3 +248,25 @@ def test_leaves_fill_shelves_evenly():
     held = np.bincount(shelf, rows)
     assert len(held) == 4 and held.max() == 900 and held.min() > 400
     assert forests._shelved([], 10).tolist() == []
+
+
+def test_large_leaves_alone_get_passes_and_grow_as_in_one_task(spark, data, monkeypatch):
+    """Counts of tasks split a large leaf as a task does that has all its rows; the forest is fitted once."""
+    x, _, df = data
+    fits = []
+    fit = RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, *a, **k: fits.append(self.getMaxDepth()) or fit(self, *a, **k))
+    kind = RandomForestClassifier(numTrees=4, maxDepth=2, seed=6, weightCol="weight")
+    whole = forests.node_arrays(forests.fit_deep(df, kind, 30))
+    monkeypatch.setattr(forests, "TASK_ROWS", 150)
+    nodes = forests.fit_deep(df, kind, 30)
+    assert fits == [2, 2]
+    assert nodes.groupBy("tree", "node").count().where("count > 1").isEmpty()
+    held = nodes.where("node >= 4294967296").agg(F.max("rows")).first()[0]
+    assert held <= 150
+    assert nodes.where("node < 4294967296").count() > 4 * 7
+    passed = forests.node_arrays(nodes)
+    assert np.allclose(whole.scores(x), passed.scores(x), atol=1e-9)
+    by = {tuple(r["features"].toArray()): r["prediction"] for r in forests.with_deep_prediction(df, nodes).collect()}
+    scores = np.round(passed.scores(x), 9)
+    assert all(scores[i][int(by[tuple(v)])] == scores[i].max() for i, v in enumerate(x.tolist()))
